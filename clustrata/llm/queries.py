@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, html_extract, toxicity, url_filter
+from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -102,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_decontamination": op8_decontamination,
     "op9_html_text": op9_html_text,
     "op10_url_filter": op10_url_filter,
