@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, toxicity, url_filter
+from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, ngram_lm, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = ngram_lm.score_texts(docs, fold("doc_id", 5) != 1)
+    held = (~F.col("trained")).alias("held_out")
+    return out.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
@@ -105,6 +112,7 @@ from d
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_ngram_jaccard": op7_ngram_jaccard,
