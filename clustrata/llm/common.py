@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-#: Bytes of text that one NumPy pass holds; a longer document is a pass of its own.
-SLICE_BYTES = 1 << 21
+#: Bytes of text that one NumPy pass holds (its temporaries then fit a core's cache); a longer document is a pass of its own.
+SLICE_BYTES = 1 << 18
 
 _written: list[tuple[SparkSession, str]] = []
 

@@ -114,11 +114,7 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, langs: list[s
         model.bias, model.out = 40.0 if share else -40.0, np.zeros(len(WIDTHS) * FILTERS)
         return model
     model.bias = float(np.log(share / (1 - share)))
-    column = pa.array(texts, pa.large_string())
-    words = Words(*utf8(column), ALNUM)
-    rows, which = features(words)
-    first = words.first
-    which = which.astype(np.int32)
+    rows, which, first = _numbered(texts)
     held = rng.random(len(texts)) < 0.2 if len(texts) >= 200 else np.zeros(len(texts), bool)
     learn = np.flatnonzero(~held)
     model.table[:, 0] += _frequency_start(rows, which, first, y, learn)
@@ -130,6 +126,25 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, langs: list[s
     return model
 
 
+def _numbered(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(table rows of each distinct word, the distinct word of each word, first word of each text), a slice at a time."""
+    data, offsets = utf8(pa.array(texts, pa.large_string()))
+    names, rows, which, counts, total = [], [], [], [], 0
+    for lo, hi in slices(offsets):
+        words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], ALNUM)
+        counts.append(np.diff(words.first))
+        if len(words):
+            r, w = features(words)
+            names.append(np.unique(words.hash))
+            rows.append(r.astype(np.int32))
+            which.append(w.astype(np.int32) + total)
+            total += len(r)
+    if not names:
+        return np.zeros((0, 1 + len(PREFIXES)), np.int64), np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+    _, first, again = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    return np.concatenate(rows)[first].astype(np.int64), again.astype(np.int32)[np.concatenate(which)], np.r_[0, np.cumsum(np.concatenate(counts))]
+
+
 def _frequency_start(rows: np.ndarray, which: np.ndarray, first: np.ndarray, y: np.ndarray, learn: np.ndarray) -> np.ndarray:
     """How surely a bucket's presence goes with label 1: a z-score of shares of documents, scaled."""
     counts = np.zeros((2, BUCKETS))
