@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, ngram_lm, suffix_dedup, toxicity, url_filter
+from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, line_dedup, ngram_lm, suffix_dedup, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = ngram_lm.score_texts(docs, fold("doc_id", 5) != 1)
@@ -118,6 +123,7 @@ from d
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
