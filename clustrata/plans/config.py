@@ -1,0 +1,323 @@
+"""Options: defaults, a YAML file and the command line, merged and checked before anything runs."""
+
+from __future__ import annotations
+
+import argparse
+import difflib
+from collections.abc import Mapping
+from dataclasses import dataclass
+from pathlib import Path
+
+YES, NO = ("y", "yes", "true", "on", "1"), ("n", "no", "false", "off", "0")
+
+
+class ConfigError(ValueError):
+    """All that is wrong with a configuration, one line each."""
+
+    def __init__(self, problems: list[str]):
+        super().__init__("\n".join(problems))
+        self.problems = problems
+
+
+@dataclass(frozen=True)
+class Option:
+    name: str
+    default: object
+    kind: str = "text"  # text, int, float, flag (y/n), switch (true when given), list
+    choices: tuple[str, ...] = ()
+    low: float | None = None
+    high: float | None = None
+    group: str = "general"
+    open_low: bool = False
+    open_high: bool = False
+
+
+def _options() -> dict[str, Option]:
+    out: dict[str, Option] = {}
+
+    def add(group: str, name: str, default, kind: str = "text", choices: str = "", low=None, high=None, open_low=False, open_high=False):
+        out[name] = Option(name, default, kind, tuple(choices.split()), low, high, group, open_low, open_high)
+
+    # Option names, defaults and allowed values.
+    add("input", "counts", None)
+    add("input", "samples_in_rows", False, "switch")
+    add("input", "metadata", None)
+    add("input", "color_by", None, "list")
+    add("input", "outdir", "results/run")
+    add("preprocess", "already_normalized", False, "switch")
+    add("preprocess", "norm_method", "vst", choices="vst logcpm")
+    add("preprocess", "min_cpm", 1.0, "float", low=0)
+    add("preprocess", "min_frac_samples", 0.2, "float", low=0, high=1)
+    add("preprocess", "keep_technical", False, "switch")
+    add("preprocess", "n_top_genes", 5000, "int", low=1)
+    add("preprocess", "variance_method", "mad", choices="mad var")
+    add("preprocess", "scale_genes", False, "switch")
+    add("preprocess", "outlier_sd_threshold", 0.0, "float", low=0)
+    add("preprocess", "outlier_n_pc", 10, "int", low=1)
+    add("preprocess", "outlier_min_explained_var", 0.0, "float", low=0, high=1, open_high=True)
+    add("ica", "run_ica", "y", "flag")
+    add("ica", "ica_n_components_min", 6, "int", low=2)
+    add("ica", "ica_n_components_max", 8, "int", low=2)
+    add("ica", "ica_n_components_step", 1, "int", low=1)
+    add("ica", "ica_n_runs", 100, "int", low=1)
+    add("ica", "ica_top_dimensions", 4, "int", low=1, high=4)
+    add("ica", "ica_algorithm", "fastica_par", choices="fastica_par fastica_def picard picard_fastica picard_ext picard_orth")
+    add("ica", "ica_fun", "logcosh", choices="logcosh exp cube tanh")
+    add("ica", "ica_resampling", "none", choices="none bootstrap fast_bootstrap")
+    add("ica", "ica_max_iter", 2000, "int", low=1)
+    add("ica", "ica_deterministic", "y", "flag")
+    add("ica", "ica_k_final", None, "int", low=2)
+    add("ica", "run_ica_gsea", "y", "flag")
+    add("ica", "ica_gsea_min_size", 15, "int", low=1)
+    add("ica", "ica_gsea_max_size", 500, "int", low=1)
+    add("purity", "purity_threshold", "0")
+    add("purity", "purity_direction", "higher", choices="higher lower")
+    add("purity", "puree_dir", None)
+    add("purity", "puree_python", None)
+    add("purity", "puree_gene_id", "HGNC", choices="HGNC ENSEMBL")
+    add("consensus", "k_min", 3, "int", low=2)
+    add("consensus", "k_max", 6, "int", low=2)
+    add("consensus", "n_resamples", 1000, "int", low=1)
+    add("consensus", "prop_samples", 0.8, "float", low=0, high=1, open_low=True)
+    add("consensus", "prop_genes", 0.8, "float", low=0, high=1, open_low=True)
+    add("consensus", "sample_mode", "subsample", choices="subsample bootstrap")
+    add("consensus", "gene_mode", "subsample", choices="subsample bootstrap")
+    add("consensus", "base", "hierarchical", choices="hierarchical kmeans kmedoids")
+    add("consensus", "metric", "pearson", choices="pearson spearman euclidean cosine")
+    add("consensus", "linkage", "average", choices="average complete ward single")
+    add("consensus", "k_final", None, "int", low=2)
+    add("consensus", "k_criterion", "both", choices="both pac deltak")
+    add("consensus", "min_cluster_size", 10, "int", low=1)
+    add("stability", "compute_jaccard", "y", "flag")
+    add("differential", "run_degsea", "n", "flag")
+    add("differential", "degsea_mode", "both", choices="both ova ovo")
+    add("differential", "degsea_all_k", "n", "flag")
+    add("differential", "gsea_gene_sets", None)
+    add("differential", "gsea_permutations", 1000, "int", low=1)
+    add("differential", "gsea_heatmap_pval", 0.05, "float", low=0, high=1, open_low=True)
+    add("differential", "run_clinical_degsea", "n", "flag")
+    add("signatures", "compute_signatures", "n", "flag")
+    add("signatures", "signatures_gmt", None)
+    add("signatures", "sig_corr_method", "spearman", choices="spearman pearson")
+    add("signatures", "sig_top_n", 8, "int", low=1)
+    add("signatures", "sig_pval", 0.05, "float", low=0, high=1, open_low=True)
+    add("deconvolution", "run_deconv", "n", "flag")
+    add("deconvolution", "deconv_rscript", "Rscript")
+    add("associations", "run_chi2", "y", "flag")
+    add("associations", "chi2_mc_resamples", 2000, "int", low=1)
+    add("correlations", "run_correlations", "y", "flag")
+    add("correlations", "corr_method", "spearman", choices="spearman pearson")
+    add("correlations", "corr_all_pairs", "n", "flag")
+    add("report", "create_report", "y", "flag")
+    add("embedding", "tsne_dim", "2", choices="2 3")
+    add("embedding", "perplexity", 30.0, "float", low=0, open_low=True)
+    add("embedding", "n_neighbors", 15, "int", low=2)
+    add("embedding", "min_dist", 0.1, "float", low=0)
+    add("embedding", "no_umap", False, "switch")
+    add("run", "parallel", "y", "flag")
+    add("run", "n_jobs", -1, "int")
+    add("run", "seed", 0, "int", low=0)
+    add("run", "log_file", "run.log")
+    return out
+
+
+OPTIONS = _options()
+#: Blocks that only the file can hold.
+BLOCKS = ("gsea_collections", "signature_sources", "deconv_methods", "deconv_reference", "ordinal_variables", "clinical_degsea")
+
+
+def parser() -> argparse.ArgumentParser:
+    """The command line: every option, by group; what isn't given stays out of the result."""
+    out = argparse.ArgumentParser("clustrata", argument_default=argparse.SUPPRESS)
+    out.add_argument("--config")
+    groups: dict[str, argparse._ArgumentGroup] = {}
+    for o in OPTIONS.values():
+        group = groups.setdefault(o.group, out.add_argument_group(o.group))
+        flag = "--" + o.name.replace("_", "-")
+        if o.kind == "switch":
+            group.add_argument(flag, dest=o.name, action="store_true")
+        elif o.kind == "list":
+            group.add_argument(flag, dest=o.name, nargs="+")
+        else:
+            group.add_argument(flag, dest=o.name, help=f"default {o.default}" + (f"; one of {', '.join(o.choices)}" if o.choices else ""))
+    return out
+
+
+def _near(word: str, words, cutoff: float) -> str:
+    found = difflib.get_close_matches(word, list(words), 1, cutoff)
+    return f"; did you mean {found[0]!r}?" if found else ""
+
+
+def coerce(option: Option, value, problems: list[str]):
+    """A value in the option's type; problems are added to the list."""
+    if value is None:
+        return None
+    text = str(value).strip()
+    if option.kind in ("flag", "switch"):
+        low = text.lower()
+        if low in YES or low in NO:
+            return ("y" if low in YES else "n") if option.kind == "flag" else low in YES
+        problems.append(f"{option.name}: {value!r} is not y or n")
+        return option.default
+    if option.kind == "list":
+        return [str(v) for v in value] if isinstance(value, (list, tuple)) else [text]
+    if option.kind in ("int", "float"):
+        try:
+            number = float(text)
+            if option.kind == "int":
+                if number != int(number):
+                    raise ValueError
+                return int(number)
+            return number
+        except (ValueError, OverflowError):
+            problems.append(f"{option.name}: {value!r} is not a number" + (" without fraction" if option.kind == "int" else ""))
+            return option.default
+    if option.choices and text not in option.choices:
+        problems.append(f"{option.name}: {text!r} is not one of {', '.join(option.choices)}{_near(text, option.choices, 0.6)}")
+        return option.default
+    return text
+
+
+def load_yaml(path: str) -> dict:
+    import yaml
+
+    if not Path(path).exists():
+        raise ConfigError([f"config: {path} doesn't exist"])
+    found = yaml.safe_load(Path(path).read_text()) or {}
+    if not isinstance(found, Mapping):
+        raise ConfigError([f"config: {path} is not a mapping of options"])
+    return dict(found)
+
+
+def load(argv: list[str] | None = None, check_files: bool = True) -> tuple[dict, list[str]]:
+    """(options, warnings): defaults under the file under the command line; raises ConfigError with all problems."""
+    given = vars(parser().parse_args(argv or []))
+    problems: list[str] = []
+    warnings: list[str] = []
+    path = given.pop("config", None)
+    held = load_yaml(path) if path else {}
+    out = {o.name: o.default for o in OPTIONS.values()} | dict.fromkeys(BLOCKS)
+    for key, value in held.items():
+        name = str(key).replace("-", "_")
+        if name in BLOCKS:
+            out[name] = _block(name, value, problems)
+        elif name in OPTIONS:
+            out[name] = coerce(OPTIONS[name], value, problems)
+        elif near := _near(name, [*OPTIONS, *BLOCKS], 0.8):
+            problems.append(f"{key}: unknown option{near}")
+        else:
+            warnings.append(f"{key}: unknown option, ignored")
+    for name, value in given.items():
+        out[name] = coerce(OPTIONS[name], value, problems)
+    problems += check(out, check_files)
+    if problems:
+        raise ConfigError(problems)
+    return out, warnings
+
+
+def _block(name: str, value, problems: list[str]):
+    if value is None:
+        return None
+    if name in ("gsea_collections", "signature_sources", "deconv_methods", "ordinal_variables") and not isinstance(value, Mapping):
+        problems.append(f"{name}: a mapping by name is needed")
+        return None
+    if name == "ordinal_variables":
+        for v, levels in value.items():
+            if not isinstance(levels, list) or len(levels) < 2:
+                problems.append(f"ordinal_variables: {v} needs a list of two levels or more")
+        return {str(k): [str(x) for x in v] for k, v in value.items() if isinstance(v, list)}
+    if name == "signature_sources":
+        for v, spec in value.items():
+            if not isinstance(spec, (str, Mapping)) or (isinstance(spec, Mapping) and "path" not in spec):
+                problems.append(f"signature_sources: {v} needs a path")
+        return {k: {"path": v} if isinstance(v, str) else dict(v) for k, v in value.items() if isinstance(v, (str, Mapping))}
+    if name == "clinical_degsea":
+        return clinical_experiments(value, problems)
+    return value
+
+
+def clinical_experiments(value, problems: list[str]) -> list[dict]:
+    """Experiments as a list of name, design, variable, test, control, gene_sets; names are safe and distinct."""
+    rows = [{"name": k, **v} for k, v in value.items()] if isinstance(value, Mapping) else list(value)
+    out, seen = [], set()
+    for i, row in enumerate(rows):
+        if not isinstance(row, Mapping):
+            problems.append(f"clinical_degsea: entry {i + 1} is not a mapping")
+            continue
+        row = dict(row)
+        if "contrast" in row and isinstance(row["contrast"], (list, tuple)) and len(row["contrast"]) == 3:
+            row |= dict(zip(("variable", "test", "control"), row.pop("contrast"), strict=True))
+        missing = [k for k in ("design", "variable", "test", "control") if not row.get(k)]
+        name = "".join(c if c.isalnum() or c in "-_." else "_" for c in str(row.get("name", f"experiment_{i + 1}")))
+        if missing:
+            problems.append(f"clinical_degsea: {name} lacks {', '.join(missing)}")
+        elif name in seen:
+            problems.append(f"clinical_degsea: {name} occurs twice")
+        else:
+            out.append(row | {"name": name})
+        seen.add(name)
+    return out
+
+
+def enabled(methods: Mapping | None) -> dict[str, dict]:
+    """Deconvolution methods that are switched on, with their parameters."""
+    out = {}
+    for name, spec in (methods or {}).items():
+        if isinstance(spec, Mapping):
+            if str(spec.get("enabled", "y")).lower() in YES:
+                out[name] = {k: v for k, v in spec.items() if k != "enabled"}
+        elif str(spec).lower() in YES:
+            out[name] = {}
+    return out
+
+
+def collections(options: Mapping) -> dict[str, str]:
+    """Gene-set collections by name, or the single file as a collection of its stem."""
+    if options.get("gsea_collections"):
+        return {k: str(v) for k, v in options["gsea_collections"].items()}
+    path = options.get("gsea_gene_sets")
+    return {Path(path).stem: path} if path else {}
+
+
+def check(options: Mapping, check_files: bool = True) -> list[str]:
+    """Ranges, relations between options, files and steps that exclude each other."""
+    out: list[str] = []
+    for o in OPTIONS.values():
+        v = options.get(o.name)
+        if o.kind not in ("int", "float") or v is None:
+            continue
+        if (o.low is not None and (v < o.low or (o.open_low and v == o.low))) or (o.high is not None and (v > o.high or (o.open_high and v == o.high))):
+            out.append(f"{o.name}: {v} is not between {o.low} and {o.high if o.high is not None else 'any'}")
+    if options["k_min"] > options["k_max"]:
+        out.append(f"k_min: {options['k_min']} is greater than k_max {options['k_max']}")
+    for name in ("k_final", "ica_k_final"):
+        if options[name] is not None and not options["k_min"] <= options[name] <= options["k_max"]:
+            out.append(f"{name}: {options[name]} is not between k_min and k_max")
+    for a, b in (("ica_n_components_min", "ica_n_components_max"), ("ica_gsea_min_size", "ica_gsea_max_size")):
+        if options[a] > options[b]:
+            out.append(f"{a}: {options[a]} is greater than {b} {options[b]}")
+    if options["n_jobs"] == 0:
+        out.append("n_jobs: 0 is no number of workers; -1 means all")
+    from ..operators.preprocess import parse_threshold
+
+    try:
+        parse_threshold(options["purity_threshold"])
+    except ValueError as error:
+        out.append(f"purity_threshold: {error}")
+    if not options["counts"]:
+        out.append("counts: a matrix is needed")
+    if check_files:
+        for name in ("counts", "metadata", "signatures_gmt", "gsea_gene_sets"):
+            if options.get(name) and "://" not in str(options[name]) and not Path(options[name]).exists():
+                out.append(f"{name}: {options[name]} doesn't exist")
+    if options["already_normalized"]:
+        for step in ("run_degsea", "run_clinical_degsea"):
+            if options[step] == "y":
+                out.append(f"{step}: raw counts are needed, but already_normalized is set")
+    if options["run_degsea"] == "y" and not collections(options):
+        out.append("run_degsea: gsea_collections or gsea_gene_sets is needed")
+    if options["run_clinical_degsea"] == "y" and not options.get("metadata"):
+        out.append("run_clinical_degsea: metadata is needed")
+    if options["compute_signatures"] == "y" and not (options.get("signature_sources") or options.get("signatures_gmt")):
+        out.append("compute_signatures: signature_sources or signatures_gmt is needed")
+    return out
