@@ -35,15 +35,32 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: With this setting Spark removes a statement's shuffle files when the statement ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialise(df: DataFrame, name: str, batch: int = 2000) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 
-    This cuts the lineage in a way that survives the loss of any executor. The folder is
-    removed when the driver ends.
+    This cuts the lineage in a way that survives the loss of any executor, and the shuffle
+    files behind the table, which nothing reads again, are removed once it is written. Python
+    functions in the plan get ``batch`` rows at a time. The folder is removed when the driver
+    ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    own = {_CLEANUP: "true", _BATCH: str(batch)}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
