@@ -139,10 +139,10 @@ def association_test(df: DataFrame, row: str, col: str, key: str, row_order: Seq
 def association_suite(df: DataFrame, pairs: Sequence[tuple[str, str]], key: str, orders: Mapping[str, Sequence[str]] | None = None, resamples: int = 2000) -> DataFrame:
     """The tests of several pairs of columns with one false-discovery family."""
     orders = orders or {}
-    out = None
-    for a, b in pairs:
-        one = association_test(df, a, b, key, orders.get(a), orders.get(b), resamples).select(F.lit(a).alias("var1"), F.lit(b).alias("var2"), "*")
-        out = one if out is None else out.unionByName(one)
+    spark = df.sparkSession
+    # a test is one row: gathered, the rows of all pairs don't pile up into one plan
+    rows = [(a, b, *association_test(df, a, b, key, orders.get(a), orders.get(b), resamples).first()) for a, b in pairs]
+    out = spark.createDataFrame(rows, "var1 string, var2 string, test string, statistic double, p double, chi2 double, dof bigint, n bigint, conditions_met boolean, cramers_v double")
     return benjamini_hochberg(out, "p").withColumn("stars", stars(F.col("q")))
 
 
