@@ -41,9 +41,9 @@ from .common import fresh, materialise, mix, plus, slices, utf8
 from .common import _table as powers
 from .suffix_array import suffix_array
 
-WIDTH, GRAM = 50, 28
+WIDTH, GRAM = 50, 24
 #: A chunk has about this many bytes (a power of two); place bits in a packed hash.
-CHUNK, PLACE_BITS = 512, 24
+CHUNK, PLACE_BITS = 256, 24
 SLICE, SEGMENT = 1 << 20, 1 << 22
 FINGERPRINTS_A_SHARD, EXCERPT_BYTES_A_SHARD = 1 << 20, 3 << 19
 #: Bounds for broadcasting what single documents need; beyond them it is a shuffled join.
@@ -77,11 +77,15 @@ class _Text:
         keep = windows_end > starts
         self.start, self.doc_of, self.windows_end = starts[keep], self.doc_of[keep], windows_end[keep]
         end = self.windows_end + WIDTH - 1
-        self.name = mix((self._sum[end] - self._sum[self.start]) * self._inverse[self.start]) ^ (end - self.start).astype(U64)
+        self.name = self.spans(self.start, end) ^ (end - self.start).astype(U64)
         follows = np.r_[self.doc_of[1:] == self.doc_of[:-1], False] & np.r_[self.start[1:] == self.windows_end[:-1], False] if len(self.start) else np.zeros(0, bool)
         nxt = np.r_[self.name[1:], U64(0)] if len(self.start) else self.name
         self.pair = np.where(follows, mix(self.name * U64(3) + mix(nxt.copy())), self.name)
 
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from start to end."""
+        return mix((self._sum[end] - self._sum[start]) * self._inverse[start])
+
     def selected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place, first string, end of strings) of each run of strings that select one place, within one document."""
         w = WIDTH - GRAM + 1
@@ -158,11 +162,14 @@ def _chunks(rows: DataFrame) -> DataFrame:
     return rows.select("key", "id", "text").mapInArrow(scan, f"key bigint, id {kind}, start bigint, windows bigint, chunk bigint, pair bigint")
 
 
-def _owner_names(text: _Text, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Who selects a place: the chunk its strings start in, or the pair if they start in two."""
+def _owners(text: _Text, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(run, owner): who selects a place: the chunk its strings start in, or each pair of neighbours they start in."""
     a = np.searchsorted(text.start, first, "right") - 1
     b = np.searchsorted(text.start, end - 1, "right") - 1
-    return np.where(a == b, text.name[a], text.pair[a]) & _O_MASK
+    many = np.maximum(b - a, 1)
+    run = np.repeat(np.arange(len(a)), many)
+    chunk = np.repeat(a, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return run, np.where((a == b)[run], text.name[chunk], text.pair[chunk]) & _O_MASK
 
 
 def _shared_fingerprints(rows: DataFrame, shards: int) -> DataFrame:
@@ -197,10 +204,11 @@ def _shared_fingerprints(rows: DataFrame, shards: int) -> DataFrame:
                 place, first, end = text.selected()
                 if not len(place):
                     continue
-                f, o = _fingerprint(text.gram[place]), _owner_names(text, first, end)
+                run, o = _owners(text, first, end)
+                f = _fingerprint(text.gram[place])[run]
                 # equal chunks of one slice count once; places tell a repeat within an owner from a copy of it
                 a = np.searchsorted(text.start, first, "right") - 1
-                one = _first_of(f, o, place - text.start[a])
+                one = _first_of(f, o, (place - text.start[a])[run])
                 held.append((f[one], o[one]))
                 size += len(one)
                 if size >= FINGERPRINTS_A_SHARD // 2:
@@ -238,41 +246,61 @@ def _sent(docs: DataFrame, info: DataFrame, size: Column, how: str) -> DataFrame
 
 
 def _excerpts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(chunk, at, id, mark, excerpt): the bytes of the strings that select a wanted hash, from a chunk's first document."""
+    """(key, id, chunk, at, start, n, mark, name) of the bytes of the strings that select a wanted hash.
+
+    From a chunk's first document only; at: counted from the chunk's start; n: strings; name: a
+    hash of the bytes and the mark.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            prints, chunks = batch.column(2), batch.column(3)
+            data, offsets = utf8(batch.column(2))
+            prints, chunks = batch.column(3), batch.column(4)
             for i in range(batch.num_rows):
-                text = _Text(data[offsets[i] : offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]]))
+                own = data[offsets[i] : offsets[i + 1]]
+                text = _Text(own, np.array([0, len(own)]))
+                wanted_chunk = np.zeros(len(text.name), bool)
+                names, at = np.unique(text.name, return_index=True)  # of equal chunks of a text, the first
+                wanted_chunk[at[np.isin(names, np.frombuffer(chunks[i].as_buffer(), "<u8"))]] = True
                 place, first, end = text.selected()
                 f = _fingerprint(text.gram[place])
-                want = np.unique(_unpack(prints[i].as_buffer(), _F_BITS // 8))
-                hit = np.flatnonzero(np.isin(f, want))
-                own = np.frombuffer(chunks[i].as_buffer(), "<u8")
-                # strings that select one place may start in two chunks: one excerpt for each
+                hit = np.flatnonzero(np.isin(f, _unpack(prints[i].as_buffer(), _F_BITS // 8)))
+                # strings that select one place may start in several chunks: one excerpt for each
                 a = np.searchsorted(text.start, first[hit], "right") - 1
-                b = np.searchsorted(text.start, end[hit] - 1, "right") - 1
-                out = [[], [], [], []]
-                for k, lo, hi in zip(hit.tolist(), a.tolist(), b.tolist(), strict=True):
-                    for c in range(lo, hi + 1):
-                        s, e = max(first[k], text.start[c]), min(end[k], text.windows_end[c])
-                        if s < e:
-                            out[0].append(text.name[c])
-                            out[1].append(s - text.start[c])
-                            out[2].append(f[k])
-                            out[3].append(text.data[s : e + WIDTH - 1].tobytes())
-                names = np.array(out[0], U64)
-                keep = np.flatnonzero(np.isin(names, own))
+                many = np.searchsorted(text.start, end[hit] - 1, "right") - a
+                run = np.repeat(hit, many)
+                c = np.repeat(a, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                s, e = np.maximum(first[run], text.start[c]), np.minimum(end[run], text.windows_end[c])
+                keep = np.flatnonzero(wanted_chunk[c] & (s < e))
+                s, e, c, mark = s[keep], e[keep], c[keep], f[run[keep]]
+                name = text.spans(s, e + WIDTH - 1) ^ mix(mark + (e - s).astype(U64))
+                same = pa.array(np.full(len(keep), i))
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(names[keep]), pa.array(np.array(out[1], np.int64)[keep]), batch.column(0).take(pa.array(np.full(len(keep), i))), _signed(np.array(out[2], U64)[keep]), pa.array([out[3][j] for j in keep], pa.binary())],
-                    names=["chunk", "at", "id", "mark", "excerpt"],
+                    [batch.column(0).take(same), batch.column(1).take(same), _signed(text.name[c]), pa.array((s - text.start[c]).astype(np.int32)), pa.array(s), pa.array((e - s).astype(np.int32)), _signed(mark), _signed(name)],
+                    names=["key", "id", "chunk", "at", "start", "n", "mark", "name"],
                 )
 
     joined = _sent(rows, wanted, F.octet_length("prints") + F.octet_length("chunks"), "inner")
     kind = rows.schema["id"].dataType.simpleString()
-    return joined.select("id", "text", "prints", "chunks").mapInArrow(scan, f"chunk bigint, at bigint, id {kind}, mark bigint, excerpt binary")
+    return joined.select("key", "id", "text", "prints", "chunks").mapInArrow(scan, f"key bigint, id {kind}, chunk bigint, at int, start bigint, n int, mark bigint, name bigint")
+
+
+def _excerpt_texts(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """(name, mark, least, excerpt) of the excerpts at the given places."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            for i in range(batch.num_rows):
+                raw = data[offsets[i] : offsets[i + 1]].tobytes()
+                name, mark, start, n, least = batch.column(1)[i].values.flatten()
+                out = [raw[s : s + k + WIDTH - 1] for s, k in zip(start.to_pylist(), n.to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([name, mark, least, pa.array(out, pa.binary())], names=["name", "mark", "least", "excerpt"])
+
+    per_text = places.groupBy("key").agg(F.collect_list(F.struct("name", "mark", "start", "n", "least")).alias("places"))
+    joined = _sent(rows, materialise(per_text, "repeat-places"), F.size("places") * 40, "inner")
+    kind = rows.schema["id"].dataType.simpleString()
+    return joined.select("text", "places").mapInArrow(scan, f"name bigint, mark bigint, least {kind}, excerpt binary")
 
 
 def least_ids(excerpts: list[bytes], ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -309,10 +337,16 @@ def least_ids(excerpts: list[bytes], ids: np.ndarray) -> Iterator[tuple[int, int
         yield int(who[a]), int(place[a] - begin[who[a]]), int(place[b - 1] - begin[who[a]]) + 1, int(m[a])
 
 
-def _lower_runs(excerpts: DataFrame, shards: int) -> DataFrame:
+def _lower_runs(rows: DataFrame, excerpts: DataFrame) -> DataFrame:
     """(chunk, first, end): strings of a chunk that also start in a document before the chunk's first."""
-    named = excerpts.withColumn("name", F.xxhash64("excerpt", "mark"))
-    distinct = named.groupBy("name").agg(F.first("excerpt").alias("excerpt"), F.first("mark").alias("mark"), F.min("id").alias("least"))
+    one = F.min(F.struct("id", "key", "start", "n", "mark")).alias("o")
+    names = materialise(excerpts.groupBy("name").agg(one, F.max("id").alias("most")).select("name", "o.*", "most"), "repeat-names")
+    # an excerpt whose mark has no other text is settled by its least id
+    several = names.groupBy("mark").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("mark")
+    places = names.join(several, "mark", "left_semi").select("name", "mark", "key", "start", "n", F.col("id").alias("least"))
+    texts = _excerpt_texts(rows, places)
+    size = names.agg(F.coalesce(F.sum(F.col("n") + WIDTH), F.lit(0))).first()[0]
+    shards = max(1, int(size // EXCERPT_BYTES_A_SHARD) + 1)
 
     def sort(group: pa.Table) -> pa.Table:
         ids = group["least"].to_pylist()
@@ -323,12 +357,12 @@ def _lower_runs(excerpts: DataFrame, shards: int) -> DataFrame:
         return pa.table({"name": pa.array([name[x[0]] for x in found], pa.int64()), "a": pa.array([x[1] for x in found], pa.int64()), "b": pa.array([x[2] for x in found], pa.int64()), "lower": pa.array([back[x[3]] for x in found], group["least"].type)})
 
     kind = excerpts.schema["id"].dataType.simpleString()
-    dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int"))
-    runs = dealt.groupBy("shard").applyInArrow(sort, f"name bigint, a bigint, b bigint, lower {kind}")
-    # an excerpt's own least id is the least of all chunks with the same excerpt: that counts too
-    whole = named.join(distinct.select("name", "least"), "name").where(F.col("least") < F.col("id"))
-    whole = whole.select("chunk", F.col("at").alias("first"), (F.col("at") + F.octet_length("excerpt") - WIDTH + 1).alias("end"))
-    part = named.select("name", "chunk", "at", "id").join(runs, "name").where(F.col("lower") < F.col("id"))
+    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int"))
+    runs = materialise(dealt.groupBy("shard").applyInArrow(sort, f"name bigint, a bigint, b bigint, lower {kind}"), "repeat-runs")
+    several = excerpts.select("name", "chunk", "at", "n", "id")
+    whole = several.join(names.where(F.col("most") > F.col("id")).select("name", F.col("id").alias("least")), "name").where(F.col("least") < F.col("id"))
+    whole = whole.select("chunk", F.col("at").cast("bigint").alias("first"), (F.col("at") + F.col("n")).cast("bigint").alias("end"))
+    part = several.join(runs, "name").where(F.col("lower") < F.col("id"))
     return whole.unionByName(part.select("chunk", (F.col("at") + F.col("a")).alias("first"), (F.col("at") + F.col("b")).alias("end")))
 
 
@@ -355,8 +389,7 @@ def _covered(rows: DataFrame) -> DataFrame:
     wanted = marked.join(firsts, "chunk").groupBy("key").agg(packed, F.collect_set("chunk").alias("chunks"))
     wanted = materialise(_packed(wanted), "repeat-wanted")
     excerpts = materialise(_excerpts(rows, wanted), "repeat-excerpts")
-    size = excerpts.agg(F.coalesce(F.sum(F.octet_length("excerpt")), F.lit(0))).first()[0]
-    runs = _lower_runs(excerpts, max(1, int(size // EXCERPT_BYTES_A_SHARD) + 1))
+    runs = materialise(_lower_runs(rows, excerpts), "repeat-lower")
     placed = chunks.join(firsts.select("chunk", "least"), "chunk")
     later = placed.where(F.col("least") < F.col("id")).select("key", "start", (F.col("start") + F.col("windows")).alias("stop"))
     first = placed.where(F.col("least") == F.col("id")).join(runs, "chunk").select("key", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("end")).alias("stop"))
