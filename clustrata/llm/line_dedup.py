@@ -34,31 +34,55 @@ from .common import fresh, materialise
 LEAST_WORDS = 5
 #: Rows up to which a side is broadcast; beyond it is a shuffled join.
 SEND_ROWS = 1 << 20
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACES = r"[\x20\x09-\x0D]+"
+
+
+def plain_of(line: Column) -> Column:
+    """A line's words, each followed by one space but the last; the costly pattern only where it is needed."""
+    odd = F.contains(line, F.lit("  "))
+    for c in "\t\x0b\f\r":
+        odd = odd | F.contains(line, F.lit(c))
+    plain = F.trim(F.when(odd, F.regexp_replace(line, _SPACES, " ")).otherwise(line))
+    ascii_only = F.octet_length(plain) == F.char_length(plain)
+    return F.when(ascii_only, F.lower(plain)).otherwise(F.translate(plain, _UPPER, _LOWER))
 
 
 def words_of(line: Column) -> Column:
     """A line's words; an empty list if there is none."""
-    plain = F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), r"[\x20\x09-\x0D]+", " "))
+    plain = plain_of(line)
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
+def _name(plain: Column) -> Column:
+    return F.unhex(F.md5(plain.cast("binary")))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(key, place, line) from (id, text): place orders all lines."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.xxhash64("id", F.sha2(text.cast("binary"), 256)).alias("key"), "id", F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
+    rows = docs.select(F.xxhash64("id", text).alias("key"), "id", F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
     return rows.select("key", F.struct(F.col("id").isNull().alias("z"), F.col("id"), F.col("no")).alias("place"), "line")
 
 
-def _halves(words: Column) -> Column:
+def _halves(plain: Column, n: Column) -> Column:
     """Hashes of the first and last halves, of both lengths that a line one edit apart may share."""
-    n = F.size(words)
 
-    def half(cut: Column) -> Column:
-        return F.array(F.xxhash64(F.lit("first"), cut, F.slice(words, F.lit(1), cut)), F.xxhash64(F.lit("last"), cut, F.slice(words, n - cut + 1, cut)))
+    def half(cut: Column) -> list[Column]:
+        return [F.xxhash64(F.lit(k), cut, F.call_function("substring_index", plain, F.lit(" "), cut * sign)) for k, sign in (("first", 1), ("last", -1))]
 
     a, b = (n / 2).cast("int"), ((n - 1) / 2).cast("int")
-    return F.when(n >= LEAST_WORDS, F.array_distinct(F.concat(half(a), half(b)))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(n >= LEAST_WORDS, F.when(a == b, F.array(*half(a))).otherwise(F.array(*half(a), *half(b)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _named_lines(lines: DataFrame) -> DataFrame:
+    """(key, place, h, halves) of the lines with words."""
+    known = lines.select("key", "place", plain_of(F.col("line")).alias("p")).where(F.col("p") != "")
+    n = F.octet_length("p") - F.octet_length(F.replace("p", F.lit(" "), F.lit(""))) + 1
+    counted = known.withColumn("n", n)
+    return counted.select("key", "place", _name(F.col("p")).alias("h"), _halves(F.col("p"), F.col("n")).alias("halves"))
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -66,13 +90,6 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SEND_ROWS else df
 
 
-def _distinct_lines(lines: DataFrame) -> DataFrame:
-    """(h, first, halves) of each distinct line with words."""
-    known = lines.select("place", words_of(F.col("line")).alias("w")).where(F.size("w") > 0)
-    named = known.select(F.unhex(F.md5(F.array_join("w", " ").cast("binary"))).alias("h"), "place", _halves(F.col("w")).alias("halves"))
-    return named.groupBy("h").agg(F.min("place").alias("first"), F.first("halves").alias("halves"))
-
-
 def _candidates(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(first, w) of the distinct lines that share a half with another."""
     halves = distinct.select("first", F.explode("halves").alias("half"))
@@ -133,17 +150,16 @@ def one_edit(a: Column, b: Column) -> Column:
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(key, place) of the lines of (id, text) that go; key names a row."""
     lines = _lines(docs)
-    distinct = materialise(_distinct_lines(lines), "line-distinct")
+    named = materialise(_named_lines(lines), "line-names")
+    distinct = materialise(named.groupBy("h").agg(F.min("place").alias("first"), F.first("halves").alias("halves")), "line-distinct")
     candidates = materialise(_candidates(lines, distinct), "line-words")
     found = materialise(_witnesses(_variants(candidates)), "line-witnesses")
     words = candidates.select("first", F.xxhash64("w").alias("line"), "w")
     pairs = found.join(words, ["first", "line"]).join(words.select(F.col("first").alias("earlier"), F.col("w").alias("v")), "earlier")
-    near = pairs.where(one_edit(F.col("w"), F.col("v"))).select(F.unhex(F.md5(F.array_join("w", " ").cast("binary"))).alias("h")).distinct()
+    near = pairs.where(one_edit(F.col("w"), F.col("v"))).select(_name(F.array_join("w", " ")).alias("h")).distinct()
     near = materialise(near.withColumn("near", F.lit(True)), "line-near")
     decided = distinct.select("h", "first").join(_sent(near), "h", "left")
-    named = lines.select("key", "place", words_of(F.col("line")).alias("w")).where(F.size("w") > 0)
-    named = named.select("key", "place", F.unhex(F.md5(F.array_join("w", " ").cast("binary"))).alias("h"))
-    return named.join(decided, "h").where((F.col("place") != F.col("first")) | F.col("near")).select("key", "place")
+    return named.select("key", "place", "h").join(decided, "h").where((F.col("place") != F.col("first")) | F.col("near")).select("key", "place")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,7 +171,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     key, lost = fresh(docs, "key"), fresh(docs, "gone")
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.sha2(text.cast("binary"), 256)))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), text))
     joined = keyed.join(_sent(gone.select(F.col("key").alias(key), F.col("gone").alias(lost))), key, "left")
     lines = F.split(text, "\n", -1)
     stays = F.filter(lines, lambda _, i: ~F.array_contains(F.col(lost), i))
