@@ -131,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_html_text": op9_html_text,
     "op10_url_filter": op10_url_filter,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
