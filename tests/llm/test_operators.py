@@ -247,7 +247,7 @@ def test_toxicity(spark):
     assert all(0 <= r["toxicity"] <= 1 for r in odd.collect()) and odd.count() == len(ROWS)
     assert toxicity.score(empty(spark), model).count() == 0
     nothing = toxicity.train(docs, marks.where("false"))
-    assert {r["toxicity"] for r in toxicity.score(docs, nothing).collect()} == {pytest.approx(0, abs=1e-9)}
+    assert all(r["toxicity"] < 1e-9 for r in toxicity.score(docs, nothing).collect())
     left = toxicity.drop_toxic(docs, model)
     assert left.columns == docs.columns and 350 < left.count() < 480
 
