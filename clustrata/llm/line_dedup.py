@@ -78,11 +78,14 @@ def _halves(plain: Column, n: Column) -> Column:
 
 
 def _named_lines(lines: DataFrame) -> DataFrame:
-    """(key, place, h, halves) of the lines with words."""
-    known = lines.select("key", "place", plain_of(F.col("line")).alias("p")).where(F.col("p") != "")
+    """(key, place, h, halves) of every line; h is null without words.
+
+    Nothing is filtered here: a filter would be pushed down and normalise each line twice.
+    """
+    known = lines.select("key", "place", plain_of(F.col("line")).alias("p"))
     n = F.octet_length("p") - F.octet_length(F.replace("p", F.lit(" "), F.lit(""))) + 1
     counted = known.withColumn("n", n)
-    return counted.select("key", "place", _name(F.col("p")).alias("h"), _halves(F.col("p"), F.col("n")).alias("halves"))
+    return counted.select("key", "place", F.when(F.col("p") != "", _name(F.col("p"))).alias("h"), _halves(F.col("p"), F.col("n")).alias("halves"))
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -96,8 +99,7 @@ def _candidates(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = halves.groupBy("half").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("half")
     wanted = materialise(halves.join(shared, "half", "left_semi").select("first").distinct(), "line-candidates")
     rows = lines.join(_sent(wanted.select(F.col("first").alias("place"))), "place", "left_semi")
-    # equal ids may hold several lines at one place: keep those that are candidates' own
-    return rows.select(F.col("place").alias("first"), words_of(F.col("line")).alias("w")).where(F.size("w") >= LEAST_WORDS).distinct()
+    return rows.select(F.col("place").alias("first"), words_of(F.col("line")).alias("w")).distinct()
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -150,10 +152,14 @@ def one_edit(a: Column, b: Column) -> Column:
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(key, place) of the lines of (id, text) that go; key names a row."""
     lines = _lines(docs)
-    named = materialise(_named_lines(lines), "line-names")
+    named = materialise(_named_lines(lines), "line-names").where(F.col("h").isNotNull())
     distinct = materialise(named.groupBy("h").agg(F.min("place").alias("first"), F.first("halves").alias("halves")), "line-distinct")
-    candidates = materialise(_candidates(lines, distinct), "line-words")
-    found = materialise(_witnesses(_variants(candidates)), "line-witnesses")
+    # equal ids may hold several lines at one place, short ones too; filtered once the words are written
+    candidates = materialise(_candidates(lines, distinct), "line-words").where(F.size("w") >= LEAST_WORDS)
+    variants = materialise(_variants(candidates), "line-variants")
+    keys = variants.groupBy("lo", "hi", "left").agg(F.count("*").alias("c")).where(F.col("c") > 1).drop("c")
+    shared = variants.join(_sent(materialise(keys, "line-keys")), ["lo", "hi", "left"], "left_semi")
+    found = materialise(_witnesses(materialise(shared, "line-shared")), "line-witnesses")
     words = candidates.select("first", F.xxhash64("w").alias("line"), "w")
     pairs = found.join(words, ["first", "line"]).join(words.select(F.col("first").alias("earlier"), F.col("w").alias("v")), "earlier")
     near = pairs.where(one_edit(F.col("w"), F.col("v"))).select(_name(F.array_join("w", " ")).alias("h")).distinct()
