@@ -8,7 +8,7 @@ by AdaGrad with gradients through the maxima. The first embedding coordinate sta
 document frequencies in the training rows, which lets a few hundred rows suffice.
 
 Fitting uses a bounded sample of labelled rows (``MAX_POSITIVE``, ``MAX_NEGATIVE``), chosen by
-hash and weighted back to the true shares, and runs on the driver. A fifth of the sample is
+hash and weighted back to the true shares, and runs in one task. A fifth of the sample is
 set aside to choose a threshold for each language. Scoring is map-side, over whole texts.
 
 Defined cases: null and empty texts get the score of no evidence (the bias), no error; rows
@@ -20,6 +20,7 @@ columns named ``toxicity`` are replaced.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -256,11 +257,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_c
         own = known.where(F.col("y") == label).orderBy(F.xxhash64("id"), "id").limit(most)
         picked = own if picked is None else picked.unionByName(own)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")).alias("lang"))
-    sample = rows.join(F.broadcast(picked), "id").groupBy("id").agg(F.first("text").alias("text"), F.first("lang").alias("lang"), F.first("y").alias("y")).toArrow()
-    sample = sample.sort_by("id")
-    y = np.array(sample["y"].to_pylist(), np.float64)
-    weights = np.where(y == 1, counts.get(1, 0) / max(1, y.sum()), counts.get(0, 0) / max(1, (1 - y).sum())) if len(y) else np.zeros(0)
-    return fit([t or "" for t in sample["text"].to_pylist()], y, weights, sample["lang"].to_pylist())
+    sample = rows.join(F.broadcast(picked), "id").groupBy("id").agg(F.first("text").alias("text"), F.first("lang").alias("lang"), F.first("y").alias("y"))
+
+    def fitted(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        y = np.array(group["y"].to_pylist(), np.float64)
+        weights = np.where(y == 1, counts.get(1, 0) / max(1, y.sum()), counts.get(0, 0) / max(1, (1 - y).sum()))
+        model = fit([t or "" for t in group["text"].to_pylist()], y, weights, group["lang"].to_pylist())
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    # the bounded sample is fitted in one task; the driver only gets the weights
+    made = sample.groupBy(F.lit(1).alias("one")).applyInArrow(lambda key, group: fitted(group.drop_columns(["one"]) if "one" in group.column_names else group), "model binary").first()
+    return pickle.loads(made["model"]) if made else fit([], np.zeros(0), np.zeros(0), [])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
