@@ -6,15 +6,20 @@ Documents become sets of hashed word n-grams; equal sets are one node. Two sets
 1. Prefixes. Rare n-grams come first in an order of all n-grams (frequent ones, counted over
    all documents by a Misra-Gries summary in each task, come last; the order only affects
    cost). Linked sets share one of their first ``n - ceil(percent * n / 100) + 1`` n-grams,
-   so documents that share such an n-gram form a block, and blocks hold all links.
+   so documents that share such an n-gram form a block, and blocks hold all links. The
+   smaller of the two even has it among its first ``n - ceil(2 p n / (100 + p)) + 1``: a set
+   is found by these, and those smaller than all that can be found leave a block.
 2. Stars. In each block the smallest set that may link by size is a pivot; every other set
    pairs with its pivot only, so a group of copies yields a star, not all its pairs.
-3. Count vectors. N-grams are hashed into ``GROUPS`` groups; a set's counts by group are a
-   point, and the sum of coordinate-wise minima bounds the common n-grams of two points, or
-   of a point and a box. A pair whose bound is too small is dropped before its sets are read.
+3. Count vectors. N-grams are hashed into groups, about ``PER_GROUP`` to a group; a set's
+   counts by group are a point, and the sum of coordinate-wise minima bounds the common
+   n-grams of two points, or of a point and a box. (The number of groups is a power of two,
+   so the point of a larger set folds to that of a smaller one.) Pairs whose bound is too
+   small are dropped; only the sets of the others are read.
 4. Blocks that the verified stars have not joined into one component go into a packed R-tree
-   of their points; each set is searched against the boxes, and the pairs of different
-   components that survive the bound are verified as well. Nothing else can link.
+   of their points; each set is searched against the boxes for sets of other components that
+   the bound admits. The likeliest few for each set are verified first and join most
+   components; the search goes on with more for each set until none is left untested.
 5. Components of the verified links.
 
 Blocks larger than ``TILE`` are cut in tiles, and pairs of tiles are searched on their own,
@@ -40,10 +45,56 @@ from pyspark.sql import functions as F
 from .common import SPACED, Words, fresh, grams, materialise, plus, slices, utf8
 from .components import components
 
-GROUPS, TILE, LEAF = 64, 1024, 16
+PER_GROUP, LEAST_GROUPS, MOST_GROUPS, TILE, LEAF, SMALL = 4, 64, 512, 1024, 16, 64
 #: Bounds: n-grams in the broadcast order of frequent ones; counters of a task's summary;
 #: ids in a broadcast filter (beyond it the filter is a shuffled join).
 FREQUENT, COUNTERS, FILTER_IDS = 1 << 17, 1 << 20, 1 << 20
+#: log2 of the share of a word that isn't among the frequent ones, and of the share below
+#: which n-grams count as equally rare.
+RARE, COMMON = -26.0, -45.0
+#: Sets of one task that share an n-gram which is then known to be shared; text for each shard.
+OFTEN, BYTES_A_SHARD = 8, 1 << 24
+#: Partners of a set and tile that are verified first.
+FIRST = 2
+U64 = np.uint64
+
+
+def ranked_sets(data: np.ndarray, offsets: np.ndarray, n: int, known: tuple[np.ndarray, ...]) -> Iterator[np.ndarray]:
+    """The distinct n-gram hashes of each document, the rarest first; equally rare ones by hash.
+
+    How frequent an n-gram is comes from its count, if it is among the frequent ones, or from
+    the product of its words' shares, which tells n-grams of common words from those of a
+    document alone. An n-gram has the same rank wherever it occurs.
+    """
+    frequent, counts, names, shares = known
+    for lo, hi in slices(offsets):
+        words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], SPACED)
+        runs = grams(words.hash, n)
+        share = np.full(len(words), RARE, np.float32)
+        if len(names) and len(words):
+            at = np.minimum(np.searchsorted(names, words.hash), len(names) - 1)
+            share = np.where(names[at] == words.hash, shares[at], np.float32(RARE))
+        size = max(0, len(words) - n + 1)
+        rank = np.zeros(size, np.float32)
+        for k in range(n):
+            rank += share[k : k + size]
+        if len(frequent) and size:
+            at = np.minimum(np.searchsorted(frequent, runs), len(frequent) - 1)
+            rank = np.where(frequent[at] == runs, np.maximum(rank, counts[at]), rank)
+        rank = np.floor(np.maximum(rank, COMMON))  # what is rarer than COMMON is alike
+        for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+            if b - a >= n:
+                g, r = runs[a : b - n + 1], rank[a : b - n + 1]
+                order = np.lexsort((g, r))
+                g = g[order]
+                keep = np.empty(len(g), bool)
+                keep[0] = True
+                np.not_equal(g[1:], g[:-1], out=keep[1:])
+                yield g[keep]
+            elif b > a:
+                yield grams(words.hash[a:b], b - a)
+            else:
+                yield np.zeros(0, np.uint64)
 
 
 def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -75,11 +126,35 @@ def least_common(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.n
 
 
 def prefix_size(n: int, percent: int) -> int:
+    """How many of its rarest n-grams a set has to look up."""
     return n - -(-percent * n // 100) + 1
 
 
-def count_vector(g: np.ndarray) -> np.ndarray:
-    return np.bincount((g >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS).astype("<u2" if len(g) < 65536 else "<u4")
+def index_size(n: int, percent: int) -> int:
+    """How many of them the smaller of two linked sets has to be found by."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
+def groups_of(n: int) -> int:
+    """The number of groups for sets of size n."""
+    return max(LEAST_GROUPS, min(MOST_GROUPS, 1 << int(n // PER_GROUP).bit_length()))
+
+
+def count_vector(g: np.ndarray) -> bytes:
+    """A set's counts by group, low bytes first, then high bytes."""
+    groups = groups_of(len(g))
+    counts = np.bincount((g >> U64(20)).astype(np.int64) & (groups - 1), minlength=groups).astype("<u4")
+    return np.ascontiguousarray(counts.view(np.uint8).reshape(groups, 4).T).tobytes()
+
+
+def unpacked(vector: bytes) -> np.ndarray:
+    planes = np.frombuffer(vector, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts in fewer groups; the last axis is that of the groups."""
+    return counts.reshape(*counts.shape[:-1], -1, groups).sum(-2)
 
 
 class RTree:
@@ -93,6 +168,10 @@ class RTree:
         self.least = np.minimum.reduceat(self.sizes, starts)
         self.most = np.maximum.reduceat(self.sizes, starts)
 
+    def bounds(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The most n-grams that a set with counts q may share with each of these points."""
+        return np.minimum(self.points[at], q).sum(1)
+
     def search(self, q: np.ndarray, size: int, percent: int, behind: int = -1) -> np.ndarray:
         """Points behind the given place whose bound admits a link with q."""
         fits = (self.ends > behind + 1) & (self.least * percent <= size * 100) & (size * percent <= self.most * 100)
@@ -103,7 +182,7 @@ class RTree:
         if not len(leaves):
             return leaves
         at = np.concatenate([np.arange(max(self.starts[i], behind + 1), self.ends[i]) for i in leaves])
-        bound = np.minimum(self.points[at], q).sum(1)
+        bound = self.bounds(q, at)
         return at[(bound >= least_common(size, self.sizes[at], percent)) & (self.sizes[at] * percent <= size * 100) & (size * percent <= self.sizes[at] * 100)]
 
 
@@ -112,209 +191,372 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _nodes(docs: DataFrame, n: int) -> DataFrame:
-    """(id, size, node) of each row; node is null for an empty set."""
+    """(id, size, node, vector) of each row; node and vector are null for an empty set."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, vectors = [], [], []
             for g in gram_sets(*utf8(batch.column(1)), n):
                 sizes.append(len(g))
                 nodes.append(node_of(g) if len(g) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=["id", "size", "node"])
+                vectors.append(count_vector(g) if len(g) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(vectors, pa.binary())], names=["id", "size", "node", "vector"])
 
     plain = docs.select("id")
-    return docs.select("id", "text").mapInArrow(scan, plus(plain.schema, size="bigint", node="bigint"))
+    return docs.select("id", "text").mapInArrow(scan, plus(plain.schema, size="bigint", node="bigint", vector="binary"))
 
 
-def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent n-grams, sorted, and the rank of each (higher: more frequent)."""
+def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, ...]:
+    """(frequent n-grams, log2 of their shares, frequent words, log2 of their shares), the names sorted.
+
+    Each task counts with a Misra-Gries summary; at most FREQUENT n-grams and words of all are kept.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held = {False: (np.zeros(0, np.uint64), np.zeros(0, np.int64)), True: (np.zeros(0, np.uint64), np.zeros(0, np.int64))}
+        total = 0
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            for lo, hi in slices(offsets, 1 << 23):
-                part = list(gram_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], n))
-                new, c = np.unique(np.concatenate([keys, *part]), return_counts=True)
-                c[np.searchsorted(new, keys)] += counts - 1
-                if len(new) > COUNTERS:  # Misra-Gries: all counters go down together until enough are free
-                    c -= np.partition(c, len(c) - COUNTERS // 2)[len(c) - COUNTERS // 2]
-                    new, c = new[c > 0], c[c > 0]
-                keys, counts = new, c
-        top = np.flatnonzero(counts >= 4)
-        top = top[np.argsort(-counts[top], kind="stable")[:FREQUENT]]
-        yield pa.RecordBatch.from_arrays([_signed(keys[top]), pa.array(counts[top])], names=["g", "c"])
-
-    found = docs.select("text").mapInArrow(scan, "g bigint, c bigint").groupBy("g").agg(F.sum("c").alias("c"))
-    rows = found.where(F.col("c") >= 16).orderBy(F.desc("c"), "g").limit(FREQUENT).toArrow()
-    g, c = rows["g"].to_numpy().view(np.uint64), rows["c"].to_numpy()
-    order = np.argsort(g)
-    return g[order], c[order]
-
-
-def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(sig, size, node): the rarest n-grams of each set that a linked set has to share."""
-    shipped = docs.sparkSession.sparkContext.broadcast(_frequent(docs, n))
+            for lo, hi in slices(offsets, 1 << 22):
+                words, runs = [], []
+                for a, b in slices(offsets[lo : hi + 1]):
+                    w = Words(data[offsets[lo + a] : offsets[lo + b]], offsets[lo + a : lo + b + 1] - offsets[lo + a], SPACED)
+                    words.append(w.hash)
+                    runs.append(grams(w.hash, n))
+                    total += len(w)
+                for kind, parts in ((True, words), (False, runs)):
+                    keys, counts = held[kind]
+                    new, c = np.unique(np.concatenate([keys, *parts]), return_counts=True)
+                    c[np.searchsorted(new, keys)] += counts - 1
+                    if len(new) > COUNTERS:  # Misra-Gries: all counters go down together until enough are free
+                        c -= np.partition(c, len(c) - COUNTERS // 2)[len(c) - COUNTERS // 2]
+                        new, c = new[c > 0], c[c > 0]
+                    held[kind] = new, c
+        for kind, (keys, counts) in held.items():
+            top = np.flatnonzero(counts >= 2)
+            top = top[np.argsort(-counts[top], kind="stable")[:FREQUENT]]
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(top), pa.bool_()), _signed(keys[top]), pa.array(counts[top])], names=["word", "g", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.bool_()), pa.array([0], pa.int64()), pa.array([total], pa.int64())], names=["word", "g", "c"])
+
+    found = materialise(docs.select("text").mapInArrow(scan, "word boolean, g bigint, c bigint").groupBy("word", "g").agg(F.sum("c").alias("c")), "frequent")
+    total = max(1, found.where(F.col("word").isNull()).agg(F.sum("c")).first()[0] or 1)
+    out: list[np.ndarray] = []
+    for kind in (False, True):
+        rows = found.where((F.col("word") == kind) & (F.col("c") >= 4)).orderBy(F.desc("c"), "g").limit(FREQUENT).toArrow()
+        g, c = rows["g"].to_numpy().view(np.uint64), rows["c"].to_numpy()
+        order = np.argsort(g)
+        out += [g[order], np.log2(c[order] / total).astype(np.float32)]
+    return tuple(out)
+
+
+def _pivots(sig: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Places of the pivots of sets in order of n-gram and size: the smallest of each class of sizes that all may link."""
+    if not len(sig):
+        return np.zeros(0, np.int64)
+    level = np.floor(np.log(sizes) / np.log(100 / percent) + 1e-9).astype(np.int64)
+    begin = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (level[1:] != level[:-1])])
+    return np.repeat(begin, np.diff(np.r_[begin, len(sig)]))
+
+
+def _blocks(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(sig, size, found, node, pivot, other): the rarest n-grams of each set that a linked set has to share, where two sets do.
+
+    Tasks send sorted, packed prefixes to shards by ranges of the n-gram's hash; a shard keeps
+    those of at least two sets. What a task itself sees in ``OFTEN`` sets is known to be
+    shared: it goes to any shard with the task's own pivots, and only those go to the proper
+    one, so a frequent n-gram doesn't gather in one task. pivot and other: the smallest sets
+    there that may link by size.
+    """
+    spark = docs.sparkSession
+    shipped = spark.sparkContext.broadcast(_frequent(docs, n))
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(0, int(total // BYTES_A_SHARD).bit_length())
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        seen: set[int] = set()
+        size, rng = 0, np.random.default_rng(1)
+
+        def flush() -> pa.RecordBatch:
+            sig, sizes, nodes = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((nodes, sizes >> 1, sig))
+            sig, sizes, nodes = sig[order], sizes[order], nodes[order]
+            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+            many = np.diff(np.r_[first, len(sig)])
+            often = np.repeat(many >= OFTEN, many)
+            pivots = nodes[_pivots(sig, sizes.astype(np.int64) >> 1, percent)]
+            # of what is known to be shared, its pivots, the first that can be found and one set more meet those of other tasks
+            place = np.arange(len(sig))
+            found = np.repeat(np.minimum.reduceat(np.where(sizes & 1, place, len(sig)), first), many)
+            stay = ~often | (pivots == nodes) | (place == found) | (place == np.repeat(first + many - 1, many))
+            shard = (sig >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sig), np.int64)
+            out = []
+            for sure, at in ((False, np.flatnonzero(stay)), (True, np.flatnonzero(often))):
+                to = shard[at] if not sure else rng.integers(0, 1 << bits, len(at))
+                at = at[np.argsort(to, kind="stable")]
+                to = np.sort(to)
+                names, a = np.unique(to, return_index=True)
+                for name, i, j in zip(names.tolist(), a.tolist(), [*a[1:].tolist(), len(to)][: len(a)], strict=True):
+                    out.append((name, sure, sig[at[i:j]].view(np.uint8), sizes[at[i:j]].view(np.uint8), nodes[at[i:j]].tobytes(), pivots[at[i:j]].tobytes() if sure else b""))
+            planes = lambda x, w: np.ascontiguousarray(x.reshape(-1, w).T).tobytes()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out]), pa.array([planes(x[2], 8) for x in out], pa.binary()), pa.array([planes(x[3], 4) for x in out], pa.binary()), pa.array([x[4] for x in out], pa.binary()), pa.array([x[5] for x in out], pa.binary())],
+                names=["shard", "sure", "sig", "size", "node", "pivot"],
+            )
+
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            for g in ranked_sets(data, offsets, n, known):
+                if not len(g):
+                    continue
+                node = node_of(np.sort(g))
+                if node in seen:
+                    continue
+                if len(seen) < 100_000:
+                    seen.add(node)
+                p, size_of = prefix_size(len(g), percent), len(g)
+                held.append((g[:p], (2 * size_of + (np.arange(p) < index_size(size_of, percent))).astype("<u4"), np.full(p, node, np.int64)))
+                size += p
+                if size >= 1 << 19:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    def answer(group: pa.Table) -> pa.Table:
+        back = lambda raw, w, kind: np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(w, -1).T).view(kind).ravel()
+        sig = np.concatenate([back(x.as_buffer(), 8, "<u8") for x in group["sig"]])
+        sizes = np.concatenate([back(x.as_buffer(), 4, "<u4") for x in group["size"]])
+        nodes = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in group["node"]])
+        sure = np.array(group["sure"].to_pylist(), bool)
+        held = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in group["pivot"]])
+        sure = np.repeat(sure, [len(x.as_buffer()) // 8 for x in group["node"]])
+        parts = [(sig[sure], sizes[sure].astype(np.int64), nodes[sure], held, held)]
+        sig, sizes, nodes = sig[~sure], sizes[~sure].astype(np.int64), nodes[~sure]
+        order = np.lexsort((nodes, sizes >> 1, sig))
+        sig, sizes, nodes = sig[order], sizes[order], nodes[order]
+        if len(sig):
+            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+            many = np.diff(np.r_[first, len(sig)])
+            place = np.arange(len(sig))
+            keep = place >= np.repeat(np.minimum.reduceat(np.where(sizes & 1, place, len(sig)), first), many)
+            keep &= np.r_[True, (sig[1:] != sig[:-1]) | (nodes[1:] != nodes[:-1])]
+            sig, sizes, nodes = sig[keep], sizes[keep], nodes[keep]
+        if len(sig):
+            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+            many = np.diff(np.r_[first, len(sig)])
+            keep = np.repeat(many > 1, many)
+            sig, sizes, nodes = sig[keep], sizes[keep], nodes[keep]
+            own = _pivots(sig, sizes >> 1, percent)
+            # a pivot also pairs with the pivot of the class below, so that a size limit doesn't cut a star
+            lower = own[np.maximum(own - 1, 0)]
+            near = (own == np.arange(len(sig))) & (own > 0) & (sig[lower] == sig) & ((sizes[lower] >> 1) * 100 >= (sizes >> 1) * percent)
+            parts.append((sig, sizes, nodes, nodes[own], np.where(near, nodes[lower], nodes[own])))
+        sig, sizes, nodes, pivot, other = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.table({"sig": _signed(sig), "size": pa.array((sizes >> 1).astype(np.int32)), "found": pa.array((sizes & 1).astype(bool)), "node": pa.array(nodes), "pivot": pa.array(pivot), "other": pa.array(other)})
+
+    asked = docs.select("text").mapInArrow(ask, "shard int, sure boolean, sig binary, size binary, node binary, pivot binary")
+    return asked.groupBy("shard").applyInArrow(answer, "sig bigint, size int, found boolean, node bigint, pivot bigint, other bigint")
+
+
+def _stars(blocks: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each node with its blocks' pivots."""
+    pairs = blocks.select("node", F.explode(F.array("pivot", "other")).alias("p")).where(F.col("p") != F.col("node"))
+    return pairs.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
+
+
+def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the count vectors can't rule out."""
+    one = vectors.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("vector").alias("va"))
+    two = vectors.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("vector").alias("vb"))
+    joined = pairs.join(two, "b").join(one, "a")
+    joined = joined.where((F.col("na") * percent <= F.col("nb") * 100) & (F.col("nb") * percent <= F.col("na") * 100)).select("a", "b", "na", "nb", "va", "vb")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = shipped.value
-        seen: set[int] = set()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                sigs, sizes, nodes = [np.zeros(0, np.uint64)], [], []
-                for g in gram_sets(*utf8(batch.column(0).slice(lo, 512)), n):
-                    if not len(g):
-                        continue
-                    node = node_of(g)
-                    if node in seen:
-                        continue
-                    if len(seen) < 100_000:
-                        seen.add(node)
-                    p = prefix_size(len(g), percent)
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, g), len(known) - 1)
-                        c = np.where(known[at] == g, counts[at], 0)
-                        if c.any():
-                            g = g[np.argsort(c, kind="stable")]
-                    sigs.append(g[:p])
-                    sizes += [len(g)] * p
-                    nodes += [node] * p
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(sigs)), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64())], names=["sig", "size", "node"])
-
-    return docs.select("text").mapInArrow(scan, "sig bigint, size int, node bigint")
-
-
-def _blocks(signatures: DataFrame) -> DataFrame:
-    """The rows of blocks with two nodes at least, each once."""
-    once = signatures.distinct()
-    sizes = once.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where(F.col("lo") != F.col("hi")).select("sig")
-    return once.join(sizes, "sig", "left_semi")
-
-
-def _stars(blocks: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each node with its block's pivot: the smallest set that fits by size."""
-    step = np.log(100 / percent)
-    # blocks fall into size classes; each set also looks at the pivot of the class below, so that no size limit cuts a star
-    classed = blocks.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / step))
-    pivots = classed.groupBy("sig", "class").agg(F.min(F.struct("size", "node")).alias("p"))
-    own = classed.join(pivots, ["sig", "class"])
-    below = classed.join(pivots.withColumn("class", F.col("class") + 1), ["sig", "class"])
-    both = own.unionByName(below)
-    fits = F.col("p.size") * 100 >= F.col("size") * percent
-    pairs = both.where(fits & (F.col("p.node") != F.col("node")))
-    return pairs.select(F.greatest("node", "p.node").alias("a"), F.least("node", "p.node").alias("b")).distinct()
+            keep = np.zeros(batch.num_rows, bool)
+            least = least_common(batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
+            for i in range(batch.num_rows):
+                va, vb = unpacked(batch.column(4)[i].as_buffer()), unpacked(batch.column(5)[i].as_buffer())
+                if len(va) != len(vb):
+                    groups = min(len(va), len(vb))
+                    va, vb = folded(va, groups), folded(vb, groups)
+                keep[i] = np.minimum(va, vb).sum() >= least[i]
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+
+    return joined.mapInArrow(scan, "a bigint, b bigint")
 
 
 def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, size, vector, grams) of the wanted nodes, each from one of its rows."""
+    """(node, size, grams) of the wanted nodes, each from one of its rows."""
     wanted = materialise(wanted, "wanted")
-    holders = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).where(F.col("id").isNotNull()).select("id").distinct()
+    holders = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
     holders = materialise(holders, "holders")
     small = holders.count() <= FILTER_IDS
-    texts = docs.select("id", "text").join(F.broadcast(holders) if small else holders, "id", "left_semi")
+    on = docs["id"].eqNullSafe(F.col("holder"))
+    ids = holders.select(F.col("id").alias("holder"))
+    texts = docs.select("id", "text").join(F.broadcast(ids) if small else ids, on, "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
-                out = [(node_of(g), len(g), count_vector(g).astype("<u4").tobytes(), g.tobytes()) for g in gram_sets(*utf8(batch.column(0).slice(lo, 512)), n) if len(g)]
-                columns = list(zip(*out, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["node", "size", "vector", "grams"])
+                out = [(node_of(g), len(g), g.tobytes()) for g in gram_sets(*utf8(batch.column(0).slice(lo, 512)), n) if len(g)]
+                columns = list(zip(*out, strict=True)) or [[], [], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["node", "size", "grams"])
 
-    found = texts.select("text").mapInArrow(scan, "node bigint, size bigint, vector binary, grams binary")
+    found = texts.select("text").mapInArrow(scan, "node bigint, size bigint, grams binary")
     return materialise(found.join(F.broadcast(wanted) if small else wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose sets really link."""
-    one = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("vector").alias("va"), F.col("grams").alias("ga"))
-    two = sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("vector").alias("vb"), F.col("grams").alias("gb"))
-    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "na", "nb", "va", "vb", "ga", "gb")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(docs, rows, nodes, n)
+    one = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("grams").alias("ga"))
+    two = sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("grams").alias("gb"))
+    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "na", "nb", "ga", "gb")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            least = least_common(na, nb, percent)
+            least = least_common(batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
             for i in range(batch.num_rows):
-                va, vb = (np.frombuffer(batch.column(k)[i].as_buffer(), "<u4") for k in (4, 5))
-                if np.minimum(va, vb).sum() < least[i]:
-                    continue
-                ga, gb = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (6, 7))
-                both = np.concatenate([ga, gb])
+                both = np.concatenate([np.frombuffer(batch.column(k)[i].as_buffer(), "<u8") for k in (4, 5)])
                 both.sort()
                 keep[i] = np.count_nonzero(both[1:] == both[:-1]) >= least[i]
-            at = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], names=["a", "b"])
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
     return joined.mapInArrow(scan, "a bigint, b bigint")
 
 
-def _searched(blocks: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that the count vectors of unfinished blocks can't rule out."""
-    rooted = blocks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_sigs = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi")).select("sig")
-    rest = rooted.join(open_sigs, "sig", "left_semi").join(sets.select("node", "vector"), "node")
-    rest = materialise(rest.select("sig", "size", "node", "root", "vector"), "open-blocks")
+def _pairs_in_tile(sizes: np.ndarray, vectors: list[np.ndarray], root: np.ndarray, tile: np.ndarray, found_by: np.ndarray, percent: int, most: int) -> tuple[list[tuple[int, int]], bool]:
+    """(pairs of places in order of size, whether there are more): the first can be found here; of different roots, and of different tiles if there are two, that the bound admits.
+
+    For each place the ``most`` with the largest bounds, relative to what a link needs.
+    """
+    out, more = [], False
+    groups = np.array([len(v) for v in vectors])
+    across = tile[0] != tile[-1] if len(tile) else False
+    if len(sizes) <= SMALL:  # one or two leaves: all at once
+        g = int(groups.min())
+        points = np.stack([folded(v, g) if len(v) > g else v for v in vectors])
+        i, j = np.triu_indices(len(sizes), 1)
+        ok = found_by[i] & (root[i] != root[j]) & (sizes[i] * 100 >= sizes[j] * percent) & (sizes[j] * 100 >= sizes[i] * percent)
+        if across:
+            ok &= tile[i] != tile[j]
+        i, j = i[ok], j[ok]
+        need = least_common(sizes[i], sizes[j], percent)
+        spare = np.minimum(points[i], points[j]).sum(1) / need
+        for x in np.unique(i[spare >= 1]):
+            at = np.flatnonzero((i == x) & (spare >= 1))
+            if len(at) > most:
+                more = True
+                at = at[np.argsort(-spare[at], kind="stable")[:most]]
+            out += [(int(x), int(y)) for y in j[at]]
+        return out, more
+    for g in np.unique(groups):
+        own = np.flatnonzero(groups == g)
+        trees = [(own, RTree(np.stack([vectors[i] for i in own]), sizes[own]))]
+        larger = np.flatnonzero(groups == 2 * g)  # linked sizes differ by less than a factor of two
+        if len(larger):
+            trees.append((larger, RTree(folded(np.stack([vectors[i] for i in larger]), g), sizes[larger])))
+        for k, i in enumerate(own):
+            if not found_by[i]:
+                continue
+            found, spare = [], []
+            for t, (members, tree) in enumerate(trees):
+                at = tree.search(trees[0][1].points[k], int(sizes[i]), percent, k if not t else -1)
+                j = members[at]
+                ok = root[j] != root[i]
+                if across:
+                    ok &= tile[j] != tile[i]
+                found.append(j[ok])
+                spare.append(tree.bounds(trees[0][1].points[k], at[ok]) / least_common(int(sizes[i]), sizes[j[ok]], percent))
+            j, spare = np.concatenate(found), np.concatenate(spare)
+            if len(j) > most:
+                more = True
+                j = j[np.argsort(-spare, kind="stable")[:most]]
+            out += [(int(i), int(x)) for x in j]
+    return out, more
+
+
+def _searched(blocks: DataFrame, roots: DataFrame, vectors: DataFrame, percent: int, most: int, start: bool) -> DataFrame:
+    """(a, b): pairs of different components that the count vectors of unfinished blocks can't rule out.
+
+    Up to ``most`` for each set and tile; a row of nulls says that there are more. ``start``:
+    only each set's two largest blocks, and within tiles; what is left out is searched later.
+    """
+    rooted = blocks.select("sig", "size", "found", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # the star has seen the only pair of a block of two
+    open_sigs = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where((F.col("lo") != F.col("hi")) & (F.col("c") > 2)).select("sig", "c")
+    rest = rooted.join(open_sigs, "sig").groupBy("sig", "size", "node", "root").agg(F.max("found").alias("found"), F.first("c").alias("c"))
+    if start:
+        top = Window.partitionBy("node").orderBy(F.desc("c"), "sig")
+        rest = rest.withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= 2).drop("_r")
+    rest = materialise(rest.drop("c"), "open-blocks")
     order = Window.partitionBy("sig").orderBy("size", "node")
     tiled = rest.withColumn("tile", F.floor((F.row_number().over(order) - 1) / TILE).cast("int"))
-    tiles = tiled.groupBy("sig").agg(F.max("tile").alias("last"))
+    tiles = rest.groupBy("sig").agg(F.floor((F.count("*") - 1) / TILE).cast("int").alias("last"))
     # tile t meets every tile u: it is the left side of (t, u) for u >= t and the right side of (u, t) for u < t
-    met = tiled.join(tiles, "sig").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    met = tiled.join(tiles, "sig").withColumn("other", F.col("tile") if start else F.explode(F.sequence(F.lit(0), "last")))
     met = met.withColumns({"left": F.least("tile", "other"), "right": F.greatest("tile", "other")})
-    dealt = met.select("sig", "left", "right", "tile", "size", "node", "root", "vector").repartition("sig", "left", "right").sortWithinPartitions("sig", "left", "right", "size", "node")
-
-    def pairs_of(block: dict[str, list]) -> list[tuple[int, int]]:
-        root, node, tile = np.array(block["root"]), np.array(block["node"]), np.array(block["tile"])
-        if (root == root[0]).all():
-            return []
-        sizes = np.array(block["size"], np.int64)
-        points = np.stack([np.frombuffer(v, "<u4") for v in block["vector"]]).astype(np.int32)
-        tree, out = RTree(points, sizes), []
-        across = tile.min() != tile.max()
-        for i in range(len(node)):
-            at = tree.search(points[i], int(sizes[i]), percent, i)
-            at = at[root[at] != root[i]]
-            if across:
-                at = at[tile[at] != tile[i]]
-            out += [(max(node[i], j), min(node[i], j)) for j in node[at]]
-        return out
+    dealt = met.join(vectors.select("node", "vector"), "node").select("sig", "left", "right", "tile", "size", "node", "root", "vector", "found").repartition("sig", "left", "right").sortWithinPartitions("sig", "left", "right", "size", "node")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["sig", "left", "right", "tile", "size", "node", "root", "vector"]
-        held: dict[str, list] = {c: [] for c in names}
+        held: list[tuple] = []
         last, found = None, set()
+
+        def search() -> None:
+            if held and any(x[6] != held[0][6] for x in held):
+                node = [x[5] for x in held]
+                places, more = _pairs_in_tile(np.array([x[4] for x in held], np.int64), [unpacked(x[7]) for x in held], np.array([x[6] for x in held]), np.array([x[3] for x in held]), np.array([x[8] for x in held], bool), percent, most)
+                found.update((max(node[i], node[j]), min(node[i], node[j])) for i, j in places)
+                if more:
+                    found.add((None, None))
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) or [[], []]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b"])
+
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(len(names))]
-            for row in zip(*columns, strict=True):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(9)], strict=True):
                 if row[:3] != last:
-                    if held["sig"]:
-                        found.update(pairs_of(held))
-                    held, last = {c: [] for c in names}, row[:3]
-                for c, v in zip(names, row, strict=True):
-                    held[c].append(v)
+                    search()
+                    held, last = [], row[:3]
+                held.append(row)
             if len(found) > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
-                found = set()
-        if held["sig"]:
-            found.update(pairs_of(held))
-        columns = list(zip(*found, strict=True)) or [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array([int(v) for v in x], pa.int64()) for x in columns], names=["a", "b"])
+                yield out()
+                found.clear()
+        search()
+        yield out()
 
     return dealt.mapInArrow(scan, "a bigint, b bigint").distinct()
 
 
 def _linked(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, root) of all nodes that link with another."""
-    blocks = materialise(_blocks(_signatures(docs, n, percent)), "blocks")
-    stars = materialise(_stars(blocks, percent), "stars")
-    sets = _sets(docs, rows, blocks.select("node").distinct(), n)
-    first = materialise(_verified(stars, sets, percent), "first-links")
-    roots = materialise(components(first), "first-roots")
-    more = materialise(_searched(blocks, roots, sets, percent), "survivors")
-    second = materialise(_verified(more, sets, percent), "second-links")
-    if second.isEmpty():
-        return roots
-    return materialise(components(first.unionByName(second)), "roots")
+    blocks = materialise(_blocks(docs, n, percent), "blocks")
+    nodes = blocks.select("node").distinct()
+    vectors = materialise(rows.select("node", "size", "vector").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "vectors")
+    stars = materialise(_bounded(_stars(blocks), vectors, percent), "stars")
+    links = materialise(_verified(stars, docs, rows, n, percent), "star-links")
+    roots = materialise(components(links), "star-roots")
+    tested, most, start = stars, FIRST, True
+    while True:
+        found = materialise(_searched(blocks, roots, vectors, percent, most, start), "survivors")
+        new = materialise(found.where(F.col("a").isNotNull()).join(tested, ["a", "b"], "left_anti"), "untested")
+        if not new.isEmpty():
+            more = materialise(_verified(new, docs, rows, n, percent), "more-links")
+            tested = tested.unionByName(new)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                roots = materialise(components(links), "more-roots")
+        if not start and found.where(F.col("a").isNull()).isEmpty():
+            return roots
+        most, start = most * 16, False
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,8 +581,9 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     node = fresh(docs, "node")
     classes = materialise(jaccard_components(docs, n, percent, id_col, text_col).select(F.col(id_col).alias("id"), "node", F.col("component_id").alias("c")), "near-classes")
     words = classes.where(F.col("node").isNotNull())
-    stays = words.where(F.col("id").eqNullSafe(F.col("c"))).groupBy("c").agg(F.min("node").alias("keep"))
-    lost = words.join(stays, words["c"].eqNullSafe(stays["c"]), "left").where(~(F.col("id").eqNullSafe(words["c"]) & (F.col("node") == F.col("keep"))))
+    holds = F.col("id").eqNullSafe(F.col("c"))
+    stays = words.where(holds).groupBy("c").agg(F.min("node").alias("keep")).select(F.col("c").alias("class"), "keep")
+    lost = words.join(stays, F.col("c").eqNullSafe(F.col("class")), "left").where(~(holds & (F.col("node") == F.col("keep"))))
     lost = materialise(lost.select(F.col("id").alias("lost_id"), F.col("node").alias("lost_node")).distinct(), "near-lost")
     repeated = materialise(words.groupBy("id", "node").count().where(F.col("count") > 1).select(F.col("id").alias("lost_id"), F.col("node").alias("lost_node")), "near-repeated")
     at = docs.columns.index(text_col)
