@@ -306,7 +306,8 @@ _ALL = (*_CHAIN, TIERS, _WITHIN, _SIL, _CLUS, _AUC, _PAC, _SUMMARY)
 
 
 def _summary(spark, d):
-    return C.k_summary(_consensus(spark, d), X.tier_partition(spark, d))
+    pairs = _consensus(spark, d).persist()  # five diagnostics read them
+    return C.k_summary(pairs, X.tier_partition(spark, d))
 
 
 @query("k_summary", with_(*_ALL) + "select k, round(pac, 6) as pac, round(auc, 6) as auc, round(delta, 6) as delta, round(silhouette, 6) as silhouette, min_cluster_size, round(mean_cluster_consensus, 6) as mean_cluster_consensus from summ")
