@@ -36,6 +36,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def whole(name: str, of: str, cut: str, instead: str = "") -> Callable[[Query], Query]:
+    """A query that covers what ``of`` cuts off; its SQL is that of ``of`` without the cut."""
+    if cut not in SQL[of]:
+        raise ValueError(f"the SQL of {of} has no {cut!r}")
+    return query(name, SQL[of].replace(cut, instead))
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """df with its fractions rounded, as engines differ in the last bits."""
     return df.select(*[F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
@@ -422,7 +429,15 @@ def simulated_cohort(spark, d):
 # Statistics -----------------------------------------------------------------------------
 @query("bh_fdr", with_("p as (select o_orderkey as id, o_orderstatus as fam, case when o_orderkey % 7 <> 0 then (" + HASH.format("o_orderkey::varchar") + " % 100000) / 100000.0 end as p from orders where o_orderkey % 5 = 0)", "r as (select *, p * count(*) over (partition by fam) / row_number() over (partition by fam order by p) as raw from p where p is not null)") + "select p.id, case when p.p is not null then round(least(1, min(raw) over (partition by p.fam, p.p is null order by p.p desc range unbounded preceding)), 6) end as q from p left join r using (id)")
 def bh_fdr(spark, d):
-    o = X.table(spark, d, "orders").where("o_orderkey % 5 = 0")
+    return _order_fdr(X.table(spark, d, "orders").where("o_orderkey % 5 = 0"))
+
+
+@whole("bh_fdr_all", "bh_fdr", " where o_orderkey % 5 = 0")
+def bh_fdr_all(spark, d):
+    return _order_fdr(X.table(spark, d, "orders"))
+
+
+def _order_fdr(o):
     p = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("fam"), F.when(F.col("o_orderkey") % 7 != 0, expr.hashed(F.col("o_orderkey").cast("string")) % 100000 / 100000).alias("p"))
     return rounded(expr.benjamini_hochberg(p, "p", ["fam"]).select("id", "q"))
 
