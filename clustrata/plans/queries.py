@@ -61,6 +61,8 @@ META = f"""meta as (select s_suppkey as sample, case when {HASH.format("s_suppke
 SETS = f"""sets as (select 'set' || s as signature, gene from (select distinct p_brand as gene from part), range(6) t(s) where {HASH.format("gene || '|' || s::varchar")} % 3 = 0)"""
 POINTS = """points as (select vec_id as sample, 'IC' || lpad((i + 1)::varchar, 2, '0') as component, embedding[i + 1]::double as value from embeddings, range(8) t(i))"""
 LABELS = "part_ as (select vec_id as sample, label as cluster from embeddings)"
+FIRST = 8  # the coordinates in POINTS
+ALL = ("range(8)", "range((select max(len(embedding)) from embeddings))")
 TIERS = f"""tiers as (select k::int as k, s_suppkey as sample, ({HASH.format("'p|' || s_suppkey::varchar")} % k + 1)::int as cluster from supplier, range(2, 5) t(k))"""
 LOGCPM = "libs as (select sample, sum(value) as lib from counts group by 1), logs as (select c.sample, gene, log2(value / greatest(lib, 1) * 1e6 + 1) as value from counts c join libs using (sample))"
 
@@ -156,9 +158,18 @@ def aligned_metadata(spark, d):
 
 @query("outlier_z", with_(POINTS, "z as (select sample, component, (value - avg(value) over w) / case when stddev_pop(value) over w = 0 then 1 else stddev_pop(value) over w end as z from points window w as (partition by component))") + "select sample, round(max(abs(z)), 6) as max_abs_z, max(abs(z)) > 2.5 as is_outlier from z group by sample")
 def outlier_z(spark, d):
+    return _outlier_z(X.components(spark, d, FIRST))
+
+
+@whole("outlier_z_all", "outlier_z", *ALL)
+def outlier_z_all(spark, d):
+    return _outlier_z(X.components(spark, d))
+
+
+def _outlier_z(points):
     by = Window.partitionBy("component")
     sd = F.stddev_pop("value").over(by)
-    z = X.components(spark, d).withColumn("z", (F.col("value") - F.avg("value").over(by)) / F.when(sd == 0, 1.0).otherwise(sd))
+    z = points.withColumn("z", (F.col("value") - F.avg("value").over(by)) / F.when(sd == 0, 1.0).otherwise(sd))
     return rounded(z.groupBy("sample").agg(F.max(F.abs("z")).alias("max_abs_z"), (F.max(F.abs("z")) > 2.5).alias("is_outlier")))
 
 
@@ -693,12 +704,26 @@ meds as (select cluster, sample as medoid from mt qualify row_number() over (par
 
 @query("medoids", with_(POINTS, LABELS, _MED) + "select cluster, medoid from meds")
 def medoids(spark, d):
+    return K.medoids(X.components(spark, d, FIRST), X.embedding_labels(spark, d))
+
+
+@whole("medoids_all", "medoids", *ALL)
+def medoids_all(spark, d):
     return K.medoids(X.components(spark, d), X.embedding_labels(spark, d))
 
 
 @query("cohen_hedges", with_(POINTS, LABELS, _MED, "st as (select cluster, component, count(*) as n, avg(value) as m, stddev_samp(value) as s from points join part_ using (sample) group by all)", "at_ as (select meds.cluster, component, medoid, value as v from meds join points on points.sample = medoid)", "f as (select * from st join at_ using (cluster, component))", "x as (select a.component, a.cluster as cluster1, b.cluster as cluster2, a.n as n1, b.n as n2, a.m - b.m as difference, a.v - b.v as medoid_difference, sqrt(((a.n - 1) * a.s ** 2 + (b.n - 1) * b.s ** 2) / (a.n + b.n - 2)) as pooled_sd from f a join f b on a.component = b.component and a.cluster < b.cluster)") + "select component, cluster1, cluster2, n1, n2, round(difference, 6) as difference, round(medoid_difference, 6) as medoid_difference, round(pooled_sd, 6) as pooled_sd, round(difference / pooled_sd, 6) as cohen_d, round(difference / pooled_sd * (1 - 3 / (4.0 * (n1 + n2 - 2) - 1)), 6) as hedges_g from x")
 def cohen_hedges(spark, d):
-    out = K.component_contrasts(X.components(spark, d), X.embedding_labels(spark, d))
+    return _contrasts(X.components(spark, d, FIRST), X.embedding_labels(spark, d))
+
+
+@whole("cohen_hedges_all", "cohen_hedges", *ALL)
+def cohen_hedges_all(spark, d):
+    return _contrasts(X.components(spark, d), X.embedding_labels(spark, d))
+
+
+def _contrasts(points, labels):
+    out = K.component_contrasts(points, labels)
     return rounded(out.select("component", "cluster1", "cluster2", "n1", "n2", "difference", "medoid_difference", "pooled_sd", "cohen_d", "hedges_g"))
 
 
@@ -710,11 +735,21 @@ gq as (select *, quadratic / sum(quadratic) over (partition by cluster1, cluster
 
 @query("global_contributions", with_(POINTS, LABELS, _GLOB) + "select cluster1, cluster2, component, round(difference, 6) as difference, round(quadratic, 6) as quadratic, round(relative, 6) as relative, rank::int as rank from gq")
 def global_contributions(spark, d):
+    return rounded(K.global_contributions(X.components(spark, d, FIRST), X.embedding_labels(spark, d)))
+
+
+@whole("global_contributions_all", "global_contributions", *ALL)
+def global_contributions_all(spark, d):
     return rounded(K.global_contributions(X.components(spark, d), X.embedding_labels(spark, d)))
 
 
 @query("global_distance", with_(POINTS, LABELS, _GLOB) + "select cluster1, cluster2, round(sqrt(sum(quadratic)), 6) as distance, count(*) as n_components, string_agg(component, '|' order by rank) filter (rank <= 3) as leading from gq group by cluster1, cluster2")
 def global_distance(spark, d):
+    return rounded(K.global_distances(K.global_contributions(X.components(spark, d, FIRST), X.embedding_labels(spark, d))))
+
+
+@whole("global_distance_all", "global_distance", *ALL)
+def global_distance_all(spark, d):
     return rounded(K.global_distances(K.global_contributions(X.components(spark, d), X.embedding_labels(spark, d))))
 
 
