@@ -584,20 +584,36 @@ _FEATS = "feats as (select sample, 'acctbal' as feature, 'clinic' as family, acc
 _FPAIRS = "fp as (select a.feature as f1, b.feature as f2, a.value as x, b.value as y from feats a join feats b on a.sample = b.sample and a.feature < b.feature where a.value is not null and b.value is not null and (a.family <> b.family or a.family = 'clinic'))"
 
 
-def _features(spark, d):
+THREE = ["Brand#1", "Brand#2", "Brand#3"]  # the genes in _FEATS
+_ONLY_THREE = " where gene in ('Brand#1', 'Brand#2', 'Brand#3')"
+
+
+def _features(spark, d, genes=None):
     meta = X.metadata(spark, d).select("sample", F.lit("acctbal").alias("feature"), F.lit("clinic").alias("family"), F.col("acctbal").alias("value"))
     sig = _scores(spark, d).select("sample", F.col("signature").alias("feature"), F.lit("sig").alias("family"), F.round("score", 9).alias("value"))
-    gene = P.log_cpm(X.counts(spark, d)).where(F.col("gene").isin("Brand#1", "Brand#2", "Brand#3")).select("sample", F.col("gene").alias("feature"), F.lit("gene").alias("family"), F.round("value", 9).alias("value"))
+    logs = P.log_cpm(X.counts(spark, d))
+    used = logs if genes is None else logs.where(F.col("gene").isin(genes))
+    gene = used.select("sample", F.col("gene").alias("feature"), F.lit("gene").alias("family"), F.round("value", 9).alias("value"))
     return meta.unionByName(sig).unionByName(gene)
 
 
 @query("corr_pairwise_pearson", with_(COUNTS, LOGCPM, SETS, META, _Z, _FEATS, _FPAIRS) + "select f1, f2, count(*) as n, round(corr(x, y), 6) as r from fp group by f1, f2 having count(*) >= 8")
 def corr_pairwise_pearson(spark, d):
+    return rounded(A.pairwise_correlations(_features(spark, d, THREE), "pearson").select("f1", "f2", "n", "r"))
+
+
+@whole("corr_pairwise_pearson_all", "corr_pairwise_pearson", _ONLY_THREE)
+def corr_pairwise_pearson_all(spark, d):
     return rounded(A.pairwise_correlations(_features(spark, d), "pearson").select("f1", "f2", "n", "r"))
 
 
 @query("corr_pairwise_spearman", with_(COUNTS, LOGCPM, SETS, META, _Z, _FEATS, _FPAIRS, "fr as (select f1, f2, rank() over (partition by f1, f2 order by x) + (count(*) over (partition by f1, f2, x) - 1) / 2.0 as x, rank() over (partition by f1, f2 order by y) + (count(*) over (partition by f1, f2, y) - 1) / 2.0 as y from fp)") + "select f1, f2, count(*) as n, round(corr(x, y), 6) as r from fr group by f1, f2 having count(*) >= 8")
 def corr_pairwise_spearman(spark, d):
+    return rounded(A.pairwise_correlations(_features(spark, d, THREE), "spearman").select("f1", "f2", "n", "r"))
+
+
+@whole("corr_pairwise_spearman_all", "corr_pairwise_spearman", _ONLY_THREE)
+def corr_pairwise_spearman_all(spark, d):
     return rounded(A.pairwise_correlations(_features(spark, d), "spearman").select("f1", "f2", "n", "r"))
 
 
@@ -756,13 +772,18 @@ def global_distance_all(spark, d):
 _DIMS = "summ as (select p_size as dim, round(avg(p_retailprice) / 1000, 9) as mean from part where p_size <= 12 group by 1)"
 
 
-def _dims(spark, d):
-    return X.table(spark, d, "part").where("p_size <= 12").groupBy(F.col("p_size").alias("dim")).agg(F.round(F.avg("p_retailprice") / 1000, 9).alias("mean"))
+def _dims(parts):
+    return parts.groupBy(F.col("p_size").alias("dim")).agg(F.round(F.avg("p_retailprice") / 1000, 9).alias("mean"))
 
 
 @query("elbow_segmented", with_(_DIMS, "s as (select a.dim, regr_syy(b.mean, b.dim) filter (b.dim <= a.dim) - coalesce(regr_sxy(b.mean, b.dim) filter (b.dim <= a.dim) ** 2 / nullif(regr_sxx(b.mean, b.dim) filter (b.dim <= a.dim), 0), 0) as l, regr_syy(b.mean, b.dim) filter (b.dim > a.dim) - coalesce(regr_sxy(b.mean, b.dim) filter (b.dim > a.dim) ** 2 / nullif(regr_sxx(b.mean, b.dim) filter (b.dim > a.dim), 0), 0) as r, count(*) filter (b.dim <= a.dim) as nl, count(*) filter (b.dim > a.dim) as nr from summ a, summ b group by a.dim)") + "select dim, round(l + r, 6) as sse from s where nl >= 2 and nr >= 2 order by round(l + r, 12), dim limit 1")
 def elbow_segmented(spark, d):
-    return rounded(ica.segmented_elbow(_dims(spark, d)))
+    return rounded(ica.segmented_elbow(_dims(X.table(spark, d, "part").where("p_size <= 12"))))
+
+
+@whole("elbow_segmented_all", "elbow_segmented", " where p_size <= 12")
+def elbow_segmented_all(spark, d):
+    return rounded(ica.segmented_elbow(_dims(X.table(spark, d, "part"))))
 
 
 @query("stability_profile", "select p_size as dim, round(avg(s), 6) as mean, round(median(s), 6) as median, round(min(s), 6) as min, round(max(s), 6) as max, count(*) filter (s >= 0.6) as n_stable from (select p_size, round((p_retailprice - 900) / 1300, 9) as s from part) group by 1")
