@@ -54,6 +54,15 @@ def incomplete_beta(x: float, a: float, b: float) -> float:
     return front * out
 
 
+def f_quantile(share: float, a: int, b: int) -> float:
+    """The value below which an F variable of a and b degrees lies with that probability."""
+    low, high = 0.0, 1.0
+    for _ in range(200):
+        z = (low + high) / 2
+        low, high = (z, high) if incomplete_beta(z, a / 2, b / 2) < share else (low, z)
+    return b * z / (a * (1 - z))
+
+
 def student_two_sided(t: float, dof: float) -> float:
     return incomplete_beta(dof / (dof + t * t), dof / 2, 0.5)
 

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import benjamini_hochberg
-from ..functions.tails import normal_p
+from ..functions.tails import f_quantile, normal_p
+
+# The quantile of Cook's cutoff, replicates that bear a test for outliers and a replacement, steps of the filter's grid.
+COOKS, TESTED, REPLACED, STEPS = 0.99, 3, 7, 50
 
 
 def design_variables(design: str, columns: Sequence[str]) -> list[str]:
@@ -111,12 +114,86 @@ def _best_dispersion(k: np.ndarray, mu: np.ndarray, x: np.ndarray, prior: tuple[
     return math.exp((lo + hi) / 2)
 
 
+def _trimmed(x: np.ndarray, share: float) -> float:
+    """The mean without a share of the values at either end."""
+    cut = int(share * len(x))
+    return float(np.sort(x)[cut : len(x) - cut].mean())
+
+
+def _robust_dispersion(q: np.ndarray, cells: np.ndarray, sizes: np.ndarray) -> float:
+    """A dispersion by moments from trimmed variances: the largest of cells with replicates, or of all samples without any."""
+
+    def variance(x: np.ndarray, share: float, scale: float) -> float:
+        return scale * _trimmed((x - _trimmed(x, share)) ** 2, share)
+
+    large = np.flatnonzero(sizes >= TESTED)
+    kind = lambda n: (1 / 3, 2.04) if n <= 3 else (1 / 4, 1.86) if n <= 23 else (1 / 8, 1.51)
+    v = max(variance(q[cells == c], *kind(sizes[c])) for c in large) if len(large) else variance(q, 1 / 8, 1.51)
+    return max((v - q.mean()) / max(q.mean(), 1e-8) ** 2, 0.04)
+
+
+def _cooks(k: np.ndarray, x: np.ndarray, offset: np.ndarray, mu: np.ndarray, cov: np.ndarray, alpha: float, robust: float) -> np.ndarray:
+    """Cook's distance of each sample."""
+    w = mu / (1 + alpha * mu)
+    hat = np.minimum(w * np.einsum("ij,jk,ik->i", x, cov, x), 1 - 1e-12)
+    return (k - mu) ** 2 / (mu + robust * mu**2) / x.shape[1] * hat / (1 - hat) ** 2
+
+
+def lowess(x: np.ndarray, y: np.ndarray, share: float = 0.2, rounds: int = 5) -> np.ndarray:
+    """Local straight lines with tricube weights, made robust by bisquare weights of the residuals."""
+    r = math.ceil(share * len(x))
+    near = np.abs(x[:, None] - x)
+    reach = np.maximum(np.sort(near, 1)[:, min(r, len(x) - 1)], 1e-12)
+    w, delta, out = (1 - np.clip(near / reach[:, None], 0, 1) ** 3) ** 3, np.ones(len(x)), np.zeros(len(x))
+    for _ in range(rounds):
+        for i in range(len(x)):
+            root = np.sqrt(delta * w[i])
+            line = np.linalg.lstsq(np.stack([root, root * x], 1), root * y, rcond=None)[0]
+            out[i] = line[0] + line[1] * x[i]
+        residual = y - out
+        scale = float(np.median(np.abs(residual)))
+        if not scale:
+            break
+        delta = (1 - np.clip(residual / (6 * scale), -1, 1) ** 2) ** 2
+    return out
+
+
+def independent_filtering(tested: DataFrame, zeros: int = 0, alpha: float = 0.05) -> DataFrame:
+    """tested (baseMean, pvalue, ...) with padj: rates among the genes above a mean, null for those below.
+
+    Of a grid of quantiles of the means it takes the lowest whose number of rejections comes up to the
+    smoothed maximum less the spread around it; none if no quantile has more than 10. ``zeros`` is the
+    number of genes of mean 0 that ``tested`` doesn't hold.
+    """
+    n = tested.agg(F.count("*").alias("n"), F.sum((F.col("baseMean") <= 0).cast("int")).alias("z")).first()
+    if not n["n"]:
+        return benjamini_hochberg(tested, "pvalue", name="padj")
+    low = (zeros + n["z"]) / (zeros + n["n"])
+    theta = np.linspace(low, 0.95 if low < 0.95 else 1.0, STEPS)
+    means = tested.select("baseMean").unionByName(tested.sparkSession.range(zeros).select(F.lit(0.0).alias("baseMean")))
+    cuts = means.agg(F.percentile("baseMean", F.array(*[F.lit(float(t)) for t in theta])).alias("c")).first()["c"]
+    grid = tested.select("baseMean", "pvalue").where(F.col("pvalue").isNotNull()).withColumn("cut", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(c)).alias("c")) for i, c in enumerate(cuts)])))
+    rates = benjamini_hochberg(grid.where("baseMean >= cut.c").select(F.col("cut.i").alias("i"), "pvalue"), "pvalue", ["i"])
+    found = {r["i"]: r["n"] for r in rates.where(F.col("q") < alpha).groupBy("i").agg(F.count("*").alias("n")).collect()}
+    rejected, at = np.array([found.get(i, 0) for i in range(STEPS)], float), 0
+    if rejected.max() > 10:
+        smooth, some = lowess(theta, rejected), rejected > 0
+        enough = rejected > smooth.max() - math.sqrt(np.mean((rejected[some] - smooth[some]) ** 2))
+        at = int(np.argmax(enough)) if enough.any() else 0
+    used = F.when(F.col("baseMean") >= float(cuts[at]), F.col("pvalue"))
+    return benjamini_hochberg(tested.withColumn("_used", used), "_used", name="padj").drop("_used")
+
+
 def wald_test(counts: DataFrame, metadata: DataFrame, design: str, variable: str, test: str, control: str) -> DataFrame:
     """(gene, baseMean, log2FoldChange, lfcSE, stat, pvalue, padj) of test against control, by falling ``stat``.
 
     Genes are independent given size factors and the trend: two passes over groups of genes,
     first for gene-wise dispersions, then for shrunken ones and the test. Driver and tasks hold
     the design (one row per sample) and the trend's binned points.
+
+    Counts beyond Cook's cutoff in cells of ``REPLACED`` samples or more are replaced by the trimmed mean
+    and the gene is fitted again; in cells of ``TESTED`` or more that aren't replaced, they take the gene's
+    p-value (null) unless three samples have larger counts. padj is that of ``independent_filtering``.
     """
     from .preprocess import size_factors
 
@@ -138,7 +215,12 @@ def wald_test(counts: DataFrame, metadata: DataFrame, design: str, variable: str
     at, n, m = names.index(target), *x.shape
     spark = counts.sparkSession
     shipped = spark.sparkContext.broadcast((x, offset, order))
-    rows = counts.groupBy("gene").agg(F.collect_list(F.struct("sample", "value")).alias("cells"), F.sum("value").alias("total")).where(F.col("total") > 0).select("gene", "cells")
+    _, cells_, sizes = np.unique(x, axis=0, return_inverse=True, return_counts=True)
+    cells_ = cells_.ravel()  # each sample's cell of the design
+    cutoff = f_quantile(COOKS, m, n - m) if n > m else math.inf
+    genes = counts.groupBy("gene").agg(F.collect_list(F.struct("sample", "value")).alias("cells"), F.sum("value").alias("total"))
+    rows = genes.where(F.col("total") > 0).select("gene", "cells")
+    zeros = counts.groupBy("gene").agg(F.sum("value").alias("total")).where(F.col("total") <= 0).count()
 
     def vector(cells) -> np.ndarray:
         _, _, order = shipped.value
@@ -152,11 +234,7 @@ def wald_test(counts: DataFrame, metadata: DataFrame, design: str, variable: str
         for pdf in batches:
             out = []
             for gene, cells in zip(pdf["gene"], pdf["cells"], strict=True):
-                k = vector(cells)
-                q = k / np.exp(offset)
-                rough = max((q.var(ddof=1) - q.mean()) / max(q.mean(), 1e-8) ** 2, 0.01)
-                _, _, mu = _fit_means(k, x, offset, rough)
-                out.append((gene, float(q.mean()), _best_dispersion(k, mu, x)))
+                out.append((gene, *_gene_wise(vector(cells), x, offset)))
             yield pd.DataFrame(out, columns=["gene", "mu", "alpha"])
 
     gene_wise = rows.mapInPandas(first, "gene string, mu double, alpha double").persist()
@@ -169,25 +247,51 @@ def wald_test(counts: DataFrame, metadata: DataFrame, design: str, variable: str
     spread = 1.4826 * mad
     prior = max(spread**2 - _trigamma((n - m) / 2), 0.25)
 
+    def shrunken(k: np.ndarray, x: np.ndarray, offset: np.ndarray, base: float, alpha: float):
+        trend = a1 / max(base, 1e-8) + a0
+        if alpha > 1e-7 and math.log(alpha) > math.log(trend) + 2 * spread and spread > 0:
+            use = alpha
+        else:
+            _, _, mu = _fit_means(k, x, offset, trend)
+            use = _best_dispersion(k, mu, x, (math.log(trend), prior))
+        return use, *_fit_means(k, x, offset, use)
+
     def second(batches):
         x, offset, _ = shipped.value
+        many = sizes[cells_]  # replicates of each sample
         for pdf in batches:
             out = []
             for gene, cells, base, alpha in zip(pdf["gene"], pdf["cells"], pdf["mu"], pdf["alpha"], strict=True):
                 k = vector(cells)
-                trend = a1 / max(base, 1e-8) + a0
-                if alpha > 1e-7 and math.log(alpha) > math.log(trend) + 2 * spread and spread > 0:
-                    use = alpha
-                else:
-                    _, _, mu = _fit_means(k, x, offset, trend)
-                    use = _best_dispersion(k, mu, x, (math.log(trend), prior))
-                beta, cov, _ = _fit_means(k, x, offset, use)
+                use, beta, cov, mu = shrunken(k, x, offset, base, alpha)
+                far = _cooks(k, x, offset, mu, cov, use, _robust_dispersion(k / np.exp(offset), cells_, sizes))
+                outlier = False
+                if (beyond := far > cutoff).any():
+                    replaced = many >= REPLACED
+                    asked = beyond & (many >= TESTED) & ~replaced
+                    outlier = bool(asked.any()) and int((k > k[np.argmax(far)]).sum()) < 3
+                    if (beyond & replaced).any():
+                        new = np.where(beyond & replaced, np.floor(_trimmed(k / np.exp(offset), 0.2) * np.exp(offset)), k)
+                        if not new.any():
+                            out.append((gene, 0.0, 0.0, 0.0, 0.0, outlier))
+                            continue
+                        base, alpha = _gene_wise(new, x, offset)
+                        use, beta, cov, mu = shrunken(new, x, offset, base, alpha)
                 se = math.sqrt(max(cov[at, at], 1e-300))
-                out.append((gene, base, beta[at] / math.log(2), se / math.log(2), beta[at] / se))
-            yield pd.DataFrame(out, columns=["gene", "baseMean", "log2FoldChange", "lfcSE", "stat"])
+                out.append((gene, base, beta[at] / math.log(2), se / math.log(2), beta[at] / se, outlier))
+            yield pd.DataFrame(out, columns=["gene", "baseMean", "log2FoldChange", "lfcSE", "stat", "outlier"])
+
+    tested = rows.join(gene_wise, "gene").mapInPandas(second, "gene string, baseMean double, log2FoldChange double, lfcSE double, stat double, outlier boolean")
+    tested = tested.withColumn("pvalue", F.when(~F.col("outlier"), normal_p("stat"))).drop("outlier").persist()  # the filter reads it three times
+    return independent_filtering(tested, zeros).orderBy(F.desc("stat"), "gene")
+
 
-    tested = rows.join(gene_wise, "gene").mapInPandas(second, "gene string, baseMean double, log2FoldChange double, lfcSE double, stat double")
-    return benjamini_hochberg(tested.withColumn("pvalue", normal_p("stat")), "pvalue", name="padj").orderBy(F.desc("stat"), "gene")
+def _gene_wise(k: np.ndarray, x: np.ndarray, offset: np.ndarray) -> tuple[float, float]:
+    """(mean of the normalised counts, dispersion) of a gene by itself."""
+    q = k / np.exp(offset)
+    rough = max((q.var(ddof=1) - q.mean()) / max(q.mean(), 1e-8) ** 2, 0.01)
+    _, _, mu = _fit_means(k, x, offset, rough)
+    return float(q.mean()), _best_dispersion(k, mu, x)
 
 
 def _trigamma(v: float) -> float:
