@@ -14,7 +14,8 @@ what was discounted, so that the probabilities of each context sum to 1.
    training rows, and gets back the counts over all training rows.
 3. Bigrams go to shards by ranges of ``context << 32 | successor``, cut at quantiles of a
    bounded sample. Frequent contexts are so split over as many shards as their share needs.
-   A shard adds the counts up, builds a trie of quantised discounted counts and answers each
+   A first pass adds the counts of counts over all shards, which gives one set of discounts.
+   Then a shard adds the counts up, builds a trie of quantised discounted counts and answers each
    slice: the codes of its bigrams, and its part of each context's total and mass, which the
    slice adds over the shards of a split context.
 4. Each slice joins its answers and scores its documents.
@@ -145,7 +146,15 @@ def _asked_contexts(keys: np.ndarray, cuts: np.ndarray) -> list[tuple[int, np.nd
 
 def discounts(counts: np.ndarray) -> np.ndarray:
     """What is taken off counts 1, 2, and 3 or more, from the counts of counts."""
-    n1, n2, n3, n4 = (np.count_nonzero(counts == k) for k in (1, 2, 3, 4))
+    return discounts_of(counts_of_counts(counts))
+
+
+def counts_of_counts(counts: np.ndarray) -> list[int]:
+    return [int(np.count_nonzero(counts == k)) for k in (1, 2, 3, 4)]
+
+
+def discounts_of(seen: list[int]) -> np.ndarray:
+    n1, n2, n3, n4 = seen
     if not n1 or not n2:
         return np.array([0.75, 0.9, 0.9])
     y = n1 / (n1 + 2 * n2)
@@ -153,9 +162,9 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.clip(out, 0.1, [0.98, 1.9, 2.8])
 
 
-def build_trie(keys: np.ndarray, counts: np.ndarray) -> Trie:
-    """The trie of sorted distinct bigrams with positive counts."""
-    d = discounts(counts)[np.minimum(counts, 3) - 1] if len(counts) else np.zeros(0)
+def build_trie(keys: np.ndarray, counts: np.ndarray, taken: np.ndarray | None = None) -> Trie:
+    """The trie of sorted distinct bigrams with positive counts; without ``taken``, their own discounts."""
+    d = (discounts(counts) if taken is None else taken)[np.minimum(counts, 3) - 1] if len(counts) else np.zeros(0)
     context = keys >> U64(32)
     first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(keys) else np.zeros(0, np.int64)
     totals = np.add.reduceat(counts, first) if len(first) else np.zeros(0)
@@ -211,7 +220,39 @@ def _cuts(cut: DataFrame, shards: int) -> np.ndarray:
     return np.unique(keys[np.linspace(0, len(keys) - 1, shards + 1).astype(np.int64)[1:-1]]) if shards > 1 and len(keys) else np.zeros(0, U64)
 
 
-def _bigram_answers(cut: DataFrame, cuts: np.ndarray) -> DataFrame:
+def _seen(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, their summed counts) of those with positive counts."""
+    every, n = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
+    trained = n > 0
+    every, n = every[trained], n[trained]
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], n[order]
+    first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
+    return every[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _discounts(cut: DataFrame, cuts: np.ndarray) -> np.ndarray:
+    """The discounts of the whole training set: each bigram is in one shard, which gives four numbers."""
+    shipped = cut.sparkSession.sparkContext.broadcast(cuts)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            own = _Slice(row)
+            keys, counts = np.unique(own.bigrams()[own.train], return_counts=True)
+            names, a = np.unique(np.searchsorted(shipped.value, keys, "right"), return_index=True)
+            b = np.r_[a, len(keys)][1:].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([_planes(keys[i:j]) for i, j in zip(a, b, strict=True)], pa.binary()), pa.array([_planes(counts[i:j].astype("<u4")) for i, j in zip(a, b, strict=True)], pa.binary())], names=["shard", "keys", "counts"])
+
+    def count(group: pa.Table) -> pa.Table:
+        _, counts = _seen([_unplanes(x, "<u8") for x in group["keys"].to_pylist()], [_unplanes(x, "<u4") for x in group["counts"].to_pylist()])
+        return pa.table({f"n{k}": pa.array([n], pa.int64()) for k, n in enumerate(counts_of_counts(counts), 1)})
+
+    asked = cut.select("slice", "train", "lengths", "words", "tokens").mapInArrow(ask, "shard int, keys binary, counts binary")
+    parts = materialise(asked.groupBy("shard").applyInArrow(count, "n1 bigint, n2 bigint, n3 bigint, n4 bigint"), "lm-discounts")
+    return discounts_of([n or 0 for n in parts.agg(*[F.sum(f"n{k}") for k in (1, 2, 3, 4)]).first()])
+
+
+def _bigram_answers(cut: DataFrame, cuts: np.ndarray, taken: np.ndarray) -> DataFrame:
     """(slice, shard, codes, totals, masses) for each slice's bigrams and contexts in each shard."""
     shipped = cut.sparkSession.sparkContext.broadcast(cuts)
 
@@ -235,14 +276,7 @@ def _bigram_answers(cut: DataFrame, cuts: np.ndarray) -> DataFrame:
 
     def answer(group: pa.Table) -> pa.Table:
         asked = [_unplanes(x, "<u8") for x in group["keys"].to_pylist()]
-        counts = np.concatenate([_unplanes(x, "<u4") for x in group["counts"].to_pylist()]).astype(np.int64)
-        every = np.concatenate(asked)
-        trained = counts > 0
-        order = np.argsort(every[trained], kind="stable")
-        keys, counts = every[trained][order], counts[trained][order]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        trie = build_trie(keys[first], np.add.reduceat(counts, first) if len(first) else counts).mapped()
-        del every, trained, order, keys, counts
+        trie = build_trie(*_seen(asked, [_unplanes(x, "<u4") for x in group["counts"].to_pylist()]), taken).mapped()
         codes, totals, masses = [], [], []
         for own, more in zip(asked, group["more"].to_pylist(), strict=True):
             contexts = np.union1d(own >> U64(32), _unplanes(more, "<u4").astype(U64))
@@ -272,7 +306,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     sums = [np.frombuffer(r["counts"], "<u8") for r in words.where(F.col("slice").isNull()).select("counts").toLocalIterator()]
     n_all, n_types = int(sum(s[0] for s in sums)), int(sum(s[1] for s in sums))
     cuts = _cuts(cut, shards)
-    pairs = materialise(_bigram_answers(cut, cuts), "lm-pairs", ROWS)
+    pairs = materialise(_bigram_answers(cut, cuts, _discounts(cut, cuts)), "lm-pairs", ROWS)
     shipped = docs.sparkSession.sparkContext.broadcast(cuts)
     steps = max(1, shards // 4)
     step = U64(64 - (steps - 1).bit_length()) if steps > 1 else None
