@@ -6,8 +6,8 @@ Lines inside elements that are never article text (scripts, menus, forms, asides
 comments, adverts by class or id, and so on) are marked. The text-to-tag ratios of the
 others are smoothed with a Gaussian over neighbouring lines and split in two clusters by a
 threshold found by two-means; lines above it are evidence of content. The evidence chooses
-the region: the article element that holds most of it, else the smallest element that holds
-nearly all of it. All unmarked lines of the region are the text, short ones too.
+the regions: every outermost article element that holds some of it (main elements if no article
+does), else the smallest element that holds all of it. All unmarked lines there are the text, short ones too.
 
 Memory: one page. Defined cases: null and empty html give an empty text; so does a page
 with marked lines only; markup that breaks off gives what was read; repeated rows repeat;
@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 1 << 16
-#: Width of the Gaussian in lines, share of the evidence that a region must hold.
-SIGMA, SHARE = 1.0, 0.9
+#: Width of the Gaussian in lines.
+SIGMA = 1.0
 
 # Element names by role, and words of class, id and role that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -204,22 +204,22 @@ def extract(html: str | None) -> list[str]:
             while element >= 0:
                 held[element] += len(text)
                 element = parser.parents[element]
-    region = _region(parser, held, total)
+    regions = _regions(parser, held, total)
     inside = [False] * len(parser.tags)
     for e in range(len(parser.tags)):
-        inside[e] = e == region or (parser.parents[e] >= 0 and inside[parser.parents[e]])
+        inside[e] = e in regions or (parser.parents[e] >= 0 and inside[parser.parents[e]])
     return [text for text, _, element, marked in lines if inside[element] and not marked]
 
 
-def _region(parser: _Lines, held: list[float], total: float) -> int:
-    articles = [e for e, tag in enumerate(parser.tags) if tag == "article" and not parser.marked[e] and held[e] > 0] or [e for e, tag in enumerate(parser.tags) if tag == "main" and not parser.marked[e] and held[e] > 0]
-    if articles:
-        return max(articles, key=lambda e: (held[e], -e))
+def _regions(parser: _Lines, held: list[float], total: float) -> set[int]:
+    for kind in ("article", "main"):  # one inside another comes with it
+        if found := {e for e, tag in enumerate(parser.tags) if tag == kind and not parser.marked[e] and held[e] > 0}:
+            return found
     best = 0
     for e in range(len(parser.tags)):  # children follow their parents, so the last that fits is the smallest
-        if held[e] >= SHARE * total and parser.tags[e] not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "span", "a", "td", "tr"):
+        if held[e] >= total and parser.tags[e] not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "span", "a", "td", "tr"):
             best = e
-    return best
+    return {best}
 
 
 def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
