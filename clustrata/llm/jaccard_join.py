@@ -1,29 +1,31 @@
-"""N-gram Jaccard join with count vectors.
+"""N-gram Jaccard join with a forest of count-vector R-trees.
 
 Documents become sets of hashed word n-grams; equal sets are one node. Two sets link when
-``100 * common >= percent * union``.
-
-1. Prefixes. Rare n-grams come first in an order of all n-grams (frequent ones, counted over
-   all documents by a Misra-Gries summary in each task, come last; the order only affects
-   cost). Linked sets share one of their first ``n - ceil(percent * n / 100) + 1`` n-grams,
-   so documents that share such an n-gram form a block, and blocks hold all links. The
-   smaller of the two even has it among its first ``n - ceil(2 p n / (100 + p)) + 1``: a set
-   is found by these, and those smaller than all that can be found leave a block.
-2. Stars. In each block the smallest set that may link by size is a pivot; every other set
-   pairs with its pivot only, so a group of copies yields a star, not all its pairs.
-3. Count vectors. N-grams are hashed into groups, about ``PER_GROUP`` to a group; a set's
-   counts by group are a point, and the sum of coordinate-wise minima bounds the common
-   n-grams of two points, or of a point and a box. (The number of groups is a power of two,
-   so the point of a larger set folds to that of a smaller one.) Pairs whose bound is too
-   small are dropped; only the sets of the others are read.
-4. Blocks that the verified stars have not joined into one component go into a packed R-tree
-   of their points; each set is searched against the boxes for sets of other components that
-   the bound admits. The likeliest few for each set are verified first and join most
-   components; the search goes on with more for each set until none is left untested.
+``100 * common >= percent * union``. N-grams are hashed into groups, about ``PER_GROUP`` to a
+group; a set's counts by group are a point, and the sum of coordinate-wise minima bounds the
+common n-grams of two points, or of a point and a box. (The number of groups is a power of
+two, so the point of a larger set folds to that of a smaller one.)
+
+1. Pages. One tree over all points can't prune, as unrelated points lie too close for boxes
+   of so many coordinates; and it would be one object. So points are dealt to pages by a rule
+   that no link escapes: linked sets of sizes up to m differ in at most T n-grams, so when
+   n-grams are dealt to ``P > T`` bands by hash, linked sets agree on at least ``P - T`` whole
+   bands. A page is all sets of a size class that agree on a band. (A band that is empty in
+   both says nothing; ``P`` leaves room for as many as nearly every set has, and the few sets
+   with more of them also enter the pages of their empty bands, where they meet each other.)
+2. Leaf pages of up to ``LEAF`` sets: their pairs, each once, are bounded by their points.
+3. Larger pages: each of their sets goes to one R-tree, that of the most popular page within
+   reach. Trees are packed: sets are halved along the widest coordinate down to leaves, with
+   boxes above boxes. Each set is searched for those of other components that the bound
+   admits; these are verified there and then against the whole sets, and joined. A group of
+   g near copies so costs about g verifications, and no pair leaves the task.
+4. What the trees have left apart: sets that share a larger page but neither tree nor
+   component. Trees of one part of the page are searched with the sets of another, the best
+   pair for two components first, more of them until none is left untested.
 5. Components of the verified links.
 
-Blocks larger than ``TILE`` are cut in tiles, and pairs of tiles are searched on their own,
-so no task holds a whole group. Links, components and sets stay in tables.
+Trees and parts of pages have a bounded size; larger ones are cut by hash, so no task holds
+a whole group. Links, components and sets stay in tables.
 
 Defined cases: null and word-less texts have an empty set and link with nothing; a text of
 fewer than n words is one n-gram; repeated rows and equal sets are in one class; a null id
@@ -35,68 +37,30 @@ Hashes have 64 bits: two different sets or n-grams agree by accident with probab
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, fresh, grams, materialise, plus, slices, utf8
+from .common import SPACED, Words, fresh, grams, materialise, mix, plus, slices, utf8
 from .components import components
 
-PER_GROUP, LEAST_GROUPS, MOST_GROUPS, TILE, LEAF, SMALL = 4, 64, 512, 1024, 16, 64
-#: Bounds: n-grams in the broadcast order of frequent ones; counters of a task's summary;
-#: ids in a broadcast filter (beyond it the filter is a shuffled join).
-FREQUENT, COUNTERS, FILTER_IDS = 1 << 17, 1 << 20, 1 << 20
-#: log2 of the share of a word that isn't among the frequent ones, and of the share below
-#: which n-grams count as equally rare.
-RARE, COMMON = -26.0, -45.0
-#: Sets of one task that share an n-gram which is then known to be shared; text for each shard.
-OFTEN, BYTES_A_SHARD = 8, 1 << 24
-#: Partners of a set and tile that are verified first.
-FIRST = 2
+PER_GROUP, LEAST_GROUPS, MOST_GROUPS = 1, 256, 1024
+#: Sets of a leaf, boxes of a box, sets of a page or tree that are searched without boxes.
+LEAF, FANOUT, SMALL = 8, 8, 48
+#: Bounds of a tree: sets, and n-grams of all of them.
+TILE, TILE_GRAMS = 512, 1 << 21
+#: Sets of one task that share a page which is then known to be large; bytes of text to a shard of page names.
+OFTEN, BYTES_A_SHARD = 16, 1 << 25
+#: Ids in a broadcast filter (beyond it the filter is a shuffled join).
+FILTER_IDS = 1 << 20
 U64 = np.uint64
 
 
-def ranked_sets(data: np.ndarray, offsets: np.ndarray, n: int, known: tuple[np.ndarray, ...]) -> Iterator[np.ndarray]:
-    """The distinct n-gram hashes of each document, the rarest first; equally rare ones by hash.
-
-    How frequent an n-gram is comes from its count, if it is among the frequent ones, or from
-    the product of its words' shares, which tells n-grams of common words from those of a
-    document alone. An n-gram has the same rank wherever it occurs.
-    """
-    frequent, counts, names, shares = known
-    for lo, hi in slices(offsets):
-        words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], SPACED)
-        runs = grams(words.hash, n)
-        share = np.full(len(words), RARE, np.float32)
-        if len(names) and len(words):
-            at = np.minimum(np.searchsorted(names, words.hash), len(names) - 1)
-            share = np.where(names[at] == words.hash, shares[at], np.float32(RARE))
-        size = max(0, len(words) - n + 1)
-        rank = np.zeros(size, np.float32)
-        for k in range(n):
-            rank += share[k : k + size]
-        if len(frequent) and size:
-            at = np.minimum(np.searchsorted(frequent, runs), len(frequent) - 1)
-            rank = np.where(frequent[at] == runs, np.maximum(rank, counts[at]), rank)
-        rank = np.floor(np.maximum(rank, COMMON))  # what is rarer than COMMON is alike
-        for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-            if b - a >= n:
-                g, r = runs[a : b - n + 1], rank[a : b - n + 1]
-                order = np.lexsort((g, r))
-                g = g[order]
-                keep = np.empty(len(g), bool)
-                keep[0] = True
-                np.not_equal(g[1:], g[:-1], out=keep[1:])
-                yield g[keep]
-            elif b > a:
-                yield grams(words.hash[a:b], b - a)
-            else:
-                yield np.zeros(0, np.uint64)
-
-
 def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each document in a buffer."""
     for lo, hi in slices(offsets):
@@ -125,14 +89,95 @@ def least_common(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.n
     return -(-percent * (n + m) // (100 + percent))
 
 
-def prefix_size(n: int, percent: int) -> int:
-    """How many of its rarest n-grams a set has to look up."""
-    return n - -(-percent * n // 100) + 1
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Common members of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return 0
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int(np.count_nonzero(b[at] == a))
+
+
+# Pages
+
+
+@lru_cache(maxsize=None)
+def _edges(percent: int) -> list[int]:
+    """The least size of each class: a set links only within its class and the two beside it."""
+    edges, x = [1], 1
+    while x < 1 << 40:
+        x = max(x + 1, math.ceil(x * (100 / percent) ** 2))
+        edges.append(x)
+    return edges
+
 
+@lru_cache(maxsize=None)
+def bands_of(level: int, percent: int) -> tuple[int, int]:
+    """(bands, spare ones) for links whose larger set is of this class; (0, 0) if only equal sets link.
 
-def index_size(n: int, percent: int) -> int:
-    """How many of them the smaller of two linked sets has to be found by."""
-    return n - -(-2 * percent * n // (100 + percent)) + 1
+    Linked sets agree on ``bands - T`` bands at least, one more than the spare ones. Spare: as
+    many empty bands as nearly all sets have, or else as makes those with more the fewest.
+    """
+    edges = _edges(percent)
+    largest, smallest = edges[level + 1] - 1, -(-edges[level] * percent // 100)
+    t = 2 * largest * (100 - percent) // (100 + percent)
+    if t == 0:
+        return 0, 0
+    best = (2.0, 0)
+    for spare in range(t + 65):
+        p = t + 1 + spare
+        mean = p * (1 - 1 / p) ** smallest if p > 1 else 0.0
+        term = below = math.exp(-mean)
+        for k in range(1, spare + 1):
+            term *= mean / k
+            below += term
+        best = min(best, (round(1 - below, 9), spare))
+        if 1 - below < 1e-4:
+            return p, spare
+        if spare > 8 and mean > 4 * spare:
+            break
+    return t + 1 + best[1], best[1]
+
+
+def page_names(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pages, sets): the 64-bit names of the pages of each set, and its place in the list."""
+    edges = _edges(percent)
+    whose, levels = [], []
+    for i, g in enumerate(sets):
+        level = int(np.searchsorted(edges, len(g), "right")) - 1
+        for k in (level, level + 1):
+            if (k == level or len(g) * 100 >= percent * edges[k]) and bands_of(k, percent)[0]:
+                whose.append(i)
+                levels.append(k)
+    if not whose:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    number = np.array([bands_of(k, percent)[0] for k in levels], np.uint64)
+    spare = np.array([bands_of(k, percent)[1] for k in levels])
+    level, owner = np.array(levels, np.uint64), np.array(whose, np.int64)
+    size = np.array([len(sets[i]) for i in whose])
+    g = np.concatenate([sets[i] for i in whose])
+    turn = np.repeat(np.arange(len(whose)), size)
+    band = (g >> U64(32)) * number[turn] >> U64(32)  # sets are sorted, so bands are runs
+    begin = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (turn[1:] != turn[:-1])])
+    held = mix(np.add.reduceat(mix(g.copy()), begin))
+    band, turn = band[begin], turn[begin]
+    empty = number.astype(np.int64) - np.bincount(turn, minlength=len(whose))
+    odd = np.flatnonzero(empty > spare)
+    if len(odd):
+        more = []
+        for i in odd.tolist():
+            gone = np.setdiff1d(np.arange(int(number[i]), dtype=np.uint64), band[turn == i])
+            more.append((gone, np.full(len(gone), i)))
+        band = np.concatenate([band, *[x for x, _ in more]])
+        turn = np.concatenate([turn, *[x for _, x in more]])
+        held = np.concatenate([held, np.zeros(len(band) - len(held), np.uint64)])
+    name = mix(held + mix(band + (level[turn] << U64(40)) + U64(1)))
+    return name, owner[turn]
+
+
+# Points and trees
 
 
 def groups_of(n: int) -> int:
@@ -140,11 +185,15 @@ def groups_of(n: int) -> int:
     return max(LEAST_GROUPS, min(MOST_GROUPS, 1 << int(n // PER_GROUP).bit_length()))
 
 
-def count_vector(g: np.ndarray) -> bytes:
-    """A set's counts by group, low bytes first, then high bytes."""
+def counts_of(g: np.ndarray) -> np.ndarray:
+    """A set's counts by group."""
     groups = groups_of(len(g))
-    counts = np.bincount((g >> U64(20)).astype(np.int64) & (groups - 1), minlength=groups).astype("<u4")
-    return np.ascontiguousarray(counts.view(np.uint8).reshape(groups, 4).T).tobytes()
+    return np.bincount((g >> U64(8)).astype(np.int64) & (groups - 1), minlength=groups).astype(np.int32)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as bytes, low ones first, then high ones."""
+    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(len(counts), 4).T).tobytes()
 
 
 def unpacked(vector: bytes) -> np.ndarray:
@@ -154,36 +203,127 @@ def unpacked(vector: bytes) -> np.ndarray:
 
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     """Counts in fewer groups; the last axis is that of the groups."""
-    return counts.reshape(*counts.shape[:-1], -1, groups).sum(-2)
+    return counts if counts.shape[-1] == groups else counts.reshape(*counts.shape[:-1], -1, groups).sum(-2)
+
+
+def points_of(counts: list[np.ndarray]) -> np.ndarray:
+    """Points of all sets in as many groups as all have."""
+    groups = min(len(c) for c in counts)
+    points = np.stack([folded(c, groups) for c in counts])
+    return points.astype(np.int16) if points.max() < 1 << 15 else points
 
 
 class RTree:
-    """A packed R-tree of count vectors: leaves of LEAF points in order of size, one level of boxes above."""
+    """A packed R-tree of count vectors: points are halved along the widest coordinate down to leaves; boxes above boxes."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points.astype(np.int32), sizes.astype(np.int64)
-        starts = np.arange(0, len(sizes), LEAF)
-        self.starts, self.ends = starts, np.minimum(starts + LEAF, len(sizes))
-        self.high = np.maximum.reduceat(self.points, starts, axis=0)
-        self.least = np.minimum.reduceat(self.sizes, starts)
-        self.most = np.maximum.reduceat(self.sizes, starts)
-
-    def bounds(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The most n-grams that a set with counts q may share with each of these points."""
-        return np.minimum(self.points[at], q).sum(1)
-
-    def search(self, q: np.ndarray, size: int, percent: int, behind: int = -1) -> np.ndarray:
-        """Points behind the given place whose bound admits a link with q."""
-        fits = (self.ends > behind + 1) & (self.least * percent <= size * 100) & (size * percent <= self.most * 100)
-        leaves = np.flatnonzero(fits)
-        if len(leaves):
-            bound = np.minimum(self.high[leaves], q).sum(1)
-            leaves = leaves[bound >= least_common(size, self.least[leaves], percent)]
-        if not len(leaves):
-            return leaves
-        at = np.concatenate([np.arange(max(self.starts[i], behind + 1), self.ends[i]) for i in leaves])
-        bound = self.bounds(q, at)
-        return at[(bound >= least_common(size, self.sizes[at], percent)) & (self.sizes[at] * percent <= size * 100) & (size * percent <= self.sizes[at] * 100)]
+        self.order = np.arange(len(sizes))
+        self._halve(points, 0, len(sizes))
+        self.points, self.sizes = points[self.order], sizes[self.order].astype(np.int64)
+        low = high = self.points
+        least = most = self.sizes
+        #: From the leaves' boxes up: (low corners, high corners, least sizes, most sizes, children of a box).
+        self.levels = []
+        fan = LEAF
+        while len(least) > 1 and (not self.levels or len(least) > FANOUT):
+            at = np.arange(0, len(least), fan)
+            low, high = np.minimum.reduceat(low, at, axis=0), np.maximum.reduceat(high, at, axis=0)
+            least, most = np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)
+            self.levels.append((low, high, least, most, fan))
+            fan = FANOUT
+
+    def _halve(self, points: np.ndarray, lo: int, hi: int) -> None:
+        todo = [(lo, hi)]
+        while todo:
+            lo, hi = todo.pop()
+            if hi - lo <= LEAF:
+                continue
+            part = self.order[lo:hi]
+            own = points[part]
+            axis = int((own.max(0) - own.min(0)).argmax())
+            half = LEAF * -(-(hi - lo) // (2 * LEAF))
+            self.order[lo:hi] = part[np.argpartition(own[:, axis], half - 1)] if half < hi - lo else part
+            todo += [(lo, lo + half), (lo + half, hi)]
+
+    def search(self, q: np.ndarray, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, bounds): the points that the bound lets link with a set of these counts."""
+        at = np.arange(len(self.levels[-1][2]) if self.levels else len(self.sizes))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            low, high, least, most, fan = self.levels[depth]
+            fits = at[(least[at] * percent <= size * 100) & (size * percent <= most[at] * 100)]
+            bound = np.minimum(np.minimum(high[fits], q).sum(1, np.int64), most[fits] - np.maximum(low[fits] - q, 0).sum(1, np.int64))
+            fits = fits[bound >= least_common(size, least[fits], percent)]
+            below = len(self.levels[depth - 1][2]) if depth else len(self.sizes)
+            at = (fits[:, None] * fan + np.arange(fan)).ravel()
+            at = at[at < below]
+            if not len(at):
+                return at, at
+        bound = np.minimum(self.points[at], q).sum(1, np.int64)
+        n = self.sizes[at]
+        ok = (bound >= least_common(size, n, percent)) & (n * percent <= size * 100) & (size * percent <= n * 100)
+        return self.order[at[ok]], bound[ok]
+
+
+def joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The least place in the component of each set: an R-tree names candidates, whole sets decide."""
+    sizes = np.array([len(g) for g in sets], np.int64)
+    points = points_of([counts_of(g) for g in sets])
+    root = np.arange(len(sets))
+    tree = RTree(points, sizes)
+    turn = np.argsort(np.abs(points - np.median(points, axis=0)).sum(1), kind="stable")  # what all resemble comes first
+    place = np.empty(len(sets), np.int64)
+    place[turn] = np.arange(len(sets))
+    for i in turn.tolist():
+        found, bound = tree.search(points[i], int(sizes[i]), percent)
+        open_ = (root[found] != root[i]) & (place[found] > place[i])  # the others have searched for this one
+        if not open_.any():
+            continue
+        found, bound = found[open_], bound[open_]
+        for j in found[np.argsort(-bound, kind="stable")].tolist():
+            if root[j] != root[i] and common(sets[i], sets[j]) >= least_common(int(sizes[i]), int(sizes[j]), percent):
+                lo, hi = sorted((root[i], root[j]))
+                root[root == hi] = lo
+    return root
+
+
+def candidates(left: tuple, right: tuple, percent: int, most: int) -> tuple[list[tuple[int, int]], bool]:
+    """(pairs of places, whether there are more): sets of the two parts that the bound lets link, ``most`` for two roots.
+
+    A part is (counts, sizes, roots, trees): pairs of one root, and of one tree, which has seen them, don't count.
+    """
+    same = left is right
+    if len(left[1]) < len(right[1]):
+        pairs, more = candidates(right, left, percent, most)
+        return [(j, i) for i, j in pairs], more
+    (lc, ls, lr, lt), (rc, rs, rr, rt) = left, right
+    if not len(rs):
+        return [], False
+    points = points_of([*lc, *rc])
+    tree, found = RTree(points[: len(ls)], ls), []
+    of_one = lr[0] if (lr == lr[0]).all() else None
+    for k in range(len(rs)):
+        if rr[k] == of_one:
+            continue
+        at, bound = tree.search(points[len(ls) + k], int(rs[k]), percent)
+        ok = (lr[at] != rr[k]) & (lt[at] != rt[k])
+        if same:  # a part with itself
+            ok &= at < k
+        if ok.any():
+            at, bound = at[ok], bound[ok]
+            found.append(np.stack([at, np.full(len(at), k), bound * 1_000_000 // least_common(int(rs[k]), ls[at], percent)]))
+    if not found:
+        return [], False
+    i, j, spare = np.concatenate(found, axis=1)
+    a, b = np.minimum(lr[i], rr[j]), np.maximum(lr[i], rr[j])
+    order = np.lexsort((-spare, b, a))
+    i, j, a, b = i[order], j[order], a[order], b[order]
+    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    rank = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)]))
+    keep = rank < most
+    return list(zip(i[keep].tolist(), j[keep].tolist(), strict=True)), not keep.all()
+
+
+# Tables
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -199,205 +339,160 @@ def _nodes(docs: DataFrame, n: int) -> DataFrame:
             for g in gram_sets(*utf8(batch.column(1)), n):
                 sizes.append(len(g))
                 nodes.append(node_of(g) if len(g) else None)
-                vectors.append(count_vector(g) if len(g) else None)
+                vectors.append(packed(counts_of(g)) if len(g) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(vectors, pa.binary())], names=["id", "size", "node", "vector"])
 
     plain = docs.select("id")
     return docs.select("id", "text").mapInArrow(scan, plus(plain.schema, size="bigint", node="bigint", vector="binary"))
 
 
-def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, ...]:
-    """(frequent n-grams, log2 of their shares, frequent words, log2 of their shares), the names sorted.
-
-    Each task counts with a Misra-Gries summary; at most FREQUENT n-grams and words of all are kept.
-    """
+def _pages(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(page, a, b, size): the pairs (a, b) of leaf pages, where page is null, and each set a of the larger pages.
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {False: (np.zeros(0, np.uint64), np.zeros(0, np.int64)), True: (np.zeros(0, np.uint64), np.zeros(0, np.int64))}
-        total = 0
-        for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            for lo, hi in slices(offsets, 1 << 22):
-                words, runs = [], []
-                for a, b in slices(offsets[lo : hi + 1]):
-                    w = Words(data[offsets[lo + a] : offsets[lo + b]], offsets[lo + a : lo + b + 1] - offsets[lo + a], SPACED)
-                    words.append(w.hash)
-                    runs.append(grams(w.hash, n))
-                    total += len(w)
-                for kind, parts in ((True, words), (False, runs)):
-                    keys, counts = held[kind]
-                    new, c = np.unique(np.concatenate([keys, *parts]), return_counts=True)
-                    c[np.searchsorted(new, keys)] += counts - 1
-                    if len(new) > COUNTERS:  # Misra-Gries: all counters go down together until enough are free
-                        c -= np.partition(c, len(c) - COUNTERS // 2)[len(c) - COUNTERS // 2]
-                        new, c = new[c > 0], c[c > 0]
-                    held[kind] = new, c
-        for kind, (keys, counts) in held.items():
-            top = np.flatnonzero(counts >= 2)
-            top = top[np.argsort(-counts[top], kind="stable")[:FREQUENT]]
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(top), pa.bool_()), _signed(keys[top]), pa.array(counts[top])], names=["word", "g", "c"])
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.bool_()), pa.array([0], pa.int64()), pa.array([total], pa.int64())], names=["word", "g", "c"])
-
-    found = materialise(docs.select("text").mapInArrow(scan, "word boolean, g bigint, c bigint").groupBy("word", "g").agg(F.sum("c").alias("c")), "frequent")
-    total = max(1, found.where(F.col("word").isNull()).agg(F.sum("c")).first()[0] or 1)
-    out: list[np.ndarray] = []
-    for kind in (False, True):
-        rows = found.where((F.col("word") == kind) & (F.col("c") >= 4)).orderBy(F.desc("c"), "g").limit(FREQUENT).toArrow()
-        g, c = rows["g"].to_numpy().view(np.uint64), rows["c"].to_numpy()
-        order = np.argsort(g)
-        out += [g[order], np.log2(c[order] / total).astype(np.float32)]
-    return tuple(out)
-
-
-def _pivots(sig: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Places of the pivots of sets in order of n-gram and size: the smallest of each class of sizes that all may link."""
-    if not len(sig):
-        return np.zeros(0, np.int64)
-    level = np.floor(np.log(sizes) / np.log(100 / percent) + 1e-9).astype(np.int64)
-    begin = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (level[1:] != level[:-1])])
-    return np.repeat(begin, np.diff(np.r_[begin, len(sig)]))
-
-
-def _blocks(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(sig, size, found, node, pivot, other): the rarest n-grams of each set that a linked set has to share, where two sets do.
-
-    Tasks send sorted, packed prefixes to shards by ranges of the n-gram's hash; a shard keeps
-    those of at least two sets. What a task itself sees in ``OFTEN`` sets is known to be
-    shared: it goes to any shard with the task's own pivots, and only those go to the proper
-    one, so a frequent n-gram doesn't gather in one task. pivot and other: the smallest sets
-    there that may link by size.
+    Tasks send page names to shards by their leading bits, with the sets of a shard once for
+    all names. A shard keeps what two sets share. What a task itself sees in ``OFTEN`` sets is
+    large: it goes to any shard, and only two of its sets to the proper one, marked, so a
+    page of many sets doesn't gather in one task.
     """
-    spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(_frequent(docs, n))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(0, int(total // BYTES_A_SHARD).bit_length())
+    bits = max(2, int(total // BYTES_A_SHARD).bit_length())
+    top = U64(64 - bits)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shipped.value
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        seen: set[int] = set()
-        size, rng = 0, np.random.default_rng(1)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        sets, nodes, sizes, seen = [], [], [], set()
+        waiting, rng = 0, np.random.default_rng(1)
+
+        def take() -> int:
+            name, owner = page_names(sets, percent)
+            held.append((name, owner + len(nodes) - len(sets)))
+            sets.clear()
+            return len(name)
 
         def flush() -> pa.RecordBatch:
-            sig, sizes, nodes = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((nodes, sizes >> 1, sig))
-            sig, sizes, nodes = sig[order], sizes[order], nodes[order]
-            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-            many = np.diff(np.r_[first, len(sig)])
+            if sets:
+                take()
+            name, owner = (np.concatenate(x) for x in zip(*held, strict=True))
+            node, size = np.array(nodes, np.int64), np.array(sizes, "<u4")
+            order = np.lexsort((owner, name))
+            name, owner = name[order], owner[order]
+            first = np.flatnonzero(np.r_[True, name[1:] != name[:-1]]) if len(name) else np.zeros(0, np.int64)
+            many = np.diff(np.r_[first, len(name)])
             often = np.repeat(many >= OFTEN, many)
-            pivots = nodes[_pivots(sig, sizes.astype(np.int64) >> 1, percent)]
-            # of what is known to be shared, its pivots, the first that can be found and one set more meet those of other tasks
-            place = np.arange(len(sig))
-            found = np.repeat(np.minimum.reduceat(np.where(sizes & 1, place, len(sig)), first), many)
-            stay = ~often | (pivots == nodes) | (place == found) | (place == np.repeat(first + many - 1, many))
-            shard = (sig >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sig), np.int64)
+            place = np.arange(len(name)) - np.repeat(first, many)
             out = []
-            for sure, at in ((False, np.flatnonzero(stay)), (True, np.flatnonzero(often))):
-                to = shard[at] if not sure else rng.integers(0, 1 << bits, len(at))
-                at = at[np.argsort(to, kind="stable")]
+            for sure, at in ((False, np.flatnonzero(~often | (place < 2))), (True, np.flatnonzero(often))):
+                to = rng.integers(0, 1 << bits, len(at)) if sure else (name[at] >> top).astype(np.int64)
+                at = at[np.lexsort((owner[at], to))]
                 to = np.sort(to)
-                names, a = np.unique(to, return_index=True)
-                for name, i, j in zip(names.tolist(), a.tolist(), [*a[1:].tolist(), len(to)][: len(a)], strict=True):
-                    out.append((name, sure, sig[at[i:j]].view(np.uint8), sizes[at[i:j]].view(np.uint8), nodes[at[i:j]].tobytes(), pivots[at[i:j]].tobytes() if sure else b""))
-            planes = lambda x, w: np.ascontiguousarray(x.reshape(-1, w).T).tobytes()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out]), pa.array([planes(x[2], 8) for x in out], pa.binary()), pa.array([planes(x[3], 4) for x in out], pa.binary()), pa.array([x[4] for x in out], pa.binary()), pa.array([x[5] for x in out], pa.binary())],
-                names=["shard", "sure", "sig", "size", "node", "pivot"],
-            )
+                shards, begin = np.unique(to, return_index=True)
+                for shard, i, j in zip(shards.tolist(), begin.tolist(), [*begin[1:].tolist(), len(to)][: len(shards)], strict=True):
+                    part = at[i:j]
+                    own, times = np.unique(owner[part], return_counts=True)
+                    marks = np.packbits(often[part]).tobytes() if not sure else b""
+                    out.append((shard, sure, np.ascontiguousarray(name[part].view(np.uint8).reshape(-1, 8).T).tobytes(), marks, node[own].tobytes(), size[own].tobytes(), times.astype("<u4").tobytes()))
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            columns = list(zip(*out, strict=True)) or [[]] * 7
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["shard", "sure", "name", "marks", "node", "size", "times"])
 
         for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            for g in ranked_sets(data, offsets, n, known):
+            for g in gram_sets(*utf8(batch.column(0)), n):
                 if not len(g):
                     continue
-                node = node_of(np.sort(g))
+                node = node_of(g)
                 if node in seen:
                     continue
                 if len(seen) < 100_000:
                     seen.add(node)
-                p, size_of = prefix_size(len(g), percent), len(g)
-                held.append((g[:p], (2 * size_of + (np.arange(p) < index_size(size_of, percent))).astype("<u4"), np.full(p, node, np.int64)))
-                size += p
-                if size >= 1 << 19:
-                    yield flush()
-                    held, size = [], 0
-        if held:
+                sets.append(g)
+                nodes.append(node)
+                sizes.append(len(g))
+                waiting += len(g)
+                if waiting >= 1 << 17:
+                    waiting = 0
+                    take()
+                    if sum(len(x) for x, _ in held) >= 1 << 20:
+                        yield flush()
+                        held.clear(), nodes.clear(), sizes.clear()
+        if nodes:
             yield flush()
 
     def answer(group: pa.Table) -> pa.Table:
-        back = lambda raw, w, kind: np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(w, -1).T).view(kind).ravel()
-        sig = np.concatenate([back(x.as_buffer(), 8, "<u8") for x in group["sig"]])
-        sizes = np.concatenate([back(x.as_buffer(), 4, "<u4") for x in group["size"]])
-        nodes = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in group["node"]])
         sure = np.array(group["sure"].to_pylist(), bool)
-        held = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in group["pivot"]])
-        sure = np.repeat(sure, [len(x.as_buffer()) // 8 for x in group["node"]])
-        parts = [(sig[sure], sizes[sure].astype(np.int64), nodes[sure], held, held)]
-        sig, sizes, nodes = sig[~sure], sizes[~sure].astype(np.int64), nodes[~sure]
-        order = np.lexsort((nodes, sizes >> 1, sig))
-        sig, sizes, nodes = sig[order], sizes[order], nodes[order]
-        if len(sig):
-            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-            many = np.diff(np.r_[first, len(sig)])
-            place = np.arange(len(sig))
-            keep = place >= np.repeat(np.minimum.reduceat(np.where(sizes & 1, place, len(sig)), first), many)
-            keep &= np.r_[True, (sig[1:] != sig[:-1]) | (nodes[1:] != nodes[:-1])]
-            sig, sizes, nodes = sig[keep], sizes[keep], nodes[keep]
-        if len(sig):
-            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-            many = np.diff(np.r_[first, len(sig)])
-            keep = np.repeat(many > 1, many)
-            sig, sizes, nodes = sig[keep], sizes[keep], nodes[keep]
-            own = _pivots(sig, sizes >> 1, percent)
-            # a pivot also pairs with the pivot of the class below, so that a size limit doesn't cut a star
-            lower = own[np.maximum(own - 1, 0)]
-            near = (own == np.arange(len(sig))) & (own > 0) & (sig[lower] == sig) & ((sizes[lower] >> 1) * 100 >= (sizes >> 1) * percent)
-            parts.append((sig, sizes, nodes, nodes[own], np.where(near, nodes[lower], nodes[own])))
-        sig, sizes, nodes, pivot, other = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.table({"sig": _signed(sig), "size": pa.array((sizes >> 1).astype(np.int32)), "found": pa.array((sizes & 1).astype(bool)), "node": pa.array(nodes), "pivot": pa.array(pivot), "other": pa.array(other)})
-
-    asked = docs.select("text").mapInArrow(ask, "shard int, sure boolean, sig binary, size binary, node binary, pivot binary")
-    return asked.groupBy("shard").applyInArrow(answer, "sig bigint, size int, found boolean, node bigint, pivot bigint, other bigint")
-
-
-def _stars(blocks: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each node with its blocks' pivots."""
-    pairs = blocks.select("node", F.explode(F.array("pivot", "other")).alias("p")).where(F.col("p") != F.col("node"))
-    return pairs.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
-
-
-def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the count vectors can't rule out."""
-    one = vectors.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("vector").alias("va"))
-    two = vectors.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("vector").alias("vb"))
-    joined = pairs.join(two, "b").join(one, "a")
-    joined = joined.where((F.col("na") * percent <= F.col("nb") * 100) & (F.col("nb") * percent <= F.col("na") * 100)).select("a", "b", "na", "nb", "va", "vb")
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            least = least_common(batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
-            for i in range(batch.num_rows):
-                va, vb = unpacked(batch.column(4)[i].as_buffer()), unpacked(batch.column(5)[i].as_buffer())
-                if len(va) != len(vb):
-                    groups = min(len(va), len(vb))
-                    va, vb = folded(va, groups), folded(vb, groups)
-                keep[i] = np.minimum(va, vb).sum() >= least[i]
-            at = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
-
-    return joined.mapInArrow(scan, "a bigint, b bigint")
+        parts = {True: [], False: []}
+        for k in range(group.num_rows):
+            raw = {c: group[c][k].as_buffer() for c in ("name", "marks", "node", "size", "times")}
+            name = np.ascontiguousarray(np.frombuffer(raw["name"], np.uint8).reshape(8, -1).T).view("<u8").ravel()
+            times = np.frombuffer(raw["times"], "<u4")
+            node, size = np.repeat(np.frombuffer(raw["node"], "<i8"), times), np.repeat(np.frombuffer(raw["size"], "<u4"), times)
+            mark = np.unpackbits(np.frombuffer(raw["marks"], np.uint8), count=len(name)).astype(bool) if not sure[k] else np.zeros(len(name), bool)
+            parts[bool(sure[k])].append((name, node, size, mark))
+        empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, bool))
+        large = [x[:3] for x in parts[True]] or [empty[:3]]
+        name, node, size, mark = (np.concatenate(x) for x in zip(*(parts[False] or [empty]), strict=True))
+        order = np.argsort(name, kind="stable")
+        name = name[order]
+        twice = np.zeros(len(name), bool)
+        twice[1:] = name[1:] == name[:-1]
+        twice[:-1] |= twice[1:]
+        order, name = order[twice], name[twice]
+        node, size, mark = node[order], size[order], mark[order]
+        order = np.lexsort((~mark, node, name))
+        name, node, size, mark = name[order], node[order], size[order], mark[order]
+        new = np.r_[True, (name[1:] != name[:-1]) | (node[1:] != node[:-1])][: len(name)]
+        name, node, size, mark = name[new], node[new], size[new], mark[new]
+        first = np.flatnonzero(np.r_[True, name[1:] != name[:-1]][: len(name)])
+        many = np.diff(np.r_[first, len(name)])
+        wide = (np.logical_or.reduceat(mark, first) if len(first) else np.zeros(0, bool)) | (many > LEAF)
+        inside = np.repeat(wide, many) & ~mark  # marked ones are among the sure ones already
+        large.append((name[inside], node[inside], size[inside]))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for m in range(2, LEAF + 1):  # leaf pages of m sets
+            at = first[(many == m) & ~wide][:, None] + np.arange(m)
+            i, j = np.triu_indices(m, 1)
+            x, y = at[:, i].ravel(), at[:, j].ravel()
+            near = (size[x] * np.int64(100) >= size[y] * np.int64(percent)) & (size[y] * np.int64(100) >= size[x] * np.int64(percent))
+            a.append(node[x[near]])
+            b.append(node[y[near]])
+        a, b = np.concatenate(a), np.concatenate(b)
+        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
+        name, node, size = (np.concatenate(x) for x in zip(*large, strict=True))
+        none = pa.nulls(pairs.shape[1], pa.int64())
+        return pa.table(
+            {
+                "page": pa.concat_arrays([none, _signed(name)]),
+                "a": pa.concat_arrays([pa.array(pairs[0]), pa.array(node)]),
+                "b": pa.concat_arrays([pa.array(pairs[1]), pa.nulls(len(node), pa.int64())]),
+                "size": pa.concat_arrays([pa.nulls(pairs.shape[1], pa.int64()), pa.array(size.astype(np.int64))]),
+            }
+        )
+
+    asked = docs.select("text").mapInArrow(ask, "shard int, sure boolean, name binary, marks binary, node binary, size binary, times binary")
+    return asked.groupBy("shard").applyInArrow(answer, "page bigint, a bigint, b bigint, size bigint")
+
+
+def _homes(large: DataFrame) -> DataFrame:
+    """(node, size, home, tile): the tree of each set of the larger pages.
+
+    A page's weight is its number of sets; a set turns to its heaviest page, and then to the
+    heaviest that any set of its pages turns to. Trees beyond the bounds are cut by hash.
+    """
+    score = large.groupBy("page").agg(F.struct(F.count("*").alias("c"), F.col("page").alias("p")).alias("s")).select("page", "s")
+    own = large.join(score, "page").groupBy("node").agg(F.max("s").alias("s"))
+    reach = large.join(own, "node").groupBy("page").agg(F.max("s").alias("s"))
+    homes = large.join(reach, "page").groupBy("node").agg(F.max("s").getField("p").alias("home"), F.max("size").alias("size"))
+    homes = materialise(homes, "homes")
+    weight = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int").alias("tiles"))
+    return homes.join(weight, "home").select("node", "size", "home", F.pmod(F.xxhash64("node"), "tiles").cast("int").alias("tile"))
 
 
 def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(node, size, grams) of the wanted nodes, each from one of its rows."""
     wanted = materialise(wanted, "wanted")
-    holders = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
-    holders = materialise(holders, "holders")
+    holders = materialise(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct(), "holders")
     small = holders.count() <= FILTER_IDS
-    on = docs["id"].eqNullSafe(F.col("holder"))
     ids = holders.select(F.col("id").alias("holder"))
-    texts = docs.select("id", "text").join(F.broadcast(ids) if small else ids, on, "left_semi")
+    texts = docs.select("id", "text").join(F.broadcast(ids) if small else ids, docs["id"].eqNullSafe(F.col("holder")), "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -407,156 +502,170 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["node", "size", "grams"])
 
     found = texts.select("text").mapInArrow(scan, "node bigint, size bigint, grams binary")
-    return materialise(found.join(F.broadcast(wanted) if small else wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return found.join(F.broadcast(wanted) if small else wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose sets really link."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = _sets(docs, rows, nodes, n)
-    one = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("grams").alias("ga"))
-    two = sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("grams").alias("gb"))
-    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "na", "nb", "ga", "gb")
+def _grown(homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, size, root, home, tile): each tree's components, root being one of their nodes."""
+    dealt = homes.join(sets.select("node", "grams"), "node").select("home", "tile", "node", "size", "grams").repartition("home", "tile").sortWithinPartitions("home", "tile", "node")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["node", "size", "root", "home", "tile"]
+        held: list[tuple] = []
+
+        def grow() -> pa.RecordBatch:
+            nodes = [x[2] for x in held]
+            root = joined([np.frombuffer(x[4], "<u8") for x in held], percent) if len(held) > 1 else [0] * len(held)
+            columns = (nodes, [x[3] for x in held], [nodes[r] for r in root], [x[0] for x in held], [x[1] for x in held])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 4 + (pa.int32(),), strict=True)], names=names)
+
+        for batch in batches:
+            for row in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
+                if held and held[0][:2] != row[:2]:
+                    yield grow()
+                    held = []
+                held.append(row)
+        if held:
+            yield grow()
+
+    return dealt.mapInArrow(scan, "node bigint, size bigint, root bigint, home bigint, tile int")
+
+
+def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the count vectors can't rule out."""
+    one = vectors.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("vector").alias("va"))
+    two = vectors.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("vector").alias("vb"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "va", "vb")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             least = least_common(batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
             for i in range(batch.num_rows):
-                both = np.concatenate([np.frombuffer(batch.column(k)[i].as_buffer(), "<u8") for k in (4, 5)])
-                both.sort()
-                keep[i] = np.count_nonzero(both[1:] == both[:-1]) >= least[i]
+                va, vb = unpacked(batch.column(4)[i].as_buffer()), unpacked(batch.column(5)[i].as_buffer())
+                groups = min(len(va), len(vb))
+                keep[i] = np.minimum(folded(va, groups), folded(vb, groups)).sum() >= least[i]
             at = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
-    return joined.mapInArrow(scan, "a bigint, b bigint")
+    return both.mapInArrow(scan, "a bigint, b bigint")
 
 
-def _pairs_in_tile(sizes: np.ndarray, vectors: list[np.ndarray], root: np.ndarray, tile: np.ndarray, found_by: np.ndarray, percent: int, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """(pairs of places in order of size, whether there are more): the first can be found here; of different roots, and of different tiles if there are two, that the bound admits.
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets really link."""
+    one = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
+    two = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "ga", "gb")
 
-    For each place the ``most`` with the largest bounds, relative to what a link needs.
-    """
-    out, more = [], False
-    groups = np.array([len(v) for v in vectors])
-    across = tile[0] != tile[-1] if len(tile) else False
-    if len(sizes) <= SMALL:  # one or two leaves: all at once
-        g = int(groups.min())
-        points = np.stack([folded(v, g) if len(v) > g else v for v in vectors])
-        i, j = np.triu_indices(len(sizes), 1)
-        ok = found_by[i] & (root[i] != root[j]) & (sizes[i] * 100 >= sizes[j] * percent) & (sizes[j] * 100 >= sizes[i] * percent)
-        if across:
-            ok &= tile[i] != tile[j]
-        i, j = i[ok], j[ok]
-        need = least_common(sizes[i], sizes[j], percent)
-        spare = np.minimum(points[i], points[j]).sum(1) / need
-        for x in np.unique(i[spare >= 1]):
-            at = np.flatnonzero((i == x) & (spare >= 1))
-            if len(at) > most:
-                more = True
-                at = at[np.argsort(-spare[at], kind="stable")[:most]]
-            out += [(int(x), int(y)) for y in j[at]]
-        return out, more
-    for g in np.unique(groups):
-        own = np.flatnonzero(groups == g)
-        trees = [(own, RTree(np.stack([vectors[i] for i in own]), sizes[own]))]
-        larger = np.flatnonzero(groups == 2 * g)  # linked sizes differ by less than a factor of two
-        if len(larger):
-            trees.append((larger, RTree(folded(np.stack([vectors[i] for i in larger]), g), sizes[larger])))
-        for k, i in enumerate(own):
-            if not found_by[i]:
-                continue
-            found, spare = [], []
-            for t, (members, tree) in enumerate(trees):
-                at = tree.search(trees[0][1].points[k], int(sizes[i]), percent, k if not t else -1)
-                j = members[at]
-                ok = root[j] != root[i]
-                if across:
-                    ok &= tile[j] != tile[i]
-                found.append(j[ok])
-                spare.append(tree.bounds(trees[0][1].points[k], at[ok]) / least_common(int(sizes[i]), sizes[j[ok]], percent))
-            j, spare = np.concatenate(found), np.concatenate(spare)
-            if len(j) > most:
-                more = True
-                j = j[np.argsort(-spare, kind="stable")[:most]]
-            out += [(int(i), int(x)) for x in j]
-    return out, more
-
-
-def _searched(blocks: DataFrame, roots: DataFrame, vectors: DataFrame, percent: int, most: int, start: bool) -> DataFrame:
-    """(a, b): pairs of different components that the count vectors of unfinished blocks can't rule out.
-
-    Up to ``most`` for each set and tile; a row of nulls says that there are more. ``start``:
-    only each set's two largest blocks, and within tiles; what is left out is searched later.
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                a, b = (np.frombuffer(batch.column(k)[i].as_buffer(), "<u8") for k in (2, 3))
+                keep[i] = common(a, b) >= least_common(len(a), len(b), percent)
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+
+    return both.mapInArrow(scan, "a bigint, b bigint")
+
+
+def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: int, most: int) -> DataFrame:
+    """(a, b): pairs within a larger page, of different trees and components, that the trees of its parts can't rule out.
+
+    Up to ``most`` for two components in two parts; a row of nulls says that there are more.
     """
-    rooted = blocks.select("sig", "size", "found", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # the star has seen the only pair of a block of two
-    open_sigs = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where((F.col("lo") != F.col("hi")) & (F.col("c") > 2)).select("sig", "c")
-    rest = rooted.join(open_sigs, "sig").groupBy("sig", "size", "node", "root").agg(F.max("found").alias("found"), F.first("c").alias("c"))
-    if start:
-        top = Window.partitionBy("node").orderBy(F.desc("c"), "sig")
-        rest = rest.withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= 2).drop("_r")
-    rest = materialise(rest.drop("c"), "open-blocks")
-    order = Window.partitionBy("sig").orderBy("size", "node")
-    tiled = rest.withColumn("tile", F.floor((F.row_number().over(order) - 1) / TILE).cast("int"))
-    tiles = rest.groupBy("sig").agg(F.floor((F.count("*") - 1) / TILE).cast("int").alias("last"))
-    # tile t meets every tile u: it is the left side of (t, u) for u >= t and the right side of (u, t) for u < t
-    met = tiled.join(tiles, "sig").withColumn("other", F.col("tile") if start else F.explode(F.sequence(F.lit(0), "last")))
-    met = met.withColumns({"left": F.least("tile", "other"), "right": F.greatest("tile", "other")})
-    dealt = met.join(vectors.select("node", "vector"), "node").select("sig", "left", "right", "tile", "size", "node", "root", "vector", "found").repartition("sig", "left", "right").sortWithinPartitions("sig", "left", "right", "size", "node")
+    held = large.select("page", "node").join(trees.select("node", "size", "root", F.xxhash64("home", "tile").alias("tree")), "node")
+    open_ = held.groupBy("page").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("tree").alias("t"), F.max("tree").alias("u"), F.count("*").alias("c"))
+    open_ = open_.where((F.col("lo") != F.col("hi")) & (F.col("t") != F.col("u"))).select("page", F.ceil(F.col("c") / TILE).cast("int").alias("parts"))
+    cut = held.join(open_, "page").withColumn("part", F.pmod(F.xxhash64("root"), "parts").cast("int"))
+    cut = materialise(cut, "open-pages")
+    # a part too large for its component's sake is cut again by node; parts of one and the same root needn't meet
+    parts = cut.groupBy("page", "part").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / TILE).cast("int").alias("cuts"))
+    piece = parts.select("page", "part", "lo", "hi", "cuts", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+    left = piece.select("page", F.col("part").alias("p1"), F.col("cut").alias("c1"), F.col("lo").alias("l1"), F.col("hi").alias("h1"))
+    right = piece.select("page", F.col("part").alias("p2"), F.col("cut").alias("c2"), F.col("lo").alias("l2"), F.col("hi").alias("h2"))
+    meet = left.join(right, "page").where((F.struct("p1", "c1") <= F.struct("p2", "c2")) & ((F.col("l1") != F.col("h1")) | (F.col("l2") != F.col("h2")) | (F.col("l1") != F.col("l2"))))
+    meet = meet.select("page", F.explode(F.array(F.struct(F.col("p1").alias("part"), F.col("c1").alias("cut"), F.lit(0).alias("side")), F.struct(F.col("p2").alias("part"), F.col("c2").alias("cut"), F.lit(1).alias("side")))).alias("x"), F.concat_ws(",", "p1", "c1", "p2", "c2").alias("pair"))
+    meet = meet.select("page", "pair", "x.part", "x.cut", "x.side").distinct()
+    cut = cut.join(parts.select("page", "part", "cuts"), ["page", "part"]).withColumn("cut", F.pmod(F.xxhash64("node", F.lit(1)), "cuts").cast("int"))
+    dealt = cut.join(meet, ["page", "part", "cut"]).join(vectors.select("node", "vector"), "node")
+    dealt = dealt.select("page", "pair", "side", "node", "size", "root", "tree", "vector").repartition("page", "pair").sortWithinPartitions("page", "pair", "side", "node")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        last, found = None, set()
+        rows: list[tuple] = []
+        found: set = set()
 
         def search() -> None:
-            if held and any(x[6] != held[0][6] for x in held):
-                node = [x[5] for x in held]
-                places, more = _pairs_in_tile(np.array([x[4] for x in held], np.int64), [unpacked(x[7]) for x in held], np.array([x[6] for x in held]), np.array([x[3] for x in held]), np.array([x[8] for x in held], bool), percent, most)
-                found.update((max(node[i], node[j]), min(node[i], node[j])) for i, j in places)
-                if more:
-                    found.add((None, None))
+            sides = []
+            for side in (0, 1):
+                own = [x for x in rows if x[2] == side]
+                sides.append((own, ([unpacked(x[7]) for x in own], np.array([x[4] for x in own], np.int64), np.array([x[5] for x in own], np.int64), np.array([x[6] for x in own], np.int64))))
+            (lo, left), (hi, right) = sides
+            if not hi:
+                hi, right = lo, left
+            pairs, more = candidates(left, right, percent, most)
+            found.update((max(lo[i][3], hi[j][3]), min(lo[i][3], hi[j][3])) for i, j in pairs)
+            if more:
+                found.add((None, None))
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*found, strict=True)) or [[], []]
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b"])
 
         for batch in batches:
-            for row in zip(*[batch.column(i).to_pylist() for i in range(9)], strict=True):
-                if row[:3] != last:
+            for row in zip(*[batch.column(i).to_pylist() for i in range(8)], strict=True):
+                if rows and rows[0][:2] != row[:2]:
                     search()
-                    held, last = [], row[:3]
-                held.append(row)
+                    rows = []
+                rows.append(row)
             if len(found) > 200_000:
                 yield out()
                 found.clear()
-        search()
+        if rows:
+            search()
         yield out()
 
     return dealt.mapInArrow(scan, "a bigint, b bigint").distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def _linked(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, root) of all nodes that link with another."""
-    blocks = materialise(_blocks(docs, n, percent), "blocks")
-    nodes = blocks.select("node").distinct()
-    vectors = materialise(rows.select("node", "size", "vector").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "vectors")
-    stars = materialise(_bounded(_stars(blocks), vectors, percent), "stars")
-    links = materialise(_verified(stars, docs, rows, n, percent), "star-links")
-    roots = materialise(components(links), "star-roots")
-    tested, most, start = stars, FIRST, True
+    pages = materialise(_pages(docs, n, percent), "pages")
+    large = pages.where(F.col("page").isNotNull()).select("page", F.col("a").alias("node"), "size").dropDuplicates(["page", "node"])
+    leaves = pages.where(F.col("page").isNull()).select("a", "b").distinct()
+    homes = materialise(_homes(large), "trees")
+    members = _ends(leaves).unionByName(homes.select("node")).distinct()
+    vectors = materialise(rows.select("node", "size", "vector").join(members, "node", "left_semi").dropDuplicates(["node"]), "vectors")
+    sets = materialise(_sets(docs, rows, homes.select("node"), n), "sets")
+    trees = materialise(_grown(homes, sets, percent), "grown")
+    roots = trees.select("node", "root")
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        """The pairs whose ends have different roots."""
+        one, two = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+    bounded = materialise(_bounded(apart(leaves), vectors, percent), "leaf-pairs")
+    found = materialise(_crossing(large, trees, vectors, percent, 1), "crossing")
+    new = materialise(bounded.unionByName(found.where(F.col("a").isNotNull())).distinct(), "untested")
+    sets = sets.unionByName(materialise(_sets(docs, rows, _ends(new).join(homes, "node", "left_anti"), n), "leaf-sets"))
+    tested, most = new, 1
+    # the links of a tree: each node with its root there
+    links = trees.where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
     while True:
-        found = materialise(_searched(blocks, roots, vectors, percent, most, start), "survivors")
-        new = materialise(found.where(F.col("a").isNotNull()).join(tested, ["a", "b"], "left_anti"), "untested")
-        if not new.isEmpty():
-            more = materialise(_verified(new, docs, rows, n, percent), "more-links")
-            tested = tested.unionByName(new)
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                roots = materialise(components(links), "more-roots")
-        if not start and found.where(F.col("a").isNull()).isEmpty():
+        links = links.unionByName(materialise(_verified(new, sets, percent), "links"))
+        roots = materialise(components(links), "roots")
+        if found.where(F.col("a").isNull()).isEmpty():
             return roots
-        most, start = most * 16, False
+        most *= 64
+        now = trees.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = materialise(_crossing(large, now, vectors, percent, most), "crossing")
+        new = materialise(apart(found.where(F.col("a").isNotNull())).join(tested, ["a", "b"], "left_anti"), "untested")
+        tested = tested.unionByName(new)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

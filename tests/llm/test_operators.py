@@ -11,10 +11,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
-from clustrata.llm import bpe, components, decontam, exact_dedup, jaccard_join, line_dedup, ngram_lm, suffix_dedup, toxicity, url_filter
+from clustrata.llm import bpe, common, components, decontam, exact_dedup, jaccard_join, line_dedup, ngram_lm, suffix_dedup, toxicity, url_filter
 from clustrata.llm.elias_fano import EliasFano, Trie
 from clustrata.llm.html_extract import extract
 from clustrata.llm.suffix_array import suffix_array
@@ -315,7 +316,44 @@ def test_rtree_is_lossless():
     tree = jaccard_join.RTree(points, np.array([len(s) for s in sets]))
     for i, s in enumerate(sets):
         linked = {j for j in range(i + 1, len(sets)) if 100 * len(np.intersect1d(s, sets[j])) >= 85 * len(np.union1d(s, sets[j]))}
-        assert linked <= set(tree.search(points[i], len(s), 85, i).tolist())
+        at, bound = tree.search(points[i], len(s), 85)
+        assert linked <= set(at.tolist()) and all(b >= len(np.intersect1d(s, sets[j])) for j, b in zip(at.tolist(), bound.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_linked_sets_share_a_page(percent):
+    rng = np.random.default_rng(percent)
+    for size in [2, 3, 6, 7, 8, 11, 20, 55, 180, 700, 5000]:
+        for _ in range(20):
+            whole = np.unique(rng.integers(0, 2**64, size, np.uint64))
+            lost = int(rng.integers(0, len(whole) * (100 - percent) // 100 + 1))
+            other = np.unique(np.concatenate([whole[rng.permutation(len(whole))[lost:]], rng.integers(0, 2**64, int(rng.integers(0, 3)), np.uint64)]))
+            both = jaccard_join.common(whole, other)
+            if 100 * both >= percent * (len(whole) + len(other) - both) and not np.array_equal(whole, other):
+                names, owner = jaccard_join.page_names([whole, other], percent)
+                assert np.intersect1d(names[owner == 0], names[owner == 1]).size
+
+
+def test_trees_join_what_links(spark, monkeypatch):
+    """Large groups of near copies of a text, in many small trees; what they leave apart is found across trees."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(90)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 90):
+        words = list(base)
+        words[int(rng.integers(0, 90))] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, " ".join([*base[:70], *(f"y{i % 5}.{k}" for k in range(20)), f"z{i}"])) for i in range(60)]
+    want = plain.classes(rows, 4, 85)
+    for tile in (512, 6):
+        monkeypatch.setattr(jaccard_join, "TILE", tile)
+        got = by_id(jaccard_join.jaccard_components(frame(spark, rows), 4, 85), "component_id")
+        assert {i: x[0] for i, x in got.items()} == want
+    sets = list(jaccard_join.gram_sets(*common.utf8(pa.array([t for _, t in rows])), 4))
+    whole = jaccard_join.joined(sets, 85)
+    assert [rows[i][0] for i in whole.tolist()] == [want[i] for i, _ in rows]
+    monkeypatch.setattr(jaccard_join.RTree, "search", lambda self, q, size, percent: (np.zeros(0, int), np.zeros(0, int)))
+    assert len(set(jaccard_join.joined(sets, 85).tolist())) == len(sets)
 
 
 def test_components(spark):
