@@ -18,10 +18,11 @@ two, so the point of a larger set folds to that of a smaller one.)
    reach. Trees are packed: sets are halved along the widest coordinate down to leaves, with
    boxes above boxes. Each set is searched for those of other components that the bound
    admits; these are verified there and then against the whole sets, and joined. A group of
-   g near copies so costs about g verifications, and no pair leaves the task.
+   g near copies so costs about g verifications, and no pair leaves the task. Where a home
+   has several trees, a further tree of few sets of each component joins most of them.
 4. What the trees have left apart: sets that share a larger page but neither tree nor
    component. Trees of one part of the page are searched with the sets of another, the best
-   pair for two components first, more of them until none is left untested.
+   pairs for two components first, more of them until none is left untested.
 5. Components of the verified links.
 
 Trees and parts of pages have a bounded size; larger ones are cut by hash, so no task holds
@@ -53,7 +54,15 @@ PER_GROUP, LEAST_GROUPS, MOST_GROUPS = 1, 256, 1024
 #: Sets of a leaf, boxes of a box, sets of a page or tree that are searched without boxes.
 LEAF, FANOUT, SMALL = 8, 8, 48
 #: Bounds of a tree: sets, and n-grams of all of them.
-TILE, TILE_GRAMS = 512, 1 << 21
+TILE, TILE_GRAMS = 2048, 1 << 21
+#: Sets that speak for a component where trees of one home are joined.
+SPEAKERS = 3
+#: Pairs of two components in two parts that are verified first.
+FIRST = 16
+#: Sets of a part of a page, of which only the points are held.
+PART = 2048
+#: Bytes of a page's name that are sent beside the bits that name its shard.
+NAME_BYTES = 6
 #: Sets of one task that share a page which is then known to be large; bytes of text to a shard of page names.
 OFTEN, BYTES_A_SHARD = 16, 1 << 25
 #: Ids in a broadcast filter (beyond it the filter is a shuffled join).
@@ -192,13 +201,12 @@ def counts_of(g: np.ndarray) -> np.ndarray:
 
 
 def packed(counts: np.ndarray) -> bytes:
-    """Counts as bytes, low ones first, then high ones."""
-    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(len(counts), 4).T).tobytes()
+    """The width of a count in bytes, 1 or 4, and the counts."""
+    return b"\x01" + counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b"\x04" + counts.astype("<u4").tobytes()
 
 
 def unpacked(vector: bytes) -> np.ndarray:
-    planes = np.frombuffer(vector, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
+    return np.frombuffer(vector, np.uint8 if vector[0] == 1 else "<u4", offset=1).astype(np.int32)
 
 
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
@@ -274,6 +282,8 @@ def joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
     place = np.empty(len(sets), np.int64)
     place[turn] = np.arange(len(sets))
     for i in turn.tolist():
+        if (root == root[0]).all():
+            break
         found, bound = tree.search(points[i], int(sizes[i]), percent)
         open_ = (root[found] != root[i]) & (place[found] > place[i])  # the others have searched for this one
         if not open_.any():
@@ -286,41 +296,39 @@ def joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return root
 
 
-def candidates(left: tuple, right: tuple, percent: int, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """(pairs of places, whether there are more): sets of the two parts that the bound lets link, ``most`` for two roots.
+def candidates(left: tuple, right: tuple, percent: int, most: int) -> list[tuple[int, int, bool]]:
+    """Sets of the two parts that the bound lets link, ``most`` for two roots: pairs of places, and whether their roots have more.
 
     A part is (counts, sizes, roots, trees): pairs of one root, and of one tree, which has seen them, don't count.
     """
     same = left is right
     if len(left[1]) < len(right[1]):
-        pairs, more = candidates(right, left, percent, most)
-        return [(j, i) for i, j in pairs], more
+        return [(j, i, more) for i, j, more in candidates(right, left, percent, most)]
     (lc, ls, lr, lt), (rc, rs, rr, rt) = left, right
     if not len(rs):
-        return [], False
+        return []
     points = points_of([*lc, *rc])
     tree, found = RTree(points[: len(ls)], ls), []
-    of_one = lr[0] if (lr == lr[0]).all() else None
-    for k in range(len(rs)):
-        if rr[k] == of_one:
-            continue
+    names, times = np.unique(lr, return_counts=True)
+    main = names[times.argmax()]
+    for k in np.flatnonzero(rr != main if same or len(names) == 1 else np.ones(len(rs), bool)).tolist():
         at, bound = tree.search(points[len(ls) + k], int(rs[k]), percent)
         ok = (lr[at] != rr[k]) & (lt[at] != rt[k])
-        if same:  # a part with itself
-            ok &= at < k
+        if same:  # a part with itself: sets of the main component are found, not searched for
+            ok &= (at < k) | (lr[at] == main)
         if ok.any():
             at, bound = at[ok], bound[ok]
             found.append(np.stack([at, np.full(len(at), k), bound * 1_000_000 // least_common(int(rs[k]), ls[at], percent)]))
     if not found:
-        return [], False
+        return []
     i, j, spare = np.concatenate(found, axis=1)
     a, b = np.minimum(lr[i], rr[j]), np.maximum(lr[i], rr[j])
     order = np.lexsort((-spare, b, a))
     i, j, a, b = i[order], j[order], a[order], b[order]
     first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    rank = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)]))
-    keep = rank < most
-    return list(zip(i[keep].tolist(), j[keep].tolist(), strict=True)), not keep.all()
+    many = np.repeat(np.diff(np.r_[first, len(a)]), np.diff(np.r_[first, len(a)]))
+    keep = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)])) < most
+    return list(zip(i[keep].tolist(), j[keep].tolist(), (many[keep] > most).tolist(), strict=True))
 
 
 # Tables
@@ -355,8 +363,8 @@ def _pages(docs: DataFrame, n: int, percent: int) -> DataFrame:
     page of many sets doesn't gather in one task.
     """
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(2, int(total // BYTES_A_SHARD).bit_length())
-    top = U64(64 - bits)
+    bits = min(32, max(2, int(total // BYTES_A_SHARD).bit_length()))
+    top, rest = U64(64 - bits), U64(64 - bits - 8 * NAME_BYTES) if bits + 8 * NAME_BYTES < 64 else U64(0)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -390,7 +398,7 @@ def _pages(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     part = at[i:j]
                     own, times = np.unique(owner[part], return_counts=True)
                     marks = np.packbits(often[part]).tobytes() if not sure else b""
-                    out.append((shard, sure, np.ascontiguousarray(name[part].view(np.uint8).reshape(-1, 8).T).tobytes(), marks, node[own].tobytes(), size[own].tobytes(), times.astype("<u4").tobytes()))
+                    out.append((shard, sure, np.ascontiguousarray((name[part] >> rest).view(np.uint8).reshape(-1, 8).T[:NAME_BYTES]).tobytes() + (name[part] >> top).astype("<u4").tobytes() * sure, marks, node[own].tobytes(), size[own].tobytes(), times.astype("<u4").tobytes()))
             kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             columns = list(zip(*out, strict=True)) or [[]] * 7
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["shard", "sure", "name", "marks", "node", "size", "times"])
@@ -422,8 +430,12 @@ def _pages(docs: DataFrame, n: int, percent: int) -> DataFrame:
         parts = {True: [], False: []}
         for k in range(group.num_rows):
             raw = {c: group[c][k].as_buffer() for c in ("name", "marks", "node", "size", "times")}
-            name = np.ascontiguousarray(np.frombuffer(raw["name"], np.uint8).reshape(8, -1).T).view("<u8").ravel()
             times = np.frombuffer(raw["times"], "<u4")
+            planes = np.zeros((8, int(times.sum())), np.uint8)
+            planes[:NAME_BYTES] = np.frombuffer(raw["name"], np.uint8, NAME_BYTES * planes.shape[1]).reshape(NAME_BYTES, -1)
+            name = np.ascontiguousarray(planes.T).view("<u8").ravel()
+            shard = np.frombuffer(raw["name"], "<u4", offset=planes[:NAME_BYTES].size).astype(np.uint64) if sure[k] else U64(group["shard"][k].as_py())
+            name = (name & U64((1 << 8 * NAME_BYTES) - 1)) | shard << U64(8 * NAME_BYTES)  # a name is these bits wherever it was sent
             node, size = np.repeat(np.frombuffer(raw["node"], "<i8"), times), np.repeat(np.frombuffer(raw["size"], "<u4"), times)
             mark = np.unpackbits(np.frombuffer(raw["marks"], np.uint8), count=len(name)).astype(bool) if not sure[k] else np.zeros(len(name), bool)
             parts[bool(sure[k])].append((name, node, size, mark))
@@ -472,7 +484,7 @@ def _pages(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _homes(large: DataFrame) -> DataFrame:
-    """(node, size, home, tile): the tree of each set of the larger pages.
+    """(node, size, home, tile, tiles): the tree of each set of the larger pages.
 
     A page's weight is its number of sets; a set turns to its heaviest page, and then to the
     heaviest that any set of its pages turns to. Trees beyond the bounds are cut by hash.
@@ -483,13 +495,13 @@ def _homes(large: DataFrame) -> DataFrame:
     homes = large.join(reach, "page").groupBy("node").agg(F.max("s").getField("p").alias("home"), F.max("size").alias("size"))
     homes = materialise(homes, "homes")
     weight = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int").alias("tiles"))
-    return homes.join(weight, "home").select("node", "size", "home", F.pmod(F.xxhash64("node"), "tiles").cast("int").alias("tile"))
+    return homes.join(weight, "home").select("node", "size", "home", F.pmod(F.xxhash64("node"), "tiles").cast("int").alias("tile"), "tiles")
 
 
 def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, size, grams) of the wanted nodes, each from one of its rows."""
+    """The wanted nodes with (size, grams), from the text of the least id of each; repeated if that id is."""
     wanted = materialise(wanted, "wanted")
-    holders = materialise(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct(), "holders")
+    holders = materialise(rows.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct(), "holders")
     small = holders.count() <= FILTER_IDS
     ids = holders.select(F.col("id").alias("holder"))
     texts = docs.select("id", "text").join(F.broadcast(ids) if small else ids, docs["id"].eqNullSafe(F.col("holder")), "left_semi")
@@ -502,33 +514,53 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["node", "size", "grams"])
 
     found = texts.select("text").mapInArrow(scan, "node bigint, size bigint, grams binary")
-    return found.join(F.broadcast(wanted) if small else wanted, "node", "left_semi").dropDuplicates(["node"])
+    return found.join(F.broadcast(wanted) if small else wanted, "node")
 
 
-def _grown(homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, size, root, home, tile): each tree's components, root being one of their nodes."""
-    dealt = homes.join(sets.select("node", "grams"), "node").select("home", "tile", "node", "size", "grams").repartition("home", "tile").sortWithinPartitions("home", "tile", "node")
+def _grown(homed: DataFrame, percent: int) -> DataFrame:
+    """(node, size, root, tree, home, grams): each tree's components, root being one of their nodes.
+
+    grams, where a home has several trees: those of the ``SPEAKERS`` sets nearest to the middle of a component.
+    """
+    dealt = homed.select("home", "tile", "node", "size", "grams", "tiles").repartition("home", "tile").sortWithinPartitions("home", "tile", "node")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["node", "size", "root", "home", "tile"]
         held: list[tuple] = []
 
         def grow() -> pa.RecordBatch:
-            nodes = [x[2] for x in held]
-            root = joined([np.frombuffer(x[4], "<u8") for x in held], percent) if len(held) > 1 else [0] * len(held)
-            columns = (nodes, [x[3] for x in held], [nodes[r] for r in root], [x[0] for x in held], [x[1] for x in held])
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 4 + (pa.int32(),), strict=True)], names=names)
+            nodes, grams_of = [x[2] for x in held], [None] * len(held)
+            sets = [np.frombuffer(x[4], "<u8") for x in held]
+            root = joined(sets, percent) if len(held) > 1 else np.zeros(1, np.int64)
+            if held[0][5] > 1:
+                points = points_of([counts_of(g) for g in sets])
+                for r in np.unique(root).tolist():
+                    own = np.flatnonzero(root == r)
+                    far = np.abs(points[own] - np.median(points[own], axis=0)).sum(1)
+                    for i in own[np.argsort(far, kind="stable")[:SPEAKERS]].tolist():
+                        grams_of[i] = held[i][4]
+            tree = mix(mix(np.array([held[0][0]], np.int64).view(np.uint64)) + U64(held[0][1])).view(np.int64)
+            columns = (nodes, [x[3] for x in held], [nodes[r] for r in root], np.repeat(tree, len(held)), [x[0] for x in held])
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(grams_of, pa.binary())], names=["node", "size", "root", "tree", "home", "grams"])
 
         for batch in batches:
-            for row in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
                 if held and held[0][:2] != row[:2]:
                     yield grow()
                     held = []
-                held.append(row)
+                if not held or held[-1][2] != row[2]:
+                    held.append(row)
         if held:
             yield grow()
 
-    return dealt.mapInArrow(scan, "node bigint, size bigint, root bigint, home bigint, tile int")
+    return dealt.mapInArrow(scan, "node bigint, size bigint, root bigint, tree bigint, home bigint, grams binary")
+
+
+def _spoken(trees: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between components of the trees of one home, found by a tree of their speakers."""
+    speakers = trees.where(F.col("grams").isNotNull()).select("home", "root", "node", "size", "grams")
+    weight = speakers.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int").alias("n"))
+    homed = speakers.join(weight, "home").select("home", F.pmod(F.xxhash64("node", F.lit(1)), "n").cast("int").alias("tile"), "node", "size", "grams", F.lit(1).alias("tiles"))
+    return _grown(homed, percent).where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
@@ -570,32 +602,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: int, most: int) -> DataFrame:
-    """(a, b): pairs within a larger page, of different trees and components, that the trees of its parts can't rule out.
+    """(page, a, b, more): pairs within a larger page, of different trees and components, that the trees of its parts can't rule out.
 
-    Up to ``most`` for two components in two parts; a row of nulls says that there are more.
+    Up to ``most`` for two components in two parts; more says that their components have others.
     """
-    held = large.select("page", "node").join(trees.select("node", "size", "root", F.xxhash64("home", "tile").alias("tree")), "node")
-    open_ = held.groupBy("page").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("tree").alias("t"), F.max("tree").alias("u"), F.count("*").alias("c"))
-    open_ = open_.where((F.col("lo") != F.col("hi")) & (F.col("t") != F.col("u"))).select("page", F.ceil(F.col("c") / TILE).cast("int").alias("parts"))
-    cut = held.join(open_, "page").withColumn("part", F.pmod(F.xxhash64("root"), "parts").cast("int"))
-    cut = materialise(cut, "open-pages")
-    # a part too large for its component's sake is cut again by node; parts of one and the same root needn't meet
-    parts = cut.groupBy("page", "part").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / TILE).cast("int").alias("cuts"))
-    piece = parts.select("page", "part", "lo", "hi", "cuts", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
-    left = piece.select("page", F.col("part").alias("p1"), F.col("cut").alias("c1"), F.col("lo").alias("l1"), F.col("hi").alias("h1"))
-    right = piece.select("page", F.col("part").alias("p2"), F.col("cut").alias("c2"), F.col("lo").alias("l2"), F.col("hi").alias("h2"))
-    meet = left.join(right, "page").where((F.struct("p1", "c1") <= F.struct("p2", "c2")) & ((F.col("l1") != F.col("h1")) | (F.col("l2") != F.col("h2")) | (F.col("l1") != F.col("l2"))))
-    meet = meet.select("page", F.explode(F.array(F.struct(F.col("p1").alias("part"), F.col("c1").alias("cut"), F.lit(0).alias("side")), F.struct(F.col("p2").alias("part"), F.col("c2").alias("cut"), F.lit(1).alias("side")))).alias("x"), F.concat_ws(",", "p1", "c1", "p2", "c2").alias("pair"))
-    meet = meet.select("page", "pair", "x.part", "x.cut", "x.side").distinct()
-    cut = cut.join(parts.select("page", "part", "cuts"), ["page", "part"]).withColumn("cut", F.pmod(F.xxhash64("node", F.lit(1)), "cuts").cast("int"))
-    dealt = cut.join(meet, ["page", "part", "cut"]).join(vectors.select("node", "vector"), "node")
-    dealt = dealt.select("page", "pair", "side", "node", "size", "root", "tree", "vector").repartition("page", "pair").sortWithinPartitions("page", "pair", "side", "node")
+    held = large.select("page", "node").join(trees.select("node", "size", "root", "tree"), "node")
+    by_root = held.groupBy("page", "root").agg(F.min("tree").alias("t"), F.max("tree").alias("u"), F.count("*").alias("c"))
+    open_ = by_root.groupBy("page").agg(F.count("*").alias("roots"), F.min("t").alias("t"), F.max("u").alias("u"), F.sum("c").alias("c"), F.max(F.struct("c", "root")).alias("most"))
+    # the component with most sets of the page is a part of its own, which needn't meet itself
+    open_ = open_.where((F.col("roots") > 1) & (F.col("t") != F.col("u")))
+    own = F.when(F.col("c") > PART, F.ceil(F.col("most.c") / PART)).otherwise(0)
+    open_ = open_.select("page", F.col("most.root").alias("first"), own.cast("int").alias("own"), F.ceil((F.col("c") - F.col("most.c")) / PART).cast("int").alias("others"))
+    cut = held.join(open_, "page").withColumn("main", (F.col("root") == F.col("first")) & (F.col("own") > 0))
+    cut = cut.withColumn("part", F.when(F.col("main"), -1 - F.pmod(F.xxhash64("node"), "own")).otherwise(F.pmod(F.xxhash64("node"), "others")).cast("int"))
+    # parts of others, 0 and on, meet those from their own on and all of the main component's, -1 and down
+    meets = F.when(F.col("main"), F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: F.struct(F.col("part").alias("one"), o.cast("int").alias("two"), F.lit(0).alias("side"))))
+    meets = meets.otherwise(F.transform(F.sequence(-F.col("own"), F.col("others") - 1), lambda o: F.struct(F.least("part", o).cast("int").alias("one"), F.greatest("part", o).cast("int").alias("two"), (F.col("part") > o).cast("int").alias("side"))))
+    dealt = cut.withColumn("meet", F.explode(meets)).join(vectors.select("node", "vector"), "node")
+    dealt = dealt.select("page", F.concat_ws(",", "meet.one", "meet.two").alias("pair"), "meet.side", "node", "size", "root", "tree", "vector").repartition("page", "pair").sortWithinPartitions("page", "pair", "side", "node")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         found: set = set()
 
         def search() -> None:
+            page = rows[0][0]
             sides = []
             for side in (0, 1):
                 own = [x for x in rows if x[2] == side]
@@ -603,14 +634,11 @@ def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: i
             (lo, left), (hi, right) = sides
             if not hi:
                 hi, right = lo, left
-            pairs, more = candidates(left, right, percent, most)
-            found.update((max(lo[i][3], hi[j][3]), min(lo[i][3], hi[j][3])) for i, j in pairs)
-            if more:
-                found.add((None, None))
+            found.update((page, max(lo[i][3], hi[j][3]), min(lo[i][3], hi[j][3]), more) for i, j, more in candidates(left, right, percent, most))
 
         def out() -> pa.RecordBatch:
-            columns = list(zip(*found, strict=True)) or [[], []]
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b"])
+            columns = list(zip(*found, strict=True)) or [[], [], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)], names=["page", "a", "b", "more"])
 
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(8)], strict=True):
@@ -625,7 +653,7 @@ def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: i
             search()
         yield out()
 
-    return dealt.mapInArrow(scan, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(scan, "page bigint, a bigint, b bigint, more boolean")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -640,32 +668,40 @@ def _linked(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame
     homes = materialise(_homes(large), "trees")
     members = _ends(leaves).unionByName(homes.select("node")).distinct()
     vectors = materialise(rows.select("node", "size", "vector").join(members, "node", "left_semi").dropDuplicates(["node"]), "vectors")
-    sets = materialise(_sets(docs, rows, homes.select("node"), n), "sets")
-    trees = materialise(_grown(homes, sets, percent), "grown")
-    roots = trees.select("node", "root")
+    trees = materialise(_grown(_sets(docs, rows, homes.select("node", "home", "tile", "tiles"), n), percent), "grown")
+    spoken = materialise(_spoken(trees, percent), "spoken")
+    # the links of a tree: each node with its root there
+    links = trees.where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(spoken)
+    roots = trees.select("node", "root") if spoken.isEmpty() else materialise(components(links), "tree-roots")
 
     def apart(pairs: DataFrame) -> DataFrame:
         """The pairs whose ends have different roots."""
         one, two = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+        return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb")
+
+    def crossing(pages: DataFrame, most: int) -> DataFrame:
+        now = trees.drop("root", "grams").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return materialise(_crossing(pages, now, vectors, percent, most), "crossing")
 
     bounded = materialise(_bounded(apart(leaves), vectors, percent), "leaf-pairs")
-    found = materialise(_crossing(large, trees, vectors, percent, 1), "crossing")
-    new = materialise(bounded.unionByName(found.where(F.col("a").isNotNull())).distinct(), "untested")
-    sets = sets.unionByName(materialise(_sets(docs, rows, _ends(new).join(homes, "node", "left_anti"), n), "leaf-sets"))
-    tested, most = new, 1
-    # the links of a tree: each node with its root there
-    links = trees.where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
+    found, most, tested = crossing(large, FIRST), FIRST, None
+    new = materialise(bounded.unionByName(found.select("a", "b")).distinct(), "untested")
     while True:
-        links = links.unionByName(materialise(_verified(new, sets, percent), "links"))
-        roots = materialise(components(links), "roots")
-        if found.where(F.col("a").isNull()).isEmpty():
+        linked = False
+        if not new.isEmpty():
+            sets = materialise(_sets(docs, rows, _ends(new), n).dropDuplicates(["node"]), "sets")
+            more = materialise(_verified(new, sets, percent), "links")
+            linked = not more.isEmpty()
+            links = links.unionByName(more)
+        if linked or tested is None:
+            roots = materialise(components(links), "roots")
+        tested = new if tested is None else tested.unionByName(new)
+        rest = apart(found.where("more")).select("page").distinct()  # other components that had more are linked by now
+        if rest.isEmpty():
             return roots
         most *= 64
-        now = trees.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        found = materialise(_crossing(large, now, vectors, percent, most), "crossing")
-        new = materialise(apart(found.where(F.col("a").isNotNull())).join(tested, ["a", "b"], "left_anti"), "untested")
-        tested = tested.unionByName(new)
+        found = crossing(large.join(materialise(rest, "open-pages"), "page", "left_semi"), most)
+        new = materialise(apart(found.select("a", "b").distinct()).join(tested, ["a", "b"], "left_anti"), "untested")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

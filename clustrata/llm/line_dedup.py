@@ -10,9 +10,9 @@ the text), is alike, whether or not that line stays.
 2. Of two lines one edit apart, the first or the last half (of one of two lengths) is equal.
    Lines that share no such half with another distinct line can't have a neighbour and are
    left out; only the others' words are read again.
-3. Each remaining line emits all its variants with one word deleted, as hashed keys: sums of
-   hashes of (word, position) over the words before and, one position earlier, behind the
-   gap, from running sums. A line without deletion has a key as well.
+3. Each remaining line emits all its variants with one word deleted, as hashed keys: the
+   exclusive or of hashes of (word, position) over the words before and, one position earlier,
+   behind the gap, from one running aggregate. A line without deletion has a key as well.
 4. Equal keys are joined by aggregates that keep the earliest line only: lines with a word
    deleted at the same place (a replacement), or one with and one without deletion. So a
    group of near copies yields one witness for each line, never its pairs.
@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from .common import fresh, materialise
 
 LEAST_WORDS = 5
-#: Rows up to which a side is broadcast; beyond it is a shuffled join.
-SEND_ROWS = 1 << 20
+#: Rows, with the members of their arrays, up to which a side is broadcast; beyond it is a shuffled join.
+#: Columns are names and places of fixed width, so a row takes under 100 bytes.
+SEND_ROWS = 1 << 19
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -89,8 +90,17 @@ def _named_lines(lines: DataFrame) -> DataFrame:
 
 
 def _sent(df: DataFrame) -> DataFrame:
-    """df, marked for broadcast if it has few rows."""
-    return F.broadcast(df) if df.count() <= SEND_ROWS else df
+    """df, marked for broadcast if it has few rows and array members."""
+    held = F.lit(1)
+    for name, kind in df.dtypes:
+        if kind.startswith("array"):
+            held = held + F.size(name)
+    return F.broadcast(df) if (df.agg(F.sum(held)).first()[0] or 0) <= SEND_ROWS else df
+
+
+def _line(first: Column, words: Column) -> Column:
+    """A line's 64-bit name, for its place and its words."""
+    return F.xxhash64(first, words)
 
 
 def _candidates(lines: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -103,31 +113,32 @@ def _candidates(lines: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(first, line, lo, hi, left, gap): keys of each line as it is (gap null) and with each word deleted.
+    """(u, key, left, gap): keys of each line as it is (gap null) and with each word deleted; u names the line.
 
-    left: the number of words left; lo and hi: sums over the low and high halves of the hashes.
+    left: the number of words left. A key is the exclusive or of the hashes of (word, place); the
+    words behind a gap stand one place earlier. With ``a`` and ``b`` the hashes of a word at its
+    place and at the one before, the key without word i is that of all ``b``, of ``a[i]``, and
+    of all ``a`` and ``b`` up to i: one running aggregate over rows that lie together already.
     """
-    named = lines.select("first", F.xxhash64("w").alias("line"), F.size("w").alias("n"), F.posexplode("w").alias("i", "word"))
+    total = F.aggregate(F.transform("w", lambda x, i: F.xxhash64(x, i - 1)), F.lit(0).cast("bigint"), lambda x, y: x.bitwiseXOR(y))
+    # the exchange keeps what is made once a line from being made again for each of its words
+    named = lines.select(_line(F.col("first"), F.col("w")).alias("u"), total.alias("all_b"), F.size("w").alias("n"), "w").repartition("u")
+    words = named.select("u", "all_b", "n", F.posexplode("w").alias("i", "word"))
     here, moved = F.xxhash64("word", F.col("i")), F.xxhash64("word", F.col("i") - 1)
-    low = F.lit(0xFFFFFFFF)
-    parts = named.select("first", "line", "n", "i", *[c.alias(name) for name, c in (("a_lo", here.bitwiseAND(low)), ("a_hi", F.shiftrightunsigned(here, 32)), ("b_lo", moved.bitwiseAND(low)), ("b_hi", F.shiftrightunsigned(moved, 32)))])
-    before = Window.partitionBy("first", "line").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    behind = Window.partitionBy("first", "line").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("first", "line")
-
-    def gone(x: str) -> Column:
-        rest = F.sum(f"b_{x}").over(whole) - F.sum(f"b_{x}").over(behind)
-        return F.coalesce(F.sum(f"a_{x}").over(before), F.lit(0)) + rest
-
-    keyed = parts.select("first", "line", "n", "i", gone("lo").alias("lo"), gone("hi").alias("hi"), F.sum("a_lo").over(whole).alias("all_lo"), F.sum("a_hi").over(whole).alias("all_hi"))
-    variants = keyed.select("first", "line", "lo", "hi", (F.col("n") - 1).alias("left"), F.col("i").alias("gap"))
-    plain = keyed.where(F.col("i") == 0).select("first", "line", F.col("all_lo").alias("lo"), F.col("all_hi").alias("hi"), F.col("n").alias("left"), F.lit(None).cast("int").alias("gap"))
-    return variants.unionByName(plain)
+    hashed = words.select("u", "all_b", "n", "i", here.alias("a"), here.bitwiseXOR(moved).alias("both"))
+    upto = Window.partitionBy("u").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = hashed.select("u", "all_b", "n", "i", "a", F.bit_xor("both").over(upto).alias("up"))
+    rest = F.col("all_b").bitwiseXOR(F.col("up"))
+    cut = F.struct(rest.bitwiseXOR(F.col("a")).alias("key"), (F.col("n") - 1).alias("left"), F.col("i").alias("gap"))
+    # behind the last word, all b and all of both leave all a: the key of the line as it is
+    whole = F.struct(rest.alias("key"), F.col("n").alias("left"), F.lit(None).cast("int").alias("gap"))
+    keys = F.when(F.col("i") == F.col("n") - 1, F.array(cut, whole)).otherwise(F.array(cut))
+    return run.select("u", F.inline(keys))
 
 
 def _witnesses(variants: DataFrame) -> DataFrame:
     """(first, line, earlier): the earliest line that shares a key in a way that means one edit."""
-    key = ["lo", "hi", "left"]
+    key = ["key", "left"]
     whole, gap = F.col("gap").isNull(), F.col("gap").isNotNull()
     groups = variants.groupBy(key).agg(F.min(F.when(whole, F.col("first"))).alias("plain"), F.min(F.when(gap, F.col("first"))).alias("cut"), F.count("*").alias("c")).where(F.col("c") > 1)
     same_gap = variants.where(gap).groupBy(*key, "gap").agg(F.min("first").alias("replaced"), F.count("*").alias("c")).where(F.col("c") > 1).drop("c")
@@ -157,8 +168,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     # equal ids may hold several lines at one place, short ones too; filtered once the words are written
     candidates = materialise(_candidates(lines, distinct), "line-words").where(F.size("w") >= LEAST_WORDS)
     variants = materialise(_variants(candidates), "line-variants")
-    keys = variants.groupBy("lo", "hi", "left").agg(F.count("*").alias("c")).where(F.col("c") > 1).drop("c")
-    shared = variants.join(_sent(materialise(keys, "line-keys")), ["lo", "hi", "left"], "left_semi")
+    keys = variants.groupBy("key", "left").agg(F.count("*").alias("c")).where(F.col("c") > 1).drop("c")
+    shared = variants.join(_sent(materialise(keys, "line-keys")), ["key", "left"], "left_semi")
+    names = candidates.select("first", F.xxhash64("w").alias("line"), _line(F.col("first"), F.col("w")).alias("u"))
+    shared = shared.join(names, "u").drop("u")
     found = materialise(_witnesses(materialise(shared, "line-shared")), "line-witnesses")
     words = candidates.select("first", F.xxhash64("w").alias("line"), "w")
     pairs = found.join(words, ["first", "line"]).join(words.select(F.col("first").alias("earlier"), F.col("w").alias("v")), "earlier")
