@@ -2,15 +2,19 @@
 
 The standard library's parser is fed piece by piece; its events build lines (the text of one
 block each) with the number of tags met since the line before, and a skeleton of elements.
-Lines inside elements that are never article text (scripts, menus, forms, asides, reader
-comments, adverts by class or id, and so on) are marked. The text-to-tag ratios of the
-others are smoothed with a Gaussian over neighbouring lines and split in two clusters by a
-threshold found by two-means; lines above it are evidence of content. The evidence chooses
-the regions: every outermost article element that holds some of it (main elements if no article
-does), else the smallest element that holds all of it. All unmarked lines there are the text, short ones too.
-
-Memory: one page. Defined cases: null and empty html give an empty text; so does a page
-with marked lines only; markup that breaks off gives what was read; repeated rows repeat;
+Lines inside elements that are never article text (scripts, menus, forms, asides, hidden ones)
+are marked, and so are, as likely, those in blocks named as such by class, id or role (reader
+comments, adverts, notices). The text-to-tag ratios of the others are smoothed with a
+Gaussian over neighbouring lines and split in two clusters by a threshold found by two-means;
+lines above it are evidence of content. The evidence chooses the regions: every article
+element that holds some of it (main elements if no article does), else the smallest element
+that holds all of it. All unmarked lines there are the text, short ones too. A likely mark
+counts only if lines outside such blocks hold evidence of their own or the page has an
+article; else the class names the page, not a part to leave out.
+
+Memory: one page; time is linear in it. Defined cases: null and empty html give an empty text; so does a page
+with surely marked lines only; a comment or declaration that never ends is markup to the end;
+other markup that breaks off gives what was read; repeated rows repeat;
 other columns are handed on and a column named ``main_text`` is replaced.
 """
 
@@ -28,6 +32,10 @@ from pyspark.sql import functions as F
 PIECE = 1 << 16
 #: Width of the Gaussian in lines.
 SIGMA = 1.0
+#: How many times the upper cluster's centre is the lower one's, at least, for two clusters.
+APART = 1.5
+#: Share of the evidence outside elements of a marked class or id below which these are the page itself.
+BELIEVED = 0.05
 
 # Element names by role, and words of class, id and role that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,22 +58,39 @@ MARKS = frozenset(
 #: Marks that an article or its own heading may carry.
 MILD = frozenset("header side banner notice alert share social related search widget promoted".split())
 _WORDS = re.compile(r"[A-Za-z]+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+#: Elements that the start of another of their kind ends.
+_IMPLIED = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+
+
+def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(name == "hidden" or (name == "aria-hidden" and (value or "").lower() == "true") or (name == "style" and _UNSEEN.search((value or "").lower()) is not None) for name, value in attrs)
+
+
+#: How much an element's own name or attributes say: nothing, probably boilerplate (a class or id), certainly (its role or being hidden).
+PLAIN, LIKELY, SURE = 0, 1, 2
 
 
 class _Lines(HTMLParser):
-    """Events to lines: (text, tags, element, marked)."""
+    """Events to lines: (text, tags, element, mark). Every step is linear in the page, however deep it nests."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tags: list[str] = ["#page"]
         self.parents: list[int] = [-1]
-        self.marked: list[bool] = [False]
+        self.marked: list[int] = [PLAIN]
         self.stack = [0]
-        self.lines: list[tuple[str, int, int, bool]] = []
+        #: Depths of the open elements of each name, and of open articles.
+        self.depths: dict[str, list[int]] = {}
+        self.articles: list[int] = []
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
+        #: Open inline elements from the first hidden one on; a block ends them.
+        self.hidden: list[str] = []
         self.met = 0
 
     def _end_line(self) -> None:
+        self.hidden.clear()
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
@@ -74,81 +99,77 @@ class _Lines(HTMLParser):
                 self.met = 0
             self.text = []
 
+    def _pop(self) -> None:
+        tag = self.tags[self.stack.pop()]
+        self.depths[tag].pop()
+        if tag in ARTICLE:
+            self.articles.pop()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.met += 1
         if tag == "br":
             self.text.append(" ")
         if tag in INLINE:
-            if tag not in VOID:
-                self._inline(tag, attrs)
+            if tag not in VOID and (self.hidden or (attrs and _hidden(attrs))):  # a class says nothing about words in a sentence
+                self.hidden.append(tag)
             return
         self._end_line()
-        if tag in ARTICLE and self.marked[self.stack[-1]] and not any(self.tags[e] in ARTICLE for e in self.stack):
+        if tag in ARTICLE and self.marked[self.stack[-1]] and not self.articles:
             while len(self.stack) > 1 and self.marked[self.stack[-1]]:  # a menu or advert that was never closed
-                self.stack.pop()
-        if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
-            self._close_implied(tag)
-        if tag in VOID:
-            return
-        self._open(tag, attrs)
-
-    def _inline(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        """Inline elements count only if they are hidden or marked."""
-        if attrs and tag in ("span", "a", "label") and self._is_marked(tag, attrs):
-            self._end_line()
+                self._pop()
+        if tag in _IMPLIED and self.tags[self.stack[-1]] in _IMPLIED[tag]:
+            self._pop()
+        if tag not in VOID:
             self._open(tag, attrs)
 
     def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         parent = self.stack[-1]
         self.tags.append(tag)
         self.parents.append(parent)
-        self.marked.append(self.marked[parent] or self._is_marked(tag, attrs))
+        self.marked.append(max(self.marked[parent], self._mark(tag, attrs)))
+        self.depths.setdefault(tag, []).append(len(self.stack))
+        if tag in ARTICLE:
+            self.articles.append(len(self.stack))
         self.stack.append(len(self.tags) - 1)
 
-    def _is_marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in SKIPPED:
-            return True
-        inside = tag in ARTICLE or tag in ("html", "body") or any(self.tags[e] in ARTICLE for e in self.stack)
+    def _mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
+        if tag in SKIPPED or _hidden(attrs):
+            return SURE
+        inside = tag in ARTICLE or tag in ("html", "body") or bool(self.articles)
         if tag == "header":
-            return not inside
+            return PLAIN if inside else SURE
+        if tag in ARTICLE or tag in ("html", "body"):
+            return PLAIN
         for name, value in attrs:
-            value = (value or "").lower()
-            if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                return True
-            if name in ("class", "id", "role", "itemprop") and tag not in ARTICLE and tag not in ("html", "body"):
-                words = {w for part in _WORDS.findall(value) for w in (part, part.rstrip("s"))} & MARKS
+            if name in ("class", "id", "role", "itemprop"):
+                words = {w for part in _WORDS.findall((value or "").lower()) for w in (part, part.rstrip("s"))} & MARKS
                 if words and not (inside and words <= MILD):
-                    return True
-        return False
-
-    def _close_implied(self, tag: str) -> None:
-        """A new paragraph or list item ends the one that is open in the same parent."""
-        group = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}[tag]
-        if self.tags[self.stack[-1]] in ("p",) or self.tags[self.stack[-1]] in group:
-            if self.tags[self.stack[-1]] in group:
-                self.stack.pop()
+                    return LIKELY
+        return PLAIN
 
     def handle_endtag(self, tag: str) -> None:
         self.met += 1
+        open_ = self.depths.get(tag)
         if tag in INLINE:
             if tag == "br":
                 self.text.append(" ")
-            elif self.tags[self.stack[-1]] == tag:
-                self._end_line()
-                self.stack.pop()
+            elif self.hidden and self.hidden[-1] == tag:
+                self.hidden.pop()
             return
         self._end_line()
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.tags[self.stack[depth]] == tag:
-                del self.stack[depth:]
-                return
-            if self.tags[self.stack[depth]] in ARTICLE and tag not in ("body", "html", "main"):
-                return  # a stray end tag doesn't close the article
+        if not open_ or (self.articles and self.articles[-1] > open_[-1] and tag not in ("body", "html", "main")):
+            return  # a stray end tag, which doesn't close the article either
+        depth = open_[-1]
+        while len(self.stack) > depth:
+            self._pop()
 
     def handle_data(self, data: str) -> None:
-        self.text.append(data)
+        if not self.hidden:
+            self.text.append(data)
 
-    def done(self) -> list[tuple[str, int, int, bool]]:
+    def done(self) -> list[tuple[str, int, int, int]]:
+        if "<!" in self.rawdata[:2] or self.rawdata.startswith("<?"):
+            self.rawdata = ""  # markup that never ends
         self.close()
         self._end_line()
         return self.lines
@@ -170,7 +191,7 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
 
 
 def threshold(values: list[float]) -> float:
-    """Half-way between the centres of two clusters of the values; their minimum if all are alike."""
+    """Half-way between the centres of two clusters of the values; their minimum if the centres differ by less than ``APART``."""
     low, high = min(values), max(values)
     for _ in range(50):
         cut = (low + high) / 2
@@ -181,7 +202,14 @@ def threshold(values: list[float]) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return (low + high) / 2 if high >= APART * low else min(values)
+
+
+def evidence(lines: list[tuple[str, int, int, int]], least: int) -> list[bool]:
+    """Which lines, of those marked less than ``least``, are in the upper cluster of smoothed text-to-tag ratios."""
+    ratios = smoothed([0.0 if mark >= least else len(text) / max(1, tags) for text, tags, _, mark in lines])
+    cut = threshold([r for r, x in zip(ratios, lines, strict=True) if x[3] < least])
+    return [mark < least and r >= cut for r, (_, _, _, mark) in zip(ratios, lines, strict=True)]
 
 
 def extract(html: str | None) -> list[str]:
@@ -191,29 +219,33 @@ def extract(html: str | None) -> list[str]:
     for at in range(0, len(html), PIECE):
         parser.feed(html[at : at + PIECE])
     lines = parser.done()
-    usable = [x for x in lines if not x[3]]
-    if not usable:
+    least = SURE
+    if not any(x[3] < least for x in lines):
         return []
-    ratios = smoothed([0.0 if marked else len(text) / max(1, tags) for text, tags, _, marked in lines])
-    cut = threshold([r for r, x in zip(ratios, lines, strict=True) if not x[3]])
-    held = [0.0] * len(parser.tags)
-    total = 0.0
-    for ratio, (text, _, element, marked) in zip(ratios, lines, strict=True):
-        if not marked and ratio >= cut:
-            total += len(text)
-            while element >= 0:
-                held[element] += len(text)
-                element = parser.parents[element]
-    regions = _regions(parser, held, total)
+    chosen = evidence(lines, least)
+    # a class or id is believed unless the elements it names hold nearly all of the evidence: then it names the page
+    sizes = [sum(len(x[0]) for x, c in zip(lines, chosen, strict=True) if c and x[3] == mark) for mark in (PLAIN, LIKELY)]
+    if sizes[0] > BELIEVED * sum(sizes) or any(tag in ARTICLE for tag in parser.tags):
+        least = LIKELY
+        if not any(x[3] < least for x in lines):
+            return []
+        chosen = evidence(lines, least)
+    held = [0] * len(parser.tags)
+    for found, (text, _, element, _) in zip(chosen, lines, strict=True):
+        held[element] += len(text) * found
+    total = sum(held)
+    for element in range(len(held) - 1, 0, -1):  # children follow their parents
+        held[parser.parents[element]] += held[element]
+    regions = _regions(parser, held, total, least)
     inside = [False] * len(parser.tags)
     for e in range(len(parser.tags)):
         inside[e] = e in regions or (parser.parents[e] >= 0 and inside[parser.parents[e]])
-    return [text for text, _, element, marked in lines if inside[element] and not marked]
+    return [text for text, _, element, mark in lines if inside[element] and mark < least]
 
 
-def _regions(parser: _Lines, held: list[float], total: float) -> set[int]:
+def _regions(parser: _Lines, held: list[int], total: int, least: int) -> set[int]:
     for kind in ("article", "main"):  # one inside another comes with it
-        if found := {e for e, tag in enumerate(parser.tags) if tag == kind and not parser.marked[e] and held[e] > 0}:
+        if found := {e for e, tag in enumerate(parser.tags) if tag == kind and parser.marked[e] < least and held[e] > 0}:
             return found
     best = 0
     for e in range(len(parser.tags)):  # children follow their parents, so the last that fits is the smallest
