@@ -17,6 +17,8 @@ the text), is alike, whether or not that line stays.
    deleted at the same place (a replacement), or one with and one without deletion. So a
    group of near copies yields one witness for each line, never its pairs.
 5. Each line's edit distance to its witness is verified on the words; the earliest stays.
+   Copies of a frequent line join its one row of verdicts by a skewed join, which Spark
+   splits; nothing else of them is ever gathered.
 
 Defined cases: null text is one line without words; lines without words always stay; a null
 id comes after all others; rows with equal ids don't remove lines at the same place from
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import fresh, materialise
 
 LEAST_WORDS = 5
-#: Rows, with the members of their arrays, up to which a side is broadcast; beyond it is a shuffled join.
+#: Rows up to which a side is broadcast; beyond it is a shuffled join.
 #: Columns are names and places of fixed width, so a row takes under 100 bytes.
 SEND_ROWS = 1 << 19
 
@@ -90,12 +92,8 @@ def _named_lines(lines: DataFrame) -> DataFrame:
 
 
 def _sent(df: DataFrame) -> DataFrame:
-    """df, marked for broadcast if it has few rows and array members."""
-    held = F.lit(1)
-    for name, kind in df.dtypes:
-        if kind.startswith("array"):
-            held = held + F.size(name)
-    return F.broadcast(df) if (df.agg(F.sum(held)).first()[0] or 0) <= SEND_ROWS else df
+    """df, marked for broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= SEND_ROWS else df
 
 
 def _line(first: Column, words: Column) -> Column:
@@ -191,7 +189,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), text))
-    joined = keyed.join(_sent(gone.select(F.col("key").alias(key), F.col("gone").alias(lost))), key, "left")
+    # places of lost lines grow with the corpus: always a shuffled join
+    joined = keyed.join(gone.select(F.col("key").alias(key), F.col("gone").alias(lost)), key, "left")
     lines = F.split(text, "\n", -1)
     stays = F.filter(lines, lambda _, i: ~F.array_contains(F.col(lost), i))
     count = F.size(lines).cast("bigint")
