@@ -131,7 +131,8 @@ class _Block:
                 at = windows.find(g)
             else:
                 g = grams(words.hash, K)
-                known = prints.find(g)
+                own = np.flatnonzero(_chosen(g, SPAN - K + 1))  # the document's fingerprints
+                known = own[prints.find(g[own])]
                 if not len(known):
                     continue
                 around = (known[:, None] - np.arange(SPAN - K + 1)).ravel()
@@ -157,13 +158,12 @@ class _Block:
                     yield int(d), names[j]
 
 
-def _blocks(windows: DataFrame) -> list[pa.Table]:
-    """The benchmark's windows in blocks of at most about BLOCK, cut by hash range."""
+def _blocks(windows: DataFrame) -> Iterator[pa.Table]:
+    """The benchmark's windows in blocks of at most about BLOCK, cut by hash; the driver holds one at a time."""
     kept = materialise(windows, "benchmark-windows")
-    parts = -(-kept.count() // BLOCK)
-    if parts <= 1:
-        return [kept.toArrow()] if parts else []
-    return [kept.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == i).toArrow() for i in range(parts)]
+    parts = max(1, -(-kept.count() // BLOCK))
+    for i in range(parts):
+        yield kept.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == i).toArrow()
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -177,9 +177,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     kept = out.columns
     runs, names, words_col = (fresh(docs, x) for x in ("runs", "names", "words"))
     at = kept.index(text_col)
-    blocks = _blocks(benchmark_windows(benchmark, item_col, item_text)) or [pa.table({"item": pa.array([], pa.string()), "words": pa.array([], pa.int32()), "window": pa.array([], pa.int64()), "print": pa.array([], pa.int64())})]
     out = out.withColumns({runs: F.array().cast("array<bigint>"), names: F.array().cast("array<string>"), words_col: F.lit(0).cast("bigint")})
-    for rows in blocks:
+    for rows in _blocks(benchmark_windows(benchmark, item_col, item_text)):
         shipped = spark.sparkContext.broadcast(_Block(rows))
         width = len(kept)
 
