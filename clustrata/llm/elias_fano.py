@@ -122,13 +122,15 @@ class EliasFano:
 class Trie:
     """Contexts, monotone pointers to their successors, and the successors' quantised values.
 
-    Level 1 has the sorted contexts and, for each, its total and back-off mass. Level 2 has the
+    Level 1 has the sorted contexts and, for each, its total and back-off mass, a whole number of
+    ``1 / UNIT``: sums of them don't depend on their order. Level 2 has the
     successors of all contexts in turn; each is stored relative to its context, as
     ``context's place * 2**32 + successor``, which makes the level one monotone sequence.
     """
 
     #: Steps of a factor of ten in a stored value, and the code of the value 1.
     STEPS, ONE = 4096, 16384
+    UNIT = 1 << 16
 
     def __init__(self, contexts: EliasFano, pointers: EliasFano, successors: EliasFano, codes: np.ndarray, totals: np.ndarray, masses: np.ndarray):
         self.contexts, self.pointers, self.successors = contexts, pointers, successors
@@ -146,8 +148,8 @@ class Trie:
             EliasFano.of(np.r_[first, len(keys)].astype(U64), len(keys) + 1),
             EliasFano.of(relative, max(1, len(first)) << 32),
             Trie.quantised(values),
-            totals.astype("<f4"),
-            masses.astype("<f4"),
+            totals.astype("<i8"),
+            masses.astype("<i8"),
         )
 
     @staticmethod
@@ -157,9 +159,14 @@ class Trie:
             x = np.rint(np.log10(np.maximum(values, 1e-3)) * Trie.STEPS) + Trie.ONE
         return np.clip(x, 1, 65535).astype("<u2")
 
+    @staticmethod
+    def units(codes: np.ndarray) -> np.ndarray:
+        """The values of codes in units."""
+        return np.where(codes == 0, 0, np.rint(Trie.UNIT * 10.0 ** ((codes.astype(np.float64) - Trie.ONE) / Trie.STEPS))).astype(np.int64)
+
     @staticmethod
     def value(codes: np.ndarray) -> np.ndarray:
-        return np.where(codes == 0, 0.0, 10.0 ** ((codes.astype(np.float64) - Trie.ONE) / Trie.STEPS))
+        return Trie.units(codes) / Trie.UNIT
 
     def context(self, v: np.ndarray) -> np.ndarray:
         """Place of each context, or -1."""
@@ -202,7 +209,7 @@ class Trie:
             n, bits, low, high = take("<i8", 4).tolist()
             levels.append(EliasFano(n, bits, take("<u8", low), take("<u8", high), take("<i8", high + 1)))
         n, contexts = take("<i8", 2).tolist()
-        return Trie(*levels, take("<u2", n), take("<f4", contexts), take("<f4", contexts))
+        return Trie(*levels, take("<u2", n), take("<i8", contexts), take("<i8", contexts))
 
     def mapped(self) -> Trie:
         """The same trie in a memory map of its own, so that its pages are shared and can be dropped at once."""

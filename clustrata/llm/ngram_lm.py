@@ -20,8 +20,9 @@ what was discounted, so that the probabilities of each context sum to 1.
    slice adds over the shards of a split context.
 4. Each slice joins its answers and scores its documents.
 
-What moves is one entry per distinct word and bigram of a slice, packed by byte planes; a
-shard holds a bounded number of entries, however large the corpus. Hashes of contexts and
+Totals, masses and discounted counts are whole numbers of a small unit, so a score doesn't depend
+on how texts are partitioned or contexts are split. What moves is one entry per distinct word
+and bigram of a slice, packed by byte planes; a shard holds a bounded number of entries, however large the corpus. Hashes of contexts and
 successors have 32 bits within the pair: contexts that share one share their counts.
 
 Defined cases: null and empty texts consist of the end token; with no training row every
@@ -167,9 +168,9 @@ def build_trie(keys: np.ndarray, counts: np.ndarray, taken: np.ndarray | None =
     d = (discounts(counts) if taken is None else taken)[np.minimum(counts, 3) - 1] if len(counts) else np.zeros(0)
     context = keys >> U64(32)
     first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    totals = np.add.reduceat(counts, first) if len(first) else np.zeros(0)
-    kept = Trie.value(Trie.quantised(counts - d))  # what the quantised values leave is the mass, so that sums stay 1
-    masses = totals - np.add.reduceat(kept, first) if len(first) else np.zeros(0)
+    totals = np.add.reduceat(counts, first) if len(first) else np.zeros(0, np.int64)
+    kept = Trie.units(Trie.quantised(counts - d))  # what the quantised values leave is the mass, so that sums stay 1
+    masses = totals * Trie.UNIT - np.add.reduceat(kept, first) if len(first) else np.zeros(0, np.int64)
     return Trie.build(keys, counts - d, totals, np.maximum(masses, 0))
 
 
@@ -282,7 +283,7 @@ def _bigram_answers(cut: DataFrame, cuts: np.ndarray, taken: np.ndarray) -> Data
             contexts = np.union1d(own >> U64(32), _unplanes(more, "<u4").astype(U64))
             place = trie.context(contexts)
             known = place >= 0
-            got = np.zeros((2, len(contexts)), "<f4")
+            got = np.zeros((2, len(contexts)), "<i8")
             got[0, known], got[1, known] = trie.totals[place[known]], trie.masses[place[known]]
             codes.append(_planes(trie.lookup(place[np.searchsorted(contexts, own >> U64(32))], own & LOW32)))
             totals.append(_planes(got[0]))
@@ -329,8 +330,8 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                 for s, at, asked in _asked_contexts(keys, shipped.value):
                     code[at] = _unplanes(got[s]["codes"], "<u2")
                     place = np.searchsorted(contexts, asked)
-                    total[place] += _unplanes(got[s]["totals"], "<f4")
-                    mass[place] += _unplanes(got[s]["masses"], "<f4")
+                    total[place] += _unplanes(got[s]["totals"], "<i8")
+                    mass[place] += _unplanes(got[s]["masses"], "<i8") / Trie.UNIT
                 of_key = np.searchsorted(contexts, keys >> U64(32))
                 seen = np.maximum(total, 1)[of_key]
                 kept, left = (Trie.value(code) / seen)[which], np.where(total[of_key] > 0, mass[of_key] / seen, 1.0)[which]

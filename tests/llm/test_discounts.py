@@ -15,4 +15,11 @@ def test_scores_do_not_depend_on_shards(spark, monkeypatch):
     one = score()
     monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 200)
     many = score()
-    assert list(many.values()) == pytest.approx([one[i] for i in many], rel=1e-5)
+    assert list(many.values()) == pytest.approx([one[i] for i in many], rel=1e-12)
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 500)
+    score = lambda n: {r["doc_id"]: r["score"] for r in ngram_lm.score_texts(frame(spark, ROWS).repartition(n), F.col("doc_id") % 2 == 0).collect()}
+    two, many = score(2), score(13)
+    assert list(many.values()) == pytest.approx([two[i] for i in many], rel=1e-12)
