@@ -8,6 +8,7 @@ neither on the number of rows nor on Spark's batch size, only on the longest doc
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,17 +22,23 @@ from pyspark.sql import types as T
 SLICE_BYTES = 1 << 18
 
 _written: list[tuple[SparkSession, str]] = []
+_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is missing (tests, a notebook) a local folder takes its place.
+    Only where the setting is missing and one machine does all (tests, a notebook) a folder of
+    that machine takes its place; a cluster without the setting is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if context.applicationId not in _own:
+            _own[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="shared-")
+        found = _own[context.applicationId]
     return found.rstrip("/")
 
 
