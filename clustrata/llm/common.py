@@ -47,6 +47,10 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+#: Bytes of a batch that a Python function in a written table's plan gets at a time (one row may have more).
+ARROW_BYTES = 1 << 24
 
 
 def materialise(df: DataFrame, name: str, batch: int = 2000) -> DataFrame:
@@ -54,12 +58,12 @@ def materialise(df: DataFrame, name: str, batch: int = 2000) -> DataFrame:
 
     This cuts the lineage in a way that survives the loss of any executor, and the shuffle
     files behind the table, which nothing reads again, are removed once it is written. Python
-    functions in the plan get ``batch`` rows at a time. The folder is removed when the driver
-    ends.
+    functions in the plan get ``batch`` rows or ``ARROW_BYTES`` at a time. The folder is removed
+    when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    own = {_CLEANUP: "true", _BATCH: str(batch)}
+    own = {_CLEANUP: "true", _BATCH: str(batch), _BATCH_BYTES: str(ARROW_BYTES)}
     before = {k: spark.conf.get(k, None) for k in own}
     for k, v in own.items():
         spark.conf.set(k, v)

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, fresh, grams, materialise, mix, plus, slices, utf8
+from .common import ARROW_BYTES, SPACED, Words, fresh, grams, materialise, mix, plus, slices, utf8
 from .components import components
 
 PER_GROUP, LEAST_GROUPS, MOST_GROUPS = 1, 256, 1024
@@ -61,6 +61,8 @@ SPEAKERS = 3
 FIRST = 16
 #: Sets of a part of a page, of which only the points are held.
 PART = 2048
+#: Pairs found in two parts that are held before the best of each two components are sorted out.
+FOUND = 1 << 18
 #: Bytes of a page's name that are sent beside the bits that name its shard.
 NAME_BYTES = 6
 #: Sets of one task that share a page which is then known to be large; bytes of text to a shard of page names.
@@ -311,6 +313,19 @@ def candidates(left: tuple, right: tuple, percent: int, most: int) -> list[tuple
     tree, found = RTree(points[: len(ls)], ls), []
     names, times = np.unique(lr, return_counts=True)
     main = names[times.argmax()]
+
+    def best(parts: list[np.ndarray], number: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``number`` pairs of two roots with the highest bounds, and how many their roots have in parts."""
+        i, j, spare = np.concatenate(parts, axis=1)
+        a, b = np.minimum(lr[i], rr[j]), np.maximum(lr[i], rr[j])
+        order = np.lexsort((-spare, b, a))
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        many = np.diff(np.r_[first, len(a)])
+        keep = np.arange(len(a)) - np.repeat(first, many) < number
+        return np.stack([i, j, spare])[:, order[keep]], np.repeat(many, many)[keep]
+
+    waiting, limit = 0, FOUND
     for k in np.flatnonzero(rr != main if same or len(names) == 1 else np.ones(len(rs), bool)).tolist():
         at, bound = tree.search(points[len(ls) + k], int(rs[k]), percent)
         ok = (lr[at] != rr[k]) & (lt[at] != rt[k])
@@ -318,17 +333,16 @@ def candidates(left: tuple, right: tuple, percent: int, most: int) -> list[tuple
             ok &= (at < k) | (lr[at] == main)
         if ok.any():
             at, bound = at[ok], bound[ok]
-            found.append(np.stack([at, np.full(len(at), k), bound * 1_000_000 // least_common(int(rs[k]), ls[at], percent)]))
+            found.append(np.stack([at, np.full(len(at), k), bound * 1_000_000 // least_common(int(rs[k]), ls[at], percent)]).astype(np.int32))
+            waiting += len(at)
+            if waiting >= limit:  # one more than the most is kept, so that the roots still show that they have more
+                found = [best(found, most + 1)[0]]
+                waiting = found[0].shape[1]
+                limit = max(FOUND, 2 * waiting)
     if not found:
         return []
-    i, j, spare = np.concatenate(found, axis=1)
-    a, b = np.minimum(lr[i], rr[j]), np.maximum(lr[i], rr[j])
-    order = np.lexsort((-spare, b, a))
-    i, j, a, b = i[order], j[order], a[order], b[order]
-    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    many = np.repeat(np.diff(np.r_[first, len(a)]), np.diff(np.r_[first, len(a)]))
-    keep = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)])) < most
-    return list(zip(i[keep].tolist(), j[keep].tolist(), (many[keep] > most).tolist(), strict=True))
+    (i, j, _), many = best(found, most)
+    return list(zip(i.tolist(), j.tolist(), (many > most).tolist(), strict=True))
 
 
 # Tables
@@ -507,11 +521,20 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFr
     texts = docs.select("id", "text").join(F.broadcast(ids) if small else ids, docs["id"].eqNullSafe(F.col("holder")), "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(out: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["node", "size", "grams"])
+
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                out = [(node_of(g), len(g), g.tobytes()) for g in gram_sets(*utf8(batch.column(0).slice(lo, 512)), n) if len(g)]
-                columns = list(zip(*out, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["node", "size", "grams"])
+            out, held = [], 0
+            for g in gram_sets(*utf8(batch.column(0)), n):
+                if len(g):
+                    out.append((node_of(g), len(g), g.tobytes()))
+                    held += g.nbytes
+                if held >= ARROW_BYTES:
+                    yield rows_of(out)
+                    out, held = [], 0
+            yield rows_of(out)
 
     found = texts.select("text").mapInArrow(scan, "node bigint, size bigint, grams binary")
     return found.join(F.broadcast(wanted) if small else wanted, "node")
