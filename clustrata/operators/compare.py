@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,18 +16,38 @@ def cluster_key(label: Column) -> list[Column]:
     return [number.isNull(), number, label.cast("string")]
 
 
-def medoids(points: DataFrame, partition: DataFrame) -> DataFrame:
+def medoids(points: DataFrame, partition: DataFrame, block: int = 1024) -> DataFrame:
     """(cluster, medoid): the member with the least sum of Euclidean distances to the others; the first on ties.
 
-    points: (sample, component, value); samples with a missing value don't compete.
+    points: (sample, component, value); samples with a missing value don't compete. A cluster is
+    cut into blocks of about ``block`` members; a task takes two blocks and hands on one sum
+    per member, so no pair is moved and no task holds a whole cluster.
     """
     n = points.select("component").distinct().count()
     whole = points.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    complete = whole.groupBy("sample").agg(F.count("*").alias("c")).where(F.col("c") == n).select("sample")
-    own = whole.join(complete, "sample", "left_semi").join(partition.select("sample", "cluster"), "sample")
-    other = own.select("cluster", "component", F.col("sample").alias("other"), F.col("value").alias("y"))
-    pairs = own.join(other, ["cluster", "component"]).groupBy("cluster", "sample", "other").agg(F.sqrt(F.sum((F.col("value") - F.col("y")) ** 2)).alias("d"))
-    total = pairs.groupBy("cluster", "sample").agg(F.round(F.sum("d"), 9).alias("t"))
+    vectors = whole.groupBy("sample").agg(F.sort_array(F.collect_list(F.struct("component", "value"))).alias("v")).where(F.size("v") == n)
+    own = vectors.select("sample", F.col("v.value").cast("array<double>").alias("x")).join(partition.select("sample", "cluster"), "sample")
+    cut = own.join(own.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "cluster")
+    cut = cut.withColumn("b", F.pmod(F.xxhash64("sample"), "blocks").cast("int"))
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("b", o).alias("one"), F.greatest("b", o).alias("two"), (F.col("b") > o).alias("second")))
+    dealt = cut.select("cluster", "sample", "x", F.explode(met).alias("m")).select("cluster", "m.one", "m.two", "m.second", "sample", "x")
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        second = pdf["second"].to_numpy(bool)
+        alone = pdf["one"].iloc[0] == pdf["two"].iloc[0]
+        x = np.stack(pdf["x"].to_list())
+        left, right = np.flatnonzero(~second), np.flatnonzero(~second if alone else second)
+        total = np.zeros(len(pdf))
+        for i in left:
+            d = np.sqrt(((x[right] - x[i]) ** 2).sum(1))
+            total[i] += d.sum()
+            if not alone:
+                total[right] += d
+        return pdf[["cluster", "sample"]].assign(t=total)
+
+    kinds = ", ".join(f"{c} {own.schema[c].dataType.simpleString()}" for c in ("cluster", "sample"))
+    parts = dealt.groupBy("cluster", "one", "two").applyInPandas(sums, f"{kinds}, t double")
+    total = parts.groupBy("cluster", "sample").agg(F.round(F.sum("t"), 9).alias("t"))
     return total.groupBy("cluster").agg(F.min_by("sample", F.struct("t", "sample")).alias("medoid"))
 
 

@@ -44,11 +44,10 @@ def gene_sets(spark: SparkSession, sf_dir: str, n_sets: int = 6) -> DataFrame:
     return brands.crossJoin(F.broadcast(sets)).where(hashed(F.concat_ws("|", "gene", "s")) % 3 == 0).select(F.concat(F.lit("set"), F.col("s")).alias("signature"), "gene")
 
 
-def components(spark: SparkSession, sf_dir: str, n: int | None = None) -> DataFrame:
-    """(sample, component, value): the coordinates of the embeddings, all of them or the first n."""
+def components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sample, component, value): all coordinates of the embeddings."""
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("sample"), F.posexplode("embedding").alias("pos", "value"))
-    used = rows if n is None else rows.where(F.col("pos") < n)
-    return used.select("sample", F.format_string("IC%02d", F.col("pos") + 1).alias("component"), F.col("value").cast("double").alias("value"))
+    return rows.select("sample", F.format_string("IC%02d", F.col("pos") + 1).alias("component"), F.col("value").cast("double").alias("value"))
 
 
 def embedding_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

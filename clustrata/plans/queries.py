@@ -36,13 +36,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def whole(name: str, of: str, cut: str, instead: str = "") -> Callable[[Query], Query]:
-    """A query that covers what ``of`` cuts off; its SQL is that of ``of`` without the cut."""
-    if cut not in SQL[of]:
-        raise ValueError(f"the SQL of {of} has no {cut!r}")
-    return query(name, SQL[of].replace(cut, instead))
-
-
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """df with its fractions rounded, as engines differ in the last bits."""
     return df.select(*[F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
@@ -59,10 +52,8 @@ META = f"""meta as (select s_suppkey as sample, case when {HASH.format("s_suppke
   ({HASH.format("'t' || s_suppkey::varchar")} % 3)::varchar as tier
   from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"""
 SETS = f"""sets as (select 'set' || s as signature, gene from (select distinct p_brand as gene from part), range(6) t(s) where {HASH.format("gene || '|' || s::varchar")} % 3 = 0)"""
-POINTS = """points as (select vec_id as sample, 'IC' || lpad((i + 1)::varchar, 2, '0') as component, embedding[i + 1]::double as value from embeddings, range(8) t(i))"""
+POINTS = """points as (select vec_id as sample, 'IC' || lpad((i + 1)::varchar, 2, '0') as component, embedding[i + 1]::double as value from embeddings, range((select max(len(embedding)) from embeddings)) t(i))"""
 LABELS = "part_ as (select vec_id as sample, label as cluster from embeddings)"
-FIRST = 8  # the coordinates in POINTS
-ALL = ("range(8)", "range((select max(len(embedding)) from embeddings))")
 TIERS = f"""tiers as (select k::int as k, s_suppkey as sample, ({HASH.format("'p|' || s_suppkey::varchar")} % k + 1)::int as cluster from supplier, range(2, 5) t(k))"""
 LOGCPM = "libs as (select sample, sum(value) as lib from counts group by 1), logs as (select c.sample, gene, log2(value / greatest(lib, 1) * 1e6 + 1) as value from counts c join libs using (sample))"
 
@@ -158,11 +149,6 @@ def aligned_metadata(spark, d):
 
 @query("outlier_z", with_(POINTS, "z as (select sample, component, (value - avg(value) over w) / case when stddev_pop(value) over w = 0 then 1 else stddev_pop(value) over w end as z from points window w as (partition by component))") + "select sample, round(max(abs(z)), 6) as max_abs_z, max(abs(z)) > 2.5 as is_outlier from z group by sample")
 def outlier_z(spark, d):
-    return _outlier_z(X.components(spark, d, FIRST))
-
-
-@whole("outlier_z_all", "outlier_z", *ALL)
-def outlier_z_all(spark, d):
     return _outlier_z(X.components(spark, d))
 
 
@@ -438,13 +424,8 @@ def simulated_cohort(spark, d):
 
 
 # Statistics -----------------------------------------------------------------------------
-@query("bh_fdr", with_("p as (select o_orderkey as id, o_orderstatus as fam, case when o_orderkey % 7 <> 0 then (" + HASH.format("o_orderkey::varchar") + " % 100000) / 100000.0 end as p from orders where o_orderkey % 5 = 0)", "r as (select *, p * count(*) over (partition by fam) / row_number() over (partition by fam order by p) as raw from p where p is not null)") + "select p.id, case when p.p is not null then round(least(1, min(raw) over (partition by p.fam, p.p is null order by p.p desc range unbounded preceding)), 6) end as q from p left join r using (id)")
+@query("bh_fdr", with_("p as (select o_orderkey as id, o_orderstatus as fam, case when o_orderkey % 7 <> 0 then (" + HASH.format("o_orderkey::varchar") + " % 100000) / 100000.0 end as p from orders)", "r as (select *, p * count(*) over (partition by fam) / row_number() over (partition by fam order by p) as raw from p where p is not null)") + "select p.id, case when p.p is not null then round(least(1, min(raw) over (partition by p.fam, p.p is null order by p.p desc range unbounded preceding)), 6) end as q from p left join r using (id)")
 def bh_fdr(spark, d):
-    return _order_fdr(X.table(spark, d, "orders").where("o_orderkey % 5 = 0"))
-
-
-@whole("bh_fdr_all", "bh_fdr", " where o_orderkey % 5 = 0")
-def bh_fdr_all(spark, d):
     return _order_fdr(X.table(spark, d, "orders"))
 
 
@@ -580,40 +561,25 @@ def stratified_tests(spark, d):
     return A.stratified_tests(_scores(spark, d), strata)
 
 
-_FEATS = "feats as (select sample, 'acctbal' as feature, 'clinic' as family, acctbal as value from meta union all select sample, signature, 'sig', score from scores union all select sample, gene, 'gene', round(value, 9) from logs where gene in ('Brand#1', 'Brand#2', 'Brand#3'))"
+_FEATS = "feats as (select sample, 'acctbal' as feature, 'clinic' as family, acctbal as value from meta union all select sample, signature, 'sig', score from scores union all select sample, gene, 'gene', round(value, 9) from logs)"
 _FPAIRS = "fp as (select a.feature as f1, b.feature as f2, a.value as x, b.value as y from feats a join feats b on a.sample = b.sample and a.feature < b.feature where a.value is not null and b.value is not null and (a.family <> b.family or a.family = 'clinic'))"
 
 
-THREE = ["Brand#1", "Brand#2", "Brand#3"]  # the genes in _FEATS
-_ONLY_THREE = " where gene in ('Brand#1', 'Brand#2', 'Brand#3')"
-
-
-def _features(spark, d, genes=None):
+def _features(spark, d):
     meta = X.metadata(spark, d).select("sample", F.lit("acctbal").alias("feature"), F.lit("clinic").alias("family"), F.col("acctbal").alias("value"))
     sig = _scores(spark, d).select("sample", F.col("signature").alias("feature"), F.lit("sig").alias("family"), F.round("score", 9).alias("value"))
     logs = P.log_cpm(X.counts(spark, d))
-    used = logs if genes is None else logs.where(F.col("gene").isin(genes))
-    gene = used.select("sample", F.col("gene").alias("feature"), F.lit("gene").alias("family"), F.round("value", 9).alias("value"))
+    gene = logs.select("sample", F.col("gene").alias("feature"), F.lit("gene").alias("family"), F.round("value", 9).alias("value"))
     return meta.unionByName(sig).unionByName(gene)
 
 
 @query("corr_pairwise_pearson", with_(COUNTS, LOGCPM, SETS, META, _Z, _FEATS, _FPAIRS) + "select f1, f2, count(*) as n, round(corr(x, y), 6) as r from fp group by f1, f2 having count(*) >= 8")
 def corr_pairwise_pearson(spark, d):
-    return rounded(A.pairwise_correlations(_features(spark, d, THREE), "pearson").select("f1", "f2", "n", "r"))
-
-
-@whole("corr_pairwise_pearson_all", "corr_pairwise_pearson", _ONLY_THREE)
-def corr_pairwise_pearson_all(spark, d):
     return rounded(A.pairwise_correlations(_features(spark, d), "pearson").select("f1", "f2", "n", "r"))
 
 
 @query("corr_pairwise_spearman", with_(COUNTS, LOGCPM, SETS, META, _Z, _FEATS, _FPAIRS, "fr as (select f1, f2, rank() over (partition by f1, f2 order by x) + (count(*) over (partition by f1, f2, x) - 1) / 2.0 as x, rank() over (partition by f1, f2 order by y) + (count(*) over (partition by f1, f2, y) - 1) / 2.0 as y from fp)") + "select f1, f2, count(*) as n, round(corr(x, y), 6) as r from fr group by f1, f2 having count(*) >= 8")
 def corr_pairwise_spearman(spark, d):
-    return rounded(A.pairwise_correlations(_features(spark, d, THREE), "spearman").select("f1", "f2", "n", "r"))
-
-
-@whole("corr_pairwise_spearman_all", "corr_pairwise_spearman", _ONLY_THREE)
-def corr_pairwise_spearman_all(spark, d):
     return rounded(A.pairwise_correlations(_features(spark, d), "spearman").select("f1", "f2", "n", "r"))
 
 
@@ -720,21 +686,11 @@ meds as (select cluster, sample as medoid from mt qualify row_number() over (par
 
 @query("medoids", with_(POINTS, LABELS, _MED) + "select cluster, medoid from meds")
 def medoids(spark, d):
-    return K.medoids(X.components(spark, d, FIRST), X.embedding_labels(spark, d))
-
-
-@whole("medoids_all", "medoids", *ALL)
-def medoids_all(spark, d):
     return K.medoids(X.components(spark, d), X.embedding_labels(spark, d))
 
 
 @query("cohen_hedges", with_(POINTS, LABELS, _MED, "st as (select cluster, component, count(*) as n, avg(value) as m, stddev_samp(value) as s from points join part_ using (sample) group by all)", "at_ as (select meds.cluster, component, medoid, value as v from meds join points on points.sample = medoid)", "f as (select * from st join at_ using (cluster, component))", "x as (select a.component, a.cluster as cluster1, b.cluster as cluster2, a.n as n1, b.n as n2, a.m - b.m as difference, a.v - b.v as medoid_difference, sqrt(((a.n - 1) * a.s ** 2 + (b.n - 1) * b.s ** 2) / (a.n + b.n - 2)) as pooled_sd from f a join f b on a.component = b.component and a.cluster < b.cluster)") + "select component, cluster1, cluster2, n1, n2, round(difference, 6) as difference, round(medoid_difference, 6) as medoid_difference, round(pooled_sd, 6) as pooled_sd, round(difference / pooled_sd, 6) as cohen_d, round(difference / pooled_sd * (1 - 3 / (4.0 * (n1 + n2 - 2) - 1)), 6) as hedges_g from x")
 def cohen_hedges(spark, d):
-    return _contrasts(X.components(spark, d, FIRST), X.embedding_labels(spark, d))
-
-
-@whole("cohen_hedges_all", "cohen_hedges", *ALL)
-def cohen_hedges_all(spark, d):
     return _contrasts(X.components(spark, d), X.embedding_labels(spark, d))
 
 
@@ -751,25 +707,15 @@ gq as (select *, quadratic / sum(quadratic) over (partition by cluster1, cluster
 
 @query("global_contributions", with_(POINTS, LABELS, _GLOB) + "select cluster1, cluster2, component, round(difference, 6) as difference, round(quadratic, 6) as quadratic, round(relative, 6) as relative, rank::int as rank from gq")
 def global_contributions(spark, d):
-    return rounded(K.global_contributions(X.components(spark, d, FIRST), X.embedding_labels(spark, d)))
-
-
-@whole("global_contributions_all", "global_contributions", *ALL)
-def global_contributions_all(spark, d):
     return rounded(K.global_contributions(X.components(spark, d), X.embedding_labels(spark, d)))
 
 
 @query("global_distance", with_(POINTS, LABELS, _GLOB) + "select cluster1, cluster2, round(sqrt(sum(quadratic)), 6) as distance, count(*) as n_components, string_agg(component, '|' order by rank) filter (rank <= 3) as leading from gq group by cluster1, cluster2")
 def global_distance(spark, d):
-    return rounded(K.global_distances(K.global_contributions(X.components(spark, d, FIRST), X.embedding_labels(spark, d))))
-
-
-@whole("global_distance_all", "global_distance", *ALL)
-def global_distance_all(spark, d):
     return rounded(K.global_distances(K.global_contributions(X.components(spark, d), X.embedding_labels(spark, d))))
 
 
-_DIMS = "summ as (select p_size as dim, round(avg(p_retailprice) / 1000, 9) as mean from part where p_size <= 12 group by 1)"
+_DIMS = "summ as (select p_size as dim, round(avg(p_retailprice) / 1000, 9) as mean from part group by 1)"
 
 
 def _dims(parts):
@@ -778,11 +724,6 @@ def _dims(parts):
 
 @query("elbow_segmented", with_(_DIMS, "s as (select a.dim, regr_syy(b.mean, b.dim) filter (b.dim <= a.dim) - coalesce(regr_sxy(b.mean, b.dim) filter (b.dim <= a.dim) ** 2 / nullif(regr_sxx(b.mean, b.dim) filter (b.dim <= a.dim), 0), 0) as l, regr_syy(b.mean, b.dim) filter (b.dim > a.dim) - coalesce(regr_sxy(b.mean, b.dim) filter (b.dim > a.dim) ** 2 / nullif(regr_sxx(b.mean, b.dim) filter (b.dim > a.dim), 0), 0) as r, count(*) filter (b.dim <= a.dim) as nl, count(*) filter (b.dim > a.dim) as nr from summ a, summ b group by a.dim)") + "select dim, round(l + r, 6) as sse from s where nl >= 2 and nr >= 2 order by round(l + r, 12), dim limit 1")
 def elbow_segmented(spark, d):
-    return rounded(ica.segmented_elbow(_dims(X.table(spark, d, "part").where("p_size <= 12"))))
-
-
-@whole("elbow_segmented_all", "elbow_segmented", " where p_size <= 12")
-def elbow_segmented_all(spark, d):
     return rounded(ica.segmented_elbow(_dims(X.table(spark, d, "part"))))
 
 
