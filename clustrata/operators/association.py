@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import average_rank, benjamini_hochberg, stars
+from ..functions.expr import average_rank, benjamini_hochberg, stars, variable_kinds
 from ..functions.tails import chi2_sf, corr_p, fisher_p, mann_whitney, normal_p
 
 
@@ -246,6 +247,36 @@ def stratified_tests(scores: DataFrame, strata: DataFrame, min_group: int = 3) -
     return benjamini_hochberg(named, "p", ["stratification", "kind"]).withColumn("stars", stars(F.col("q")))
 
 
+def assemble_features(metadata: DataFrame | None = None, scores: Mapping[str, DataFrame] | None = None, deconvolution: DataFrame | None = None, extra: DataFrame | None = None, samples: DataFrame | None = None, max_levels: int = 6, extra_prefix: str = "ica") -> DataFrame:
+    """(sample, feature, block, family, value): every number known of a sample, one row each; missing ones have no row.
+
+    Families: clinic (columns of the metadata with more than ``max_levels`` numbers), sig (``scores``
+    by method, each (signature, sample, score)), deconv (method, cell_type, sample, fraction) and
+    extra (sample, feature, value). Only samples of ``samples`` count, if given.
+    """
+    parts = []
+
+    def add(df: DataFrame, feature: Column, block: Column, family: str, value: str) -> None:
+        parts.append(df.select("sample", feature.alias("feature"), block.alias("block"), F.lit(family).alias("family"), F.col(value).cast("double").alias("value")))
+
+    columns = [c for c in metadata.columns if c != "sample"] if metadata is not None else []
+    numbers = [r["variable"] for r in variable_kinds(metadata, columns, max_levels).where("kind = 'continuous'").collect()] if columns else []  # one row per column
+    if numbers:
+        long = metadata.unpivot("sample", [F.col(c).cast("double").alias(c) for c in numbers], "feature", "value")
+        add(long, F.concat(F.lit("clinic:"), F.col("feature")), F.lit("clinic"), "clinic", "value")
+    for method, df in (scores or {}).items():
+        add(df, F.concat(F.lit(f"{method}:"), F.col("signature")), F.lit(f"sig_{method}"), "sig", "score")
+    if deconvolution is not None:
+        block = F.concat(F.lit("deconv:"), F.col("method"))
+        add(deconvolution, F.concat(block, F.lit(":"), F.col("cell_type")), block, "deconv", "fraction")
+    if extra is not None:
+        add(extra, F.concat(F.lit(f"{extra_prefix}:"), F.col("feature")), F.lit(extra_prefix), "extra", "value")
+    if not parts:
+        raise ValueError("there is no feature")
+    out = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return out if samples is None else out.join(samples.select("sample").distinct(), "sample", "left_semi")
+
+
 def pairwise_correlations(features: DataFrame, method: str = "spearman", least: int = 8, all_pairs: bool = False) -> DataFrame:
     """(f1, f2, n, r, p, q) of pairs of features over the samples complete in both.
 

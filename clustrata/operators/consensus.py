@@ -112,6 +112,11 @@ def k_summary(pairs: DataFrame, partition: DataFrame, low: float = 0.1, high: fl
     return out.select("k", "pac", "auc", "delta", "silhouette", "min_cluster_size", "mean_cluster_consensus")
 
 
+def by_pac(summary: DataFrame) -> DataFrame:
+    """A summary's rows with ``place``, 1 for the k of least PAC; a row for each k is all that one task orders."""
+    return summary.withColumn("place", F.row_number().over(Window.orderBy("pac", "k")))
+
+
 def suggest_k(summary: DataFrame, method: str = "both", min_cluster_size: int = 10, pac_tol: float = 0.01, min_delta: float = 0.05) -> DataFrame:
     """One row, k: the suggestion of a summary with a row for each k.
 

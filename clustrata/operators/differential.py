@@ -330,8 +330,8 @@ def cluster_differential(counts: DataFrame, partition: DataFrame, mode: str = "b
     return out
 
 
-def clinical_differential(counts: DataFrame, metadata: DataFrame, design: str, variable: str, test: str, control: str, min_count: float = 10) -> DataFrame:
-    """An adjusted test over the samples with one of two levels and all the design's variables."""
+def clinical_differential(counts: DataFrame, metadata: DataFrame, design: str, variable: str, test: str, control: str, min_count: float = 10, min_group: int = 3) -> DataFrame:
+    """An adjusted test over the samples with one of two levels and all the design's variables; each level needs ``min_group`` of them."""
     from .preprocess import min_count_genes
 
     needed = design_variables(design, metadata.columns)
@@ -340,5 +340,9 @@ def clinical_differential(counts: DataFrame, metadata: DataFrame, design: str, v
     complete = metadata.where(F.col(variable).isin(test, control))
     for v in needed:
         complete = complete.where(F.col(v).isNotNull())
+    sizes = {r["level"]: r["count"] for r in complete.groupBy(F.col(variable).cast("string").alias("level")).count().collect()}  # two rows
+    few = [f"{level} has {sizes.get(level, 0)}" for level in (test, control) if sizes.get(level, 0) < min_group]
+    if few:
+        raise ValueError(f"{variable}: each level needs {min_group} complete samples, but {' and '.join(few)}")
     used = min_count_genes(counts.join(complete.select("sample"), "sample", "left_semi"), min_count)
     return wald_test(used, complete.select("sample", *needed), design, variable, test, control)

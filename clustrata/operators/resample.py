@@ -36,6 +36,24 @@ def draw(names: DataFrame, column: str, n_draws: int, prop: float, mode: str = "
     return picked.join(F.broadcast(placed), "_p").groupBy("b", column).agg(F.count("*").alias("times"))
 
 
+def stratified_sample(df: DataFrame, stratum: str, key: str, most: int, seed: int = 0) -> DataFrame:
+    """Up to ``most`` rows of each stratum, those with the least hashes of ``seed:key``; null is a stratum too.
+
+    The limit on the row number is applied by tasks before the shuffle, so a stratum that holds
+    most rows sends ``most`` of them from each task.
+    """
+    number = fresh(df, "_r")
+    order = Window.partitionBy(stratum).orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary")), key)
+    return df.withColumn(number, F.row_number().over(order)).where(F.col(number) <= most).drop(number)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name with as many underscores before it as no column has."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def permute_genes(df: DataFrame, rep: int = 0) -> DataFrame:
     """Each gene's values dealt anew to the samples, by hash order, independently of other genes."""
     by_name = Window.partitionBy("gene").orderBy("sample")

@@ -20,6 +20,23 @@ def mean_z_scores(df: DataFrame, sets: DataFrame) -> DataFrame:
     return z.join(F.broadcast(sets.distinct()), "gene").groupBy("signature", "sample").agg(F.avg("z").alias("score"))
 
 
+def marker_means(df: DataFrame, markers: DataFrame, least: int = 1) -> DataFrame:
+    """(signature, sample, score, n_markers): a cell type's abundance as the mean of its markers' values on a log scale.
+
+    markers: (signature, gene); types with fewer than ``least`` markers in the matrix have no score.
+    """
+    met = df.where(F.col("value").isNotNull()).join(markers.select("signature", "gene").distinct(), "gene")
+    out = met.groupBy("signature", "sample").agg(F.avg("value").alias("score"), F.count("*").alias("n_markers"))
+    return out.where(F.col("n_markers") >= least)
+
+
+def standardised(scores: DataFrame) -> DataFrame:
+    """(signature, sample, z): scores centred and scaled within a signature (sample sd; 1 where it is 0 or unknown)."""
+    by = Window.partitionBy("signature")
+    sd = F.coalesce(F.stddev_samp("score").over(by), F.lit(0.0))
+    return scores.select("signature", "sample", ((F.col("score") - F.avg("score").over(by)) / F.when(sd == 0, 1.0).otherwise(sd)).alias("z"))
+
+
 def ssgsea(df: DataFrame, sets: DataFrame, alpha: float = 0.25, min_size: int = 3) -> DataFrame:
     """(signature, sample, es, nes): the integral of the running difference, in closed form over the hits.
 
@@ -149,6 +166,18 @@ def run_manifest(tasks: DataFrame, results: DataFrame, keys: list[str]) -> DataF
     return full.select(*keys, F.when(F.col("n_pathways").isNull(), "empty").otherwise("ok").alias("status"), F.coalesce("n_pathways", F.lit(0)).alias("n_pathways"))
 
 
+def missing_tasks(tasks: DataFrame, results: DataFrame, keys: list[str]) -> DataFrame:
+    """The tasks (keys..) that left no result."""
+    return tasks.select(*keys).distinct().join(results.select(*keys).distinct(), keys, "left_anti")
+
+
+def best_pathways(results: DataFrame, n: int = 5, by: str = "contrast") -> DataFrame:
+    """The ``n`` sets of each contrast with the largest |NES|, by ``place``; equal ones by name."""
+    order = Window.partitionBy(by).orderBy(F.desc(F.abs("nes")), "signature")
+    known = results.where(F.col("nes").isNotNull() & ~F.isnan("nes"))
+    return known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+
+
 def top_signatures(results: DataFrame, n: int = 8, p_max: float = 0.05) -> DataFrame:
     """(signature, best, significant): up to n signatures below the limit, else the n best regardless."""
     best = results.groupBy("signature").agg(F.min("q").alias("best"))

@@ -19,6 +19,7 @@ from ..operators import resample as R
 from ..operators import signatures as S
 from ..sources import tables as T
 from . import fixtures as X
+from . import report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -273,6 +274,11 @@ def consensus_auc_delta(spark, d):
     return rounded(C.delta_k(C.cdf_area(_consensus(spark, d))))
 
 
+@query("k_by_pac", with_(*_CHAIN, _PAC) + "select k::int as k, round(pac, 6) as pac, row_number() over (order by pac, k)::int as place from pacs")
+def k_by_pac(spark, d):
+    return rounded(C.by_pac(C.pac(_consensus(spark, d))))
+
+
 @query("consensus_pac", with_(*_CHAIN, _PAC) + "select k::int as k, round(pac, 6) as pac from pacs")
 def consensus_pac(spark, d):
     return rounded(C.pac(_consensus(spark, d)))
@@ -583,6 +589,19 @@ def corr_pairwise_spearman(spark, d):
     return rounded(A.pairwise_correlations(_features(spark, d), "spearman").select("f1", "f2", "n", "r"))
 
 
+_ES = "rk as (select sample, gene, row_number() over (partition by sample order by value desc, gene) as pos, count(*) over (partition by sample) as n from counts), h as (select signature, sample, n, (n - pos + 1) as r, (n - pos + 1) ** 0.25 as w from rk join sets using (gene)), e as (select signature, sample, sum(w * r) / sum(w) - (any_value(n) * (any_value(n) + 1) / 2 - sum(r)) / (any_value(n) - count(*)) as es from h group by all having count(*) >= 3)"
+
+
+@query("feature_assembly", with_(COUNTS, LOGCPM, SETS, META, _Z, _ES) + "select sample, 'clinic:acctbal' as feature, 'clinic' as block, 'clinic' as family, round(acctbal, 6) as value from meta where acctbal is not null union all select sample, 'mean:' || signature, 'sig_mean', 'sig', round(score, 6) from scores union all select sample, 'ssgsea:' || signature, 'sig_ssgsea', 'sig', round(es, 6) from e union all select sample, 'deconv:share:' || gene, 'deconv:share', 'deconv', round(value / lib, 6) from counts join libs using (sample) union all select s_suppkey, 'ica:nation', 'ica', 'extra', s_nationkey::double from supplier")
+def feature_assembly(spark, d):
+    counts = X.counts(spark, d)
+    share = counts.join(counts.groupBy("sample").agg(F.sum("value").alias("lib")), "sample").select(F.lit("share").alias("method"), F.col("gene").alias("cell_type"), "sample", (F.col("value") / F.col("lib")).alias("fraction"))
+    extra = X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample"), F.lit("nation").alias("feature"), F.col("s_nationkey").alias("value"))
+    ssgsea = S.ssgsea(counts, X.gene_sets(spark, d)).select("signature", "sample", F.col("es").alias("score"))
+    scores = {"mean": _scores(spark, d).withColumn("score", F.round("score", 9)), "ssgsea": ssgsea}
+    return rounded(A.assemble_features(X.metadata(spark, d).select("sample", "acctbal", "tier"), scores, share, extra))
+
+
 @query("corr_clinic_matrix")
 def corr_clinic_matrix(spark, d):
     return rounded(A.correlation_matrix(A.pairwise_correlations(_features(spark, d), "pearson"), ["acctbal"]))
@@ -655,8 +674,7 @@ def top_signatures(spark, d):
 
 @query("best_pathways", with_(_RES) + "select contrast, signature, round(nes, 6) as nes from res qualify row_number() over (partition by contrast order by abs(nes) desc, signature) <= 5")
 def best_pathways(spark, d):
-    order = Window.partitionBy("contrast").orderBy(F.desc(F.abs("nes")), "signature")
-    return rounded(_results(spark, d).withColumn("r", F.row_number().over(order)).where("r <= 5").select("contrast", "signature", "nes"))
+    return rounded(S.best_pathways(_results(spark, d)).select("contrast", "signature", "nes"))
 
 
 @query("deconv_mean_by_cluster", with_(COUNTS, TIERS, "m as (select gene as kind, cluster, avg(value) as mean from counts join tiers using (sample) where k = 3 group by all)") + "select kind, cluster, round(mean, 6) as mean, round((mean - avg(mean) over w) / case when coalesce(stddev_samp(mean) over w, 0) = 0 then 1 else stddev_samp(mean) over w end, 6) as z from m window w as (partition by kind)")
@@ -673,10 +691,28 @@ def level_shares(spark, d):
 
 @query("signature_z", with_(COUNTS, LOGCPM, SETS, _Z) + "select signature, sample, round((score - avg(score) over w) / stddev_samp(score) over w, 5) as z from scores window w as (partition by signature)")
 def signature_z(spark, d):
-    by = Window.partitionBy("signature")
-    s = _scores(spark, d).withColumn("score", F.round("score", 9))
-    return s.select("signature", "sample", F.round((F.col("score") - F.avg("score").over(by)) / F.stddev_samp("score").over(by), 5).alias("z"))
+    return rounded(S.standardised(_scores(spark, d).withColumn("score", F.round("score", 9))), 5)
+
+
+@query("marker_means", with_(COUNTS, LOGCPM, SETS) + "select signature, sample, round(avg(value), 6) as score, count(*) as n_markers from logs join sets using (gene) group by all having count(*) >= 3")
+def marker_means(spark, d):
+    return rounded(S.marker_means(P.log_cpm(X.counts(spark, d)), X.gene_sets(spark, d), 3))
+
+
+@query("box_plot", with_(COUNTS, LOGCPM, SETS, META, _Z) + "select signature, region as level, count(*) as n, round(min(score), 6) as min, round(quantile_cont(score, 0.25), 6) as q1, round(median(score), 6) as median, round(quantile_cont(score, 0.75), 6) as q3, round(max(score), 6) as max from scores join meta using (sample) group by all")
+def box_plot(spark, d):
+    scores = _scores(spark, d).withColumn("score", F.round("score", 9))
+    return rounded(report.box_plot(scores, X.metadata(spark, d).select("sample", F.col("region").alias("level"))))
+
+
+@query("histogram", "with s as (select min(o_totalprice) as lo, (max(o_totalprice) - min(o_totalprice)) / 20 as w from orders) select b as bin, round(any_value(lo) + b * any_value(w), 4) as low, round(any_value(lo) + (b + 1) * any_value(w), 4) as high, count(*) as n from (select least(floor((o_totalprice - lo) / w), 19)::int as b, lo, w from orders, s) group by b")
+def histogram(spark, d):
+    return rounded(report.histogram(X.table(spark, d, "orders"), "o_totalprice", 20), 4)
+
 
+@query("stratified_sample", "select o_orderpriority, o_orderkey from orders qualify row_number() over (partition by o_orderpriority order by md5('7:' || o_orderkey::varchar), o_orderkey) <= 200")
+def stratified_sample(spark, d):
+    return R.stratified_sample(X.table(spark, d, "orders").select("o_orderpriority", "o_orderkey"), "o_orderpriority", "o_orderkey", 200, 7)
 
 # Comparison of clusters -----------------------------------------------------------------
 _MED = """md as (select a.cluster, a.sample, b.sample as other, sqrt(sum((a.value - b.value) ** 2)) as d from (select p.*, cluster from points p join part_ using (sample)) a join (select p.*, cluster from points p join part_ using (sample)) b on a.cluster = b.cluster and a.component = b.component group by all),
@@ -755,4 +791,4 @@ def signature_table(spark, d):
 @query("missing_tasks", with_(_RES) + "select 'c' || i::varchar as contrast from range(1, 6) t(i) where 'c' || i::varchar not in (select contrast from res)")
 def missing_tasks(spark, d):
     tasks = spark.range(1, 6).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("contrast"))
-    return tasks.join(_results(spark, d).select("contrast").distinct(), "contrast", "left_anti")
+    return S.missing_tasks(tasks, _results(spark, d), ["contrast"])

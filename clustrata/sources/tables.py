@@ -36,6 +36,15 @@ def numeric_gene_share(df: DataFrame) -> float:
     return df.select("gene").distinct().agg(F.avg(F.col("gene").rlike("^[0-9]+$").cast("double"))).first()[0] or 0.0
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table made elsewhere: Parquet, or a csv or tsv with a header; ``sample`` is text."""
+    if re.search(r"\.(parquet|pq)$", path):
+        df = spark.read.parquet(path)
+    else:
+        df = spark.read.csv(path, sep="\t" if re.search(r"\.(tsv|txt)(\.gz)?$", path) else ",", header=True, inferSchema=True)
+    return df.withColumn("sample", F.col("sample").cast("string")) if "sample" in df.columns else df
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """A csv or tsv by its header's more frequent delimiter; the first column becomes ``sample``, text."""
     first = spark.read.text(path).first()

@@ -77,6 +77,44 @@ def test_blocks(tmp_path):
     assert config.enabled(options["deconv_methods"]) == {"one": {}, "three": {"q": 1}}
 
 
+def test_other_forms_of_blocks(tmp_path, monkeypatch):
+    monkeypatch.setenv("HOME", "/home/me")
+    options, warnings = load(tmp_path, {
+        "gsea_collections": {"h": {"enabled": "y", "path": "~/h.gmt"}, "off": {"enabled": False, "path": "o.gmt"}, "none": {"enabled": "y"}},
+        "load_kegg": "k.gmt",
+        "ordinal_variables": ["grade"],
+        "clinical_degsea": {"enabled": True, "experiments": {
+            "a": {"design": "~ arm", "contrast": "arm", "test": "b", "control": "a", "collections": ["kegg"], "min_group": 5},
+            "b": {"design": "~ arm", "contraste": "arm", "test": "b", "control": "a"},
+            "c": {"enabled": "n"},
+        }},
+        "ica_resampling": "bootstrap",
+    })
+    assert config.collections(options) == {"h": "/home/me/h.gmt", "kegg": "k.gmt"}
+    assert options["ordinal_variables"] == {"grade": None}
+    one, two = options["clinical_degsea"]
+    assert (one["variable"], one["min_group"], two["variable"]) == ("arm", 5, "arm")
+    assert config.experiment_collections(options, one) == {"kegg": "k.gmt"}
+    assert config.experiment_collections(options, two) == config.collections(options)
+    assert config.experiment_collections(options, two | {"collections": "~/own.gmt"}) == {"own": "/home/me/own.gmt"}
+    assert any("ica_resampling" in w for w in warnings) and not any("n_jobs" in w for w in warnings)
+    with pytest.raises(config.ConfigError, match="reactome"):
+        load(tmp_path, {"clinical_degsea": {"a": {"design": "~ x", "contrast": "x", "test": 1, "control": 2, "collections": ["reactome"]}}})
+    assert load(tmp_path, {"clinical_degsea": {"enabled": "n", "a": {}}})[0]["clinical_degsea"] == []
+
+
+def test_log_file(tmp_path):
+    import logging
+
+    from clustrata.plans import pipeline
+
+    handler = pipeline.log_file(str(tmp_path / "deep"), "run.log")
+    handler.emit(logging.LogRecord("x", logging.INFO, "", 0, "hello", None, None))
+    handler.close()
+    assert (tmp_path / "deep/run.log").read_text().endswith("INFO x hello\n")
+    assert pipeline.log_file("s3://bucket/out", "run.log") is None
+
+
 def test_missing_file():
     with pytest.raises(config.ConfigError, match="exist"):
         config.load(["--config", "/none.yaml"])
@@ -98,12 +136,19 @@ def test_whole_run(spark, tmp_path):
     wide.to_csv(tmp_path / "counts.csv")
     meta.toPandas().to_csv(tmp_path / "meta.csv", index=False)
     (tmp_path / "sets.gmt").write_text("A\tna\t" + "\t".join(wide.index[10:40]) + "\nB\tna\t" + "\t".join(wide.index[60:100]) + "\n")
+    cells = meta.toPandas()[["sample", "purity"]].rename(columns={"purity": "fraction"})
+    cells.assign(method="m", cell_type="T").to_csv(tmp_path / "cells.csv", index=False)
     options, _ = config.load([
         "--counts", str(tmp_path / "counts.csv"), "--metadata", str(tmp_path / "meta.csv"), "--outdir", str(tmp_path / "out"), "--color-by", "true_subtype",
         "--norm-method", "logcpm", "--n-resamples", "8", "--k-min", "3", "--k-max", "3", "--run-ica", "n", "--compute-signatures", "y", "--signatures-gmt", str(tmp_path / "sets.gmt"),
-        "--no-umap", "--min-cluster-size", "3", "--chi2-mc-resamples", "10", "--run-correlations", "n",
+        "--no-umap", "--min-cluster-size", "3", "--chi2-mc-resamples", "10",
+        "--run-deconv", "y", "--deconv-table", str(tmp_path / "cells.csv"), "--purity-table", str(tmp_path / "meta.csv"), "--purity-threshold", "0.3",
     ])
     done = Pipeline(spark, options).run()
     assert done.branch.k == 3 and (tmp_path / "out/report.html").exists() and (tmp_path / "out/run_params.json").exists()
     assert {"k_selection", "assignments", "branch_stability", "embeddings", "associations", "scores_mean_z", "signature_group_tests", "crosstab_true_subtype"} <= set(done.results)
+    assert {"signature_associations", "top_signatures", "signature_boxes", "deconvolution", "features", "feature_correlations", "feature_clinic_matrix"} <= set(done.results)
+    assert set(r[0] for r in done.results["features"].select("feature").distinct().collect()) == {"clinic:purity", "mean:A", "mean:B", "ssgsea:A", "ssgsea:B", "deconv:m:T"}
+    same = done.results["feature_correlations"].where("f1 = 'clinic:purity' and f2 = 'deconv:m:T'").first()
+    assert abs(same["r"] - 1) < 1e-9
     assert done.results["assignments"].where(f"k = {done.branch.k}").count() == 40

@@ -237,3 +237,39 @@ def test_streaming_assignment(spark, tmp_path):
     q = assign.assign_stream(stream, known, str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 12
+
+
+def test_stratified_sample(spark):
+    from clustrata.operators.resample import stratified_sample
+
+    rows = [("a", i) for i in range(50)] + [("b", 100), (None, 200), (None, None)]
+    df = spark.createDataFrame(rows, "_r string, id int")
+    found = [tuple(r) for r in stratified_sample(df, "_r", "id", 7, 1).collect()]
+    assert stratified_sample(df, "_r", "id", 7, 1).columns == ["_r", "id"]
+    assert sum(r[0] == "a" for r in found) == 7 and ("b", 100) in found and sum(r[0] is None for r in found) == 2
+    assert sorted(map(repr, found)) == sorted(repr(tuple(r)) for r in stratified_sample(df.repartition(5), "_r", "id", 7, 1).collect())
+    assert stratified_sample(df.limit(0), "_r", "id", 7).count() == 0
+
+
+def test_marker_means_and_missing_tasks(spark):
+    from clustrata.operators import signatures as s
+
+    logs = spark.createDataFrame([("s1", "g1", 1.0), ("s1", "g2", 3.0), ("s1", "g3", None), ("s2", "g1", 5.0)], "sample string, gene string, value double")
+    markers = spark.createDataFrame([("T", "g1"), ("T", "g2"), ("T", "g2"), ("T", "g3"), ("B", "g9")], "signature string, gene string")
+    assert sorted(tuple(r) for r in s.marker_means(logs, markers).collect()) == [("T", "s1", 2.0, 2), ("T", "s2", 5.0, 1)]
+    assert [tuple(r) for r in s.marker_means(logs, markers, 2).collect()] == [("T", "s1", 2.0, 2)]
+    results = spark.createDataFrame([("a", "x", 2.0), ("a", "y", -3.0), ("a", "z", float("nan")), ("a", "w", 3.0)], "contrast string, signature string, nes double")
+    assert [r["signature"] for r in s.best_pathways(results, 2).orderBy("place").collect()] == ["w", "y"]
+    tasks = spark.createDataFrame([("a",), ("b",), ("b",)], "contrast string")
+    assert [r[0] for r in s.missing_tasks(tasks, results, ["contrast"]).collect()] == ["b"]
+
+
+def test_assembled_features(spark):
+    from clustrata.operators.association import assemble_features
+
+    meta = spark.createDataFrame([(f"s{i}", float(i) if i else None, i % 2) for i in range(9)], "sample string, age double, arm int")
+    scores = spark.createDataFrame([("A", "s1", 1.5), ("A", "s2", float("nan"))], "signature string, sample string, score double")
+    found = assemble_features(meta, {"mean": scores}, samples=meta.where("sample in ('s0', 's1', 's2')"))
+    assert sorted(tuple(r) for r in found.collect()) == [("s1", "clinic:age", "clinic", "clinic", 1.0), ("s1", "mean:A", "sig_mean", "sig", 1.5), ("s2", "clinic:age", "clinic", "clinic", 2.0)]
+    with pytest.raises(ValueError, match="no feature"):
+        assemble_features(meta.select("sample"))
