@@ -127,6 +127,34 @@ def test_settings():
     assert (s.k_min, s.tsne_dim, s.compute_jaccard, s.run_chi2, s.k_final) == (2, 3, False, True, None)
 
 
+def test_tables_from_scores_and_fractions(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from clustrata.plans.pipeline import Pipeline
+    from clustrata.sources import tables
+
+    names = [f"s{i:02d}" for i in range(12)]
+    counts = spark.createDataFrame([(s, f"g{g:02d}", float((i * 7 + g * 5) % 11 + g)) for i, s in enumerate(names) for g in range(20)], "sample string, gene string, value double")
+    meta = spark.createDataFrame([(s, float(i), "ab"[i % 2]) for i, s in enumerate(names)], "sample string, age double, arm string")
+    (tmp_path / "sets.gmt").write_text("A\tna\t" + "\t".join(f"g{g:02d}" for g in range(8)) + "\nB\tna\t" + "\t".join(f"g{g:02d}" for g in range(8, 15)) + "\n")
+    (tmp_path / "cells.csv").write_text("method,cell_type,sample,fraction\n" + "".join(f"m,T,{s},{i}\n" for i, s in enumerate(names)))
+    options, _ = load(tmp_path, {"outdir": str(tmp_path / "out"), "compute_signatures": "y", "signatures_gmt": str(tmp_path / "sets.gmt"), "run_deconv": "y", "deconv_table": str(tmp_path / "cells.csv"), "deconv_methods": {"mean": {"markers": str(tmp_path / "sets.gmt")}, "other": "y"}, "ordinal_variables": ["arm"]})
+    run = Pipeline(spark, options)
+    run.raw, run.matrix, run.metadata, run.scores = counts, counts, meta, {}
+    partition = meta.selectExpr("3 as k", "sample", "cast(age as int) % 3 + 1 as cluster")
+    run.branch = SimpleNamespace(tables={"partition": partition}, k=3)
+    assert run._ordinal() == {"arm": ["a", "b"]}
+    run._signatures()
+    run._correlations(run._deconvolution(None))
+    assert {"signature_associations", "top_signatures", "signature_boxes", "deconvolution_fractions", "features", "feature_correlations", "feature_clinic_matrix"} <= set(run.results)
+    features = {r[0] for r in run.results["features"].select("feature").distinct().collect()}
+    assert features == {"clinic:age", "mean:A", "mean:B", "ssgsea:A", "ssgsea:B", "deconv:m:T", "deconv:mean:A", "deconv:mean:B"}
+    same = run.results["feature_correlations"].where("f1 = 'clinic:age' and f2 = 'deconv:m:T'").first()
+    assert abs(same["r"] - 1) < 1e-9
+    assert run.results["signature_boxes"].count() == 6
+    assert tables.read_table(spark, str(tmp_path / "cells.csv")).columns == ["method", "cell_type", "sample", "fraction"]
+
+
 def test_whole_run(spark, tmp_path):
     from clustrata.plans.pipeline import Pipeline
     from clustrata.sources import tables
@@ -136,19 +164,12 @@ def test_whole_run(spark, tmp_path):
     wide.to_csv(tmp_path / "counts.csv")
     meta.toPandas().to_csv(tmp_path / "meta.csv", index=False)
     (tmp_path / "sets.gmt").write_text("A\tna\t" + "\t".join(wide.index[10:40]) + "\nB\tna\t" + "\t".join(wide.index[60:100]) + "\n")
-    cells = meta.toPandas()[["sample", "purity"]].rename(columns={"purity": "fraction"})
-    cells.assign(method="m", cell_type="T").to_csv(tmp_path / "cells.csv", index=False)
     options, _ = config.load([
         "--counts", str(tmp_path / "counts.csv"), "--metadata", str(tmp_path / "meta.csv"), "--outdir", str(tmp_path / "out"), "--color-by", "true_subtype",
         "--norm-method", "logcpm", "--n-resamples", "8", "--k-min", "3", "--k-max", "3", "--run-ica", "n", "--compute-signatures", "y", "--signatures-gmt", str(tmp_path / "sets.gmt"),
-        "--no-umap", "--min-cluster-size", "3", "--chi2-mc-resamples", "10",
-        "--run-deconv", "y", "--deconv-table", str(tmp_path / "cells.csv"), "--purity-table", str(tmp_path / "meta.csv"), "--purity-threshold", "0.3",
+        "--no-umap", "--min-cluster-size", "3", "--chi2-mc-resamples", "10", "--run-correlations", "n",
     ])
     done = Pipeline(spark, options).run()
     assert done.branch.k == 3 and (tmp_path / "out/report.html").exists() and (tmp_path / "out/run_params.json").exists()
     assert {"k_selection", "assignments", "branch_stability", "embeddings", "associations", "scores_mean_z", "signature_group_tests", "crosstab_true_subtype"} <= set(done.results)
-    assert {"signature_associations", "top_signatures", "signature_boxes", "deconvolution", "features", "feature_correlations", "feature_clinic_matrix"} <= set(done.results)
-    assert set(r[0] for r in done.results["features"].select("feature").distinct().collect()) == {"clinic:purity", "mean:A", "mean:B", "ssgsea:A", "ssgsea:B", "deconv:m:T"}
-    same = done.results["feature_correlations"].where("f1 = 'clinic:purity' and f2 = 'deconv:m:T'").first()
-    assert abs(same["r"] - 1) < 1e-9
     assert done.results["assignments"].where(f"k = {done.branch.k}").count() == 40
