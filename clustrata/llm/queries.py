@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, line_dedup, ngram_lm, suffix_dedup, toxicity, url_filter
+from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, line_dedup, merkle, ngram_lm, suffix_dedup, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +100,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    tampered = F.when(even, F.translate("text", "\n", ""))
+    out = merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"), claimed={"text": tampered}))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +127,52 @@ select doc_id,
 from d
 """
 
+#: crc32 bit by bit over the decimal digits of an id
+_CRC = """xor(list_reduce(list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint),
+  lambda c, b: list_reduce([xor(c, b), 1, 2, 3, 4, 5, 6, 7, 8], lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end), 4294967295::bigint), 4294967295::bigint)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, base: str) -> str:
+    """Levels of a forest over (g, i, n, h)."""
+    return f"""{name} as (select 0 as l, g, i, n, h from ({base})
+  union all select l + 1, g, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i)) from {name} where n > 1 group by l, g, i // 3, n)"""
+
+
+OP11_SQL = f"""
+with recursive d as (
+  select doc_id, coalesce('=' || source, '-') as g, {_leaf("text")} as leaf,
+         case when {_CRC} % 2 = 0 then {_leaf("replace(text, chr(10), '')")} else {_leaf("text")} end as claim
+  from documents
+), placed as (select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by g) as n from d),
+{_tree("t", "select g, i, n, leaf as h from placed")},
+subroots as (select g, h from t where n = 1),
+{_tree("u", "select '' as g, row_number() over (order by g) - 1 as i, count(*) over () as n, h from subroots")},
+ways as (
+  select p.doc_id, p.g, p.i, t.l, t.i as ti, t.h, (p.i // (3 ** t.l)::bigint) as own from placed p join t on t.g = p.g and t.n > 1 and t.i // 3 = (p.i // (3 ** t.l)::bigint) // 3
+  union all
+  select p.doc_id, p.g, p.i, 100 + u.l, u.i, u.h, (s.i // (3 ** u.l)::bigint) from placed p join (select g, row_number() over (order by g) - 1 as i from subroots) s using (g) join u on u.n > 1 and u.i // 3 = (s.i // (3 ** u.l)::bigint) // 3
+), steps as (
+  select doc_id, g, i, l, coalesce(string_agg(h, '' order by ti) filter (ti < own), '') as lhs, coalesce(string_agg(h, '' order by ti) filter (ti > own), '') as rhs,
+         row_number() over (partition by doc_id, g, i order by l) as k
+  from ways group by doc_id, g, i, l, own
+), folds as (
+  select doc_id, g, i, 0::bigint as k, claim as h from placed
+  union all
+  select f.doc_id, f.g, f.i, s.k, sha256(s.lhs || f.h || s.rhs) from folds f join steps s on s.doc_id = f.doc_id and s.g = f.g and s.i = f.i and s.k = f.k + 1
+), ends as (select doc_id, g, i, arg_max(h, k) as folded from folds group by doc_id, g, i),
+proofs as (select doc_id, g, i, string_agg(lhs || rhs, '' order by l) as proof from steps group by doc_id, g, i)
+select p.doc_id, p.leaf, s.h as subroot, r.h as root, sha256(coalesce(q.proof, '')) as proof_sha256, e.folded as folded_root, e.folded = r.h as verified
+from placed p join subroots s using (g) join ends e using (doc_id, g, i) left join proofs q using (doc_id, g, i), (select h from u where n = 1) r
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -131,7 +184,8 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_html_text": op9_html_text,
     "op10_url_filter": op10_url_filter,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
+SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_merkle_manifest": OP11_SQL}
