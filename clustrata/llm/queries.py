@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, line_dedup, merkle, ngram_lm, suffix_dedup, toxicity, url_filter
+from . import bpe, decontam, exact_dedup, html_extract, jaccard_join, line_dedup, merkle, ngram_lm, pii, suffix_dedup, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +107,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return out.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -185,6 +191,7 @@ QUERIES: dict[str, Query] = {
     "op9_html_text": op9_html_text,
     "op10_url_filter": op10_url_filter,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_pii": op12_pii,
     "pipeline": pipeline,
 }
 
