@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import average_rank, benjamini_hochberg, stars, variable_kinds
-from ..functions.tails import chi2_sf, corr_p, fisher_p, mann_whitney, normal_p
+from ..functions.tails import corr_p, fisher_p, mann_whitney
 
 
 def contingency(df: DataFrame, row: str, col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -103,50 +103,6 @@ def fisher_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return out.withColumn("p", fisher_p("a", "b", "c", "d"))
 
 
-def association_test(df: DataFrame, row: str, col: str, key: str, row_order: Sequence[str] | None = None, col_order: Sequence[str] | None = None, resamples: int = 2000) -> DataFrame:
-    """One row: the test that fits the table, its statistic and p, Pearson's chi-square and Cramer's V.
-
-    Sparse two-by-two tables take Fisher's exact test, other sparse ones the permutation test;
-    otherwise an ordinal axis takes the trend test and the rest Pearson's.
-    """
-    cells = contingency(df, row, col)
-    stats = table_statistics(cells)
-    found = stats.first()
-    out = stats.withColumn("p_chi2", chi2_sf("chi2", "dof"))
-    if found is None or found["n_rows"] is None or found["n_rows"] < 2 or found["n_cols"] < 2:
-        return out.select(F.lit("none").alias("test"), F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("p"), "chi2", "dof", "n", "conditions_met", "cramers_v")
-    if not found["conditions_met"]:
-        if found["n_rows"] == found["n_cols"] == 2:
-            p = fisher_cells(cells).select(F.lit("fisher").alias("test"), F.lit(None).cast("double").alias("statistic"), "p")
-        else:
-            p = monte_carlo_chi2(df, row, col, resamples, key).select(F.lit("monte_carlo").alias("test"), F.col("chi2").alias("statistic"), "p")
-    elif row_order or col_order:
-        sides = {}
-        for side, order, count in (("row", row_order, found["n_rows"]), ("col", col_order, found["n_cols"])):
-            if order:
-                sides[side] = axis_scores(F.col(side), order)
-            elif count == 2:
-                sides[side] = F.dense_rank().over(Window.orderBy(side)) - 1
-        if len(sides) == 2:
-            scored = cells.withColumns({"_a": sides["row"], "_b": sides["col"]})
-            p = trend_statistic(scored, F.col("_a"), F.col("_b")).select(F.lit("trend").alias("test"), F.col("m2").alias("statistic"), normal_p(F.sqrt("m2")).alias("p"))
-        else:
-            p = out.select(F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"), F.col("p_chi2").alias("p"))
-    else:
-        p = out.select(F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"), F.col("p_chi2").alias("p"))
-    return p.crossJoin(stats.select("chi2", "dof", "n", "conditions_met", "cramers_v"))
-
-
-def association_suite(df: DataFrame, pairs: Sequence[tuple[str, str]], key: str, orders: Mapping[str, Sequence[str]] | None = None, resamples: int = 2000) -> DataFrame:
-    """The tests of several pairs of columns with one false-discovery family."""
-    orders = orders or {}
-    spark = df.sparkSession
-    # a test is one row: gathered, the rows of all pairs don't pile up into one plan
-    rows = [(a, b, *association_test(df, a, b, key, orders.get(a), orders.get(b), resamples).first()) for a, b in pairs]
-    out = spark.createDataFrame(rows, "var1 string, var2 string, test string, statistic double, p double, chi2 double, dof bigint, n bigint, conditions_met boolean, cramers_v double")
-    return benjamini_hochberg(out, "p").withColumn("stars", stars(F.col("q")))
-
-
 def _long_groups(scores: DataFrame, groups: DataFrame) -> DataFrame:
     """(.., signature, level, score) of the complete rows."""
     return scores.join(groups.where(F.col("level").isNotNull()), "sample").where(F.col("score").isNotNull())

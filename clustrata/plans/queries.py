@@ -12,6 +12,7 @@ from ..functions.tails import chi2_sf
 from ..operators import association as A
 from ..operators import compare as K
 from ..operators import consensus as C
+from ..operators import crosstabs
 from ..operators import distance as D
 from ..operators import ica, nullcheck, stability
 from ..operators import preprocess as P
@@ -512,10 +513,75 @@ def fisher_2x2(spark, d):
     return rounded(A.fisher_cells(A.contingency(X.table(spark, d, "labels"), "quality", "toxic")))
 
 
-@query("association_suite")
+def _suite_sql(wide: str, pairs: list[tuple[str, str]], orders: dict[str, list[str]]) -> tuple[str, ...]:
+    """Cells and tests of pairs of columns of ``wide``; p by the series of the incomplete gamma function and by the hypergeometric sum."""
+    each = " union all ".join(f"select '{a}' as var1, '{b}' as var2, {a}::varchar as row, {b}::varchar as col from {wide} where {a} is not null and {b} is not null" for a, b in pairs)
+    place = lambda side, var: "case " + " ".join(f"when {var} = '{v}' then list_position({o}, {side}) - 1" for v, o in orders.items()) + f" else dense_rank() over (partition by var1, var2 order by {side}) - 1 end" if orders else f"dense_rank() over (partition by var1, var2 order by {side}) - 1"
+    named = "(" + ", ".join(f"'{v}'" for v in orders) + ")" if orders else "('')"
+    return (
+        f"long_ as ({each})",
+        """tab as (select r.var1, r.var2, r.row, c.col, coalesce(o, 0) as observed, nr * nc / n as expected, (coalesce(o, 0) - nr * nc / n) / sqrt(nr * nc / n * (1 - nr / n) * (1 - nc / n)) as z, nr, nc, n::bigint as n
+  from (select var1, var2, row, count(*)::double as nr from long_ group by all) r join (select var1, var2, col, count(*)::double as nc from long_ group by all) c using (var1, var2)
+  join (select var1, var2, count(*)::double as n from long_ group by all) t using (var1, var2) left join (select var1, var2, row, col, count(*) as o from long_ group by all) x on x.var1 = r.var1 and x.var2 = r.var2 and x.row = r.row and x.col = c.col)""",
+        f"placed as (select *, {place('row', 'var1')} as u, {place('col', 'var2')} as v, dense_rank() over (partition by var1, var2 order by row) as ri, dense_rank() over (partition by var1, var2 order by col) as ci from tab)",
+        """sums as (select var1, var2, any_value(n) as n, max(ri) as nr, max(ci) as nc, sum((observed - expected) ** 2 / expected) as chi2, min(expected) as mn, avg((expected < 5)::int) as low,
+  sum(observed * u) as su, sum(observed * v) as sv, sum(observed * u * u) as suu, sum(observed * v * v) as svv, sum(observed * u * v) as suv, bool_or(u is null) as lu, bool_or(v is null) as lv,
+  sum(case when ri = 1 and ci = 1 then observed else 0 end) as a, sum(case when ri = 1 and ci = 2 then observed else 0 end) as b, sum(case when ri = 2 and ci = 1 then observed else 0 end) as c, sum(case when ri = 2 and ci = 2 then observed else 0 end) as d
+  from placed group by all having max(ri) > 1 and max(ci) > 1)""",
+        f"""chosen as (select *, mn >= 1 and low <= 0.2 as met, case when not (mn >= 1 and low <= 0.2) then case when nr = 2 and nc = 2 then 'fisher' else 'monte_carlo' end
+  when (var1 in {named} or var2 in {named}) and (case when var1 in {named} then not lu else nr = 2 end) and (case when var2 in {named} then not lv else nc = 2 end) then 'trend' else 'chi2' end as test,
+  (suv - su * sv / n) / sqrt((suu - su * su / n) * (svv - sv * sv / n)) as r from sums)""",
+        """stat as (select *, case when test = 'trend' then 1 else (nr - 1) * (nc - 1) end::bigint as dof, case when test = 'trend' then (n - 1) * r * r else chi2 end as statistic from chosen)""",
+        """hyper as (select var1, var2, a, x, lgamma(a+b+1) - lgamma(x+1) - lgamma(a+b-x+1) + lgamma(c+d+1) - lgamma(a+c-x+1) - lgamma(d-a+x+1) - (lgamma(a+b+c+d+1) - lgamma(a+c+1) - lgamma(b+d+1)) as lp
+  from stat, range(20000) t(x) where test = 'fisher' and x >= greatest(0, a - d) and x <= least(a + b, a + c))""",
+        "fish as (select h.var1, h.var2, least(1, sum(exp(lp))) as p from hyper h join (select var1, var2, lp as top from hyper where x = a) t using (var1, var2) where lp <= top + ln(1 + 1e-7) group by all)",
+        """ps as (select s.*, case when test = 'fisher' then f.p when test = 'monte_carlo' then null when statistic <= 0 then 1 when statistic > 600 then 0
+  else greatest(0, 1 - list_sum(list_transform(range(0, 900), lambda i: exp(-statistic / 2 + (dof / 2 + i) * ln(statistic / 2) - lgamma(dof / 2 + i + 1))))) end as p from stat s left join fish f using (var1, var2))""",
+    )
+
+
+_SUITE = "select var1, var2, test, round(statistic, 6) as statistic, dof, n, round(sqrt(chi2 / (n * (least(nr, nc) - 1))), 6) as cramers_v, round(case when test = 'trend' then r end, 6) as trend_r, met as conditions_met, round(mn, 6) as min_expected, round(low, 6) as share_low, round(p, 6) as p from ps"
+_ORDER_VARS = ["o_orderpriority", "o_orderstatus", "size", "year"]
+_ORDER_LEVELS = {"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], "size": ["small", "medium", "large"]}
+_WIDE_ORDERS = "wide_ as (select o_orderpriority, o_orderstatus, case when o_totalprice < 100000 then 'small' when o_totalprice < 250000 then 'medium' else 'large' end as size, year(o_orderdate) as year from orders)"
+
+
+@query("association_suite", with_(_WIDE_ORDERS, *_suite_sql("wide_", crosstabs.all_pairs([], _ORDER_VARS), _ORDER_LEVELS)) + _SUITE.replace(" from ps", ", round(least(1, min(p * (select count(*) from ps) / rk) over (order by p desc rows unbounded preceding)), 6) as q from (select *, row_number() over (order by p) as rk from ps)"))
 def association_suite(spark, d):
     o = X.table(spark, d, "orders")
-    return A.association_suite(o, [("o_orderpriority", "o_orderstatus")], "o_orderkey", {"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]}, 50)
+    size = F.when(F.col("o_totalprice") < 100_000, "small").when(F.col("o_totalprice") < 250_000, "medium").otherwise("large")
+    wide = o.select("o_orderpriority", "o_orderstatus", size.alias("size"), F.year("o_orderdate").alias("year"))
+    found = crosstabs.association_suite(crosstabs.pair_cells(wide, crosstabs.all_pairs([], _ORDER_VARS)), _ORDER_LEVELS)
+    return rounded(found.drop("stars"))
+
+
+_CLUSTERS, _CLINIC = ["cluster_k2", "cluster_k3", "cluster_k4"], ["region", "tier", "solvent", "nation"]
+_WIDE_CLUSTERS = f"wide_ as (select sample, region, tier, nation, acctbal >= 0 as solvent, {', '.join(f'max(cluster) filter (k = {k}) as cluster_k{k}' for k in KS)} from meta join tiers using (sample) group by all)"
+_CLUSTER_PAIRS = crosstabs.all_pairs(_CLUSTERS, _CLINIC)
+
+
+def _clustered(spark, d):
+    """Metadata of the suppliers with their cluster for each k."""
+    own = X.tier_partition(spark, d).groupBy("sample").pivot("k", KS).agg(F.first("cluster"))
+    meta = X.metadata(spark, d).withColumn("solvent", F.col("acctbal") >= 0)
+    return meta.join(own.select("sample", *[F.col(str(k)).alias(f"cluster_k{k}") for k in KS]), "sample")
+
+
+@query("association_clusters", with_(META, TIERS, _WIDE_CLUSTERS, *_suite_sql("wide_", _CLUSTER_PAIRS, {"tier": ["0", "1", "2"]})) + _SUITE)
+def association_clusters(spark, d):
+    """Partitions and clinical variables in all pairs; the drawn p of sparse tables isn't part of the comparison."""
+    found = crosstabs.association_suite(crosstabs.pair_cells(_clustered(spark, d), _CLUSTER_PAIRS), {"tier": ["0", "1", "2"]})
+    return rounded(found.drop("q", "stars").withColumn("p", F.when(F.col("test") != "monte_carlo", F.col("p"))))
+
+
+@query("association_cells", with_(META, TIERS, _WIDE_CLUSTERS, *_suite_sql("wide_", _CLUSTER_PAIRS, {})[:2]) + "select var1, var2, row, col, observed, round(expected, 6) as expected, round(case when isfinite(z) then z else 0 end, 6) as adj_residual from tab")
+def association_cells(spark, d):
+    return rounded(crosstabs.pair_cells(_clustered(spark, d), _CLUSTER_PAIRS))
+
+
+@query("association_counts", with_(META, TIERS, _WIDE_CLUSTERS, _suite_sql("wide_", _CLUSTER_PAIRS, {})[0], _suite_sql("wide_", _CLUSTER_PAIRS, {})[1]) + "select var1, var2, case when grouping(row) = 1 then 'Total' else row end as row, case when grouping(col) = 1 then 'Total' else col end as col, sum(observed)::bigint as n from tab group by var1, var2, cube (row, col)")
+def association_counts(spark, d):
+    return crosstabs.with_totals(crosstabs.pair_cells(_clustered(spark, d), _CLUSTER_PAIRS))
 
 
 def _scores(spark, d):

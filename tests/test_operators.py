@@ -143,20 +143,6 @@ def test_gsea(spark):
     assert got["top"]["fdr_q"] < 0.05 and abs(got["random"]["es"]) < 0.6 and "g000" in got["top"]["lead_genes"]
 
 
-def test_association_router(spark):
-    rng = np.random.default_rng(3)
-    rows = [(i, "ab"[int(rng.integers(2))], "xyz"[int(rng.integers(3))]) for i in range(300)]
-    df = spark.createDataFrame(rows, "id int, u string, v string")
-    assert association.association_test(df, "u", "v", "id").first()["test"] == "chi2"
-    assert association.association_test(df, "u", "v", "id", col_order=["x", "y", "z"]).first()["test"] == "trend"
-    few = df.where("id < 12")
-    assert association.association_test(few, "u", "v", "id", resamples=40).first()["test"] == "monte_carlo"
-    assert association.association_test(few.where("v <> 'z'"), "u", "v", "id").first()["test"] in ("fisher", "chi2")
-    assert association.association_test(df.where("u = 'a'"), "u", "v", "id").first()["p"] is None
-    table = association.association_suite(df, [("u", "v"), ("v", "u")], "id").collect()
-    assert len(table) == 2 and table[0]["q"] >= table[0]["p"]
-
-
 def test_u_statistics_add_up(spark):
     rng = np.random.default_rng(4)
     scores = spark.createDataFrame([("s", i, float(v)) for i, v in enumerate(rng.integers(0, 9, 30))], "signature string, sample int, score double")
