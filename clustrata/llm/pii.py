@@ -60,21 +60,24 @@ BASE = (
     r"[0-9](?:[\x20-]?[0-9])++",
     r"\+[0-9][\x20().0-9-]+[0-9]",
 )
+#: What a text must hold for a generator to find anything, as quick tests: a pattern, or strings of which one is enough.
+_PAIR, _RUN, _STOP, _OPEN = "[0-9][\x20-]?[0-9]", "[0-9]{3}", "[0-9]\\.[0-9]", ("(", "[", "{", "<")
+BASE_NEEDS = (("@",), _STOP, _PAIR, ("+",))
 _AT, _DOT = r"\x20?[\[({<]\x20?(?:at|AT|@)\x20?[\])}>]\x20?", r"\x20?[\[({<]\x20?(?:dot|DOT|\.)\x20?[\])}>]\x20?"
-#: Looser generators: (kind, pattern), the more specific first.
+#: Looser generators: (kind, need, pattern), the more specific first.
 LOOSE = (
-    (0, rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}{_AT}{_NAME}{{1,63}}(?:(?:{_DOT}|\.){_NAME}{{1,63}}){{1,4}}"),
-    (0, rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}\x20(?:at|AT)\x20{_NAME}{{1,63}}(?:\x20(?:dot|DOT)\x20{_NAME}{{1,63}}){{1,4}}"),
-    (1, rf"(?<![0-9.]){_OCTET}(?:(?:\[\.\]|\(\.\)|\[dot\]|\x20dot\x20){_OCTET}){{3}}(?![0-9])"),
-    (1, rf"(?<![0-9])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])"),
-    (1, r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
-    (2, rf"(?<![0-9])[0-9]{{4}}({_GAP})[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}(?![0-9])"),
-    (2, rf"(?<![0-9])3[0-9]{{3}}({_GAP})[0-9]{{6}}\1[0-9]{{5}}(?![0-9])"),
-    (2, r"(?<![0-9])[0-9]{13,19}(?![0-9])"),
-    (3, r"\+1[\x20.-]?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])"),
-    (3, r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{1,4}\)?(?:[\x20.-]?[0-9]{2,4}){2,4}(?![0-9])"),
-    (3, r"(?<![0-9+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
-    (3, r"(?<![0-9+.-])00[1-9][0-9]{0,2}(?:[\x20-]?[0-9]{2,5}){2,4}(?![0-9])"),
+    (0, _OPEN, rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}{_AT}{_NAME}{{1,63}}(?:(?:{_DOT}|\.){_NAME}{{1,63}}){{1,4}}"),
+    (0, (" dot ", " DOT "), rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}\x20(?:at|AT)\x20{_NAME}{{1,63}}(?:\x20(?:dot|DOT)\x20{_NAME}{{1,63}}){{1,4}}"),
+    (1, _OPEN + (" dot ",), rf"(?<![0-9.]){_OCTET}(?:(?:\[\.\]|\(\.\)|\[dot\]|\x20dot\x20){_OCTET}){{3}}(?![0-9])"),
+    (1, _STOP, rf"(?<![0-9])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])"),
+    (1, (":",), r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
+    (2, _RUN, rf"(?<![0-9])[0-9]{{4}}({_GAP})[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}(?![0-9])"),
+    (2, _RUN, rf"(?<![0-9])3[0-9]{{3}}({_GAP})[0-9]{{6}}\1[0-9]{{5}}(?![0-9])"),
+    (2, _RUN, r"(?<![0-9])[0-9]{13,19}(?![0-9])"),
+    (3, ("+",), r"\+1[\x20.-]?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])"),
+    (3, ("+",), r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{1,4}\)?(?:[\x20.-]?[0-9]{2,4}){2,4}(?![0-9])"),
+    (3, _RUN, r"(?<![0-9+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
+    (3, ("00",), r"(?<![0-9+.-])00[1-9][0-9]{0,2}(?:[\x20-]?[0-9]{2,5}){2,4}(?![0-9])"),
 )
 
 #: Words before a candidate that speak for its kind, and those that speak against any.
@@ -93,7 +96,17 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def matches(text: Column, pattern: str) -> Column:
+def holds(text: Column, need: str | Sequence[str]) -> Column:
+    """Whether a text has what a generator needs."""
+    if isinstance(need, str):
+        return text.rlike(need)
+    out = F.lit(False)
+    for part in need:
+        out = out | F.contains(text, F.lit(part))
+    return out
+
+
+def matches(text: Column, pattern: str, need: Column) -> Column:
     """array<struct<start, s, pre, post>> of a pattern's matches; ``text`` doesn't hold the mark."""
     pieces = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
     add = lambda a, b: a + b
@@ -118,7 +131,7 @@ def matches(text: Column, pattern: str) -> Column:
         return F.when(F.size(p) > 1, _let(F.transform(p, F.char_length), counted))
 
     none = F.array().cast("array<struct<start:int,s:string,pre:string,post:string>>")
-    return F.coalesce(_let(pieces, found), none)
+    return F.coalesce(F.when(need, _let(pieces, found)), none)
 
 
 def digits_of(s: Column) -> Column:
@@ -136,14 +149,19 @@ def passes(kind: int, s: Column) -> Column:
 
 def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(rid, id, base, loose): each row's valid base spans and all candidates with what surrounds them."""
-    text = F.translate(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), _MARK, _OTHER)
-
-    def tagged(kind: int, gen: int, pattern: str) -> Column:
+    whole = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    plain = F.when(F.contains(whole, F.lit(_MARK)), F.translate(whole, _MARK, _OTHER)).otherwise(whole)
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"), plain.alias("t"))
+    generators = [(k, 0, need, p) for k, (need, p) in enumerate(zip(BASE_NEEDS, BASE, strict=True))] + [(k, g, need, p) for g, (k, need, p) in enumerate(LOOSE, 1)]
+    asked = list(dict.fromkeys(need for _, _, need, _ in generators))
+    rows = rows.select("*", *[holds(F.col("t"), need).alias(f"has{i}") for i, need in enumerate(asked)])
+
+    def tagged(kind: int, gen: int, need: str | Sequence[str], pattern: str) -> Column:
         ok = lambda m: passes(kind, m["s"]) if gen == 0 else F.lit(False)
-        return F.transform(matches(text, pattern), lambda m: F.struct(F.lit(kind).alias("kind"), F.lit(gen).alias("gen"), m["start"].alias("start"), m["s"].alias("s"), m["pre"].alias("pre"), m["post"].alias("post"), ok(m).alias("ok")))
+        found = matches(F.col("t"), pattern, F.col(f"has{asked.index(need)}"))
+        return F.transform(found, lambda m: F.struct(F.lit(kind).alias("kind"), F.lit(gen).alias("gen"), m["start"].alias("start"), m["s"].alias("s"), m["pre"].alias("pre"), m["post"].alias("post"), ok(m).alias("ok")))
 
-    parts = [tagged(k, 0, p) for k, p in enumerate(BASE)] + [tagged(k, g, p) for g, (k, p) in enumerate(LOOSE, 1)]
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"), F.concat(*parts).alias("found"))
+    rows = rows.select("rid", "id", F.concat(*[tagged(*g) for g in generators]).alias("found"))
     base = F.transform(F.filter("found", lambda m: m["ok"]), lambda m: F.struct(m["kind"].alias("kind"), m["start"].alias("start"), (m["start"] + F.char_length(m["s"])).alias("end")))
     # written once: from here on a row's number is fixed
     return materialise(rows.select("rid", "id", F.array_sort(base).alias("base"), "found"), "pii-candidates")
