@@ -16,7 +16,12 @@ def contingency(df: DataFrame, row: str, col: str, by: Sequence[str] = ()) -> Da
     """(by.., row, col, observed, expected, adj_residual): every cell of the levels that occur, empty ones too."""
     by = list(by)
     full = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    counted = full.groupBy(*by, F.col(row).cast("string").alias("row"), F.col(col).cast("string").alias("col")).agg(F.count("*").alias("observed"))
+    return expected_cells(full.groupBy(*by, F.col(row).cast("string").alias("row"), F.col(col).cast("string").alias("col")).agg(F.count("*").alias("observed")), by)
+
+
+def expected_cells(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counted cells (by.., row, col, observed) with the empty ones, expected counts and adjusted residuals."""
+    by = list(by)
     rows, cols = counted.select(*by, "row").distinct(), counted.select(*by, "col").distinct()
     every = rows.join(cols, by) if by else rows.crossJoin(cols)
     cells = every.join(counted, [*by, "row", "col"], "left").fillna(0, ["observed"])

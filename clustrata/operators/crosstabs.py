@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import benjamini_hochberg, stars
 from ..functions.tails import chi2_sf, fisher_p
-from .association import contingency
+from . import association
 
 PAIR = ("var1", "var2")
 #: Tables that one task draws for a pair at a time.
@@ -31,11 +31,21 @@ def all_pairs(clusters: Sequence[str], variables: Sequence[str]) -> list[tuple[s
     return [(c, v) for c in clusters for v in variables] + list(combinations(variables, 2))
 
 
-def pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(var1, var2, row, col, observed, expected, adj_residual) of every pair of columns, over the rows where both are known."""
+def pair_counts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(var1, var2, row, col, observed) of every pair of columns, over the rows where both are known."""
     level = lambda c: F.col(f"`{c}`").cast("string")
     each = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), level(a).alias("row"), level(b).alias("col")) for a, b in pairs])
-    return contingency(df.select(F.inline(each)), "row", "col", PAIR)
+    return df.select(F.inline(each)).where("row is not null and col is not null").groupBy(*PAIR, "row", "col").agg(F.count("*").alias("observed"))
+
+
+def expected_cells(counts: DataFrame) -> DataFrame:
+    """Counted pairs with their empty cells, ``expected`` and ``adj_residual``."""
+    return association.expected_cells(counts, PAIR)
+
+
+def pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(var1, var2, row, col, observed, expected, adj_residual) of every pair of columns."""
+    return expected_cells(pair_counts(df, pairs))
 
 
 def _scored(side: str, var: str, orders: Mapping[str, Sequence[str] | None]) -> Column:
