@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator, Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -10,20 +12,47 @@ from pyspark.sql import functions as F
 from .resample import draw_size
 
 
-def consensus_pairs(labels: DataFrame) -> DataFrame:
-    """(k, i, j, m, n_co, consensus) for i < j, from (b, k, sample, label).
+#: Draws in one word of bits, bits of a label, and blocks of samples on each side of the pairs.
+WORD, PLANES, BLOCKS = 64, 8, 8
+
+
+def packed_labels(labels: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by.., sample, word, mask, p0..): in which of 64 draws a sample was, and the bits of its labels there, as numbers.
+
+    Every sample has a row for the first word, whether drawn or not. Labels are below 256.
+    """
+    label = F.when(F.col("label").between(0, 2**PLANES - 1), F.col("label")).otherwise(F.raise_error(F.lit("a label is negative or beyond 255")).cast("int"))
+    bit = F.expr(f"shiftleft(1L, cast(b % {WORD} as int))")
+    own = F.struct(F.floor(F.col("b") / WORD).cast("int").alias("word"), bit.alias("bit"), label.alias("label"))
+    none = F.struct(F.lit(0).alias("word"), F.lit(0).cast("bigint").alias("bit"), F.lit(0).alias("label"))
+    rows = labels.select(*by, "sample", F.inline(F.array(own, none)))
+    plane = lambda p: F.bit_or(F.when(F.col("label").bitwiseAND(1 << p) > 0, F.col("bit")).otherwise(F.lit(0).cast("bigint"))).alias(f"p{p}")
+    return rows.groupBy(*by, "sample", "word").agg(F.bit_or("bit").alias("mask"), *[plane(p) for p in range(PLANES)])
+
+
+def consensus_pairs(labels: DataFrame, keys: Sequence[str] = (), draws: int | None = None) -> DataFrame:
+    """(keys.., k, i, j, m, n_co, consensus) for i < j, from (keys.., b, k, sample, label).
 
     n_co: draws that hold both; m: draws that also put them together; pairs never drawn
-    together have consensus 0. Rows of a draw meet on (b, k); counts combine map-side.
+    together have consensus 0. A sample's draws are packed into words of 64 bits, so a pair
+    meets once for each 64 draws and is counted by bits; pairs are dealt by blocks of samples
+    on both sides. With at most 64 ``draws`` nothing is left to add up.
     """
-    one = labels.select("b", "k", F.col("sample").alias("i"), F.col("label").alias("li"))
-    two = labels.select("b", "k", F.col("sample").alias("j"), F.col("label").alias("lj"))
-    met = one.join(two, ["b", "k"]).where(F.col("i") < F.col("j"))
-    seen = met.groupBy("k", "i", "j").agg(F.sum((F.col("li") == F.col("lj")).cast("bigint")).alias("m"), F.count("*").alias("n_co"))
-    names = labels.select("k", "sample").distinct()
-    every = names.select("k", F.col("sample").alias("i")).join(names.select("k", F.col("sample").alias("j")), "k").where(F.col("i") < F.col("j"))
-    full = every.join(seen, ["k", "i", "j"], "left").fillna(0, ["m", "n_co"])
-    return full.withColumn("consensus", F.when(F.col("n_co") > 0, F.col("m") / F.col("n_co")).otherwise(0.0))
+    by = [*keys, "k"]
+    rows = packed_labels(labels, by).withColumn("own", F.pmod(F.xxhash64("sample"), F.lit(BLOCKS)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))
+    bits = ["mask", *[f"p{p}" for p in range(PLANES)]]
+    one = rows.select(*by, "word", F.col("own").alias("bi"), other.alias("bj"), F.col("sample").alias("i"), *[F.col(c).alias(f"i_{c}") for c in bits])
+    two = rows.select(*by, "word", F.col("own").alias("bj"), other.alias("bi"), F.col("sample").alias("j"), *[F.col(c).alias(f"j_{c}") for c in bits])
+    both = F.col("i_mask").bitwiseAND(F.col("j_mask"))
+    same = both
+    for p in range(PLANES):
+        same = same.bitwiseAND(F.bitwise_not(F.col(f"i_p{p}").bitwiseXOR(F.col(f"j_p{p}"))))
+    met = one.join(two, [*by, "word", "bi", "bj"]).where(F.col("i") < F.col("j"))
+    seen = met.select(*by, "i", "j", F.bit_count(same).cast("bigint").alias("m"), F.bit_count(both).cast("bigint").alias("n_co"))
+    if draws is None or draws > WORD:
+        seen = seen.groupBy(*by, "i", "j").agg(F.sum("m").alias("m"), F.sum("n_co").alias("n_co"))
+    return seen.withColumn("consensus", F.when(F.col("n_co") > 0, F.col("m") / F.col("n_co")).otherwise(0.0))
 
 
 def distance(pairs: DataFrame) -> DataFrame:
@@ -47,25 +76,31 @@ def consensus_cdf(pairs: DataFrame, n_points: int = 100) -> DataFrame:
     return full.select("k", (F.col("g") / last).alias("x"), (F.sum("c").over(by) / F.sum("c").over(Window.partitionBy("k"))).alias("cdf"))
 
 
-def cdf_area(pairs: DataFrame) -> DataFrame:
-    """(k, auc): the area under the empirical distribution, summed over its distinct values."""
-    counted = pairs.groupBy("k", "consensus").agg(F.count("*").alias("c"))
-    by = Window.partitionBy("k").orderBy("consensus")
+def cdf_area(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., k, auc): the area under the empirical distribution, summed over its distinct values."""
+    group = [*keys, "k"]
+    counted = pairs.groupBy(*group, "consensus").agg(F.count("*").alias("c"))
+    by = Window.partitionBy(*group).orderBy("consensus")
     step = F.col("consensus") - F.lag("consensus").over(by)
-    part = counted.withColumn("a", step * F.sum("c").over(by) / F.sum("c").over(Window.partitionBy("k")))
-    return part.groupBy("k").agg(F.coalesce(F.sum("a"), F.lit(0.0)).alias("auc"))
+    part = counted.withColumn("a", step * F.sum("c").over(by) / F.sum("c").over(Window.partitionBy(*group)))
+    return part.groupBy(*group).agg(F.coalesce(F.sum("a"), F.lit(0.0)).alias("auc"))
 
 
-def delta_k(areas: DataFrame) -> DataFrame:
-    """(k, auc, delta): the area for the first k, then its relative gain; null after a non-positive area."""
-    before = F.lag("auc").over(Window.orderBy("k"))
+def delta_k(areas: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., k, auc, delta): the area for the first k, then its relative gain; null after a non-positive area."""
+    before = F.lag("auc").over(Window.partitionBy(*keys).orderBy("k"))
     gain = F.when(before > 0, (F.col("auc") - before) / F.when(before > 0, before))
     return areas.withColumn("delta", F.when(before.isNull(), F.col("auc")).otherwise(gain))
 
 
-def pac(pairs: DataFrame, low: float = 0.1, high: float = 0.9) -> DataFrame:
-    """(k, pac): the share of ambiguous pairs, strictly between the bounds."""
-    return pairs.groupBy("k").agg(F.avg(((F.col("consensus") > low) & (F.col("consensus") < high)).cast("double")).alias("pac"))
+def pac(pairs: DataFrame, low: float = 0.1, high: float = 0.9, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., k, pac): the share of ambiguous pairs, strictly between the bounds."""
+    return pairs.groupBy(*keys, "k").agg(F.avg(((F.col("consensus") > low) & (F.col("consensus") < high)).cast("double")).alias("pac"))
+
+
+def ambiguity(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., k, pac, auc, delta)."""
+    return pac(pairs, keys=keys).join(delta_k(cdf_area(pairs, keys), keys), [*keys, "k"])
 
 
 def _both_ways(pairs: DataFrame, value: str) -> DataFrame:
@@ -142,6 +177,23 @@ def suggest_k(summary: DataFrame, method: str = "both", min_cluster_size: int =
     return near.agg(F.coalesce(F.max(F.when(close & (F.col("delta") >= min_delta), F.col("k"))), least_pac).alias("k"))
 
 
+def draw_counts(x: np.ndarray, k_values: list[int], draws: Iterable[int], seed: list[int], props: tuple[float, float], modes: tuple[str, str], label: Callable[[np.ndarray, np.random.Generator], dict[int, np.ndarray]]) -> Iterator[pd.DataFrame]:
+    """(k, i, j, m, n_co) for each k, added up over draws of rows and columns of ``x``; i and j are row numbers."""
+    n, index = len(x), np.triu_indices(len(x), 1)
+    sizes = draw_size(n, props[0]), draw_size(x.shape[1], props[1])
+    together, drawn = {k: np.zeros((n, n), np.int64) for k in k_values}, np.zeros((n, n), np.int64)
+    for b in draws:
+        rng = np.random.default_rng([*seed, int(b)])
+        rows = np.unique(rng.choice(n, sizes[0], replace=modes[0] == "bootstrap"))
+        genes = rng.choice(x.shape[1], sizes[1], replace=modes[1] == "bootstrap")
+        drawn[np.ix_(rows, rows)] += 1
+        for k, l in label(x[np.ix_(rows, genes)], rng).items():
+            hot = (l[:, None] == np.unique(l)).astype(np.int64)
+            together[k][np.ix_(rows, rows)] += hot @ hot.T
+    for k in k_values:
+        yield pd.DataFrame({"k": k, "i": index[0], "j": index[1], "m": together[k][index], "n_co": drawn[index]})
+
+
 def consensus_clustering(df: DataFrame, k_values: list[int], n_resamples: int = 1000, prop_samples: float = 0.8, prop_genes: float = 0.8, sample_mode: str = "subsample", gene_mode: str = "subsample", base: str = "hierarchical", metric: str = "pearson", linkage: str = "average", seed: int = 0, partitions: int = 32) -> DataFrame:
     """(k, i, j, m, n_co, consensus) by resampling and clustering on every task's share of the draws.
 
@@ -153,31 +205,16 @@ def consensus_clustering(df: DataFrame, k_values: list[int], n_resamples: int =
     from .kernels.linear import dense
 
     names, _, x = dense(df)
-    n = len(names)
     spark = df.sparkSession
-    shipped = spark.sparkContext.broadcast(x)
-    sizes = (draw_size(n, prop_samples), draw_size(x.shape[1], prop_genes))
+    shipped = spark.sparkContext.broadcast((names, x))
     options = {"base": base, "metric": metric, "linkage": linkage}
 
     def run(batches):
-        x, index = shipped.value, np.triu_indices(n, 1)
-        together = {k: np.zeros((n, n), np.int64) for k in k_values}
-        drawn = np.zeros((n, n), np.int64)
-        some = False
-        for pdf in batches:
-            for b in pdf["id"]:
-                some = True
-                rng = np.random.default_rng([seed, int(b)])
-                rows = np.unique(rng.choice(n, sizes[0], replace=sample_mode == "bootstrap"))
-                genes = rng.choice(x.shape[1], sizes[1], replace=gene_mode == "bootstrap")
-                labels = draw_labels(x[np.ix_(rows, genes)], k_values, rng, **options)
-                drawn[np.ix_(rows, rows)] += 1
-                for k, l in labels.items():
-                    hot = (l[:, None] == np.unique(l)).astype(np.int64)
-                    together[k][np.ix_(rows, rows)] += hot @ hot.T
-        if some:
-            for k in k_values:
-                yield pd.DataFrame({"k": k, "i": names[index[0]], "j": names[index[1]], "m": together[k][index], "n_co": drawn[index]})
+        draws = [int(b) for pdf in batches for b in pdf["id"]]
+        if draws:
+            names, x = shipped.value
+            found = draw_counts(x, k_values, draws, [seed], (prop_samples, prop_genes), (sample_mode, gene_mode), lambda part, rng: draw_labels(part, k_values, rng, **options))
+            yield from (t.assign(i=names[t["i"]], j=names[t["j"]]) for t in found)
 
     kind = df.schema["sample"].dataType.simpleString()
     parts = spark.range(0, n_resamples, 1, min(partitions, n_resamples)).mapInPandas(run, f"k int, i {kind}, j {kind}, m bigint, n_co bigint")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .consensus import cdf_area, consensus_clustering, delta_k, pac
-from .resample import permute_genes
+from .consensus import ambiguity, consensus_pairs, draw_counts
+from .resample import medoid_labels
+
+KEYS = ("model", "rep")
+MODELS = ("observed", "permuted", "gaussian")
 
 
 def gaussian_null(df: DataFrame, rep: int = 0, n_pc: int = 50, seed: int = 0) -> DataFrame:
@@ -22,19 +27,81 @@ def gaussian_null(df: DataFrame, rep: int = 0, n_pc: int = 50, seed: int = 0) ->
     return df.sparkSession.createDataFrame(pdf, df.select("sample", "gene", F.col("value").cast("double")).schema)
 
 
-def null_comparison(df: DataFrame, k_values: list[int], n_null: int = 3, n_resamples: int = 200, seed: int = 0, **options) -> DataFrame:
-    """(model, rep, k, pac, auc, delta) of the observed matrix and of replicates of both null models."""
-    runs = [("observed", 0, df)]
-    for rep in range(n_null):
-        runs += [("permuted", rep, permute_genes(df, rep)), ("gaussian", rep, gaussian_null(df, rep, seed=seed))]
-    out = None
-    for model, rep, matrix in runs:
-        pairs = consensus_clustering(matrix, k_values, n_resamples, seed=seed + rep, **options).persist()
-        one = pac(pairs).join(delta_k(cdf_area(pairs)), "k").select(F.lit(model).alias("model"), F.lit(rep).alias("rep"), "k", "pac", "auc", "delta")
-        out = one if out is None else out.unionByName(one)
-    return out
+def permuted_replicates(df: DataFrame, n_null: int) -> DataFrame:
+    """(rep, sample, gene, value): as ``permute_genes`` for rep = 0 .. n_null - 1, in one pass without a join.
+
+    A group is one gene's samples of one replicate: names in order are laid beside values in hash order.
+    """
+    many = df.select("sample", "gene", "value", F.explode(F.sequence(F.lit(0), F.lit(n_null - 1))).alias("rep"))
+    order = F.md5(F.concat_ws(":", F.col("rep").cast("string"), "gene", F.col("sample").cast("string")).cast("binary"))
+    dealt = many.groupBy("rep", "gene").agg(F.array_sort(F.collect_list("sample")).alias("s"), F.array_sort(F.collect_list(F.struct(order.alias("h"), "sample", "value"))).alias("v"))
+    return dealt.select("rep", "gene", F.inline(F.arrays_zip(F.col("s").alias("sample"), F.col("v.value").alias("value")))).select("rep", "sample", "gene", "value")
+
+
+def null_matrices(df: DataFrame, n_null: int = 3) -> DataFrame:
+    """(model, rep, sample, gene, value): the matrix as observed, and with each gene's values dealt anew ``n_null`` times."""
+    seen = df.select(F.lit("observed").alias("model"), F.lit(0).alias("rep"), "sample", "gene", "value")
+    return seen.unionByName(permuted_replicates(df, n_null).select(F.lit("permuted").alias("model"), "rep", "sample", "gene", "value"))
+
+
+def hashed_comparison(df: DataFrame, k_values: list[int], n_null: int = 3, n_draws: int = 20, **options) -> DataFrame:
+    """(model, rep, k, pac, auc, delta) with draws and labels by hash, as any engine can make them.
+
+    The matrices are one table and the models keys of it from the labels to the areas: one
+    plan, whose joins and aggregates are dealt by model, replicate and draw.
+    """
+    labels = medoid_labels(null_matrices(df, n_null), n_draws, k_values, keys=KEYS, **options)
+    return ambiguity(consensus_pairs(labels, KEYS, n_draws), KEYS)
+
+
+def null_comparison(df: DataFrame, k_values: list[int], n_null: int = 3, n_resamples: int = 200, prop_samples: float = 0.8, prop_genes: float = 0.8, sample_mode: str = "subsample", gene_mode: str = "subsample", base: str = "hierarchical", metric: str = "pearson", linkage: str = "average", seed: int = 0, n_pc: int = 50, partitions: int = 32) -> DataFrame:
+    """(model, rep, k, pac, auc, delta) of the observed matrix and of replicates of both null models.
+
+    One nested resampling job over (model, replicate, draws): the observed matrix (of checked
+    size) is broadcast once, and a task makes its replicate's matrix from the seed, so no null
+    matrix is stored or sent. Each task adds up its draws before the shuffle.
+    """
+    from .kernels.cluster import draw_labels
+    from .kernels.linear import dense
+    from .kernels.linear import gaussian_null as gaussian
+
+    names, _, x = dense(df)
+    spark = df.sparkSession
+    shipped = spark.sparkContext.broadcast((names, x))
+    options = {"base": base, "metric": metric, "linkage": linkage}
+    runs = [("observed", 0), *((m, r) for r in range(n_null) for m in MODELS[1:])]
+    shares = max(1, min(n_resamples, partitions // len(runs)))
+    work = [(m, r, lo, -(-n_resamples // shares)) for m, r in runs for lo in range(0, n_resamples, -(-n_resamples // shares))]
+
+    def matrix(x: np.ndarray, model: str, rep: int) -> np.ndarray:
+        rng = np.random.default_rng([seed, rep, MODELS.index(model)])
+        if model == "permuted":
+            return rng.permuted(x, axis=0)
+        return gaussian(x, rng, n_pc) if model == "gaussian" else x
+
+    def run(batches):
+        names, x = shipped.value
+        for pdf in batches:
+            for model, rep, lo, size in pdf.itertuples(index=False):
+                own = matrix(x, model, int(rep))
+                draws = range(int(lo), min(int(lo) + int(size), n_resamples))
+                found = draw_counts(own, k_values, draws, [seed, int(rep)], (prop_samples, prop_genes), (sample_mode, gene_mode), lambda part, rng: draw_labels(part, k_values, rng, **options))
+                yield from (t.assign(model=model, rep=rep, i=names[t["i"]], j=names[t["j"]])[["model", "rep", "k", "i", "j", "m", "n_co"]] for t in found)
+
+    kind = df.schema["sample"].dataType.simpleString()
+    tasks = spark.createDataFrame(work, "model string, rep int, lo int, size int").repartition(len(work))
+    parts = tasks.mapInPandas(run, f"model string, rep int, k int, i {kind}, j {kind}, m bigint, n_co bigint")
+    total = parts.groupBy(*KEYS, "k", "i", "j").agg(F.sum("m").alias("m"), F.sum("n_co").alias("n_co"))
+    return ambiguity(total.withColumn("consensus", F.when(F.col("n_co") > 0, F.col("m") / F.col("n_co")).otherwise(0.0)), KEYS)
 
 
 def null_summary(comparison: DataFrame) -> DataFrame:
-    """(model, k, pac_mean, pac_min, pac_max, delta_mean) over the replicates."""
-    return comparison.groupBy("model", "k").agg(F.avg("pac").alias("pac_mean"), F.min("pac").alias("pac_min"), F.max("pac").alias("pac_max"), F.avg("delta").alias("delta_mean"))
+    """(model, k, pac_mean, pac_min, pac_max, delta_mean, delta_min, delta_max) over the replicates."""
+    stats = [f(c).alias(f"{c}_{n}") for c in ("pac", "delta") for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))]
+    return comparison.groupBy("model", "k").agg(*stats)
+
+
+def null_gaps(summary: DataFrame, models: Sequence[str] = MODELS[1:]) -> DataFrame:
+    """(k, then for each null model gap_..): how far the observed PAC lies below the least of the model's replicates."""
+    at = lambda model, c: F.max(F.when(F.col("model") == model, F.col(c)))
+    return summary.groupBy("k").agg(*[(at(m, "pac_min") - at("observed", "pac_mean")).alias(f"gap_{m}") for m in models])

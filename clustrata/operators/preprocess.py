@@ -113,14 +113,14 @@ def preprocess(df: DataFrame, norm_method: str = "logcpm", min_cpm: float = 1.0,
 
 
 def parse_threshold(value: object) -> float | None:
-    """A purity threshold in (0, 1); none for empty, off-like or zero values."""
+    """A purity threshold in (0, 1); none for empty or off-like values, zero and less."""
     text = str(value if value is not None else "").strip().lower()
     if text in ("", "0", "0.0", "n", "no", "none", "off", "false"):
         return None
     number = float(text)
-    if number == 0:
+    if number <= 0:
         return None
-    if not 0 < number < 1:
+    if not number < 1:
         raise ValueError(f"purity threshold {value!r} is not between 0 and 1")
     return number
 

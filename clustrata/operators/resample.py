@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,19 +23,22 @@ def draw(names: DataFrame, column: str, n_draws: int, prop: float, mode: str = "
     """
     spark = names.sparkSession
     plain = names.select(column).distinct()
-    n = plain.count()
-    m = draw_size(n, prop)
     draws = spark.range(n_draws).select(F.col("id").cast("int").alias("b"))
     if mode == "subsample":
         order = Window.partitionBy("b").orderBy(F.md5(F.concat_ws(":", F.col("b").cast("string"), F.lit(tag), F.col(column).cast("string")).cast("binary")), column)
-        ranked = draws.crossJoin(F.broadcast(plain)).withColumn("_r", F.row_number().over(order))
-        return ranked.where(F.col("_r") <= m).select("b", column, F.lit(1).cast("bigint").alias("times"))
+        # how many to take is known to each draw's window; the driver isn't asked
+        many = plain.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))))
+        size = F.greatest(F.lit(2), F.bround(F.lit(prop) * F.count("*").over(Window.partitionBy("b"))))
+        ranked = many.select("b", column, F.row_number().over(order).alias("_r"), size.alias("_m"))
+        return ranked.where(F.col("_r") <= F.col("_m")).select("b", column, F.lit(1).cast("bigint").alias("times"))
     if mode != "bootstrap":
         raise ValueError(f"unknown draw mode {mode!r}")
+    n = plain.count()
+    m = draw_size(n, prop)
     placed = plain.withColumn("_p", (F.row_number().over(Window.orderBy(column)) - 1).cast("bigint"))
     turns = draws.crossJoin(spark.range(m).withColumnRenamed("id", "t"))
     picked = turns.withColumn("_p", hashed(F.concat_ws(":", F.col("b").cast("string"), F.lit(tag), F.col("t").cast("string"))) % n)
-    return picked.join(F.broadcast(placed), "_p").groupBy("b", column).agg(F.count("*").alias("times"))
+    return picked.join(placed, "_p").groupBy("b", column).agg(F.count("*").alias("times"))
 
 
 def stratified_sample(df: DataFrame, stratum: str, key: str, most: int, seed: int = 0) -> DataFrame:
@@ -62,26 +67,26 @@ def permute_genes(df: DataFrame, rep: int = 0) -> DataFrame:
     return df.select("gene", "sample", F.row_number().over(by_name).alias("_p")).join(taken, ["gene", "_p"]).select("sample", "gene", "value")
 
 
-def medoid_labels(df: DataFrame, n_draws: int, k_values: list[int], prop_samples: float = 0.8, prop_genes: float = 0.8) -> DataFrame:
-    """(b, k, sample, label): one assignment to medoids drawn by hash, on the Pearson distance over drawn genes.
+def medoid_labels(df: DataFrame, n_draws: int, k_values: list[int], prop_samples: float = 0.8, prop_genes: float = 0.8, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., b, k, sample, label): one assignment to medoids drawn by hash, on the Pearson distance over drawn genes.
 
     Medoids are the k drawn samples with the least hashes; a sample takes the nearest, the
-    first of equally near ones. Only distances to medoids are computed.
+    first of equally near ones. Only distances to medoids are computed. Matrices of different
+    ``keys`` share the draws.
     """
     spark = df.sparkSession
     samples = draw(df.select("sample"), "sample", n_draws, prop_samples, tag="s")
     genes = draw(df.select("gene"), "gene", n_draws, prop_genes, tag="g")
-    drawn = df.join(F.broadcast(samples.select("b", "sample")), "sample").join(F.broadcast(genes.select("b", "gene")), ["b", "gene"])
-    means = drawn.groupBy("b", "sample").agg(F.avg("value").alias("_m"), F.var_pop("value").alias("_v"))
-    centred = drawn.join(means, ["b", "sample"]).select("b", "sample", "gene", (F.col("value") - F.col("_m")).alias("x"), "_v")
+    drawn = df.join(samples.select("b", "sample"), "sample").join(genes.select("b", "gene"), ["b", "gene"])
+    means = drawn.groupBy(*keys, "b", "sample").agg(F.avg("value").alias("_m"), F.var_pop("value").alias("_v"))
+    centred = drawn.join(means, [*keys, "b", "sample"]).select(*keys, "b", "sample", "gene", (F.col("value") - F.col("_m")).alias("x"), "_v")
     order = Window.partitionBy("b").orderBy(F.md5(F.concat_ws(":", F.col("b").cast("string"), F.lit("m"), F.col("sample").cast("string")).cast("binary")), "sample")
     most = max(k_values)
-    medoids = samples.withColumn("m", F.row_number().over(order)).where(F.col("m") <= most).select("b", F.col("sample").alias("medoid"), "m")
-    side = centred.join(F.broadcast(medoids), (centred["b"] == medoids["b"]) & (centred["sample"] == medoids["medoid"])).select(centred["b"].alias("b2"), F.col("gene").alias("gene2"), "m", F.col("x").alias("y"), F.col("_v").alias("_w"))
-    both = centred.join(side, (F.col("b") == F.col("b2")) & (F.col("gene") == F.col("gene2")))
-    dist = both.groupBy("b", "sample", "m").agg(F.sum(F.col("x") * F.col("y")).alias("s"), F.count("*").alias("n"), F.first("_v").alias("_v"), F.first("_w").alias("_w"))
+    medoids = samples.withColumn("m", F.row_number().over(order)).where(F.col("m") <= most).select("b", "sample", "m")
+    side = centred.join(medoids, ["b", "sample"]).select(*keys, "b", "gene", "m", F.col("x").alias("y"), F.col("_v").alias("_w"))
+    both = centred.join(side, [*keys, "b", "gene"])
+    dist = both.groupBy(*keys, "b", "sample", "m").agg(F.sum(F.col("x") * F.col("y")).alias("s"), F.count("*").alias("n"), F.first("_v").alias("_v"), F.first("_w").alias("_w"))
     norm = F.col("n") * F.sqrt("_v") * F.sqrt("_w")
-    dist = dist.select("b", "sample", "m", F.round(F.when(norm > 0, 1 - F.col("s") / norm).otherwise(1.0), 9).alias("d"))
-    ks = spark.createDataFrame([(k,) for k in k_values], "k int")
-    near = dist.crossJoin(F.broadcast(ks)).where(F.col("m") <= F.col("k"))
-    return near.groupBy("b", "k", "sample").agg(F.min_by("m", F.struct("d", "m")).alias("label"))
+    dist = dist.select(*keys, "b", "sample", "m", F.round(F.when(norm > 0, 1 - F.col("s") / norm).otherwise(1.0), 9).alias("d"))
+    near = dist.withColumn("k", F.explode(F.array(*[F.lit(k) for k in k_values]))).where(F.col("m") <= F.col("k"))
+    return near.groupBy(*keys, "b", "k", "sample").agg(F.min_by("m", F.struct("d", "m")).alias("label"))

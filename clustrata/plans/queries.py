@@ -241,7 +241,7 @@ def _labels(spark, d):
 
 
 def _consensus(spark, d):
-    return C.consensus_pairs(_labels(spark, d))
+    return C.consensus_pairs(_labels(spark, d), draws=DRAWS)
 
 
 @query("labels_assign", with_(COUNTS, LOGCPM, _ASSIGN) + "select b::int as b, k::int as k, sample, label::int as label from labs")
@@ -351,11 +351,46 @@ def permute_genes(spark, d):
     return R.permute_genes(X.counts(spark, d), 3)
 
 
-@query("null_summary", with_(*_CHAIN, _AUC, _PAC, "c as (select case when k = 2 then 'observed' else 'permuted' end as model, 3 as k, pac, delta from pacs join gains using (k))") + "select model, k, round(avg(pac), 6) as pac_mean, round(min(pac), 6) as pac_min, round(max(pac), 6) as pac_max, round(avg(delta), 6) as delta_mean from c group by all")
+NULLS = 3
+_NULL_MATRICES = f"""dealt as (select r, gene, sample, row_number() over (partition by r, gene order by sample) as p from logs, range({NULLS}) t(r)),
+taken as (select r, gene, value, row_number() over (partition by r, gene order by md5(r::varchar || ':' || gene || ':' || sample::varchar), sample) as p from logs, range({NULLS}) t(r)),
+mats as (select 'observed' as model, 0 as rep, sample, gene, value from logs union all select 'permuted', r, sample, gene, value from dealt join taken using (r, gene, p))"""
+_NULL_LABELS = f"""{_DRAWN},
+meds as (select b, sample as medoid, row_number() over (partition by b order by md5(b::varchar || ':m:' || sample::varchar), sample) as m from ds qualify m <= {max(KS)}),
+cells as (select l.model, l.rep, ds.b, l.sample, l.gene, l.value from mats l join ds using (sample) join dg on dg.b = ds.b and dg.gene = l.gene),
+dist as (select c.model, c.rep, c.b, c.sample, m.m, round(case when var_pop(c.value) > 0 and var_pop(o.value) > 0 then 1 - corr(c.value, o.value) else 1 end, 9) as d
+  from cells c join meds m on m.b = c.b join cells o on o.model = c.model and o.rep = c.rep and o.b = m.b and o.sample = m.medoid and o.gene = c.gene group by all),
+labs as (select model, rep, b, k, sample, arg_min(m, d * 1000 + m * 1e-9) as label from dist, (select unnest({KS}) as k) where m <= k group by all),
+seen2 as (select a.model, a.rep, a.k, a.sample as i, c.sample as j, sum((a.label = c.label)::int) as m, count(*) as n_co from labs a join labs c on a.model = c.model and a.rep = c.rep and a.b = c.b and a.k = c.k and a.sample < c.sample group by all),
+names as (select distinct model, rep, k, sample from labs),
+cons as (select x.model, x.rep, x.k, x.sample as i, y.sample as j, case when coalesce(n_co, 0) > 0 then m / n_co else 0 end as consensus
+  from names x join names y on x.model = y.model and x.rep = y.rep and x.k = y.k and x.sample < y.sample left join seen2 s on s.model = x.model and s.rep = x.rep and s.k = x.k and s.i = x.sample and s.j = y.sample),
+steps as (select model, rep, k, consensus, sum(count(*)) over (partition by model, rep, k order by consensus) / sum(count(*)) over (partition by model, rep, k) as f,
+  consensus - lag(consensus) over (partition by model, rep, k order by consensus) as s from cons group by model, rep, k, consensus),
+areas as (select model, rep, k, coalesce(sum(s * f), 0) as auc from steps group by all),
+gains as (select model, rep, k, auc, case when lag(auc) over w is null then auc when lag(auc) over w > 0 then (auc - lag(auc) over w) / lag(auc) over w end as delta from areas window w as (partition by model, rep order by k)),
+compared as (select g.*, pac from gains g join (select model, rep, k, avg((consensus > 0.1 and consensus < 0.9)::int) as pac from cons group by all) using (model, rep, k)),
+summed as (select model, k::int as k, avg(pac) as pac_mean, min(pac) as pac_min, max(pac) as pac_max, avg(delta) as delta_mean, min(delta) as delta_min, max(delta) as delta_max from compared group by all)"""
+_NULL = (COUNTS, LOGCPM, _NULL_MATRICES, _NULL_LABELS)
+
+
+def _nulls(spark, d):
+    return nullcheck.hashed_comparison(P.log_cpm(X.counts(spark, d)), KS, NULLS, DRAWS)
+
+
+@query("null_comparison", with_(*_NULL) + "select model, rep::int as rep, k::int as k, round(pac, 6) as pac, round(auc, 6) as auc, round(delta, 6) as delta from compared")
+def null_comparison(spark, d):
+    return rounded(_nulls(spark, d))
+
+
+@query("null_summary", with_(*_NULL) + "select model, k, " + ", ".join(f"round({c}_{f}, 6) as {c}_{f}" for c in ("pac", "delta") for f in ("mean", "min", "max")) + " from summed")
 def null_summary(spark, d):
-    pairs = _consensus(spark, d)
-    both = C.pac(pairs).join(C.delta_k(C.cdf_area(pairs)), "k")
-    return rounded(nullcheck.null_summary(both.select(F.when(F.col("k") == 2, "observed").otherwise("permuted").alias("model"), F.lit(3).alias("k"), "pac", "delta")))
+    return rounded(nullcheck.null_summary(_nulls(spark, d)))
+
+
+@query("null_gaps", with_(*_NULL) + "select k, round(max(case when model = 'permuted' then pac_min end) - max(case when model = 'observed' then pac_mean end), 6) as gap_permuted from summed group by k")
+def null_gaps(spark, d):
+    return rounded(nullcheck.null_gaps(nullcheck.null_summary(_nulls(spark, d)), ["permuted"]))
 
 
 @query("branch_jaccard", with_(TIERS, "a as (select k as id, sample from tiers where cluster = 1)", "b as (select k * 10 + cluster as b, sample from tiers)", "c as (select id, b, count(*) as c from a join b using (sample) group by all)", "na as (select id, count(*) as n from a group by 1)", "nb as (select b, count(*) as m from b group by 1)") + "select id as branch_id, b, round(c / (n + m - c), 6) as best from c join na using (id) join nb using (b)")
