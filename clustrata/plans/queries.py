@@ -401,6 +401,21 @@ def branch_jaccard(spark, d):
     return rounded(stability.best_matches(one, two))
 
 
+TREES, DEPTH = 12, 3
+_TREES = f"""nodes as (select b, level, substr(md5(b::varchar || ':' || s_suppkey::varchar), 1, level) as node, s_suppkey as sample from supplier, range({TREES + 1}) t(b), range(1, {DEPTH + 1}) u(level)),
+sized as (select b, level, node, count(*) as n from nodes group by all),
+met as (select a.level, a.node, o.b, o.level as l2, o.node as n2, count(*) as c from nodes a join nodes o on o.sample = a.sample and a.b = 0 and o.b > 0 group by all),
+bests as (select m.level, m.node, m.b, max(c / (s.n + o.n - c)) as best from met m join sized s on s.b = 0 and s.level = m.level and s.node = m.node join sized o on o.b = m.b and o.level = m.l2 and o.node = m.n2 group by all)"""
+
+
+@query("branch_support", with_(_TREES) + f"select level::varchar || '|' || node as branch_id, round(sum(best) / {TREES}, 6) as stability from bests group by all")
+def branch_support(spark, d):
+    """Branches of one tree of the suppliers against those of twelve others."""
+    trees = stability.hashed_trees(X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample")), range(TREES + 1), DEPTH)
+    own = trees.where("b = 0").select(F.concat_ws("|", F.col("level").cast("string"), "node").alias("branch_id"), "members")
+    return rounded(stability.branch_support(own, trees.where("b > 0").select("b", "members"), TREES))
+
+
 # Kernels --------------------------------------------------------------------------------
 def _cohort(spark, d):
     return P.centre_genes(P.log_cpm(X.counts(spark, d)))
