@@ -18,6 +18,18 @@ def finite(x: Column) -> Column:
     return F.when(~F.isnan(x) & ~x.isin(float("inf"), float("-inf")), x)
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """df, whose plan fails at the first row that shares its keys with another: rows meet their keys' others once, nothing is scanned twice."""
+    first = F.when(F.count("*").over(Window.partitionBy(*keys)) > 1, F.raise_error(F.concat(F.lit(f"{what} occurs more than once: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))).otherwise(F.lit(True))
+    return df.withColumn("_once", first).where("_once").drop("_once")
+
+
+def finite_or_error(x: Column, what: str) -> Column:
+    """The value; evaluating a null, NaN or infinite one fails."""
+    bad = x.isNull() | F.isnan(x) | x.isin(float("inf"), float("-inf"))
+    return F.when(bad, F.raise_error(F.lit(f"{what} isn't a finite number")).cast("double")).otherwise(x)
+
+
 def average_rank(value: str, by: Sequence[str]) -> Column:
     """Rank within groups, ties sharing their mean rank."""
     order = Window.partitionBy(*by).orderBy(value)

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import benjamini_hochberg
+from ..functions.expr import benjamini_hochberg, unique_rows
 from ..functions.tails import f_quantile, normal_p
 
 # The quantile of Cook's cutoff, replicates that bear a test for outliers and a replacement, steps of the filter's grid.
@@ -202,8 +202,8 @@ def wald_test(counts: DataFrame, metadata: DataFrame, design: str, variable: str
         raise ValueError("counts can't be negative")
     if counts.select("sample").distinct().exceptAll(metadata.select("sample").distinct()).limit(1).count():
         raise ValueError("a sample of the counts has no metadata")
-    factors = {r["sample"]: r["size_factor"] for r in size_factors(counts).collect()}
-    meta = metadata.where(F.col("sample").isin(list(factors))).toPandas().sort_values("sample").reset_index(drop=True)
+    factors = {r["sample"]: r["size_factor"] for r in size_factors(unique_rows(counts, ["sample", "gene"], "a gene of a sample")).collect()}
+    meta = unique_rows(metadata, ["sample"], "a sample of the metadata").where(F.col("sample").isin(list(factors))).toPandas().sort_values("sample").reset_index(drop=True)
     x, names = design_matrix(meta, design, {variable: control})
     target = f"{variable}[{test}]"
     if target not in names:

@@ -31,6 +31,8 @@ def whiten(x: np.ndarray, most: int) -> Whitening:
     """Whiten the genes of a samples x genes array to ``most`` dimensions."""
     if x.ndim != 2 or x.shape[0] < 3 or not np.isfinite(x).all() or np.ptp(x) == 0:
         raise ValueError("a finite matrix of three samples or more that isn't constant is needed")
+    if (flat := np.flatnonzero(np.ptp(x, axis=1) == 0)).size:
+        raise ValueError(f"{flat.size} samples have the same value for every gene")
     mean = x.mean(1)
     centred = x - mean[:, None]
     values, u = np.linalg.eigh(centred @ centred.T / x.shape[1])
@@ -49,10 +51,58 @@ def _contrast(name: str):
     raise ValueError(f"unknown contrast {name!r}")
 
 
-def fast_ica(white: np.ndarray, rng: np.random.Generator, fun: str = "logcosh", max_iter: int = 2000, tol: float = 1e-4) -> np.ndarray:
-    """Symmetric fixed-point iteration on whitened rows; independent rows of unit variance."""
+def bootstrap_weights(n: int, rng: np.random.Generator) -> np.ndarray:
+    """How often each of n observations is drawn, with replacement, in n draws."""
+    return np.bincount(rng.integers(0, n, n), minlength=n).astype(float)
+
+
+def weighted_whitening(x: np.ndarray, weights: np.ndarray, most: int) -> np.ndarray:
+    """All observations (columns) of ``x`` as ``most`` rows that are white under the weights.
+
+    The weighted Gram matrix stands for the drawn columns: no column is copied, and what an
+    observation that wasn't drawn would be is known too, so that runs can be compared.
+    """
+    centred = x - (x @ weights / weights.sum())[:, None]
+    values, u = np.linalg.eigh((centred * weights) @ centred.T / weights.sum())
+    order = np.argsort(values)[::-1][:most]
+    scale = np.sqrt(np.maximum(values[order], 1e-12))
+    return (u[:, order] / scale).T @ centred
+
+
+def resampled(resampling: str | None, x: np.ndarray, white: np.ndarray, most: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray | None]:
+    """(white rows, weights) of one run: the shared whitening, one of drawn genes, or one of drawn genes within the shared one."""
+    if not resampling:
+        return white, None
+    weights = bootstrap_weights(x.shape[1], rng)
+    if resampling == "bootstrap":
+        return weighted_whitening(x, weights, most), weights
+    if resampling == "fast_bootstrap":
+        return weighted_whitening(white, weights, most), weights
+    raise ValueError(f"unknown resampling {resampling!r}")
+
+
+def fast_ica(white: np.ndarray, rng: np.random.Generator, fun: str = "logcosh", max_iter: int = 2000, tol: float = 1e-4, weights: np.ndarray | None = None, deflate: bool = False) -> np.ndarray:
+    """Fixed-point iteration on whitened rows; independent rows of unit variance. ``weights`` count the columns.
+
+    Rows are found together and decorrelated symmetrically, or one after the other (``deflate``).
+    """
     g = _contrast(fun)
     d, n = white.shape
+    share = np.full(n, 1 / n) if weights is None else weights / weights.sum()
+    if deflate:
+        found = np.zeros((0, d))
+        for _ in range(d):
+            one = rng.standard_normal(d)
+            for _ in range(max_iter):
+                before = one / np.linalg.norm(one)
+                value, slope = g(before @ white)
+                one = white @ (value * share) - (slope @ share) * before
+                one = one - found.T @ (found @ one)
+                one /= np.linalg.norm(one)
+                if 1 - abs(one @ before) < tol**2:
+                    break
+            found = np.vstack([found, one])
+        return found @ white
 
     def decorrelated(w: np.ndarray) -> np.ndarray:
         s, u = np.linalg.eigh(w @ w.T)
@@ -61,7 +111,7 @@ def fast_ica(white: np.ndarray, rng: np.random.Generator, fun: str = "logcosh",
     w = decorrelated(rng.standard_normal((d, d)))
     for _ in range(max_iter):
         value, slope = g(w @ white)
-        new = decorrelated(value @ white.T / n - slope.mean(1)[:, None] * w)
+        new = decorrelated((value * share) @ white.T - (slope @ share)[:, None] * w)
         change = np.max(np.abs(np.abs(np.einsum("ij,ij->i", new, w)) - 1))
         w = new
         if change < tol:
@@ -95,32 +145,41 @@ def stabilise(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([c for _, c in found]), np.array([i for i, _ in found])
 
 
-def scan(df: DataFrame, least: int = 6, most: int = 8, step: int = 1, n_runs: int = 100, fun: str = "logcosh", max_iter: int = 2000, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+def scan(df: DataFrame, least: int = 6, most: int = 8, step: int = 1, n_runs: int = 100, fun: str = "logcosh", max_iter: int = 2000, seed: int = 0, resampling: str | None = None, deflate: bool = False) -> tuple[DataFrame, DataFrame]:
     """(components (dim, component, stability, metagene, metasample), status (dim, error)).
 
-    One task per dimension and run; runs of a dimension meet to be stabilised. A dimension that
-    fails leaves an error, not an exception. Genes and samples are in order of name.
+    One task per run and dimension; runs of a dimension meet to be stabilised. With
+    ``resampling`` a run draws genes with replacement, the same for every dimension:
+    ``bootstrap`` whitens the draw, ``fast_bootstrap`` only within the shared whitened space. A
+    dimension that fails leaves an error, not an exception. Genes and samples are in order of name.
     """
     from .kernels.linear import dense
 
+    if resampling not in (None, "", "bootstrap", "fast_bootstrap"):
+        raise ValueError(f"unknown resampling {resampling!r}")
     _, _, x = dense(df)
     dims = candidate_dimensions(least, most, step, *x.shape)
     white = whiten(x, max(dims))
     spark = df.sparkSession
     shipped = spark.sparkContext.broadcast((white.white, x - white.mean[:, None]))
-    tasks = spark.createDataFrame([(d, r) for d in dims for r in range(n_runs)], "dim int, run int").repartition(min(len(dims) * n_runs, 200), "dim", "run")
+    # a bootstrap is whitened once for all dimensions of a run, so these share a task
+    tasks = spark.createDataFrame([(r, own) for r in range(n_runs) for own in ([dims] if resampling == "bootstrap" else [[d] for d in dims])], "run int, dims array<int>")
 
     def fit(batches):
-        w, _ = shipped.value
+        w, centred = shipped.value
         for pdf in batches:
-            for d, r in zip(pdf["dim"], pdf["run"], strict=True):
-                try:
-                    got, error = fast_ica(w[:d], np.random.default_rng([seed, int(d), int(r)]), fun, max_iter), ""
-                except (ValueError, np.linalg.LinAlgError) as e:
-                    got, error = np.zeros((0, 0)), str(e)
-                yield pd.DataFrame({"dim": [d], "run": [r], "values": [got.ravel()], "error": [error]})
-
-    fits = tasks.mapInPandas(fit, "dim int, run int, values array<double>, error string")
+            for r, own in zip(pdf["run"], pdf["dims"], strict=True):
+                draw = lambda d: resampled(resampling, centred, w[:d], d, np.random.default_rng([seed, int(r)]))
+                once = draw(max(dims)) if resampling == "bootstrap" else None
+                for d in own:
+                    try:
+                        rows, weights = (once[0][:d], once[1]) if once else draw(d)
+                        got, error = fast_ica(rows, np.random.default_rng([seed, int(d), int(r)]), fun, max_iter, weights=weights, deflate=deflate), ""
+                    except (ValueError, np.linalg.LinAlgError) as e:
+                        got, error = np.zeros((0, 0)), str(e)
+                    yield pd.DataFrame({"dim": [d], "run": [r], "values": [got.ravel()], "error": [error]})
+
+    fits = tasks.repartition(min(len(dims) * n_runs, 200), "run", "dims").mapInPandas(fit, "dim int, run int, values array<double>, error string")
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         d = int(pdf["dim"].iloc[0])

@@ -130,8 +130,7 @@ BLOCKS = ("gsea_collections", "signature_sources", "deconv_methods", "deconv_ref
 PATHS = ("counts", "metadata", "outdir", "signatures_gmt", "gsea_gene_sets", "purity_table", "deconv_table")
 #: Options that are read but change nothing here, and why.
 IDLE = {
-    "ica_resampling": "every run starts anew on all samples",
-    "ica_algorithm": "the fixed-point solver is used",
+    "ica_algorithm": "of the solvers, the symmetric and the deflating fixed point are here; others give way to the first",
     "ica_deterministic": "runs are always seeded",
     "puree_dir": "give the purities as purity_table",
     "puree_python": "give the purities as purity_table",
@@ -232,7 +231,7 @@ def load(argv: list[str] | None = None, check_files: bool = True) -> tuple[dict,
     if loaded:
         out["gsea_collections"] = (out["gsea_collections"] or {}) | loaded
     out |= {name: home(out[name]) for name in PATHS if out[name]}
-    warnings += [f"{name}: no effect; {why}" for name, why in IDLE.items() if out[name] != (OPTIONS[name].default if name in OPTIONS else None)]
+    warnings += [f"{name}: no effect; {why}" for name, why in IDLE.items() if out[name] != (OPTIONS[name].default if name in OPTIONS else None) and out[name] != "fastica_def"]
     problems += check(out, check_files)
     if problems:
         raise ConfigError(problems)

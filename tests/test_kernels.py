@@ -114,6 +114,37 @@ def test_fast_ica_finds_sources():
     assert (match > 0.98).all() and (index > 0.9).all()
 
 
+@pytest.mark.parametrize("deflate", [False, True])
+@pytest.mark.parametrize("mode", [None, "bootstrap", "fast_bootstrap"])
+def test_resampled_runs_find_sources(mode, deflate):
+    rng = np.random.default_rng(5)
+    sources = np.stack([np.sign(rng.standard_normal(3000)), rng.uniform(-1, 1, 3000), rng.laplace(size=3000)])
+    mixed = rng.standard_normal((6, 3)) @ sources + rng.normal(0, 0.01, (6, 3000))
+    whole = ica.whiten(mixed, 3)
+    centred, runs = mixed - whole.mean[:, None], []
+    for i in range(6):
+        rows, weights = ica.resampled(mode, centred, whole.white, 3, np.random.default_rng(i))
+        share = np.ones(3000) / 3000 if weights is None else weights / weights.sum()
+        assert np.allclose((rows * share) @ rows.T, np.eye(3), atol=1e-6) and np.allclose(rows @ share, 0, atol=1e-9)
+        runs.append(ica.fast_ica(rows, np.random.default_rng(i), weights=weights, deflate=deflate))
+    found, index = ica.stabilise(runs)
+    match = np.abs(np.corrcoef(found, sources)[:3, 3:]).max(1)
+    assert (match > 0.97).all() and (index > 0.85).all()
+    with pytest.raises(ValueError, match="resampling"):
+        ica.resampled("other", centred, whole.white, 3, rng)
+
+
+def test_a_weighted_draw_is_the_drawn_columns():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(5, 400))
+    weights = ica.bootstrap_weights(400, rng)
+    drawn = np.repeat(np.arange(400), weights.astype(int))
+    plain = ica.whiten(x[:, drawn], 3).white
+    assert weights.sum() == 400 and np.allclose(np.abs(ica.weighted_whitening(x, weights, 3)[:, drawn]), np.abs(plain))
+    with pytest.raises(ValueError, match="same value"):
+        ica.whiten(np.vstack([x, np.ones(400)]), 3)
+
+
 def test_dimension_choice():
     assert ica.candidate_dimensions(6, 30, 5, 20, 100) == [6, 11, 16, 19]
     with pytest.raises(ValueError):

@@ -190,6 +190,11 @@ def test_ica_scan(spark):
     samples = [f"s{i:02d}" for i in range(12)]
     assert ica.long_metasamples(found, 3, samples).count() == 36
     assert ica.long_metagenes(found, 3, [f"g{j:03d}" for j in range(200)]).count() == 600
+    for mode in ("bootstrap", "fast_bootstrap"):
+        drawn, status = ica.scan(matrix(spark, x), 2, 3, n_runs=4, resampling=mode)
+        assert status.where("error is not null").count() == 0 and drawn.where("dim = 3").agg(F.min("stability")).first()[0] > 0.4
+    with pytest.raises(ValueError, match="resampling"):
+        ica.scan(matrix(spark, x), 2, 3, n_runs=1, resampling="other")
 
 
 def test_readers(spark, tmp_path):
@@ -259,3 +264,22 @@ def test_assembled_features(spark):
     assert sorted(tuple(r) for r in found.collect()) == [("s1", "clinic:age", "clinic", "clinic", 1.0), ("s1", "mean:A", "sig_mean", "sig", 1.5), ("s2", "clinic:age", "clinic", "clinic", 2.0)]
     with pytest.raises(ValueError, match="no feature"):
         assemble_features(meta.select("sample"))
+
+
+def test_input_checks(spark):
+    rows = [("a", "g1", 1.0), ("a", "g2", 2.0), ("b", "g1", 3.0), ("b", "g2", 5.0), ("c", "g1", 4.0), ("c", "g2", 4.0)]
+    df = spark.createDataFrame(rows, "sample string, gene string, value double")
+    twice = df.union(df.limit(1))
+    meta = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "y")], "sample string, arm string")
+    assert expr.unique_rows(df, ["sample", "gene"], "a gene").exceptAll(df).count() == 0
+    with pytest.raises(Exception, match="a gene occurs more than once: a, g1"):
+        expr.unique_rows(twice, ["sample", "gene"], "a gene").collect()
+    with pytest.raises(Exception, match="more than once"):
+        consensus.consensus_clustering(twice, [2], 2, partitions=1)
+    with pytest.raises(Exception, match="a gene of a sample occurs more than once"):
+        differential.wald_test(twice, meta, "~ arm", "arm", "y", "x")
+    with pytest.raises(Exception, match="a sample of the metadata occurs more than once: b"):
+        differential.wald_test(df, meta.union(meta.where("sample = 'b'")), "~ arm", "arm", "y", "x")
+    for bad in (None, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="isn't a finite number"):
+            spark.createDataFrame([(bad,)], "v double").select(expr.finite_or_error(F.col("v"), "a value")).collect()
