@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -10,27 +12,32 @@ from pyspark.sql import functions as F
 EPS = 1e-12
 
 
-def cluster_key(label: Column) -> list[Column]:
+#: Clusters with fewer members are named in a contrast's warning.
+SMALL_CLUSTER = 3
+
+
+def cluster_key(label: Column) -> Column:
     """Natural order of labels: numbers first by value, then text."""
     number = label.cast("string").try_cast("double")
-    return [number.isNull(), number, label.cast("string")]
+    return F.struct(number.isNull(), number, label.cast("string"))
 
 
-def medoids(points: DataFrame, partition: DataFrame, block: int = 1024) -> DataFrame:
-    """(cluster, medoid): the member with the least sum of Euclidean distances to the others; the first on ties.
+def medoids(points: DataFrame, partition: DataFrame, block: int = 1024, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., cluster, medoid): the member with the least sum of Euclidean distances to the others; the first on ties.
 
     points: (sample, component, value); samples with a missing value don't compete. A cluster is
     cut into blocks of about ``block`` members; a task takes two blocks and hands on one sum
     per member, so no pair is moved and no task holds a whole cluster.
     """
+    by = [*keys, "cluster"]
     n = points.select("component").distinct().count()
     whole = points.where(F.col("value").isNotNull() & ~F.isnan("value"))
     vectors = whole.groupBy("sample").agg(F.sort_array(F.collect_list(F.struct("component", "value"))).alias("v")).where(F.size("v") == n)
-    own = vectors.select("sample", F.col("v.value").cast("array<double>").alias("x")).join(partition.select("sample", "cluster"), "sample")
-    cut = own.join(own.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "cluster")
+    own = vectors.select("sample", F.col("v.value").cast("array<double>").alias("x")).join(partition.select("sample", *by), "sample")
+    cut = own.join(own.groupBy(*by).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), by)
     cut = cut.withColumn("b", F.pmod(F.xxhash64("sample"), "blocks").cast("int"))
     met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("b", o).alias("one"), F.greatest("b", o).alias("two"), (F.col("b") > o).alias("second")))
-    dealt = cut.select("cluster", "sample", "x", F.explode(met).alias("m")).select("cluster", "m.one", "m.two", "m.second", "sample", "x")
+    dealt = cut.select(*by, "sample", "x", F.explode(met).alias("m")).select(*by, "m.one", "m.two", "m.second", "sample", "x")
 
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
         second = pdf["second"].to_numpy(bool)
@@ -43,64 +50,76 @@ def medoids(points: DataFrame, partition: DataFrame, block: int = 1024) -> DataF
             total[i] += d.sum()
             if not alone:
                 total[right] += d
-        return pdf[["cluster", "sample"]].assign(t=total)
+        return pdf[[*by, "sample"]].assign(t=total)
 
-    kinds = ", ".join(f"{c} {own.schema[c].dataType.simpleString()}" for c in ("cluster", "sample"))
-    parts = dealt.groupBy("cluster", "one", "two").applyInPandas(sums, f"{kinds}, t double")
-    total = parts.groupBy("cluster", "sample").agg(F.round(F.sum("t"), 9).alias("t"))
-    return total.groupBy("cluster").agg(F.min_by("sample", F.struct("t", "sample")).alias("medoid"))
+    kinds = ", ".join(f"{c} {own.schema[c].dataType.simpleString()}" for c in (*by, "sample"))
+    parts = dealt.groupBy(*by, "one", "two").applyInPandas(sums, f"{kinds}, t double")
+    total = parts.groupBy(*by, "sample").agg(F.round(F.sum("t"), 9).alias("t"))
+    return total.groupBy(*by).agg(F.min_by("sample", F.struct("t", "sample")).alias("medoid"))
 
 
-def component_contrasts(points: DataFrame, partition: DataFrame) -> DataFrame:
-    """One row per component and two clusters: means, medoid values, Cohen's d and Hedges' g.
+def component_contrasts(points: DataFrame, partition: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per keys, component and two clusters: means, medoid values, Cohen's d, Hedges' g and warnings.
 
     Effects are null where a cluster has fewer than two values or the pooled spread vanishes.
+    Warnings name small clusters, missing values and what keeps an effect from being known.
     """
-    known = points.where(F.col("value").isNotNull() & ~F.isnan("value")).join(partition.select("sample", "cluster"), "sample")
-    stats = known.groupBy("cluster", "component").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
-    middle = medoids(points, partition).join(points.withColumnRenamed("sample", "medoid"), "medoid").select("cluster", "component", "medoid", F.col("value").alias("at"))
-    full = stats.join(middle, ["cluster", "component"], "left")
-    side = lambda k: full.select("component", *[F.col(c).alias(f"{c}{k}") for c in ("cluster", "n", "mean", "sd", "medoid", "at")])
-    met = side(1).join(side(2), "component").where(F.col("cluster1") < F.col("cluster2"))
+    by = [*keys, "cluster"]
+    size = partition.groupBy(*by).agg(F.count("*").alias("size"))
+    known = points.where(F.col("value").isNotNull() & ~F.isnan("value")).join(partition.select("sample", *by), "sample")
+    stats = known.groupBy(*by, "component").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
+    middle = medoids(points, partition, keys=keys).join(points.withColumnRenamed("sample", "medoid"), "medoid").select(*by, "component", "medoid", F.col("value").alias("at"))
+    full = stats.join(size, by).join(middle, [*by, "component"], "left")
+    side = lambda k: full.select(*keys, "component", *[F.col(c).alias(f"{c}{k}") for c in ("cluster", "size", "n", "mean", "sd", "medoid", "at")])
+    met = side(1).join(side(2), [*keys, "component"]).where(cluster_key(F.col("cluster1")) < cluster_key(F.col("cluster2")))
     dof = F.col("n1") + F.col("n2") - 2
     enough = (F.col("n1") >= 2) & (F.col("n2") >= 2)
     pooled = F.when(enough, F.sqrt(((F.col("n1") - 1) * F.col("sd1") ** 2 + (F.col("n2") - 1) * F.col("sd2") ** 2) / F.when(enough, dof)))
     out = met.withColumns({"difference": F.col("mean1") - F.col("mean2"), "medoid_difference": F.col("at1") - F.col("at2"), "pooled_sd": pooled})
     out = out.withColumn("cohen_d", F.when(F.col("pooled_sd") > EPS, F.col("difference") / F.when(F.col("pooled_sd") > EPS, F.col("pooled_sd"))))
     correction = F.when(enough, 1 - 3 / (4 * dof.cast("double") - 1))
-    small = F.concat_ws(",", F.when(F.col("n1") < 2, F.col("cluster1").cast("string")), F.when(F.col("n2") < 2, F.col("cluster2").cast("string")))
-    warning = F.when(~enough, F.concat(F.lit("fewer than two values: "), small)).when(F.col("pooled_sd") <= EPS, "no spread").otherwise("")
-    return out.withColumns({"hedges_g": F.col("cohen_d") * correction, "warning": warning})
+
+    def said(k: int) -> list[Column]:
+        name, n, size = F.concat(F.lit("cluster "), F.col(f"cluster{k}").cast("string")), F.col(f"n{k}"), F.col(f"size{k}")
+        return [
+            F.when(size < SMALL_CLUSTER, F.concat(name, F.lit(" has "), size.cast("string"), F.lit(" members"))),
+            F.when(n < size, F.concat(name, F.lit(" lacks "), (size - n).cast("string"), F.lit(" values"))),
+            F.when(n < 2, F.concat(name, F.lit(" has fewer than two values"))),
+        ]
+
+    spread = F.when(F.col("pooled_sd") <= EPS, F.lit("no spread within the clusters"))
+    return out.withColumns({"hedges_g": F.col("cohen_d") * correction, "warning": F.concat_ws("; ", *said(1), *said(2), spread)})
 
 
-def global_contributions(points: DataFrame, partition: DataFrame) -> DataFrame:
-    """(cluster1, cluster2, component, difference, quadratic, relative, rank) of globally standardised centroids.
+def global_contributions(points: DataFrame, partition: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., cluster1, cluster2, component, difference, quadratic, relative, rank) of globally standardised centroids.
 
     Components without spread over all samples are left out.
     """
+    by = [*keys, "cluster"]
     known = points.where(F.col("value").isNotNull() & ~F.isnan("value"))
     stats = known.groupBy("component").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s")).where(F.col("_s") ** 2 > EPS)
-    z = known.join(F.broadcast(stats), "component").select("sample", "component", ((F.col("value") - F.col("_m")) / F.col("_s")).alias("z"))
-    centre = z.join(partition.select("sample", "cluster"), "sample").groupBy("cluster", "component").agg(F.avg("z").alias("c"))
-    one = centre.select("component", F.col("cluster").alias("cluster1"), F.col("c").alias("c1"))
-    two = centre.select("component", F.col("cluster").alias("cluster2"), F.col("c").alias("c2"))
-    met = one.join(two, "component").where(F.col("cluster1") < F.col("cluster2"))
-    part = met.select("cluster1", "cluster2", "component", (F.col("c1") - F.col("c2")).alias("difference")).withColumn("quadratic", F.col("difference") ** 2)
-    pair = Window.partitionBy("cluster1", "cluster2")
+    z = known.join(stats, "component").select("sample", "component", ((F.col("value") - F.col("_m")) / F.col("_s")).alias("z"))
+    centre = z.join(partition.select("sample", *by), "sample").groupBy(*by, "component").agg(F.avg("z").alias("c"))
+    one = centre.select(*keys, "component", F.col("cluster").alias("cluster1"), F.col("c").alias("c1"))
+    two = centre.select(*keys, "component", F.col("cluster").alias("cluster2"), F.col("c").alias("c2"))
+    met = one.join(two, [*keys, "component"]).where(cluster_key(F.col("cluster1")) < cluster_key(F.col("cluster2")))
+    part = met.select(*keys, "cluster1", "cluster2", "component", (F.col("c1") - F.col("c2")).alias("difference")).withColumn("quadratic", F.col("difference") ** 2)
+    pair = Window.partitionBy(*keys, "cluster1", "cluster2")
     total = F.sum("quadratic").over(pair)
     rank = F.row_number().over(pair.orderBy(F.desc(F.round("quadratic", 12)), "component"))
     return part.withColumns({"relative": F.when(total > 0, F.col("quadratic") / F.when(total > 0, total)), "rank": rank})
 
 
-def global_distances(contributions: DataFrame, most: int = 3) -> DataFrame:
-    """(cluster1, cluster2, distance, n_components, leading): the distance and the components that lead it."""
+def global_distances(contributions: DataFrame, most: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., cluster1, cluster2, distance, n_components, leading): the distance and the components that lead it."""
     lead = F.sort_array(F.collect_list(F.when(F.col("rank") <= most, F.struct("rank", "component"))))
-    out = contributions.groupBy("cluster1", "cluster2").agg(F.sqrt(F.sum("quadratic")).alias("distance"), F.count("*").alias("n_components"), lead.alias("l"))
-    return out.select("cluster1", "cluster2", "distance", "n_components", F.array_join(F.col("l.component"), "|").alias("leading"))
+    out = contributions.groupBy(*keys, "cluster1", "cluster2").agg(F.sqrt(F.sum("quadratic")).alias("distance"), F.count("*").alias("n_components"), lead.alias("l"))
+    return out.select(*keys, "cluster1", "cluster2", "distance", "n_components", F.array_join(F.col("l.component"), "|").alias("leading"))
 
 
 def compare_all_k(points: DataFrame, partitions: DataFrame) -> dict[str, DataFrame]:
-    """Contrasts, contributions and distances of every k of ``partitions(k, sample, cluster)``.
+    """Contrasts, contributions and distances of every k of ``partitions(k, sample, cluster)``; k is a key throughout, so each is one plan.
 
     Samples must be the same on both sides and every one labelled.
     """
@@ -109,12 +128,5 @@ def compare_all_k(points: DataFrame, partitions: DataFrame) -> dict[str, DataFra
     a, b = points.select("sample").distinct(), partitions.select("sample").distinct()
     if a.exceptAll(b).limit(1).count() or b.exceptAll(a).limit(1).count():
         raise ValueError("samples of the components and of the partition differ")
-    out: dict[str, DataFrame] = {}
-    for k in sorted(r["k"] for r in partitions.select("k").distinct().collect()):
-        own = partitions.where(F.col("k") == k)
-        parts = {"componentwise": component_contrasts(points, own), "contributions": global_contributions(points, own)}
-        parts["distances"] = global_distances(parts["contributions"])
-        for name, df in parts.items():
-            tagged = df.select(F.lit(k).alias("k"), "*")
-            out[name] = out[name].unionByName(tagged) if name in out else tagged
-    return out
+    contributions = global_contributions(points, partitions, ["k"])
+    return {"componentwise": component_contrasts(points, partitions, ["k"]), "contributions": contributions, "distances": global_distances(contributions, keys=["k"])}

@@ -867,6 +867,27 @@ def global_distance(spark, d):
     return rounded(K.global_distances(K.global_contributions(X.components(spark, d), X.embedding_labels(spark, d))))
 
 
+_PARTS = "parts_ as (select k::int as k, vec_id as sample, label % k as cluster from embeddings, (select unnest([2, 3, 5]) as k))"
+_ALL_K = """kgs as (select component, avg(value) as m, stddev_samp(value) as s from points group by 1),
+kst as (select k, cluster, component, count(*) as n, avg(value) as m, stddev_samp(value) as s, avg((value - g.m) / g.s) as c from points join kgs g using (component) join parts_ using (sample) group by all)"""
+
+
+def _partitions(spark, d):
+    own = X.embedding_labels(spark, d).withColumn("k", F.explode(F.array(F.lit(2), F.lit(3), F.lit(5))))
+    return own.select("k", "sample", (F.col("cluster") % F.col("k")).alias("cluster"))
+
+
+@query("contrasts_all_k", with_(POINTS, _PARTS, _ALL_K, "x as (select a.k, a.component, a.cluster as cluster1, b.cluster as cluster2, a.n as n1, b.n as n2, a.m - b.m as difference, sqrt(((a.n - 1) * a.s ** 2 + (b.n - 1) * b.s ** 2) / (a.n + b.n - 2)) as pooled_sd from kst a join kst b on a.k = b.k and a.component = b.component and a.cluster < b.cluster)") + "select k, component, cluster1, cluster2, n1, n2, round(difference, 6) as difference, round(pooled_sd, 6) as pooled_sd, round(difference / pooled_sd, 6) as cohen_d, round(difference / pooled_sd * (1 - 3 / (4.0 * (n1 + n2 - 2) - 1)), 6) as hedges_g, '' as warning from x")
+def contrasts_all_k(spark, d):
+    out = K.component_contrasts(X.components(spark, d), _partitions(spark, d), ["k"])
+    return rounded(out.select("k", "component", "cluster1", "cluster2", "n1", "n2", "difference", "pooled_sd", "cohen_d", "hedges_g", "warning"))
+
+
+@query("distances_all_k", with_(POINTS, _PARTS, _ALL_K, "kp as (select a.k, a.cluster as cluster1, b.cluster as cluster2, a.component, (a.c - b.c) ** 2 as quadratic from kst a join kst b on a.k = b.k and a.component = b.component and a.cluster < b.cluster)", "kr as (select *, row_number() over (partition by k, cluster1, cluster2 order by round(quadratic, 12) desc, component) as rank from kp)") + "select k, cluster1, cluster2, round(sqrt(sum(quadratic)), 6) as distance, count(*) as n_components, string_agg(component, '|' order by rank) filter (rank <= 3) as leading from kr group by k, cluster1, cluster2")
+def distances_all_k(spark, d):
+    return rounded(K.global_distances(K.global_contributions(X.components(spark, d), _partitions(spark, d), ["k"]), keys=["k"]))
+
+
 _DIMS = "summ as (select p_size as dim, round(avg(p_retailprice) / 1000, 9) as mean from part group by 1)"
 
 
