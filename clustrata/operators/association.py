@@ -193,19 +193,52 @@ def associate(scores: DataFrame, metadata: DataFrame, categorical: Sequence[str]
     return benjamini_hochberg(out, "p")
 
 
-def stratified_tests(scores: DataFrame, strata: DataFrame, min_group: int = 3) -> DataFrame:
-    """(stratification, kind, signature, contrast, u, effect, p, q, stars) for strata (stratification, sample, level).
+def strata_table(partition: DataFrame | None = None, metadata: DataFrame | None = None, variables: Sequence[str] = (), min_group: int = 3) -> DataFrame:
+    """(stratification, sample, level): the clusters of every k as ``k<k>``, and each named variable with two levels of ``min_group`` samples or more."""
+    parts = []
+    if partition is not None:
+        parts.append(partition.select(F.concat(F.lit("k"), F.col("k").cast("string")).alias("stratification"), "sample", F.concat(F.lit("C"), F.col("cluster").cast("string")).alias("level")))
+    if metadata is not None and variables:
+        long = metadata.unpivot("sample", [F.col(v).cast("string").alias(v) for v in variables], "stratification", "level").where("level is not null")
+        sizes = long.groupBy("stratification", "level").agg(F.count("*").alias("n")).where(F.col("n") >= min_group)
+        usable = sizes.groupBy("stratification").agg(F.count("*").alias("n")).where("n > 1").select("stratification")
+        parts.append(long.join(usable, "stratification", "left_semi").select("stratification", "sample", "level"))
+    if not parts:
+        raise ValueError("there is nothing to stratify by")
+    return reduce(DataFrame.unionByName, parts)
+
 
-    A family of q-values is one stratification and kind of test.
+def stratified_tests(scores: DataFrame, strata: DataFrame, min_group: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., stratification, kind, signature, contrast, n1, n2, u, effect, p, q, stars) for strata (stratification, sample, level).
+
+    All stratifications are one table and keys of every step. Each level against the rest
+    comes from one ranking of a view's samples: a level's U is its rank sum less what it would
+    be alone. Every two levels are ranked anew. A family of q-values is one stratification and
+    kind of test (of one value of ``keys``, such as a scoring method); p is null below ``min_group``.
     """
-    tagged = scores.crossJoin(F.broadcast(strata.select("stratification").distinct())).select(F.concat_ws("\x1f", "stratification", "signature").alias("signature"), "stratification", "sample", "score")
-    cells = tagged.join(strata, ["stratification", "sample"]).select("signature", "sample", "score", "level")
-    levels, values = cells.select(F.concat_ws("\x1f", "signature", "sample").alias("sample"), "level"), cells.select("signature", F.concat_ws("\x1f", "signature", "sample").alias("sample"), "score")
-    ova = rank_tests_one_vs_rest(values, levels, min_group).select("signature", F.lit("ova").alias("kind"), F.concat(F.col("level"), F.lit(" vs rest")).alias("contrast"), "u", "rank_biserial", "p")
-    ovo = rank_tests_pairs(values, levels, min_group).select("signature", F.lit("ovo").alias("kind"), F.concat_ws(" vs ", "level1", "level2").alias("contrast"), "u", "rank_biserial", "p")
-    both = ova.unionByName(ovo).withColumn("_s", F.split("signature", "\x1f"))
-    named = both.select(F.col("_s")[0].alias("stratification"), "kind", F.col("_s")[1].alias("signature"), "contrast", "u", F.col("rank_biserial").alias("effect"), "p")
-    return benjamini_hochberg(named, "p", ["stratification", "kind"]).withColumn("stars", stars(F.col("q")))
+    view = [*keys, "stratification", "signature"]
+    cells = scores.where(F.col("score").isNotNull()).join(strata.where(F.col("level").isNotNull()), "sample").select(*view, "sample", "level", "score")
+    ties = Window.partitionBy(*view, "score")
+    ranked = cells.withColumns({"_rank": average_rank("score", view), "_t": F.count("*").over(ties)})
+    own = ranked.groupBy(*view, "level").agg(F.count("*").alias("n1"), F.sum("_rank").alias("r"), F.sum((F.col("_t") * F.col("_t") - 1).cast("double")).alias("_ties"))
+    whole = Window.partitionBy(*view)
+    ova = own.withColumns({"n2": F.sum("n1").over(whole) - F.col("n1"), "ties": F.sum("_ties").over(whole), "u": F.col("r") - F.col("n1") * (F.col("n1") + 1) / 2})
+    ova = ova.select(*view, F.lit("ova").alias("kind"), F.concat(F.col("level"), F.lit(" vs rest")).alias("contrast"), "n1", "n2", "u", "ties").where("n2 > 0")
+    sizes = own.where(F.col("n1") >= min_group).select(*view, "level", "n1")
+    placed = sizes.withColumn("_p", F.row_number().over(whole.orderBy(F.desc("n1"), "level")))
+    one, two = (placed.select(*view, F.col("level").alias(f"level{i}"), F.col("_p").alias(f"_p{i}")) for i in (1, 2))
+    pairs = one.join(two, view).where("_p1 < _p2").drop("_p1", "_p2")
+    met = cells.join(pairs, view).where((F.col("level") == F.col("level1")) | (F.col("level") == F.col("level2")))
+    pair = [*view, "level1", "level2"]
+    again = met.withColumns({"_rank": average_rank("score", pair), "_t": F.count("*").over(Window.partitionBy(*pair, "score")), "_in": F.col("level") == F.col("level1")})
+    sums = again.groupBy(*pair).agg(F.sum(F.col("_in").cast("bigint")).alias("n1"), F.sum((~F.col("_in")).cast("bigint")).alias("n2"), F.sum(F.when(F.col("_in"), F.col("_rank")).otherwise(0.0)).alias("r"), F.sum((F.col("_t") * F.col("_t") - 1).cast("double")).alias("ties"))
+    ovo = sums.select(*view, F.lit("ovo").alias("kind"), F.concat_ws(" vs ", "level1", "level2").alias("contrast"), "n1", "n2", (F.col("r") - F.col("n1") * (F.col("n1") + 1) / 2).alias("u"), "ties")
+    both = ova.unionByName(ovo)
+    ok = (F.col("n1") >= min_group) & (F.col("n2") >= min_group)
+    part = lambda c: F.when(ok, F.col(c))  # noqa: E731 - the test sees null where it isn't made
+    tested = both.withColumns({"effect": 1 - 2 * F.col("u") / (F.col("n1") * F.col("n2")), "p": mann_whitney(part("u"), part("n1"), part("n2"), part("ties"))})
+    out = benjamini_hochberg(tested, "p", [*keys, "stratification", "kind"]).withColumn("stars", stars(F.col("q")))
+    return out.select(*keys, "stratification", "kind", "signature", "contrast", "n1", "n2", "u", "effect", "p", "q", "stars")
 
 
 def assemble_features(metadata: DataFrame | None = None, scores: Mapping[str, DataFrame] | None = None, deconvolution: DataFrame | None = None, extra: DataFrame | None = None, samples: DataFrame | None = None, max_levels: int = 6, extra_prefix: str = "ica") -> DataFrame:

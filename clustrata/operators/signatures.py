@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -147,6 +147,35 @@ def _against_null(ranking, rows: list, weights: np.ndarray, permutations: int, s
     return out.assign(fdr_q=q)
 
 
+def gsea_by_collection(rankings: DataFrame, sets: DataFrame, keys: Sequence[str], permutations: int = 1000, min_size: int = 15, max_size: int = 500, seed: int = 0) -> DataFrame:
+    """(keys.., collection, signature, size, es, nes, nom_p, fdr_q, lead_genes) of all rankings (keys.., gene, score) in all collections at once.
+
+    sets: (collection, signature, gene). Genes are named within their collection, so that a
+    ranking meets each collection's sets apart; a family of false-discovery rates is one ranking
+    and collection.
+    """
+    if not 1 <= min_size <= max_size:
+        raise ValueError("the sizes of gene sets need 1 <= min_size <= max_size")
+    mark = "\x1f"
+    named = F.concat_ws(mark, "collection", "gene")
+    wide = rankings.crossJoin(F.broadcast(sets.select("collection").distinct()))  # a handful of collections
+    lists = wide.select(F.concat_ws(mark, *[F.col(k).cast("string") for k in keys], "collection").alias("ranking"), named.alias("gene"), "score")
+    found = gsea_prerank(lists, sets.select(F.concat_ws(mark, "collection", "signature").alias("signature"), named.alias("gene")), permutations, min_size, max_size, seed)
+    part = F.split("ranking", mark)
+    own = [part[i].cast(rankings.schema[k].dataType).alias(k) for i, k in enumerate(keys)]
+    plain = F.transform("lead_genes", lambda g: F.substring_index(g, mark, -1)).alias("lead_genes")
+    return found.select(*own, part[len(keys)].alias("collection"), F.substring_index("signature", mark, -1).alias("signature"), "size", "es", "nes", "nom_p", "fdr_q", plain)
+
+
+def collection_manifest(rankings: DataFrame, sets: DataFrame, results: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys.., collection, status, n_pathways) of every ranking with every collection, and of results without a task (``unexpected``)."""
+    tasks = rankings.select(*keys).distinct().crossJoin(F.broadcast(sets.select("collection").distinct())).withColumn("_asked", F.lit(True))
+    counted = results.groupBy(*keys, "collection").agg(F.count("*").alias("n_pathways"))
+    full = tasks.join(counted, [*keys, "collection"], "full")
+    status = F.when(F.col("_asked").isNull(), "unexpected").when(F.col("n_pathways").isNull(), "empty").otherwise("ok")
+    return full.select(*keys, "collection", status.alias("status"), F.coalesce("n_pathways", F.lit(0)).cast("bigint").alias("n_pathways"))
+
+
 def significant(results: DataFrame, q_max: float = 0.25) -> DataFrame:
     """The enriched sets below a false-discovery rate."""
     return results.where(F.col("fdr_q") < q_max)

@@ -676,11 +676,23 @@ def associate_table(spark, d):
     return A.associate(_scores(spark, d), X.metadata(spark, d), ["region", "tier"], ["acctbal"])
 
 
-@query("stratified_tests")
+_STRATA = """strata as (select 'k' || k as stratification, sample, 'C' || cluster as level from tiers union all select 'region', sample, region from meta union all select 'tier', sample, tier from meta),
+strata_ as (select * from strata where stratification[1] = 'k' or stratification in (select stratification from (select stratification, level from strata group by all having count(*) >= 3) group by 1 having count(*) > 1))"""
+_STRATIFIED = """vw as (select stratification, signature, sample, level, score from scores join strata_ using (sample)),
+rk as (select *, rank() over w + (count(*) over (partition by stratification, signature, score) - 1) / 2.0 as rk from vw window w as (partition by stratification, signature order by score)),
+lv as (select stratification, signature, level, count(*) as n1, sum(rk) as r from rk group by all),
+ova as (select stratification, 'ova' as kind, signature, level || ' vs rest' as contrast, n1, (sum(n1) over (partition by stratification, signature) - n1)::bigint as n2, r - n1 * (n1 + 1) / 2.0 as u from lv),
+pl as (select *, row_number() over (partition by stratification, signature order by n1 desc, level) as p from lv where n1 >= 3),
+pr as (select v.stratification, v.signature, a.level as l1, b.level as l2, v.level, v.score from pl a join pl b on a.stratification = b.stratification and a.signature = b.signature and a.p < b.p join vw v on v.stratification = a.stratification and v.signature = a.signature and v.level in (a.level, b.level)),
+pk as (select *, rank() over (partition by stratification, signature, l1, l2 order by score) + (count(*) over (partition by stratification, signature, l1, l2, score) - 1) / 2.0 as rk from pr),
+ovo as (select stratification, 'ovo' as kind, signature, l1 || ' vs ' || l2 as contrast, count(*) filter (level = l1) as n1, count(*) filter (level = l2) as n2, sum(rk) filter (level = l1) - count(*) filter (level = l1) * (count(*) filter (level = l1) + 1) / 2.0 as u from pk group by stratification, signature, l1, l2)"""
+
+
+@query("stratified_tests", with_(COUNTS, LOGCPM, SETS, META, TIERS, _Z, _STRATA, _STRATIFIED) + "select stratification, kind, signature, contrast, n1, n2, round(u, 6) as u, round(1 - 2 * u / (n1 * n2), 6) as effect from (select * from ova where n2 > 0 union all select * from ovo)")
 def stratified_tests(spark, d):
-    meta = X.metadata(spark, d)
-    strata = meta.select(F.lit("region").alias("stratification"), "sample", F.col("region").alias("level")).unionByName(meta.select(F.lit("tier").alias("stratification"), "sample", F.col("tier").alias("level")))
-    return A.stratified_tests(_scores(spark, d), strata)
+    scores = _scores(spark, d).withColumn("score", F.round("score", 9))
+    strata = A.strata_table(X.tier_partition(spark, d), X.metadata(spark, d), ["region", "tier"])
+    return rounded(A.stratified_tests(scores, strata).select("stratification", "kind", "signature", "contrast", "n1", "n2", "u", "effect"))
 
 
 _FEATS = "feats as (select sample, 'acctbal' as feature, 'clinic' as family, acctbal as value from meta union all select sample, signature, 'sig', score from scores union all select sample, gene, 'gene', round(value, 9) from logs)"
@@ -751,6 +763,38 @@ def gsea_es(spark, d):
     return rounded(S.enrichment_scores(_rankings(spark, d), X.gene_sets(spark, d), 3, 500).select("ranking", "signature", "size", "es"))
 
 
+_COLLECTED = """sets2 as (select case when signature in ('set0', 'set1') then 'first' else 'second' end as collection, signature, gene from sets),
+lists2 as (select k, cluster, gene, round(avg(value) - any_value(m), 9) as score from logs join tiers using (sample) join (select gene, avg(value) as m from logs group by 1) using (gene) group by k, cluster, gene),
+rk2 as (select k, cluster, gene, abs(score) as w, row_number() over (partition by k, cluster order by score desc, gene) as pos, count(*) over (partition by k, cluster) as n from lists2),
+every2 as (select r.*, s.collection, s.signature, exists (select 1 from sets x where x.signature = s.signature and x.gene = r.gene) as hit from rk2 r, (select distinct collection, signature from sets2) s),
+t2 as (select *, count(*) filter (hit) over g as size, sum(case when hit then w else 0 end) over g as tot from every2 window g as (partition by k, cluster, signature)),
+run2 as (select *, sum(case when hit then w / tot else -1.0 / (n - size) end) over (partition by k, cluster, signature order by pos) as v from t2 where size between 3 and 500),
+es2 as (select k, cluster, collection, signature, any_value(size) as size, case when max(v) >= -least(min(v), 0) then max(v) else least(min(v), 0) end as es from run2 group by all)"""
+_COLLECTIONS = with_(COUNTS, LOGCPM, SETS, TIERS, _COLLECTED)
+
+
+def _collected(spark, d):
+    """(rankings by k and cluster, sets in two collections, results)."""
+    logs = P.log_cpm(X.counts(spark, d))
+    mean = logs.groupBy("gene").agg(F.avg("value").alias("_m"))
+    own = logs.join(X.tier_partition(spark, d), "sample").groupBy("k", "cluster", "gene").agg(F.avg("value").alias("v"))
+    rankings = own.join(mean, "gene").select("k", "cluster", "gene", F.round(F.col("v") - F.col("_m"), 9).alias("score"))
+    sets = X.gene_sets(spark, d).select(F.when(F.col("signature").isin("set0", "set1"), "first").otherwise("second").alias("collection"), "signature", "gene")
+    return rankings, sets, S.gsea_by_collection(rankings, sets, ["k", "cluster"], 100, 3, 500)
+
+
+@query("gsea_collections", _COLLECTIONS + "select k, cluster, collection, signature, size, round(es, 6) as es from es2")
+def gsea_collections(spark, d):
+    """Every ranking in every collection; the drawn parts of the result aren't compared."""
+    return rounded(_collected(spark, d)[2].select("k", "cluster", "collection", "signature", "size", "es"))
+
+
+@query("gsea_manifest", _COLLECTIONS + "select k, cluster, collection, case when n is null then 'empty' else 'ok' end as status, coalesce(n, 0) as n_pathways from (select distinct k, cluster, collection from tiers, sets2) t left join (select k, cluster, collection, count(*) as n from es2 group by all) using (k, cluster, collection)")
+def gsea_manifest(spark, d):
+    rankings, sets, found = _collected(spark, d)
+    return S.collection_manifest(rankings, sets, found, ["k", "cluster"])
+
+
 @query("gsea_prerank")
 def gsea_prerank(spark, d):
     return S.gsea_prerank(_rankings(spark, d), X.gene_sets(spark, d), 100, 3, 500)
