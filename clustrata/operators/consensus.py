@@ -240,3 +240,30 @@ def final_partition(pairs: DataFrame, linkage: str = "average") -> DataFrame:
     return pairs.groupBy("k").applyInPandas(run, f"k int, sample {kind}, cluster int, leaf_pos int")
 
 
+def tree_links(pairs: DataFrame, linkage: str = "average") -> DataFrame:
+    """(k, branch_id, size, height, left, right, left_height, right_height, place): the merges of each k's consensus tree as they are drawn.
+
+    Leaves stand at 5, 15, 25 and so on in leaf order and a merge in the middle of its sides; ids are those of
+    branches, ``place`` is the order of drawing: from the root, the left side before the right.
+    """
+    from .kernels.cluster import leaf_order, linkage_tree
+    from .kernels.linear import square
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, d = square(pdf["i"], pdf["j"], 1 - pdf["consensus"].to_numpy())
+        n, tree = len(names), linkage_tree(d, linkage)
+        x, height, size = np.zeros(n + len(tree)), np.zeros(n + len(tree)), np.ones(n + len(tree), int)
+        x[leaf_order(tree, n)] = 5 + 10 * np.arange(n)
+        sides = np.zeros((len(tree), 2), int)
+        for step, (a, b, h, m) in enumerate(tree):
+            sides[step] = sorted((int(a), int(b)), key=lambda node: x[node])
+            x[n + step], height[n + step], size[n + step] = x[sides[step]].mean(), h, m
+        turn, todo = {}, [n + len(tree) - 1] if len(tree) else []
+        while todo:
+            node = todo.pop()
+            turn[node] = len(turn)
+            todo += [s for s in sides[node - n][::-1] if s >= n]
+        rows = [(int(pdf["k"].iloc[0]), n + i, size[n + i], height[n + i], x[a], x[b], height[a], height[b], turn[n + i]) for i, (a, b) in enumerate(sides)]
+        return pd.DataFrame(rows, columns=["k", "branch_id", "size", "height", "left", "right", "left_height", "right_height", "place"])
+
+    return pairs.groupBy("k").applyInPandas(run, "k int, branch_id int, size int, height double, left double, right double, left_height double, right_height double, place int")

@@ -14,7 +14,7 @@ from ..operators import compare as K
 from ..operators import consensus as C
 from ..operators import crosstabs
 from ..operators import distance as D
-from ..operators import ica, nullcheck, stability
+from ..operators import embedding, ica, nullcheck, stability
 from ..operators import preprocess as P
 from ..operators import resample as R
 from ..operators import signatures as S
@@ -401,6 +401,28 @@ def branch_jaccard(spark, d):
     return rounded(stability.best_matches(one, two))
 
 
+_HALVES = """halves as (select vec_id as sample, 0 as run, list_transform(embedding[1:len(embedding) // 2], lambda v: v::double) as x from embeddings union all select vec_id, 1, list_transform(embedding[len(embedding) // 2 + 1:], lambda v: v::double) from embeddings),
+away as (select a.run, a.sample, b.sample as other, row_number() over (partition by a.run, a.sample order by round(list_distance(a.x, b.x), 9), b.sample) as place from halves a join halves b on a.run = b.run and a.sample <> b.sample),
+nears as (select run, sample, list(other order by place) as near from away where place <= 10 group by all)"""
+
+
+def _halves(spark, d):
+    """The first and the second half of the embeddings' coordinates as two runs."""
+    rows, n = X.table(spark, d, "embeddings"), F.floor(F.size("embedding") / 2).cast("int")
+    half = lambda run, x: rows.select(F.lit(run).alias("run"), F.col("vec_id").alias("sample"), x.alias("x"))
+    return half(0, F.slice("embedding", F.lit(1), n)).unionByName(half(1, F.slice("embedding", n + 1, F.size("embedding"))))
+
+
+@query("nearest_neighbours", with_(_HALVES) + "select run, sample, array_to_string(near, '|') as near from nears")
+def nearest_neighbours(spark, d):
+    return embedding.nearest_neighbours(_halves(spark, d)).withColumn("near", F.array_join(F.transform("near", lambda n: n.cast("string")), "|"))
+
+
+@query("neighbour_overlap", with_(_HALVES) + "select 0 as run1, 1 as run2, count(*) as n, round(avg(len(list_intersect(a.near, b.near)) / 10.0), 6) as shared from nears a join nears b using (sample) where a.run = 0 and b.run = 1")
+def neighbour_overlap(spark, d):
+    return rounded(embedding.neighbour_overlap(embedding.nearest_neighbours(_halves(spark, d))))
+
+
 TREES, DEPTH = 12, 3
 _TREES = f"""nodes as (select b, level, substr(md5(b::varchar || ':' || s_suppkey::varchar), 1, level) as node, s_suppkey as sample from supplier, range({TREES + 1}) t(b), range(1, {DEPTH + 1}) u(level)),
 sized as (select b, level, node, count(*) as n from nodes group by all),
@@ -647,6 +669,14 @@ def signature_mean_z(spark, d):
     return rounded(rounded(_scores(spark, d), 9))
 
 
+@query("score_payload", with_(COUNTS, LOGCPM, SETS, _Z, "placed as (select signature, sample::varchar as sample, row_number() over (partition by signature order by score desc, sample) as place from scores)") + "select signature, count(*) as n_rows, count(*) > 7 as truncated, (to_json(list({'sample': sample, 'place': place} order by place) filter (place <= 7)))::varchar as rows from placed group by signature")
+def score_payload(spark, d):
+    """The seven samples with the highest score of each signature, as the page gets them."""
+    scores = _scores(spark, d).withColumn("score", F.round("score", 9))
+    placed = scores.withColumn("place", F.row_number().over(Window.partitionBy("signature").orderBy(F.desc("score"), "sample")))
+    return report.bounded_payload(placed.select("signature", F.col("sample").cast("string").alias("sample"), "place"), ["signature"], ["place"], 7)
+
+
 @query("mannwhitney_ovr", with_(COUNTS, LOGCPM, SETS, META, _Z, "full_ as (select signature, region as level, score from scores join meta using (sample))", "cells_ as (select f.signature, t.level as target, f.level, f.score from full_ f join (select distinct signature, level from full_) t using (signature))", _U.format(by="signature, target"), "g as (select signature, target, count(*) filter (level = target) as n1, count(*) filter (level <> target) as n2, sum(rk) filter (level = target) as r1, sum(t * t - 1)::double as ties, median(score) filter (level = target) as m1, median(score) filter (level <> target) as m2 from ranked group by all)") + "select signature, target as level, n1, n2, round(ties, 3) as ties, round(r1 - n1 * (n1 + 1) / 2.0, 6) as u, round(1 - 2 * (r1 - n1 * (n1 + 1) / 2.0) / (n1 * n2), 6) as rank_biserial, round(m1 - m2, 6) as median_difference from g")
 def mannwhitney_ovr(spark, d):
     s = _scores(spark, d).withColumn("score", F.round("score", 9))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import html
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import cleaned
@@ -32,6 +33,48 @@ def box_plot(scores: DataFrame, groups: DataFrame) -> DataFrame:
     return out.select("signature", "level", "n", "min", F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"), F.col("p")[2].alias("q3"), "max")
 
 
+def bounded_payload(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], most: int = PAGE_ROWS) -> DataFrame:
+    """(keys.., n_rows, truncated, rows): each group's first ``most`` rows as one JSON text.
+
+    Rows beyond the bound are cut by rank, which Spark applies before the shuffle; their number
+    comes from an aggregate, so a group of any size sends at most ``most`` rows from each task.
+    """
+    columns = [c for c in df.columns if c not in keys]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    head = df.withColumn("_r", rank).where(F.col("_r") <= most)
+    packed = F.transform(F.array_sort(F.collect_list(F.struct("_r", F.struct(*columns).alias("v")))), lambda x: x["v"])
+    shown = head.groupBy(*keys).agg(F.to_json(packed, {"ignoreNullFields": "false"}).alias("rows"))
+    counted = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    return counted.join(shown, list(keys)).select(*keys, "n_rows", (F.col("n_rows") > most).alias("truncated"), "rows")
+
+
+def tree_payload(links: DataFrame, branches: DataFrame | None = None) -> DataFrame:
+    """(k, icoord, dcoord, stability): the drawn tree of each k as JSON lists in the same order; branches without a score have null."""
+    own = links if branches is None else links.join(branches.select("k", "branch_id", "stability"), ["k", "branch_id"], "left")
+    score = F.col("stability") if branches is not None else F.lit(None).cast("double")
+    across = F.array("left", "left", "right", "right").alias("x")
+    up = F.array("left_height", "height", "height", "right_height").alias("y")
+    rows = own.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("place", across, up, F.struct(score.alias("s")).alias("s")))).alias("l"))
+    return rows.select("k", F.to_json("l.x").alias("icoord"), F.to_json("l.y").alias("dcoord"), F.to_json(F.transform("l.s", lambda s: s["s"])).alias("stability"))
+
+
+def folder_payload(spark: SparkSession, folder: str, names: Sequence[str], most: int = PAGE_ROWS) -> DataFrame:
+    """(table, columns, truncated, rows): the head of every written table of a folder, unlike ones together, each row as one JSON text.
+
+    Each table is read with a limit that stops its scan; its rows become JSON where they are
+    read, so tables of any columns are one DataFrame.
+    """
+    parts = []
+    for name in names:
+        df = spark.read.parquet(f"{folder}/{name}")
+        head = df.limit(most + 1).select(F.lit(name).alias("table"), F.lit(json.dumps(df.columns)).alias("columns"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("row"))
+        parts.append(head)
+    if not parts:
+        raise ValueError("there is no table")
+    every = reduce(DataFrame.unionByName, parts).groupBy("table", "columns").agg(F.sort_array(F.collect_list("row")).alias("r"))
+    return every.select("table", "columns", (F.size("r") > most).alias("truncated"), F.slice("r", 1, most).alias("rows"))
+
+
 def consensus_payload(pairs: DataFrame, partition: DataFrame, k: int) -> dict:
     """Samples in leaf order and their consensus in whole percents."""
     order = [r["sample"] for r in partition.where(F.col("k") == k).orderBy("leaf_pos").select("sample").collect()]

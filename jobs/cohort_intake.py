@@ -104,12 +104,12 @@ def fold(spark: SparkSession, out: str, o: Mapping) -> dict[str, int]:
         # batches that arrive from now on belong to the next run
         counts = partials.where(F.col("bucket").isin(*stale)).groupBy("sample", "gene").agg(F.sum("value").alias("value"))
         logs = with_cpm(counts).select("sample", "gene", "value", F.log2(F.col("cpm") + o["prior"]).alias("logcpm"), bucket("sample", o).alias("bucket"))
-        write(logs.repartition("bucket"), f"{out}/matrix", "bucket")
+        write(logs.hint("rebalance", "bucket"), f"{out}/matrix", "bucket")  # a large bucket is written by several tasks
         write(spark.createDataFrame([(b, k) for k, b in stale.items()], FOLDED).coalesce(1), f"{out}/folded", "bucket")
         matrix = spark.read.schema(MATRIX).parquet(f"{out}/matrix")
         stats = matrix.groupBy("gene").agg(F.sum((F.col("value") > 0).cast("bigint")).alias("n_samples"), F.sum("value").alias("total"), F.avg("logcpm").alias("mean_logcpm"))
         keyed = stats.withColumn("bucket", bucket("gene", o))
-        write(keyed.repartition("bucket"), f"{out}/genes", "bucket")
+        write(keyed.hint("rebalance", "bucket"), f"{out}/genes", "bucket")
         done |= {"matrix_rows": matrix.where(F.col("bucket").isin(*stale)).count(), "gene_rows": spark.read.schema(GENES).parquet(f"{out}/genes").count()}
     return done
 

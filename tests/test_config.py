@@ -16,34 +16,66 @@ def load(tmp_path, held: dict, *argv: str):
     return config.load(["--config", str(path), *argv])
 
 
-# Invalid settings and what the message has to name.
-BAD = [
-    ({"base": "hierarchcal"}, "hierarchical"),
-    ({"metric": "peason"}, "pearson"),
-    ({"run_ica": "maybe"}, "run_ica"),
-    ({"linkage": "avarage"}, "average"),
-    ({"norm_method": "vsst"}, "vst"),
-    ({"k_criterion": "pack"}, "pac"),
-    ({"k_min": 8, "k_max": 3}, "k_min"),
-    ({"prop_samples": 1.7}, "prop_samples"),
-    ({"prop_genes": 0}, "prop_genes"),
-    ({"k_final": 9, "k_max": 6}, "k_final"),
-    ({"ica_n_components_min": 10, "ica_n_components_max": 4}, "ica_n_components_min"),
-    ({"ica_top_dimensions": 7}, "ica_top_dimensions"),
-    ({"n_jobs": 0}, "n_jobs"),
-    ({"outlier_min_explained_var": 1.0}, "outlier_min_explained_var"),
-    ({"purity_threshold": 1.5}, "purity_threshold"),
-    ({"k_maxx": 12}, "k_max"),
-    ({"already_normalized": True, "run_degsea": "y", "gsea_gene_sets": None}, "already_normalized"),
-    ({"n_resamples": 1.5}, "n_resamples"),
-    ({"clinical_degsea": {"a": {"design": "~ x"}}}, "lacks"),
-]
-
-
-@pytest.mark.parametrize(("held", "word"), BAD)
-def test_bad_settings(tmp_path, held, word):
-    with pytest.raises(config.ConfigError, match=word):
-        load(tmp_path, held)
+OPTIONS = config.OPTIONS.values()
+
+
+def outside(option: config.Option) -> list:
+    """Values just beyond what an option's declaration allows."""
+    step = 1 if option.kind == "int" else 0.25
+    out = ["three", *([0.5] if option.kind == "int" else [])] if option.kind in ("int", "float") else []
+    if option.kind in ("int", "float") and option.low is not None:
+        out.append(option.low if option.open_low else option.low - step)
+    if option.kind in ("int", "float") and option.high is not None:
+        out.append(option.high if option.open_high else option.high + step)
+    return out
+
+
+@pytest.mark.parametrize("option", [o for o in OPTIONS if o.choices], ids=lambda o: o.name)
+def test_every_choice_is_checked(tmp_path, option):
+    """A choice without its last letter names the option and what it may be; each choice itself is no such problem."""
+    wrong = option.choices[0][:-1] + "~"
+    with pytest.raises(config.ConfigError) as error:
+        load(tmp_path, {option.name: wrong})
+    assert any(p.startswith(f"{option.name}: ") and option.choices[0] in p for p in error.value.problems)
+    for choice in option.choices:
+        problems: list[str] = []
+        assert config.coerce(option, choice, problems) == choice and not problems
+
+
+@pytest.mark.parametrize(("option", "value"), [(o, v) for o in OPTIONS for v in outside(o)], ids=lambda x: getattr(x, "name", str(x)))
+def test_every_bound_is_checked(tmp_path, option, value):
+    with pytest.raises(config.ConfigError, match=option.name):
+        load(tmp_path, {option.name: value})
+
+
+@pytest.mark.parametrize("option", [o for o in OPTIONS if o.kind in ("flag", "switch")], ids=lambda o: o.name)
+def test_every_switch_is_checked(tmp_path, option):
+    with pytest.raises(config.ConfigError, match=f"{option.name}: 'sometimes' is not y or n"):
+        load(tmp_path, {option.name: "sometimes"})
+
+
+def test_misspelt_names(tmp_path):
+    """A name with its last letter doubled points to the right one, if it is long enough to tell."""
+    for option in OPTIONS:
+        if len(option.name) >= 8:
+            with pytest.raises(config.ConfigError, match=option.name):
+                load(tmp_path, {option.name + option.name[-1]: option.default})
+
+
+def test_settings_that_contradict_each_other(tmp_path):
+    least, most = config.OPTIONS["k_min"].default, config.OPTIONS["k_max"].default
+    for held, word in (
+        ({"k_min": most + 1}, "k_min"),
+        ({"k_final": most + 2}, "k_final"),
+        ({"k_final": least - 1}, "k_final"),
+        ({"ica_n_components_min": 21, "ica_n_components_max": 20}, "ica_n_components_min"),
+        ({"already_normalized": True, "run_degsea": "y"}, "already_normalized"),
+        ({"n_jobs": 0}, "n_jobs"),
+        ({"purity_threshold": "two"}, "purity_threshold"),
+        ({"clinical_degsea": {"trial": {"design": "~ site + arm"}}}, "lacks"),
+    ):
+        with pytest.raises(config.ConfigError, match=word):
+            load(tmp_path, held)
 
 
 def test_all_problems_at_once(tmp_path):
@@ -88,7 +120,7 @@ def test_other_forms_of_blocks(tmp_path, monkeypatch):
             "b": {"design": "~ arm", "contraste": "arm", "test": "b", "control": "a"},
             "c": {"enabled": "n"},
         }},
-        "ica_resampling": "bootstrap",
+        "ica_algorithm": "picard",
     })
     assert config.collections(options) == {"h": "/home/me/h.gmt", "kegg": "k.gmt"}
     assert options["ordinal_variables"] == {"grade": None}
@@ -97,7 +129,7 @@ def test_other_forms_of_blocks(tmp_path, monkeypatch):
     assert config.experiment_collections(options, one) == {"kegg": "k.gmt"}
     assert config.experiment_collections(options, two) == config.collections(options)
     assert config.experiment_collections(options, two | {"collections": "~/own.gmt"}) == {"own": "/home/me/own.gmt"}
-    assert any("ica_resampling" in w for w in warnings) and not any("n_jobs" in w for w in warnings)
+    assert any("ica_algorithm" in w for w in warnings) and not any("n_jobs" in w for w in warnings)
     with pytest.raises(config.ConfigError, match="reactome"):
         load(tmp_path, {"clinical_degsea": {"a": {"design": "~ x", "contrast": "x", "test": 1, "control": 2, "collections": ["reactome"]}}})
     assert load(tmp_path, {"clinical_degsea": {"enabled": "n", "a": {}}})[0]["clinical_degsea"] == []
