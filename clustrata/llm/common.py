@@ -8,10 +8,11 @@ neither on the number of rows nor on Spark's batch size, only on the longest doc
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,26 @@ def _remove_written() -> None:
             return
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: Spark keeps a Python worker for later tasks, which would hold it for them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidy(scan: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function over batches; its task ends by giving memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from scan(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` doesn't have, whatever the case."""
     taken = {c.lower() for c in df.columns}

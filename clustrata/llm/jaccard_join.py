@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ARROW_BYTES, SPACED, Words, fresh, grams, materialise, mix, plus, slices, utf8
+from .common import ARROW_BYTES, SPACED, Words, fresh, grams, materialise, mix, plus, slices, tidy, utf8
 from .components import components
 
 PER_GROUP, LEAST_GROUPS, MOST_GROUPS = 1, 256, 1024
@@ -365,7 +365,7 @@ def _nodes(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(vectors, pa.binary())], names=["id", "size", "node", "vector"])
 
     plain = docs.select("id")
-    return docs.select("id", "text").mapInArrow(scan, plus(plain.schema, size="bigint", node="bigint", vector="binary"))
+    return docs.select("id", "text").mapInArrow(tidy(scan), plus(plain.schema, size="bigint", node="bigint", vector="binary"))
 
 
 def _pages(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -493,7 +493,7 @@ def _pages(docs: DataFrame, n: int, percent: int) -> DataFrame:
             }
         )
 
-    asked = docs.select("text").mapInArrow(ask, "shard int, sure boolean, name binary, marks binary, node binary, size binary, times binary")
+    asked = docs.select("text").mapInArrow(tidy(ask), "shard int, sure boolean, name binary, marks binary, node binary, size binary, times binary")
     return asked.groupBy("shard").applyInArrow(answer, "page bigint, a bigint, b bigint, size bigint")
 
 
@@ -536,7 +536,7 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFr
                     out, held = [], 0
             yield rows_of(out)
 
-    found = texts.select("text").mapInArrow(scan, "node bigint, size bigint, grams binary")
+    found = texts.select("text").mapInArrow(tidy(scan), "node bigint, size bigint, grams binary")
     return found.join(F.broadcast(wanted) if small else wanted, "node")
 
 
@@ -575,7 +575,7 @@ def _grown(homed: DataFrame, percent: int) -> DataFrame:
         if held:
             yield grow()
 
-    return dealt.mapInArrow(scan, "node bigint, size bigint, root bigint, tree bigint, home bigint, grams binary")
+    return dealt.mapInArrow(tidy(scan), "node bigint, size bigint, root bigint, tree bigint, home bigint, grams binary")
 
 
 def _spoken(trees: DataFrame, percent: int) -> DataFrame:
@@ -603,7 +603,7 @@ def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
             at = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
-    return both.mapInArrow(scan, "a bigint, b bigint")
+    return both.mapInArrow(tidy(scan), "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -621,7 +621,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             at = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
-    return both.mapInArrow(scan, "a bigint, b bigint")
+    return both.mapInArrow(tidy(scan), "a bigint, b bigint")
 
 
 def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: int, most: int) -> DataFrame:
@@ -676,7 +676,7 @@ def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: i
             search()
         yield out()
 
-    return dealt.mapInArrow(scan, "page bigint, a bigint, b bigint, more boolean")
+    return dealt.mapInArrow(tidy(scan), "page bigint, a bigint, b bigint, more boolean")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -761,7 +761,7 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             nodes = [node_of(g) if len(g) else None for g in gram_sets(*utf8(batch.column(at)), n)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, node])
 
-    rows = docs.mapInArrow(scan, plus(docs.schema, **{node: "bigint"}))
+    rows = docs.mapInArrow(tidy(scan), plus(docs.schema, **{node: "bigint"}))
     on = rows[id_col].eqNullSafe(F.col("lost_id")) & (rows[node] == F.col("lost_node"))
     kept = rows.join(F.broadcast(lost) if lost.count() <= FILTER_IDS else lost, on, "left_anti")
     if not repeated.isEmpty():

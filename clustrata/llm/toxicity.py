@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, plus, slices, utf8
+from .common import ALNUM, Words, give_back, plus, slices, tidy, utf8
 
 #: Bounds of the labelled rows that are learned from.
 MAX_POSITIVE, MAX_NEGATIVE = 3000, 5000
@@ -264,7 +264,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_c
         y = np.array(group["y"].to_pylist(), np.float64)
         weights = np.where(y == 1, counts.get(1, 0) / max(1, y.sum()), counts.get(0, 0) / max(1, (1 - y).sum()))
         model = fit([t or "" for t in group["text"].to_pylist()], y, weights, group["lang"].to_pylist())
-        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+        out = pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+        give_back()
+        return out
 
     # the bounded sample is fitted in one task; the driver only gets the weights
     made = sample.groupBy(F.lit(1).alias("one")).applyInArrow(lambda key, group: fitted(group.drop_columns(["one"]) if "one" in group.column_names else group), "model binary").first()
@@ -283,7 +285,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             values = shipped.value.score(*utf8(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*kept, "toxicity"])
 
-    return plain.mapInArrow(scan, plus(plain.schema, toxicity="double"))
+    return plain.mapInArrow(tidy(scan), plus(plain.schema, toxicity="double"))
 
 
 def threshold_of(model: Model, lang: Column) -> Column:
