@@ -17,7 +17,7 @@ def mean_z_scores(df: DataFrame, sets: DataFrame) -> DataFrame:
     """
     stats = df.groupBy("gene").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"))
     z = df.join(stats, "gene").select("sample", "gene", ((F.col("value") - F.col("_m")) / F.when(F.coalesce("_s", F.lit(0.0)) == 0, 1.0).otherwise(F.col("_s"))).alias("z"))
-    return z.join(F.broadcast(sets.distinct()), "gene").groupBy("signature", "sample").agg(F.avg("z").alias("score"))
+    return z.join(sets.distinct(), "gene").groupBy("signature", "sample").agg(F.avg("z").alias("score"))
 
 
 def marker_means(df: DataFrame, markers: DataFrame, least: int = 1) -> DataFrame:
@@ -45,7 +45,7 @@ def ssgsea(df: DataFrame, sets: DataFrame, alpha: float = 0.25, min_size: int =
     """
     order = Window.partitionBy("sample").orderBy(F.desc("value"), "gene")
     ranked = df.select("sample", "gene", F.row_number().over(order).alias("pos"), F.count("*").over(Window.partitionBy("sample")).alias("n"))
-    hits = ranked.join(F.broadcast(sets.distinct()), "gene").withColumn("rest", F.col("n") - F.col("pos") + 1)
+    hits = ranked.join(sets.distinct(), "gene").withColumn("rest", F.col("n") - F.col("pos") + 1)
     w = F.pow("rest", F.lit(alpha))
     s = hits.groupBy("signature", "sample").agg(F.count("*").alias("h"), F.first("n").alias("n"), F.sum(w).alias("sw"), F.sum(w * F.col("rest")).alias("swr"), F.sum("rest").alias("sr"))
     s = s.where((F.col("h") >= min_size) & (F.col("n") > F.col("h")))
@@ -69,7 +69,7 @@ def enrichment_scores(scores: DataFrame, sets: DataFrame, min_size: int = 15, ma
     """
     order = Window.partitionBy("ranking").orderBy(F.desc("score"), "gene")
     ranked = ranked_list(scores).select("ranking", "gene", F.abs("score").alias("w"), F.row_number().over(order).alias("pos"), F.count("*").over(Window.partitionBy("ranking")).alias("n"))
-    hits = ranked.join(F.broadcast(sets.distinct()), "gene")
+    hits = ranked.join(sets.distinct(), "gene")
     group = Window.partitionBy("ranking", "signature")
     up = group.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     steps = hits.select("ranking", "signature", "pos", "n", "w", F.count("*").over(group).alias("size"), F.sum("w").over(group).alias("total"), F.sum("w").over(up).alias("cum"), F.row_number().over(group.orderBy("pos")).alias("i"))
@@ -102,7 +102,7 @@ def gsea_prerank(scores: DataFrame, sets: DataFrame, permutations: int = 1000, m
     lists = ranked_list(scores)
     order = Window.partitionBy("ranking").orderBy(F.desc("score"), "gene")
     placed = lists.select("ranking", "gene", "score", F.row_number().over(order).alias("pos"))
-    lead = placed.join(F.broadcast(sets.distinct()), "gene").join(es.select("ranking", "signature", "es", "peak"), ["ranking", "signature"])
+    lead = placed.join(sets.distinct(), "gene").join(es.select("ranking", "signature", "es", "peak"), ["ranking", "signature"])
     led = lead.where(F.when(F.col("es") >= 0, F.col("pos") <= F.col("peak")).otherwise(F.col("pos") >= F.col("peak")))
     genes = led.groupBy("ranking", "signature").agg(F.array_sort(F.collect_list(F.struct("pos", "gene"))).alias("l")).select("ranking", "signature", F.col("l.gene").alias("lead_genes"))
     weights = placed.groupBy("ranking").agg(F.array_sort(F.collect_list(F.struct("pos", F.abs("score").alias("w")))).alias("w")).select("ranking", F.col("w.w").alias("weights"))
@@ -225,7 +225,7 @@ def union_sources(sources: list[tuple[str, DataFrame]]) -> tuple[DataFrame, Data
     names = parts.select("pos", "source", "plain").distinct()
     again = F.row_number().over(Window.partitionBy("plain").orderBy("pos")) > 1
     names = names.withColumn("signature", F.when(again, F.concat_ws(":", "source", "plain")).otherwise(F.col("plain")))
-    full = parts.join(F.broadcast(names), ["pos", "source", "plain"])
+    full = parts.join(names, ["pos", "source", "plain"])
     return full.select("signature", "gene"), full.groupBy("signature", "source").agg(F.count_distinct("gene").alias("n_genes"))
 
 

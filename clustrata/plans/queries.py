@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -341,6 +342,19 @@ def suggest_k_both(spark, d):
     return C.suggest_k(_summary(spark, d), "both", 20)
 
 
+_TRIANGLE = "numbered as (select k, sample, row_number() over (partition by k order by sample) - 1 as row from names)"
+
+
+@query("triangle_rows", with_(*_CHAIN, _TRIANGLE) + "select row, i, j, round(consensus, 6) as value from cons join numbered on numbered.k = cons.k and numbered.sample = cons.i where cons.k = 3 and row >= 2 and row < 7")
+def triangle_rows(spark, d):
+    """Five rows of a consensus matrix that was written in blocks of four."""
+    import tempfile
+
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}").rstrip("/") + f"/triangle-{uuid.uuid4().hex}"
+    T.write_triangle(_consensus(spark, d), folder, "consensus", 4)
+    return rounded(T.read_triangle(spark, folder, 3, (2, 7), 4))
+
+
 @query("cluster_sizes", with_(TIERS) + "select k, cluster, count(*) as n from tiers group by all")
 def cluster_sizes(spark, d):
     return X.tier_partition(spark, d).groupBy("k", "cluster").agg(F.count("*").alias("n"))
@@ -701,11 +715,6 @@ def assoc_continuous(spark, d):
     return rounded(A.continuous_association(s, X.metadata(spark, d).select("sample", F.col("acctbal").alias("value"))).select("signature", "n", "r"))
 
 
-@query("associate_table")
-def associate_table(spark, d):
-    return A.associate(_scores(spark, d), X.metadata(spark, d), ["region", "tier"], ["acctbal"])
-
-
 _STRATA = """strata as (select 'k' || k as stratification, sample, 'C' || cluster as level from tiers union all select 'region', sample, region from meta union all select 'tier', sample, tier from meta),
 strata_ as (select * from strata where stratification[1] = 'k' or stratification in (select stratification from (select stratification, level from strata group by all having count(*) >= 3) group by 1 having count(*) > 1))"""
 _STRATIFIED = """vw as (select stratification, signature, sample, level, score from scores join strata_ using (sample)),
@@ -725,6 +734,12 @@ def stratified_tests(spark, d):
     return rounded(A.stratified_tests(scores, strata).select("stratification", "kind", "signature", "contrast", "n1", "n2", "u", "effect"))
 
 
+@query("associate_table", with_(COUNTS, LOGCPM, SETS, META, TIERS, _Z, _STRATA, _STRATIFIED, _FULLC, "rr as (select signature, rank() over (partition by signature order by x) + (count(*) over (partition by signature, x) - 1) / 2.0 as x, rank() over (partition by signature order by y) + (count(*) over (partition by signature, y) - 1) / 2.0 as y from cc)") + "select signature, stratification as variable, 'mann_whitney' as test, contrast, n1 + n2 as n, round(1 - 2 * u / (n1 * n2), 6) as effect from ovo where stratification in ('region', 'tier') union all select signature, 'acctbal', 'spearman', '', count(*), round(corr(x, y), 6) from rr group by signature having count(*) >= 4")
+def associate_table(spark, d):
+    found = A.associate(_scores(spark, d).withColumn("score", F.round("score", 9)), X.metadata(spark, d), ["region", "tier"], ["acctbal"])
+    return rounded(found.select("signature", "variable", "test", "contrast", "n", "effect"))
+
+
 _FEATS = "feats as (select sample, 'acctbal' as feature, 'clinic' as family, acctbal as value from meta union all select sample, signature, 'sig', score from scores union all select sample, gene, 'gene', round(value, 9) from logs)"
 _FPAIRS = "fp as (select a.feature as f1, b.feature as f2, a.value as x, b.value as y from feats a join feats b on a.sample = b.sample and a.feature < b.feature where a.value is not null and b.value is not null and (a.family <> b.family or a.family = 'clinic'))"
 
@@ -760,7 +775,7 @@ def feature_assembly(spark, d):
     return rounded(A.assemble_features(X.metadata(spark, d).select("sample", "acctbal", "tier"), scores, share, extra))
 
 
-@query("corr_clinic_matrix")
+@query("corr_clinic_matrix", with_(COUNTS, LOGCPM, SETS, META, _Z, _FEATS, _FPAIRS) + "select case when f1 = 'acctbal' then f2 else f1 end as feature, round(corr(x, y), 6) as acctbal from fp where 'acctbal' in (f1, f2) group by f1, f2 having count(*) >= 8 and corr(x, y) is not null")
 def corr_clinic_matrix(spark, d):
     return rounded(A.correlation_matrix(A.pairwise_correlations(_features(spark, d), "pearson"), ["acctbal"]))
 

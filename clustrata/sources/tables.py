@@ -8,7 +8,7 @@ import re
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -110,6 +110,27 @@ def write_table(df: DataFrame, path: str, single: bool = False) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
+def write_triangle(pairs: DataFrame, path: str, value: str, block: int = 256) -> None:
+    """Write a symmetric matrix (k, i, j, value) for i < j as rows of its upper triangle: (k, block, row, sample, others, values).
+
+    Rows are numbered by name, ``block`` of them to a folder; a row is two arrays, so a name
+    isn't repeated for every cell. Tasks write their rows; what one holds is a few rows at a time.
+    """
+    names = pairs.select("k", F.explode(F.array("i", "j")).alias("sample")).distinct()
+    numbered = names.withColumn("row", F.row_number().over(Window.partitionBy("k").orderBy("sample")) - 1)
+    cells = pairs.groupBy("k", F.col("i").alias("sample")).agg(F.array_sort(F.collect_list(F.struct(F.col("j").alias("j"), F.col(value).cast("double").alias("v")))).alias("c"))
+    rows = numbered.join(cells, ["k", "sample"], "left").select("k", F.floor(F.col("row") / block).cast("int").alias("block"), "row", "sample", F.col("c.j").alias("others"), F.col("c.v").alias("values"))
+    rows.write.mode("overwrite").partitionBy("k", "block").parquet(path)
+
+
+def read_triangle(spark: SparkSession, path: str, k: int, rows: tuple[int, int] | None = None, block: int = 256) -> DataFrame:
+    """(row, i, j, value) of one matrix, or of the rows from the first to before the second number: other blocks aren't opened."""
+    found = spark.read.parquet(path).where(F.col("k") == k)
+    if rows is not None:
+        found = found.where(F.col("block").between(rows[0] // block, (rows[1] - 1) // block) & (F.col("row") >= rows[0]) & (F.col("row") < rows[1]))
+    return found.select("row", F.col("sample").alias("i"), F.inline(F.arrays_zip(F.col("others").alias("j"), F.col("values").alias("value"))))
+
+
 def cleaned(value):
     """The value with NaN and infinities as null, at any depth: safe to write as JSON."""
     if isinstance(value, float):

@@ -86,3 +86,18 @@ def test_embeddings_of_several_seeds(pairs):
     assert embedding.seed_stability(two, [1, 2], 4, "umap", n_neighbors=5).count() == 1
     with pytest.raises(ValueError):
         embedding.embedding_runs(two, [1], "other")
+
+
+def test_triangle_round_trip(spark, pairs, tmp_path):
+    from clustrata.sources import tables
+
+    own, _ = pairs
+    path = str(tmp_path / "triangle")
+    tables.write_triangle(own, path, "consensus", block=4)
+    back = tables.read_triangle(spark, path, 3, block=4).select("i", "j", F.col("value").alias("consensus"))
+    want = own.where("k = 3").select("i", "j", "consensus")
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
+    part = tables.read_triangle(spark, path, 2, (5, 9), block=4)
+    assert {r["row"] for r in part.collect()} == {5, 6, 7, 8} and part.where("row = 5").count() == 14 - 6
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "block" in plan.split("PartitionFilters: [")[1].split("]")[0]  # other blocks aren't opened
