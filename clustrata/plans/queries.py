@@ -21,6 +21,7 @@ from ..operators import resample as R
 from ..operators import signatures as S
 from ..sources import tables as T
 from . import fixtures as X
+from . import figures as G
 from . import report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -437,6 +438,36 @@ def neighbour_overlap(spark, d):
     return rounded(embedding.neighbour_overlap(embedding.nearest_neighbours(_halves(spark, d))))
 
 
+_PLACED = "placed_ as (select k, sample, cluster, (row_number() over (partition by k order by cluster, sample) - 1)::int as leaf_pos from tiers)"
+
+
+def _placed(spark, d):
+    """Partitions with a place for each sample: by cluster, then name."""
+    place = F.row_number().over(Window.partitionBy("k").orderBy("cluster", "sample")) - 1
+    return X.tier_partition(spark, d).withColumn("leaf_pos", place.cast("int"))
+
+
+@query("figure_heatmap", with_(*_CHAIN, TIERS, _PLACED, "u_ as (select c.k, a.leaf_pos as r, b.leaf_pos as c, consensus from cons c join placed_ a on a.k = c.k and a.sample = c.i join placed_ b on b.k = c.k and b.sample = c.j)") + "select k::int as k, r as row, c as col, round(consensus, 6) as consensus from u_ union all select k, c, r, round(consensus, 6) from u_ union all select k, leaf_pos, leaf_pos, 1 from placed_")
+def figure_heatmap(spark, d):
+    return rounded(G.heatmap_cells(_consensus(spark, d), _placed(spark, d)))
+
+
+@query("figure_tracking_flows", with_(TIERS, "f_ as (select a.k, a.cluster, b.cluster as next_cluster, count(*) as n from tiers a join tiers b on b.k = a.k + 1 and b.sample = a.sample group by all)") + "select k, cluster, next_cluster, n, round(n / sum(n) over (partition by k, cluster), 6) as share from f_")
+def figure_tracking_flows(spark, d):
+    return rounded(G.tracking_flows(X.tier_partition(spark, d)))
+
+
+@query("figure_tracking", with_(TIERS, "w_ as (select sample, max(cluster) filter (k = 2) as c2, max(cluster) filter (k = 3) as c3, max(cluster) filter (k = 4) as c4 from tiers group by 1)") + "select sample, row_number() over (order by c2, c3, c4, sample)::int as place, c2 || '>' || c3 || '>' || c4 as path from w_")
+def figure_tracking(spark, d):
+    return G.tracking(X.tier_partition(spark, d))
+
+
+@query("figure_purity", with_(META, "p_ as (select (acctbal + 1000) / 11000 as p from meta where acctbal is not null)", "b_ as (select least(floor(p * 20), 19)::int as bin, count(*) as n, count(*) filter (p < 0.4) as n_removed from p_ group by 1)") + "select bin, round(bin / 20, 6) as low, round((bin + 1) / 20, 6) as high, n, n_removed from b_")
+def figure_purity(spark, d):
+    purity = X.metadata(spark, d).select("sample", ((F.col("acctbal") + 1000) / 11000).alias("purity"))
+    return rounded(G.purity_bins(purity, 0.4))
+
+
 TREES, DEPTH = 12, 3
 _TREES = f"""nodes as (select b, level, substr(md5(b::varchar || ':' || s_suppkey::varchar), 1, level) as node, s_suppkey as sample from supplier, range({TREES + 1}) t(b), range(1, {DEPTH + 1}) u(level)),
 sized as (select b, level, node, count(*) as n from nodes group by all),
@@ -691,6 +722,20 @@ def score_payload(spark, d):
     return report.bounded_payload(placed.select("signature", F.col("sample").cast("string").alias("sample"), "place"), ["signature"], ["place"], 7)
 
 
+@query("figure_signatures", with_(COUNTS, LOGCPM, SETS, META, _Z, "o_ as (select sample, region as level, row_number() over (order by region, sample)::int as place from meta)", "z_ as (select signature, sample, coalesce((score - avg(score) over w) / nullif(stddev_samp(score) over w, 0), 0) as z from scores join o_ using (sample) where signature in ('set0', 'set3') window w as (partition by signature))") + "select signature, place, sample, level, round(greatest(least(z, 3), -3), 6) as z from z_ join o_ using (sample)")
+def figure_signatures(spark, d):
+    scores = _scores(spark, d).withColumn("score", F.round("score", 9))
+    groups = X.metadata(spark, d).select("sample", F.col("region").alias("level"))
+    best = scores.where(F.col("signature").isin("set0", "set3")).select("signature").distinct()
+    return rounded(G.signature_heatmap(scores, groups, best))
+
+
+@query("figure_residuals", with_(META, TIERS, _WIDE_CLUSTERS, *_suite_sql("wide_", _CLUSTER_PAIRS, {})[:2]) + "select var1, var2, row, col, observed, round(case when isfinite(z) then z else 0 end, 6) as adj_residual, case when not isfinite(z) then '' else repeat(case when z > 0 then '+' else '-' end, case when abs(z) >= 4 then 3 when abs(z) >= 3 then 2 when abs(z) >= 2 then 1 else 0 end) end as mark from tab")
+def figure_residuals(spark, d):
+    cells = crosstabs.pair_cells(_clustered(spark, d), _CLUSTER_PAIRS)
+    return rounded(G.marked_residuals(cells))
+
+
 @query("mannwhitney_ovr", with_(COUNTS, LOGCPM, SETS, META, _Z, "full_ as (select signature, region as level, score from scores join meta using (sample))", "cells_ as (select f.signature, t.level as target, f.level, f.score from full_ f join (select distinct signature, level from full_) t using (signature))", _U.format(by="signature, target"), "g as (select signature, target, count(*) filter (level = target) as n1, count(*) filter (level <> target) as n2, sum(rk) filter (level = target) as r1, sum(t * t - 1)::double as ties, median(score) filter (level = target) as m1, median(score) filter (level <> target) as m2 from ranked group by all)") + "select signature, target as level, n1, n2, round(ties, 3) as ties, round(r1 - n1 * (n1 + 1) / 2.0, 6) as u, round(1 - 2 * (r1 - n1 * (n1 + 1) / 2.0) / (n1 * n2), 6) as rank_biserial, round(m1 - m2, 6) as median_difference from g")
 def mannwhitney_ovr(spark, d):
     s = _scores(spark, d).withColumn("score", F.round("score", 9))

@@ -139,6 +139,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--config", default=str(DEFAULTS))
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = session("cohort intake")
     try:
         run(spark, args.measurements, args.features, args.out, args.checkpoint, json.loads(Path(args.config).read_text()))
