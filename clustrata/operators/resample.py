@@ -67,6 +67,22 @@ def permute_genes(df: DataFrame, rep: int = 0) -> DataFrame:
     return df.select("gene", "sample", F.row_number().over(by_name).alias("_p")).join(taken, ["gene", "_p"]).select("sample", "gene", "value")
 
 
+def plant_groups(df: DataFrame, groups: DataFrame, share: float = 0.3, low: float = 1.0, high: float = 2.0, seed: int = 0) -> DataFrame:
+    """(sample, gene, value): counts with groups planted into them, by hash, to see whether an analysis finds them again.
+
+    groups: (sample, level). A ``share`` of the genes is raised in a level by a power of two between
+    ``low`` and ``high``; each sample gets a depth between 0.7 and 1.4. Counts are rounded. All
+    follows from the names and the seed, row by row; samples without a level keep their counts.
+    """
+    unit = lambda *parts: (hashed(F.concat_ws(":", F.lit(str(seed)), *parts)) % 10_000) / 10_000.0
+    met = df.join(groups.select("sample", F.col("level").cast("string").alias("_level")), "sample", "left")
+    raised = unit(F.lit("which"), F.col("_level"), F.col("gene").cast("string")) < share
+    effect = low + (high - low) * unit(F.lit("how"), F.col("_level"), F.col("gene").cast("string"))
+    depth = 0.7 + 0.7 * unit(F.lit("depth"), F.col("sample").cast("string"))
+    value = F.floor(F.col("value") * F.when(raised, F.pow(F.lit(2.0), effect)).otherwise(1.0) * depth + 0.5).cast("double")
+    return met.select("sample", "gene", F.when(F.col("_level").isNull(), F.col("value")).otherwise(value).alias("value"))
+
+
 def medoid_labels(df: DataFrame, n_draws: int, k_values: list[int], prop_samples: float = 0.8, prop_genes: float = 0.8, keys: Sequence[str] = ()) -> DataFrame:
     """(keys.., b, k, sample, label): one assignment to medoids drawn by hash, on the Pearson distance over drawn genes.
 

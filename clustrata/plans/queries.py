@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -349,9 +348,7 @@ _TRIANGLE = "numbered as (select k, sample, row_number() over (partition by k or
 @query("triangle_rows", with_(*_CHAIN, _TRIANGLE) + "select row, i, j, round(consensus, 6) as value from cons join numbered on numbered.k = cons.k and numbered.sample = cons.i where cons.k = 3 and row >= 2 and row < 7")
 def triangle_rows(spark, d):
     """Five rows of a consensus matrix that was written in blocks of four."""
-    import tempfile
-
-    folder = (spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}").rstrip("/") + f"/triangle-{uuid.uuid4().hex}"
+    folder = T.new_folder(spark, "triangle")
     T.write_triangle(_consensus(spark, d), folder, "consensus", 4)
     return rounded(T.read_triangle(spark, folder, 3, (2, 7), 4))
 
@@ -542,9 +539,13 @@ def nbglm_wald(spark, d):
     return wald_test(X.counts(spark, d), meta.select("sample", "group"), "~ group", "group", "test", "control")
 
 
-@query("simulated_cohort")
+_UNIT = lambda *parts: "(" + HASH.format(" || ':' || ".join(("'0'", *parts))) + " % 10000) / 10000.0"
+
+
+@query("simulated_cohort", with_(COUNTS, META) + f"""select c.sample, gene, floor(value * case when {_UNIT("'which'", "tier", "gene")} < 0.3 then pow(2.0, 1 + {_UNIT("'how'", "tier", "gene")}) else 1 end * (0.7 + 0.7 * {_UNIT("'depth'", "c.sample::varchar")}) + 0.5) as value from counts c join meta m on m.sample = c.sample""")
 def simulated_cohort(spark, d):
-    return T.simulate_cohort(spark, 40, 200)[0]
+    """The counts of all suppliers with their tiers planted as subtypes."""
+    return R.plant_groups(X.counts(spark, d), X.metadata(spark, d).select("sample", F.col("tier").alias("level")))
 
 
 # Statistics -----------------------------------------------------------------------------

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import math
 import re
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
@@ -110,6 +112,25 @@ def write_table(df: DataFrame, path: str, single: bool = False) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
+_own: dict[str, str] = {}
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder that no other call has, under ``spark.checkpoint.dir``, which driver and executors share.
+
+    Only where the setting is missing and one machine does all, a folder of that machine takes its place.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if context.applicationId not in _own:
+            _own[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="clustrata-")
+        shared = _own[context.applicationId]
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def write_triangle(pairs: DataFrame, path: str, value: str, block: int = 256) -> None:
     """Write a symmetric matrix (k, i, j, value) for i < j as rows of its upper triangle: (k, block, row, sample, others, values).
 

@@ -2,32 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clustrata.operators import crosstabs
 from clustrata.plans.queries import HASH, _suite_sql, rounded, with_
+from clustrata.sources.tables import new_folder
 
 from . import association_report, cohort_intake
 
-_own: dict[str, str] = {}
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder that no other call has, under the one that driver and executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        context = spark.sparkContext
-        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        shared = _own.setdefault(context.applicationId, "file://" + tempfile.mkdtemp(prefix="jobs-"))
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def job1_cohort_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as measurements of suppliers, parts as annotation."""
     folder = new_folder(spark, "cohort-intake")

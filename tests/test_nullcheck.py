@@ -78,3 +78,19 @@ def test_command_line(spark, grouped, tmp_path, monkeypatch, caplog):
     rows = spark.read.csv(str(tmp_path / "out/tables/null_comparison"), header=True, inferSchema=True).collect()
     assert sorted(r["model"] for r in rows) == ["gaussian", "observed", "permuted"] and "gap to permuted" in caplog.text
     assert command.main([*args[:-2], "--k-min", "4"]) == 2 and command.main([*args, "--prop-genes", "0"]) == 2
+
+
+def test_planted_groups_are_found_again(spark):
+    rng = np.random.default_rng(0)
+    base = rng.uniform(20, 400, 60)
+    counts = spark.createDataFrame([(f"s{i:02d}", f"g{j:02d}", float(rng.poisson(base[j]))) for i in range(30) for j in range(60)], "sample string, gene string, value double").cache()
+    groups = spark.createDataFrame([(f"s{i:02d}", "abc"[i % 3]) for i in range(29)], "sample string, level string")
+    planted = resample.plant_groups(counts, groups).cache()
+    assert planted.where("sample = 's29'").exceptAll(counts).count() == 0 and planted.count() == counts.count()
+    from clustrata.operators import preprocess
+
+    logs = preprocess.centre_genes(preprocess.log_cpm(planted.where("sample <> 's29'")))
+    pairs = consensus.consensus_clustering(logs, [3], 12, partitions=3)
+    own = {r["sample"]: r["cluster"] for r in consensus.final_partition(pairs).collect()}
+    assert len({tuple(sorted({own[f"s{i:02d}"] for i in range(29) if i % 3 == g})) for g in range(3)}) == 3
+    assert all(len({own[f"s{i:02d}"] for i in range(29) if i % 3 == g}) == 1 for g in range(3))
