@@ -179,6 +179,42 @@ select p.doc_id, p.leaf, s.h as subroot, r.h as root, sha256(coalesce(q.proof, '
 from placed p join subroots s using (g) join ends e using (doc_id, g, i) left join proofs q using (doc_id, g, i), (select h from u where n = 1) r
 """
 
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Bytes as hex: two digits each. Runs of removed bytes are the islands of covered places.
+OP2_SQL = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, ''))::bigint as n from documents),
+w as (select doc_id, i, substr(h, 2 * i + 1, 100) as s from d, lateral (select unnest(range(0, n - 49)) as i) where n >= 50),
+firsts as (select s, min(doc_id) as f from w group by s having count(*) > 1),
+starts as (select doc_id, i from w join firsts using (s) where f < doc_id),
+runs as (select doc_id, i, sum(new) over (partition by doc_id order by i) as r from (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as new from starts)),
+spans as (select doc_id, r, min(i) as a, max(i) + 50 as b from runs group by doc_id, r),
+gaps as (select d.doc_id, s.a, substr(h, 2 * coalesce(lag(s.b) over w, 0) + 1, 2 * (s.a - coalesce(lag(s.b) over w, 0))) as piece, s.b, d.h, d.n from d join spans s using (doc_id) window w as (partition by d.doc_id order by s.a)),
+kept as (select doc_id, string_agg(piece, '' order by a) || substr(any_value(h), 2 * max(b) + 1) as k, sum(b - a)::bigint as gone, count(*) as spans from gaps group by doc_id)
+select d.doc_id, d.n as n_bytes, coalesce(gone, 0)::bigint as n_removed, coalesce(spans, 0) as n_spans, sha256(unhex(coalesce(k, d.h))) as kept_sha256 from d left join kept using (doc_id)
+"""
+
+OP7_SQL = rf"""
+with recursive d as (select doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+') as w from documents),
+sh as (select distinct doc_id, array_to_string(w[i:i + 3], ' ') as s from d, lateral (select unnest(range(1, greatest(len(w) - 2, 2))) as i) where len(w) > 0),
+sizes as (select doc_id, count(*) as n from sh group by 1),
+pairs as (select a.doc_id as x, b.doc_id as y from (select x.doc_id as a, y.doc_id as b, count(*) as c from sh x join sh y on x.s = y.s and x.doc_id < y.doc_id group by all) p join sizes a on a.doc_id = p.a join sizes b on b.doc_id = p.b where 100 * c >= 85 * (a.n + b.n - c)),
+links as (select x, y from pairs union all select y, x from pairs),
+reach as (select doc_id as x, doc_id as y from documents union select r.x, l.y from reach r join links l on l.x = r.y)
+select d.doc_id, coalesce(n, 0) as n_shingles, c.component_id from d left join sizes using (doc_id) join (select x as doc_id, min(y) as component_id from reach group by 1) c using (doc_id)
+"""
+
+OP8_SQL = rf"""
+with d as (select doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+iw as (select distinct item_id, least(10, len(w)) as n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') as s from b, lateral (select unnest(range(1, len(w) - least(10, len(w)) + 2)) as i) where len(w) > 0),
+dw as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as s from d, (select distinct n from iw), lateral (select unnest(range(1, len(w) - n + 2)) as i)),
+met as (select doc_id, dw.n, i, item_id from dw join iw on iw.n = dw.n and iw.s = dw.s),
+hits as (select doc_id, count(distinct p) as n_hit from (select distinct doc_id, n, i from met), lateral (select unnest(range(i, i + n)) as p) group by 1),
+items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as l from (select distinct doc_id, item_id::varchar as item from met) group by 1)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(l, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated from d left join hits using (doc_id) left join items using (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -195,4 +231,4 @@ QUERIES: dict[str, Query] = {
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_merkle_manifest": OP11_SQL}
+SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_suffix_dedup": OP2_SQL, "op7_ngram_jaccard": OP7_SQL, "op8_decontamination": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
