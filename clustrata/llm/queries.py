@@ -215,6 +215,22 @@ items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(l, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated from d left join hits using (doc_id) left join items using (doc_id)
 """
 
+_RULES = ", ".join(f"('{what}', '{host}', '{path}')" for what, host, path in URL_RULES)
+_IN = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+#: Between boundaries, a term of letters is a whole run of letters and digits.
+OP10_SQL = f"""
+with u as (select page_id, url, coalesce(case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) end, '') as rest from pages),
+h as (select page_id, url, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+rules(what, r_host, r_path) as (values {_RULES}),
+fits as (select page_id, url, arg_max(r_host || r_path, length(r_host || r_path)) as rule, arg_max(what, length(r_host || r_path)) as what
+  from (select distinct page_id, url, host, path from h), rules where (host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path) group by page_id, url),
+terms as (select page_id, url, count(distinct t) filter (t in {_IN(url_filter.SOFT)} and t not in {_IN(url_filter.STRICT)}) + {url_filter.SOFT_LIMIT} * count(distinct t) filter (t in {_IN(url_filter.STRICT)}) as weight
+  from (select distinct page_id, url from h), lateral (select unnest(regexp_extract_all(lower(coalesce(url, '')), '[a-z0-9]+')) as t) group by page_id, url)
+select h.page_id, host, path, rule, coalesce(what, case when coalesce(weight, 0) >= {url_filter.SOFT_LIMIT} then 'block' else 'allow' end) as verdict
+from h left join fits f on f.page_id = h.page_id and f.url is not distinct from h.url left join terms t on t.page_id = h.page_id and t.url is not distinct from h.url
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -231,4 +247,4 @@ QUERIES: dict[str, Query] = {
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_suffix_dedup": OP2_SQL, "op7_ngram_jaccard": OP7_SQL, "op8_decontamination": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
+SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_suffix_dedup": OP2_SQL, "op7_ngram_jaccard": OP7_SQL, "op8_decontamination": OP8_SQL, "op10_url_filter": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
