@@ -752,8 +752,10 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     holds = F.col("id").eqNullSafe(F.col("c"))
     stays = words.where(holds).groupBy("c").agg(F.min("node").alias("keep")).select(F.col("c").alias("class"), "keep")
     lost = words.join(stays, F.col("c").eqNullSafe(F.col("class")), "left").where(~(holds & (F.col("node") == F.col("keep"))))
-    lost = materialise(lost.select(F.col("id").alias("lost_id"), F.col("node").alias("lost_node")).distinct(), "near-lost")
-    repeated = materialise(words.groupBy("id", "node").count().where(F.col("count") > 1).select(F.col("id").alias("lost_id"), F.col("node").alias("lost_node")), "near-repeated")
+    lost_id, lost_node = fresh(docs, "lost_id"), fresh(docs, "lost_node")
+    named = [F.col("id").alias(lost_id), F.col("node").alias(lost_node)]
+    lost = materialise(lost.select(*named).distinct(), "near-lost")
+    repeated = materialise(words.groupBy("id", "node").count().where(F.col("count") > 1).select(*named), "near-repeated")
     at = docs.columns.index(text_col)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -762,9 +764,9 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, node])
 
     rows = docs.mapInArrow(tidy(scan), plus(docs.schema, **{node: "bigint"}))
-    on = rows[id_col].eqNullSafe(F.col("lost_id")) & (rows[node] == F.col("lost_node"))
+    on = F.col(f"`{id_col}`").eqNullSafe(F.col(lost_id)) & (F.col(node) == F.col(lost_node))
     kept = rows.join(F.broadcast(lost) if lost.count() <= FILTER_IDS else lost, on, "left_anti")
     if not repeated.isEmpty():
-        twice = kept.join(repeated, kept[id_col].eqNullSafe(F.col("lost_id")) & (kept[node] == F.col("lost_node")), "left_semi").dropDuplicates([id_col, node])
-        kept = kept.join(repeated, kept[id_col].eqNullSafe(F.col("lost_id")) & (kept[node] == F.col("lost_node")), "left_anti").unionByName(twice)
+        twice = kept.join(repeated, on, "left_semi").dropDuplicates([id_col, node])
+        kept = kept.join(repeated, on, "left_anti").unionByName(twice)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, give_back, plus, slices, tidy, utf8
+from .common import ALNUM, Words, fresh, give_back, plus, slices, tidy, utf8
 
 #: Bounds of the labelled rows that are learned from.
 MAX_POSITIVE, MAX_NEGATIVE = 3000, 5000
@@ -298,6 +298,9 @@ def threshold_of(model: Model, lang: Column) -> Column:
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` below their language's threshold."""
-    scored = score(docs, model, text_col)
-    return scored.where(F.col("toxicity") < threshold_of(model, F.col(lang_col))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` below their language's threshold, with all their columns, one named ``toxicity`` too."""
+    aside = fresh(docs, "kept")
+    own = next((c for c in docs.columns if c.lower() == "toxicity"), None)
+    scored = score(docs.withColumnRenamed(own, aside) if own else docs, model, text_col)
+    kept = scored.where(F.col("toxicity") < threshold_of(model, F.col(lang_col)))
+    return kept.select(*[F.col(aside).alias(c) if c == own else F.col(f"`{c}`") for c in docs.columns])
