@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import strips
+
 EPS = 1e-12
 
 
@@ -44,12 +46,20 @@ def medoids(points: DataFrame, partition: DataFrame, block: int = 1024, keys: Se
         alone = pdf["one"].iloc[0] == pdf["two"].iloc[0]
         x = np.stack(pdf["x"].to_list())
         left, right = np.flatnonzero(~second), np.flatnonzero(~second if alone else second)
-        total = np.zeros(len(pdf))
-        for i in left:
-            d = np.sqrt(((x[right] - x[i]) ** 2).sum(1))
-            total[i] += d.sum()
+        total, y = np.zeros(len(pdf)), x[right]
+        yy = (y * y).sum(1)
+        for lo, hi in strips(len(left), len(right)):
+            one = x[left[lo:hi]]
+            both = (one * one).sum(1)[:, None] + yy
+            square = both - 2 * (one @ y.T)
+            a, b = np.nonzero(square <= 1e-3 * both)  # near ones anew, as the difference of large sums isn't exact
+            for at in range(0, len(a), 1 << 14):
+                r, c = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
+                square[r, c] = ((y[c] - one[r]) ** 2).sum(1)
+            d = np.sqrt(square)
+            total[left[lo:hi]] += d.sum(1)
             if not alone:
-                total[right] += d
+                total[right] += d.sum(0)
         return pdf[[*by, "sample"]].assign(t=total)
 
     kinds = ", ".join(f"{c} {own.schema[c].dataType.simpleString()}" for c in (*by, "sample"))
@@ -58,24 +68,28 @@ def medoids(points: DataFrame, partition: DataFrame, block: int = 1024, keys: Se
     return total.groupBy(*by).agg(F.min_by("sample", F.struct("t", "sample")).alias("medoid"))
 
 
-def component_contrasts(points: DataFrame, partition: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def component_contrasts(points: DataFrame, partition: DataFrame, keys: Sequence[str] = (), with_medoids: bool = True) -> DataFrame:
     """One row per keys, component and two clusters: means, medoid values, Cohen's d, Hedges' g and warnings.
 
     Effects are null where a cluster has fewer than two values or the pooled spread vanishes.
     Warnings name small clusters, missing values and what keeps an effect from being known.
+    Finding medoids takes all pairs of a cluster's members; without ``with_medoids`` their columns are left out.
     """
     by = [*keys, "cluster"]
     size = partition.groupBy(*by).agg(F.count("*").alias("size"))
     known = points.where(F.col("value").isNotNull() & ~F.isnan("value")).join(partition.select("sample", *by), "sample")
     stats = known.groupBy(*by, "component").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
-    middle = medoids(points, partition, keys=keys).join(points.withColumnRenamed("sample", "medoid"), "medoid").select(*by, "component", "medoid", F.col("value").alias("at"))
-    full = stats.join(size, by).join(middle, [*by, "component"], "left")
-    side = lambda k: full.select(*keys, "component", *[F.col(c).alias(f"{c}{k}") for c in ("cluster", "size", "n", "mean", "sd", "medoid", "at")])
+    full = stats.join(size, by)
+    if with_medoids:
+        middle = medoids(points, partition, keys=keys).join(points.withColumnRenamed("sample", "medoid"), "medoid").select(*by, "component", "medoid", F.col("value").alias("at"))
+        full = full.join(middle, [*by, "component"], "left")
+    side = lambda k: full.select(*keys, "component", *[F.col(c).alias(f"{c}{k}") for c in ("cluster", "size", "n", "mean", "sd", *(("medoid", "at") if with_medoids else ()))])
     met = side(1).join(side(2), [*keys, "component"]).where(cluster_key(F.col("cluster1")) < cluster_key(F.col("cluster2")))
     dof = F.col("n1") + F.col("n2") - 2
     enough = (F.col("n1") >= 2) & (F.col("n2") >= 2)
     pooled = F.when(enough, F.sqrt(((F.col("n1") - 1) * F.col("sd1") ** 2 + (F.col("n2") - 1) * F.col("sd2") ** 2) / F.when(enough, dof)))
-    out = met.withColumns({"difference": F.col("mean1") - F.col("mean2"), "medoid_difference": F.col("at1") - F.col("at2"), "pooled_sd": pooled})
+    apart = {"medoid_difference": F.col("at1") - F.col("at2")} if with_medoids else {}
+    out = met.withColumns({"difference": F.col("mean1") - F.col("mean2"), **apart, "pooled_sd": pooled})
     out = out.withColumn("cohen_d", F.when(F.col("pooled_sd") > EPS, F.col("difference") / F.when(F.col("pooled_sd") > EPS, F.col("pooled_sd"))))
     correction = F.when(enough, 1 - 3 / (4 * dof.cast("double") - 1))
 
