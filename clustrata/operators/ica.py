@@ -34,11 +34,25 @@ def whiten(x: np.ndarray, most: int) -> Whitening:
     if (flat := np.flatnonzero(np.ptp(x, axis=1) == 0)).size:
         raise ValueError(f"{flat.size} samples have the same value for every gene")
     mean = x.mean(1)
-    centred = x - mean[:, None]
-    values, u = np.linalg.eigh(centred @ centred.T / x.shape[1])
+    return Whitening(white_rows(x - mean[:, None], None, most), mean)
+
+
+def white_rows(centred: np.ndarray, weights: np.ndarray | None, most: int) -> np.ndarray:
+    """``most`` rows that are white under the weights, from the smaller of the two Gram matrices of a centred array."""
+    n, p = centred.shape
+    total = p if weights is None else weights.sum()
+    if n <= p:
+        values, u = np.linalg.eigh((centred if weights is None else centred * weights) @ centred.T / total)
+        order = np.argsort(values)[::-1][:most]
+        scale = np.sqrt(np.maximum(values[order], 1e-12))
+        return (u[:, order] / scale).T @ centred
+    # the same eigenvalues from columns: u = centred sqrt(w) v / sqrt(value total), so no matrix of rows by rows is formed
+    gram = centred.T @ centred
+    root = np.ones(p) if weights is None else np.sqrt(weights)
+    values, v = np.linalg.eigh(root[:, None] * gram * root / total)
     order = np.argsort(values)[::-1][:most]
-    scale = np.sqrt(np.maximum(values[order], 1e-12))
-    return Whitening((u[:, order] / scale).T @ centred, mean)
+    scale = np.maximum(values[order], 1e-12) * np.sqrt(total)
+    return (v[:, order] / scale).T @ (root[:, None] * gram)
 
 
 def _contrast(name: str):
@@ -63,10 +77,7 @@ def weighted_whitening(x: np.ndarray, weights: np.ndarray, most: int) -> np.ndar
     observation that wasn't drawn would be is known too, so that runs can be compared.
     """
     centred = x - (x @ weights / weights.sum())[:, None]
-    values, u = np.linalg.eigh((centred * weights) @ centred.T / weights.sum())
-    order = np.argsort(values)[::-1][:most]
-    scale = np.sqrt(np.maximum(values[order], 1e-12))
-    return (u[:, order] / scale).T @ centred
+    return white_rows(centred, weights, most)
 
 
 def resampled(resampling: str | None, x: np.ndarray, white: np.ndarray, most: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray | None]:
