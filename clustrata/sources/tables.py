@@ -131,14 +131,25 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_triangle(pairs: DataFrame, path: str, value: str, block: int = 256) -> None:
+def numbered_rows(names: DataFrame, rows: tuple[int, int] | None = None, block: int = 256) -> DataFrame:
+    """(k, sample, row): names (k, sample) numbered by name; with ``rows``, only the whole blocks that hold these, so tasks hand on that many names."""
+    place = F.row_number().over(Window.partitionBy("k").orderBy("sample"))
+    numbered = names.select("k", "sample").distinct().withColumn("row", place)
+    if rows is not None:
+        numbered = numbered.where(F.col("row") <= -(-rows[1] // block) * block)
+    numbered = numbered.withColumn("row", F.col("row") - 1)
+    return numbered if rows is None else numbered.where(F.col("row") >= rows[0] // block * block)
+
+
+def write_triangle(pairs: DataFrame, path: str, value: str, block: int = 256, numbered: DataFrame | None = None) -> None:
     """Write a symmetric matrix (k, i, j, value) for i < j as rows of its upper triangle: (k, block, row, sample, others, values).
 
     Rows are numbered by name, ``block`` of them to a folder; a row is two arrays, so a name
     isn't repeated for every cell. Tasks write their rows; what one holds is a few rows at a time.
+    Only the rows of ``numbered`` (see ``numbered_rows``) are written, where it is given.
     """
-    names = pairs.select("k", F.explode(F.array("i", "j")).alias("sample")).distinct()
-    numbered = names.withColumn("row", F.row_number().over(Window.partitionBy("k").orderBy("sample")) - 1)
+    if numbered is None:
+        numbered = numbered_rows(pairs.select("k", F.explode(F.array("i", "j")).alias("sample")))
     cells = pairs.groupBy("k", F.col("i").alias("sample")).agg(F.array_sort(F.collect_list(F.struct(F.col("j").alias("j"), F.col(value).cast("double").alias("v")))).alias("c"))
     rows = numbered.join(cells, ["k", "sample"], "left").select("k", F.floor(F.col("row") / block).cast("int").alias("block"), "row", "sample", F.col("c.j").alias("others"), F.col("c.v").alias("values"))
     rows.write.mode("overwrite").partitionBy("k", "block").parquet(path)
