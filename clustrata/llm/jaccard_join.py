@@ -21,8 +21,11 @@ two, so the point of a larger set folds to that of a smaller one.)
    g near copies so costs about g verifications, and no pair leaves the task. Where a home
    has several trees, a further tree of few sets of each component joins most of them.
 4. What the trees have left apart: sets that share a larger page but neither tree nor
-   component. Trees of one part of the page are searched with the sets of another, the best
-   pairs for two components first, more of them until none is left untested.
+   component. Of a page that is one part, only the sets go on that some other may link with:
+   a group whose counts differ in parity holds an n-gram that one of two sets lacks, so the
+   parities, a bit each, bound the difference of the sets. Then trees of one part of the page
+   are searched with the sets of another, the best pairs for two components first, more of
+   them until none is left untested.
 5. Components of the verified links.
 
 Trees and parts of pages have a bounded size; larger ones are cut by hash, so no task holds
@@ -39,6 +42,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ARROW_BYTES, SPACED, Words, fresh, grams, materialise, mix, plus, slices, tidy, utf8
+from .common import ARROW_BYTES, FILTER_IDS, SPACED, Words, fresh, grams, materialise, mix, plus, slices, tidy, utf8
 from .components import components
 
 PER_GROUP, LEAST_GROUPS, MOST_GROUPS = 1, 256, 1024
@@ -67,8 +71,6 @@ FOUND = 1 << 18
 NAME_BYTES = 6
 #: Sets of one task that share a page which is then known to be large; bytes of text to a shard of page names.
 OFTEN, BYTES_A_SHARD = 16, 1 << 25
-#: Ids in a broadcast filter (beyond it the filter is a shuffled join).
-FILTER_IDS = 1 << 20
 U64 = np.uint64
 
 
@@ -203,12 +205,14 @@ def counts_of(g: np.ndarray) -> np.ndarray:
 
 
 def packed(counts: np.ndarray) -> bytes:
-    """The width of a count in bytes, 1 or 4, and the counts."""
-    return b"\x01" + counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b"\x04" + counts.astype("<u4").tobytes()
+    """The width of a count in bytes, 1 or 4, and the counts, coded by how often each occurs: vectors are sent often."""
+    width, kind = (1, np.uint8) if counts.max(initial=0) < 256 else (4, "<u4")
+    coder = zlib.compressobj(1, zlib.DEFLATED, -15, 9, zlib.Z_HUFFMAN_ONLY)
+    return bytes([width]) + coder.compress(counts.astype(kind).tobytes()) + coder.flush()
 
 
 def unpacked(vector: bytes) -> np.ndarray:
-    return np.frombuffer(vector, np.uint8 if vector[0] == 1 else "<u4", offset=1).astype(np.int32)
+    return np.frombuffer(zlib.decompress(memoryview(vector)[1:], -15), np.uint8 if vector[0] == 1 else "<u4").astype(np.int32)
 
 
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
@@ -223,6 +227,27 @@ def points_of(counts: list[np.ndarray]) -> np.ndarray:
     return points.astype(np.int16) if points.max() < 1 << 15 else points
 
 
+def parities(vector: bytes) -> bytes:
+    """The parity of each count, a bit each."""
+    return np.packbits((unpacked(vector) & 1).astype(np.uint8)).tobytes()
+
+
+def near_others(bits: list[bytes], sizes: np.ndarray, roots: np.ndarray, trees: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets the parities let link with a set of another root and tree."""
+    width = min(map(len, bits))
+    words = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, width), 0) for x in bits]).view("<u8").T
+    out = np.zeros(len(bits), bool)
+    for lo in range(0, len(bits), 256):
+        own = slice(lo, lo + 256)
+        n, m = sizes[own, None], sizes[None]
+        ok = (n * percent <= m * 100) & (m * percent <= n * 100) & (roots[own, None] != roots[None]) & (trees[own, None] != trees[None])
+        apart = np.zeros(ok.shape, np.int32)
+        for word in words:
+            apart += np.bitwise_count(word[own, None] ^ word[None])
+        out[own] = (ok & (apart <= n + m - 2 * least_common(n, m, percent))).any(1)
+    return out
+
+
 class RTree:
     """A packed R-tree of count vectors: points are halved along the widest coordinate down to leaves; boxes above boxes."""
 
@@ -541,9 +566,9 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFr
 
 
 def _grown(homed: DataFrame, percent: int) -> DataFrame:
-    """(node, size, root, tree, home, grams): each tree's components, root being one of their nodes.
+    """(node, size, root, tree, home, speaks): each tree's components, root being one of their nodes.
 
-    grams, where a home has several trees: those of the ``SPEAKERS`` sets nearest to the middle of a component.
+    speaks, where a home has several trees: the ``SPEAKERS`` sets nearest to the middle of a component.
     """
     dealt = homed.select("home", "tile", "node", "size", "grams", "tiles").repartition("home", "tile").sortWithinPartitions("home", "tile", "node")
 
@@ -551,7 +576,7 @@ def _grown(homed: DataFrame, percent: int) -> DataFrame:
         held: list[tuple] = []
 
         def grow() -> pa.RecordBatch:
-            nodes, grams_of = [x[2] for x in held], [None] * len(held)
+            nodes, speaks = [x[2] for x in held], [False] * len(held)
             sets = [np.frombuffer(x[4], "<u8") for x in held]
             root = joined(sets, percent) if len(held) > 1 else np.zeros(1, np.int64)
             if held[0][5] > 1:
@@ -560,10 +585,10 @@ def _grown(homed: DataFrame, percent: int) -> DataFrame:
                     own = np.flatnonzero(root == r)
                     far = np.abs(points[own] - np.median(points[own], axis=0)).sum(1)
                     for i in own[np.argsort(far, kind="stable")[:SPEAKERS]].tolist():
-                        grams_of[i] = held[i][4]
+                        speaks[i] = True
             tree = mix(mix(np.array([held[0][0]], np.int64).view(np.uint64)) + U64(held[0][1])).view(np.int64)
             columns = (nodes, [x[3] for x in held], [nodes[r] for r in root], np.repeat(tree, len(held)), [x[0] for x in held])
-            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(grams_of, pa.binary())], names=["node", "size", "root", "tree", "home", "grams"])
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(speaks, pa.bool_())], names=["node", "size", "root", "tree", "home", "speaks"])
 
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
@@ -575,15 +600,18 @@ def _grown(homed: DataFrame, percent: int) -> DataFrame:
         if held:
             yield grow()
 
-    return dealt.mapInArrow(tidy(scan), "node bigint, size bigint, root bigint, tree bigint, home bigint, grams binary")
+    return dealt.mapInArrow(tidy(scan), "node bigint, size bigint, root bigint, tree bigint, home bigint, speaks boolean")
+
 
+def _spoken(docs: DataFrame, rows: DataFrame, trees: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): links between components of the trees of one home, found by a tree of their speakers.
 
-def _spoken(trees: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between components of the trees of one home, found by a tree of their speakers."""
-    speakers = trees.where(F.col("grams").isNotNull()).select("home", "root", "node", "size", "grams")
+    Their n-grams come from the texts again: kept with the trees they would be as long as the texts, or longer.
+    """
+    speakers = trees.where("speaks").select("home", "node", "size")
     weight = speakers.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int").alias("n"))
-    homed = speakers.join(weight, "home").select("home", F.pmod(F.xxhash64("node", F.lit(1)), "n").cast("int").alias("tile"), "node", "size", "grams", F.lit(1).alias("tiles"))
-    return _grown(homed, percent).where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
+    homed = speakers.join(weight, "home").select("node", "home", F.pmod(F.xxhash64("node", F.lit(1)), "n").cast("int").alias("tile"), F.lit(1).alias("tiles"))
+    return _grown(_sets(docs, rows, homed, n), percent).where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
@@ -624,6 +652,48 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(tidy(scan), "a bigint, b bigint")
 
 
+def _near(held: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """The rows (page, node, size, root, tree) of sets that the parities let link with another of their page."""
+    columns = ["page", "node", "size", "root", "tree"]
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([parities(x.as_buffer()) for x in batch.column(1)], pa.binary())], names=["node", "bits"])
+
+    bits = vectors.select("node", "vector").mapInArrow(tidy(short), "node bigint, bits binary")
+    # a hash of the page: a plain repartition by page is optimised out where rows were joined on it, and that join may then be broadcast
+    dealt = held.select(*columns).join(bits, "node").select(*columns, "bits").repartition(F.xxhash64("page")).sortWithinPartitions("page")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        kept: list[np.ndarray] = []
+
+        def search() -> None:
+            rows = np.stack([np.concatenate([x.column(k).to_numpy() for x in waiting]) for k in range(5)])
+            bits = [b for x in waiting for b in x.column(5).to_pylist()]
+            kept.append(rows[:, near_others(bits, rows[2], rows[3], rows[4], percent)])
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate([np.zeros((5, 0), np.int64), *kept], axis=1)], names=columns)
+
+        for batch in batches:
+            page = batch.column(0).to_numpy()
+            first = np.flatnonzero(np.r_[True, page[1:] != page[:-1]][: len(page)]).tolist()
+            for lo, hi in zip(first, [*first[1:], len(page)], strict=False):
+                if waiting and waiting[0].column(0)[0].as_py() != page[lo]:
+                    search()
+                    waiting.clear()
+                waiting.append(batch.slice(lo, hi - lo))
+            if sum(x.shape[1] for x in kept) > 50_000:
+                yield out()
+                kept.clear()
+        if waiting:
+            search()
+        yield out()
+
+    return dealt.mapInArrow(tidy(scan), "page bigint, node bigint, size bigint, root bigint, tree bigint")
+
+
 def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: int, most: int) -> DataFrame:
     """(page, a, b, more): pairs within a larger page, of different trees and components, that the trees of its parts can't rule out.
 
@@ -636,7 +706,11 @@ def _crossing(large: DataFrame, trees: DataFrame, vectors: DataFrame, percent: i
     open_ = open_.where((F.col("roots") > 1) & (F.col("t") != F.col("u")))
     own = F.when(F.col("c") > PART, F.ceil(F.col("most.c") / PART)).otherwise(0)
     open_ = open_.select("page", F.col("most.root").alias("first"), own.cast("int").alias("own"), F.ceil((F.col("c") - F.col("most.c")) / PART).cast("int").alias("others"))
-    cut = held.join(open_, "page").withColumn("main", (F.col("root") == F.col("first")) & (F.col("own") > 0))
+    # a page of one part is as bounded as a part: what can't link there goes no further
+    near = materialise(_near(held.join(open_.where((F.col("own") == 0) & (F.col("others") == 1)), "page"), vectors, percent), "near")
+    near = near.withColumns({"first": F.lit(0).cast("bigint"), "own": F.lit(0), "others": F.lit(1)})
+    parted = held.join(open_.where((F.col("own") > 0) | (F.col("others") > 1)), "page")
+    cut = near.unionByName(parted).withColumn("main", (F.col("root") == F.col("first")) & (F.col("own") > 0))
     cut = cut.withColumn("part", F.when(F.col("main"), -1 - F.pmod(F.xxhash64("node"), "own")).otherwise(F.pmod(F.xxhash64("node"), "others")).cast("int"))
     # parts of others, 0 and on, meet those from their own on and all of the main component's, -1 and down
     meets = F.when(F.col("main"), F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: F.struct(F.col("part").alias("one"), o.cast("int").alias("two"), F.lit(0).alias("side"))))
@@ -687,12 +761,13 @@ def _linked(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame
     """(node, root) of all nodes that link with another."""
     pages = materialise(_pages(docs, n, percent), "pages")
     large = pages.where(F.col("page").isNotNull()).select("page", F.col("a").alias("node"), "size").dropDuplicates(["page", "node"])
+    large = materialise(large, "large-pages")
     leaves = pages.where(F.col("page").isNull()).select("a", "b").distinct()
     homes = materialise(_homes(large), "trees")
     members = _ends(leaves).unionByName(homes.select("node")).distinct()
     vectors = materialise(rows.select("node", "size", "vector").join(members, "node", "left_semi").dropDuplicates(["node"]), "vectors")
     trees = materialise(_grown(_sets(docs, rows, homes.select("node", "home", "tile", "tiles"), n), percent), "grown")
-    spoken = materialise(_spoken(trees, percent), "spoken")
+    spoken = materialise(_spoken(docs, rows, trees, n, percent), "spoken")
     # the links of a tree: each node with its root there
     links = trees.where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(spoken)
     roots = trees.select("node", "root") if spoken.isEmpty() else materialise(components(links), "tree-roots")
@@ -703,7 +778,7 @@ def _linked(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame
         return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb")
 
     def crossing(pages: DataFrame, most: int) -> DataFrame:
-        now = trees.drop("root", "grams").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        now = trees.drop("root", "speaks").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         return materialise(_crossing(pages, now, vectors, percent, most), "crossing")
 
     bounded = materialise(_bounded(apart(leaves), vectors, percent), "leaf-pairs")
