@@ -224,9 +224,8 @@ def _descend(model: Model, seen: dict, rows: np.ndarray, which: np.ndarray, firs
                     place = bi[k, f] + j
                     ok = place < starts[k + 1]
                     word = local[place[ok]]
-                    for kk, ff, ww in zip(value[ok], f[ok], word, strict=True):
-                        grad_f[j, :, ff] += kk * vectors[ww]
-                        into[ww] += kk * model.filters[w][j, :, ff]
+                    np.add.at(grad_f[j].T, f[ok], value[ok, None] * vectors[word])
+                    np.add.at(into, word, value[ok, None] * model.filters[w][j].T[f[ok]])
                 seen[w] += grad_f**2
                 model.filters[w] -= RATE * grad_f / np.sqrt(seen[w])
                 grad_b = ga.sum(0).astype(np.float32)
@@ -238,11 +237,12 @@ def _descend(model: Model, seen: dict, rows: np.ndarray, which: np.ndarray, firs
             seen["bias"] += grad_bias**2
             model.bias -= float(RATE * grad_bias / np.sqrt(seen["bias"][0]))
             touched = np.flatnonzero(np.abs(into).sum(1))
-            for word in touched:
-                r = np.unique(rows[words[word]])
-                seen["table"][r] += float((into[word] ** 2).mean())
-                model.table[r] -= (0.3 * RATE * into[word]) / np.sqrt(seen["table"][r])[:, None]
-                moved[r] = True
+            r = np.sort(rows[words[touched]], 1)
+            word, at = np.nonzero(np.c_[np.ones(len(r), bool), r[:, 1:] != r[:, :-1]])  # a word's bucket counts once
+            r = r[word, at]
+            np.add.at(seen["table"], r, (into[touched] ** 2).mean(1)[word])
+            np.add.at(model.table, r, -(0.3 * RATE * into[touched][word]) / np.sqrt(seen["table"][r])[:, None])
+            moved[r] = True
     return np.flatnonzero(moved)
 
 
