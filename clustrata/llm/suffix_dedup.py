@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +45,9 @@ from .suffix_array import suffix_array
 WIDTH, GRAM = 50, 24
 #: A chunk has about this many bytes (a power of two); place bits in a packed hash.
 CHUNK, PLACE_BITS = 256, 24
-SLICE, SEGMENT = 1 << 20, 1 << 22
-FINGERPRINTS_A_SHARD, EXCERPT_BYTES_A_SHARD = 1 << 20, 3 << 19
-#: Bounds for broadcasting what single documents need; beyond them it is a shuffled join.
-SEND_ROWS, SEND_BYTES = 1 << 20, 1 << 25
+#: Bytes of a NumPy pass, and of the excerpts that are sorted together: what a pass holds then stays in a core's cache.
+SLICE, SEGMENT, EXCERPTS = 1 << 17, 1 << 22, 1 << 13
+FINGERPRINTS_A_SHARD, EXCERPT_BYTES_A_SHARD = 1 << 20, 1 << 18
 U64 = np.uint64
 _PLACES = U64((1 << PLACE_BITS) - 1)
 
@@ -81,6 +81,7 @@ class _Text:
         follows = np.r_[self.doc_of[1:] == self.doc_of[:-1], False] & np.r_[self.start[1:] == self.windows_end[:-1], False] if len(self.start) else np.zeros(0, bool)
         nxt = np.r_[self.name[1:], U64(0)] if len(self.start) else self.name
         self.pair = np.where(follows, mix(self.name * U64(3) + mix(nxt.copy())), self.name)
+        self.next = np.where(follows, nxt, self.name)
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the bytes from start to end."""
@@ -136,7 +137,8 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256))
 
 
-_F_BITS, _O_BYTES = 48, 5
+#: A slice has at most SLICE / WIDTH documents, whose numbers fit above the bits of a hash.
+_F_BITS, _O_BYTES, _ODD = 48, 5, U64(0xD6E8FEB86659FD93)
 _O_MASK = U64((1 << (8 * _O_BYTES)) - 2)
 
 
@@ -145,7 +147,7 @@ def _fingerprint(g: np.ndarray) -> np.ndarray:
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
-    """(key, id, start, windows, chunk, pair) of each chunk of each text."""
+    """(key, id, start, windows, chunk, pair, next) of each chunk of each text; next: the chunk that follows, or itself."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,12 +156,12 @@ def _chunks(rows: DataFrame) -> DataFrame:
                 text = _Text(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 at = pa.array(text.doc_of + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(text.start - text.offsets[text.doc_of]), pa.array((text.windows_end - text.start).astype(np.int64)), _signed(text.name), _signed(text.pair)],
-                    names=["key", "id", "start", "windows", "chunk", "pair"],
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(text.start - text.offsets[text.doc_of]), pa.array((text.windows_end - text.start).astype(np.int64)), _signed(text.name), _signed(text.pair), _signed(text.next)],
+                    names=["key", "id", "start", "windows", "chunk", "pair", "next"],
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("key", "id", "text").mapInArrow(scan, f"key bigint, id {kind}, start bigint, windows bigint, chunk bigint, pair bigint")
+    return rows.select("key", "id", "text").mapInArrow(scan, f"key bigint, id {kind}, start bigint, windows bigint, chunk bigint, pair bigint, next bigint")
 
 
 def _owners(text: _Text, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,13 +179,14 @@ def _shared_fingerprints(rows: DataFrame, shards: int) -> DataFrame:
     bits = (shards - 1).bit_length()
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            f, o = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((o, f))
-            f, o = f[order], o[order]
+            f, o, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            # equal chunks count once; places tell a repeat within an owner from a copy of it
+            one = _first_of(f, o, place)
+            f, o = f[one], o[one]
             again = np.r_[False, (f[1:] == f[:-1]) & (o[1:] == o[:-1])]
             once, twice = ~again, again & ~np.r_[False, again[:-1]]
             o = np.where(again, o | U64(1), o)  # a second place of one owner counts as another owner
@@ -205,12 +208,9 @@ def _shared_fingerprints(rows: DataFrame, shards: int) -> DataFrame:
                 if not len(place):
                     continue
                 run, o = _owners(text, first, end)
-                f = _fingerprint(text.gram[place])[run]
-                # equal chunks of one slice count once; places tell a repeat within an owner from a copy of it
                 a = np.searchsorted(text.start, first, "right") - 1
-                one = _first_of(f, o, (place - text.start[a])[run])
-                held.append((f[one], o[one]))
-                size += len(one)
+                held.append((_fingerprint(text.gram[place])[run], o, (place - text.start[a])[run]))
+                size += len(run)
                 if size >= FINGERPRINTS_A_SHARD // 2:
                     yield flush()
                     held, size = [], 0
@@ -220,7 +220,7 @@ def _shared_fingerprints(rows: DataFrame, shards: int) -> DataFrame:
     def answer(group: pa.Table) -> pa.Table:
         f = np.concatenate([_unpack(x, _F_BITS // 8) for x in group["f"].to_pylist()])
         o = np.concatenate([_unpack(x, _O_BYTES) for x in group["o"].to_pylist()])
-        order = np.argsort(f, kind="stable")
+        order = np.argsort(f)
         f, o = f[order], o[order]
         first = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
         many = np.minimum.reduceat(o, first) != np.maximum.reduceat(o, first)
@@ -233,16 +233,26 @@ def _shared_fingerprints(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def _first_of(f: np.ndarray, o: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Indices of one of each equal (f, o, place)."""
-    order = np.lexsort((place, o, f))
+    """Indices of one of each equal (f, o, place), by f; equal (f, o) lie side by side."""
+    key = (f << U64(64 - _F_BITS)) | ((o >> U64(1)) & U64((1 << (64 - _F_BITS)) - 1))
+    order = np.argsort(key)
+    tie = key[order[1:]] == key[order[:-1]]
+    tied = np.flatnonzero(np.r_[tie, False] | np.r_[False, tie]) if len(f) else order
+    some = order[tied]
+    order[tied] = some[np.lexsort((place[some], o[some], key[some]))]
     a, b, c = f[order], o[order], place[order]
     return order[np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])]] if len(f) else order
 
 
-def _sent(docs: DataFrame, info: DataFrame, size: Column, how: str) -> DataFrame:
-    """docs joined with what single documents need, broadcast only if it is small."""
-    rows, total = info.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    return docs.join(F.broadcast(info) if rows <= SEND_ROWS and total <= SEND_BYTES else info, "key", how)
+def _with(docs: DataFrame, info: DataFrame, how: str) -> DataFrame:
+    """docs joined with what single documents need: one shuffle of the texts at every size, and no sort of them."""
+    return docs.join(info.hint("shuffle_hash"), "key", how)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets of a column of lists, from 0, and all their values."""
+    ends = column.offsets.to_numpy()
+    return ends - ends[0], column.values.slice(ends[0], ends[-1] - ends[0])
 
 
 def _excerpts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -255,18 +265,27 @@ def _excerpts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(2))
-            prints, chunks = batch.column(3), batch.column(4)
-            for i in range(batch.num_rows):
-                own = data[offsets[i] : offsets[i + 1]]
-                text = _Text(own, np.array([0, len(own)]))
+            (p_ends, prints), (c_ends, chunks) = _lists(batch.column(3)), _lists(batch.column(4))
+            prints, chunks = prints.to_numpy().view(U64), chunks.to_numpy().view(U64)
+            for lo, hi in slices(offsets, SLICE):
+                text = _Text(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                if not len(text.start):
+                    continue
+                # chunks and hashes are looked up together with their document
+                docs = np.arange(hi - lo, dtype=np.int64).astype(U64)
+                c_docs = np.repeat(docs, np.diff(c_ends[lo : hi + 1]))
+                own, at = np.unique(mix(text.name + text.doc_of.astype(U64) * _ODD), return_index=True)  # of equal chunks of a text, the first
                 wanted_chunk = np.zeros(len(text.name), bool)
-                names, at = np.unique(text.name, return_index=True)  # of equal chunks of a text, the first
-                wanted_chunk[at[np.isin(names, np.frombuffer(chunks[i].as_buffer(), "<u8"))]] = True
+                wanted_chunk[at[np.isin(own, mix(chunks[c_ends[lo] : c_ends[hi]] + c_docs * _ODD))]] = True
+                p_docs = np.repeat(docs, np.diff(p_ends[lo : hi + 1]))
+                asked = np.sort((p_docs << U64(_F_BITS)) | prints[p_ends[lo] : p_ends[hi]])
                 place, first, end = text.selected()
+                a = np.searchsorted(text.start, first, "right") - 1
                 f = _fingerprint(text.gram[place])
-                hit = np.flatnonzero(np.isin(f, _unpack(prints[i].as_buffer(), _F_BITS // 8)))
+                sought = (text.doc_of[a].astype(U64) << U64(_F_BITS)) | f
+                hit = np.flatnonzero(asked[np.minimum(np.searchsorted(asked, sought), len(asked) - 1)] == sought)
                 # strings that select one place may start in several chunks: one excerpt for each
-                a = np.searchsorted(text.start, first[hit], "right") - 1
+                a = a[hit]
                 many = np.searchsorted(text.start, end[hit] - 1, "right") - a
                 run = np.repeat(hit, many)
                 c = np.repeat(a, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -274,13 +293,14 @@ def _excerpts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 keep = np.flatnonzero(wanted_chunk[c] & (s < e))
                 s, e, c, mark = s[keep], e[keep], c[keep], f[run[keep]]
                 name = text.spans(s, e + WIDTH - 1) ^ mix(mark + (e - s).astype(U64))
-                same = pa.array(np.full(len(keep), i))
+                doc = text.doc_of[c]
+                same = pa.array(doc + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(same), batch.column(1).take(same), _signed(text.name[c]), pa.array((s - text.start[c]).astype(np.int32)), pa.array(s), pa.array((e - s).astype(np.int32)), _signed(mark), _signed(name)],
+                    [batch.column(0).take(same), batch.column(1).take(same), _signed(text.name[c]), pa.array((s - text.start[c]).astype(np.int32)), pa.array(s - text.offsets[doc]), pa.array((e - s).astype(np.int32)), _signed(mark), _signed(name)],
                     names=["key", "id", "chunk", "at", "start", "n", "mark", "name"],
                 )
 
-    joined = _sent(rows, wanted, F.octet_length("prints") + F.octet_length("chunks"), "inner")
+    joined = _with(rows, wanted, "inner")
     kind = rows.schema["id"].dataType.simpleString()
     return joined.select("key", "id", "text", "prints", "chunks").mapInArrow(scan, f"key bigint, id {kind}, chunk bigint, at int, start bigint, n int, mark bigint, name bigint")
 
@@ -291,56 +311,65 @@ def _excerpt_texts(rows: DataFrame, places: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            for i in range(batch.num_rows):
-                raw = data[offsets[i] : offsets[i + 1]].tobytes()
-                name, mark, start, n, least = batch.column(1)[i].values.flatten()
-                out = [raw[s : s + k + WIDTH - 1] for s, k in zip(start.to_pylist(), n.to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([name, mark, least, pa.array(out, pa.binary())], names=["name", "mark", "least", "excerpt"])
+            ends, values = _lists(batch.column(1))
+            name, mark, start, n, least = values.flatten()
+            begin = np.repeat(offsets[:-1], np.diff(ends)) + start.to_numpy()
+            size = n.to_numpy().astype(np.int64) + WIDTH - 1
+            for lo in range(0, len(begin), EXCERPTS):
+                some = slice(lo, lo + EXCERPTS)
+                after = np.r_[0, np.cumsum(size[some])]
+                raw = data[np.arange(after[-1]) + np.repeat(begin[some] - after[:-1], size[some])]
+                excerpt = pa.Array.from_buffers(pa.binary(), len(after) - 1, [None, pa.py_buffer(after.astype(np.int32)), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([*(x[some] for x in (name, mark, least)), excerpt], names=["name", "mark", "least", "excerpt"])
 
     per_text = places.groupBy("key").agg(F.collect_list(F.struct("name", "mark", "start", "n", "least")).alias("places"))
-    joined = _sent(rows, materialise(per_text, "repeat-places"), F.size("places") * 40, "inner")
+    joined = _with(rows, materialise(per_text, "repeat-places"), "inner")
     kind = rows.schema["id"].dataType.simpleString()
     return joined.select("text", "places").mapInArrow(scan, f"name bigint, mark bigint, least {kind}, excerpt binary")
 
 
-def least_ids(excerpts: list[bytes], ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+def least_ids(joined: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(excerpt, first string, end, least id) of runs of strings that an excerpt of a lesser id also has.
 
-    ids: comparable integers, one for each of the distinct excerpts.
+    joined, offsets: the bytes of distinct excerpts; ids: comparable integers, one for each of them.
     """
-    sizes = np.array([len(x) for x in excerpts], np.int64)
-    begin = np.r_[0, np.cumsum(sizes + 1)[:-1]]
+    sizes = np.diff(offsets)
+    begin = offsets[:-1] + np.arange(len(sizes))
     letters = np.ones(int((sizes + 1).sum()), np.int64)  # an excerpt ends with the least letter
-    joined = np.frombuffer(b"".join(excerpts), np.uint8)
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    at = np.arange(len(joined)) + of
-    letters[at] = joined.astype(np.int64) + 2
+    of = np.repeat(np.arange(len(sizes)), sizes + 1)
+    inside = np.ones(len(letters), bool)
+    inside[begin + sizes] = False
+    letters[inside] = joined.astype(np.int64) + 2
     order = suffix_array(letters)
-    owner = np.searchsorted(begin, order, "right") - 1
-    whole = order + WIDTH <= begin[owner] + sizes[owner]  # suffixes that start a string
-    order, owner = order[whole], owner[whole]
+    stop = np.repeat(begin + sizes - WIDTH, sizes + 1)
+    order = order[order <= stop[order]]  # suffixes that start a string
     if not len(order):
-        return
+        return (np.zeros(0, np.int64),) * 4
+    raw = np.zeros(len(letters) + 8, U64)
+    raw[: len(letters)][inside] = joined
+    words = raw[: len(letters)].copy()
+    for k in range(1, 8):  # the eight bytes from each place
+        words = (words << U64(8)) | raw[k : k + len(letters)]
     same = np.ones(len(order) - 1, bool)
-    for k in range(WIDTH):  # neighbours' prefixes
-        same &= letters[order[1:] + k] == letters[order[:-1] + k]
+    for k in (*range(0, WIDTH - 8, 8), WIDTH - 8):  # neighbours' prefixes
+        w = words[order + k]
+        same &= w[1:] == w[:-1]
     run = np.flatnonzero(np.r_[True, ~same])
-    least = np.repeat(np.minimum.reduceat(ids[owner], run), np.diff(np.r_[run, len(order)]))
-    lower = np.flatnonzero(least < ids[owner])
-    place = order[lower]
-    by = np.argsort(place)
-    place, who, m = place[by], owner[lower][by], least[lower][by]
-    if not len(place):
-        return
-    cut = np.flatnonzero(np.r_[True, (place[1:] != place[:-1] + 1) | (who[1:] != who[:-1]) | (m[1:] != m[:-1])])
-    for a, b in zip(cut, np.r_[cut[1:], len(place)], strict=True):
-        yield int(who[a]), int(place[a] - begin[who[a]]), int(place[b - 1] - begin[who[a]]) + 1, int(m[a])
+    own = ids[of[order]]
+    least = np.repeat(np.minimum.reduceat(own, run), np.diff(np.r_[run, len(order)]))
+    lower = np.flatnonzero(least < own)
+    by = lower[np.argsort(order[lower])]
+    place, who, m = order[by], of[order[by]], least[by]
+    cut = np.flatnonzero(np.r_[True, (place[1:] != place[:-1] + 1) | (who[1:] != who[:-1]) | (m[1:] != m[:-1])]) if len(by) else by
+    last = np.r_[cut[1:], len(place)] - 1 if len(by) else by
+    return who[cut], place[cut] - begin[who[cut]], place[last] - begin[who[cut]] + 1, m[cut]
 
 
 def _lower_runs(rows: DataFrame, excerpts: DataFrame) -> DataFrame:
     """(chunk, first, end): strings of a chunk that also start in a document before the chunk's first."""
-    one = F.min(F.struct("id", "key", "start", "n", "mark")).alias("o")
-    names = materialise(excerpts.groupBy("name").agg(one, F.max("id").alias("most")).select("name", "o.*", "most"), "repeat-names")
+    one = [F.min_by(c, "id").alias(c) for c in ("key", "start")]  # of one row: they take the same of equal ids
+    alike = [F.min(c).alias(c) for c in ("n", "mark")]
+    names = materialise(excerpts.groupBy("name").agg(F.min("id").alias("id"), *one, *alike, F.max("id").alias("most")), "repeat-names")
     # an excerpt whose mark has no other text is settled by its least id
     several = names.groupBy("mark").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("mark")
     places = names.join(several, "mark", "left_semi").select("name", "mark", "key", "start", "n", F.col("id").alias("least"))
@@ -349,66 +378,45 @@ def _lower_runs(rows: DataFrame, excerpts: DataFrame) -> DataFrame:
     shards = max(1, int(size // EXCERPT_BYTES_A_SHARD) + 1)
 
     def sort(group: pa.Table) -> pa.Table:
-        ids = group["least"].to_pylist()
-        values = {v: i for i, v in enumerate(sorted(set(ids)))}
-        back = list(values)
-        found = list(least_ids(group["excerpt"].to_pylist(), np.array([values[v] for v in ids], np.int64)))
-        name = group["name"].to_pylist()
-        return pa.table({"name": pa.array([name[x[0]] for x in found], pa.int64()), "a": pa.array([x[1] for x in found], pa.int64()), "b": pa.array([x[2] for x in found], pa.int64()), "lower": pa.array([back[x[3]] for x in found], group["least"].type)})
+        ids = group["least"].combine_chunks()
+        rank = pc.rank(ids, tiebreaker="dense").to_numpy().astype(np.int64)
+        row = np.zeros(int(rank.max(initial=0)) + 1, np.int64)  # a row that has the id of a rank
+        row[rank] = np.arange(len(rank))
+        who, a, b, least = least_ids(*utf8(group["excerpt"]), rank)
+        return pa.table({"name": group["name"].take(pa.array(who)), "a": pa.array(a), "b": pa.array(b), "lower": group["least"].take(pa.array(row[least]))})
 
     kind = excerpts.schema["id"].dataType.simpleString()
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int"))
     runs = materialise(dealt.groupBy("shard").applyInArrow(sort, f"name bigint, a bigint, b bigint, lower {kind}"), "repeat-runs")
-    several = excerpts.select("name", "chunk", "at", "n", "id")
-    whole = several.join(names.where(F.col("most") > F.col("id")).select("name", F.col("id").alias("least")), "name").where(F.col("least") < F.col("id"))
-    whole = whole.select("chunk", F.col("at").cast("bigint").alias("first"), (F.col("at") + F.col("n")).cast("bigint").alias("end"))
-    part = several.join(runs, "name").where(F.col("lower") < F.col("id"))
-    return whole.unionByName(part.select("chunk", (F.col("at") + F.col("a")).alias("first"), (F.col("at") + F.col("b")).alias("end")))
+    whole = names.where(F.col("most") > F.col("id")).select("name", F.lit(0).cast("bigint").alias("a"), F.col("n").cast("bigint").alias("b"), F.col("id").alias("lower"))
+    held = excerpts.select("name", "chunk", "at", "id").join(whole.unionByName(runs), "name").where(F.col("lower") < F.col("id"))
+    return held.select("chunk", (F.col("at") + F.col("a")).alias("first"), (F.col("at") + F.col("b")).alias("end"))
 
 
 def _covered(rows: DataFrame) -> DataFrame:
     """(key, spans): packed starts and ends of the strings that a document loses."""
     chunks = materialise(_chunks(rows), "repeat-chunks")
     total = chunks.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0]
-    firsts = materialise(chunks.groupBy("chunk").agg(F.min(F.struct("id", "key")).alias("f")).select("chunk", F.col("f.id").alias("least"), F.col("f.key").alias("key")), "repeat-firsts")
+    firsts = materialise(chunks.groupBy("chunk").agg(F.min("id").alias("least"), F.min_by("key", "id").alias("key")), "repeat-firsts")
     shards = max(1, 1 << max(0, int(total * 0.085 / FINGERPRINTS_A_SHARD)).bit_length())
     shared = materialise(_shared_fingerprints(rows, shards), "repeat-prints")
     mask = F.lit(int(_O_MASK))
-    owners = chunks.select("chunk", "pair", "key", "start", "windows")
     # a pair's strings start in its first chunk or in the one that follows it
-    after = owners.select("key", F.col("start").alias("start"), F.col("chunk").alias("next"))
-    second = owners.select("key", (F.col("start") + F.col("windows")).alias("start"), "pair", "chunk").where(F.col("pair") != F.col("chunk")).join(after, ["key", "start"])
-    names = (
-        owners.select(F.col("chunk").bitwiseAND(mask).alias("owner"), "chunk")
-        .unionByName(owners.where(F.col("pair") != F.col("chunk")).select(F.col("pair").bitwiseAND(mask).alias("owner"), "chunk"))
-        .unionByName(second.select(F.col("pair").bitwiseAND(mask).alias("owner"), F.col("next").alias("chunk")))
-        .distinct()
-    )
-    marked = shared.join(names, "owner").select("chunk", "print").distinct()
-    packed = F.collect_set("print").alias("prints")
-    wanted = marked.join(firsts, "chunk").groupBy("key").agg(packed, F.collect_set("chunk").alias("chunks"))
-    wanted = materialise(_packed(wanted), "repeat-wanted")
+    pairs = chunks.where(F.col("pair") != F.col("chunk")).groupBy("pair").agg(F.min("chunk").alias("chunk"), F.min("next").alias("next"))
+    names = firsts.select(F.col("chunk").bitwiseAND(mask).alias("owner"), "chunk").unionByName(pairs.select(F.col("pair").bitwiseAND(mask).alias("owner"), F.explode(F.array("chunk", "next")).alias("chunk")))
+    marked = shared.join(names, "owner").select("chunk", "print").join(firsts.select("chunk", "key"), "chunk")
+    wanted = materialise(marked.groupBy("key").agg(F.collect_set("print").alias("prints"), F.collect_set("chunk").alias("chunks")), "repeat-wanted")
     excerpts = materialise(_excerpts(rows, wanted), "repeat-excerpts")
-    runs = materialise(_lower_runs(rows, excerpts), "repeat-lower")
-    placed = chunks.join(firsts.select("chunk", "least"), "chunk")
-    later = placed.where(F.col("least") < F.col("id")).select("key", "start", (F.col("start") + F.col("windows")).alias("stop"))
-    first = placed.where(F.col("least") == F.col("id")).join(runs, "chunk").select("key", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("end")).alias("stop"))
-    spans = later.unionByName(first).distinct().groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    runs = _lower_runs(rows, excerpts)
+    placed = chunks.select("chunk", "key", "id", "start", "windows").join(firsts.select("chunk", "least"), "chunk")
+    runs = runs.withColumnRenamed("chunk", "of")
+    lost = placed.join(runs, (F.col("chunk") == F.col("of")) & (F.col("least") == F.col("id")), "left").where((F.col("least") < F.col("id")) | F.col("of").isNotNull())
+    own = F.col("of").isNotNull()
+    lost = lost.select("key", F.when(own, F.col("start") + F.col("first")).otherwise(F.col("start")).alias("start"), (F.col("start") + F.when(own, F.col("end")).otherwise(F.col("windows"))).alias("stop"))
+    spans = lost.repartition("key").distinct().groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return materialise(spans, "repeat-spans")
 
 
-def _packed(wanted: DataFrame) -> DataFrame:
-    """Lists of numbers as bytes."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = [_pack(np.sort(x.values.to_numpy().view(U64)), _F_BITS // 8) for x in batch.column(1)]
-            chunks = [np.sort(x.values.to_numpy().view(U64)).tobytes() for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array(chunks, pa.binary())], names=["key", "prints", "chunks"])
-
-    return wanted.mapInArrow(scan, "key bigint, prints binary, chunks binary")
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with n_bytes, n_removed, n_spans and kept_bytes (binary)."""
     new = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
@@ -419,8 +427,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.select(*[F.col(f"`{c}`") for c in kept])
     keyed = plain.withColumn(key, F.when(F.col(id_col).isNotNull(), _key(id_col, text_col)))
     info = spans.select(F.col("key").alias(key), F.col("spans").alias(found))
-    n, total = info.agg(F.count("*"), F.coalesce(F.sum(F.size(found) * 16), F.lit(0))).first()
-    joined = keyed.join(F.broadcast(info) if n <= SEND_ROWS and total <= SEND_BYTES else info, key, "left").select(*[F.col(f"`{c}`") for c in kept], found)
+    joined = keyed.join(info.hint("shuffle_hash"), key, "left").select(*[F.col(f"`{c}`") for c in kept], found)
     at, width = kept.index(text_col), len(kept)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
