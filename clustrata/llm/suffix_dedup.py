@@ -143,7 +143,8 @@ _O_MASK = U64((1 << (8 * _O_BYTES)) - 2)
 
 
 def _fingerprint(g: np.ndarray) -> np.ndarray:
-    return g >> U64(64 - _F_BITS)
+    """The high bits of a selected hash, spread one to one: the least of many is small, and shards go by the first bits."""
+    return ((g >> U64(64 - _F_BITS)) * _ODD) & U64((1 << _F_BITS) - 1)
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
